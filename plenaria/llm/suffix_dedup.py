@@ -6,6 +6,7 @@ windows hold the same one at the same place. So all windows can be compared anch
 
 1. Documents are packed into blocks (the shards, about 8 MiB). A block lists the hashes of its anchors.
 2. Hashes that several documents share are found (buckets of the hash range); a block gets two bits an anchor.
+   A document whose whole text a smaller document has goes whole, and is left out of what follows.
 3. For shared anchors a block makes its shard of the suffix array: the suffixes that start at anchors, sorted
    by what follows, each with the bytes before it (its Burrows-Wheeler columns), its least document and how far
    it reaches; equal ones are kept once. Shards go to buckets by anchor. A bucket first interleaves the shards'
@@ -41,7 +42,7 @@ from . import common
 ANCHOR = 16
 BLOCK = 8 << 20
 #: Bytes of the input to each bucket of anchors (8 bytes an anchor, one in 18 bytes), and of suffixes.
-ANCHOR_BYTES, SUFFIX_BYTES = 64 << 20, 12 << 20
+ANCHOR_BYTES, SUFFIX_BYTES = 64 << 20, 32 << 20
 PAD = 255  # never a byte of UTF-8
 NO_ID = (1 << 63) - 1
 
@@ -115,7 +116,7 @@ class Block:
         import zstandard
 
         steps = np.diff(self.at, prepend=0)
-        z = zstandard.ZstdCompressor(level=3)
+        z = zstandard.ZstdCompressor(level=6)
         return _join([self.ids.tobytes(), self.lengths.tobytes(), z.compress(self.data.tobytes()), z.compress(steps.astype("<u4").tobytes())])
 
     @classmethod
@@ -163,10 +164,10 @@ def _runs(bucket) -> Iterator[tuple[int, int, int]]:
         yield int(bucket[lo]), int(lo), int(hi)
 
 
-def _zip(array) -> bytes:
+def _zip(array, level: int = 1) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(array.tobytes())
+    return zstandard.ZstdCompressor(level=level).compress(array.tobytes())
 
 
 def _unzip(raw: bytes, kind: str):
@@ -190,6 +191,8 @@ def _pack(length: int, buckets: int):
     """Texts -> blocks (kind text), and for each bucket the block's distinct anchor keys and which of them two of its documents share (kind keys)."""
 
     def run(batches):
+        import hashlib
+
         import numpy as np
         from pyspark import TaskContext
 
@@ -204,8 +207,14 @@ def _pack(length: int, buckets: int):
             np.maximum.at(high, which, docs)
             out = [(number, -1, "text", block.pack())]
             for b, lo, hi in _runs(distinct >> np.uint64(40)):
-                five = distinct[lo:hi].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                out.append((number, b, "keys", _join([five.tobytes(), np.packbits(low[lo:hi] < high[lo:hi]).tobytes()])))
+                steps = np.diff(distinct[lo:hi] & np.uint64((1 << 40) - 1), prepend=np.uint64(0))
+                planes = np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].T)
+                out.append((number, b, "keys", _join([_zip(planes), np.packbits(low[lo:hi] < high[lo:hi]).tobytes()])))
+            long = np.flatnonzero(block.lengths >= length)
+            into = np.array([int.from_bytes(hashlib.blake2b(texts[i], digest_size=2).digest()) % buckets for i in long], np.int64)
+            for b in np.unique(into).tolist():
+                which = long[into == b]
+                out.append((number, b, "docs", _join([which.tobytes(), block.ids[which].tobytes(), b"".join(hashlib.blake2b(texts[i], digest_size=16).digest() for i in which)])))
             return _batch(out)
 
         for batch in batches:
@@ -231,11 +240,12 @@ def _share(hot: int):
 
         blocks, parts, multi, ends = rows["block"].to_pylist(), [], [], []
         for body in rows["body"].to_pylist():
-            five, bits = _part(body, 2)
-            n = len(five) // 5
+            planes, bits = _part(body, 2)
+            planes = _unzip(planes, "u1").reshape(5, -1)
+            n = planes.shape[1]
             wide = np.zeros((n, 8), np.uint8)
-            wide[:, :5] = np.frombuffer(five, np.uint8).reshape(-1, 5)
-            parts.append(wide.view("<u8").ravel())
+            wide[:, :5] = planes.T
+            parts.append(wide.view("<u8").ravel().cumsum(dtype=np.uint64))
             multi.append(np.unpackbits(np.frombuffer(bits, np.uint8), count=n))
             ends.append(n)
         every = np.concatenate(parts)
@@ -253,8 +263,29 @@ def _share(hot: int):
     return run
 
 
-def _suffixes(block: Block, says: dict[int, bytes], length: int, buckets: int, to: int):
-    """The block's shard: rows (bytes before the anchor | bytes from it on), reach before and after, bucket; and of each occurrence its position, document and row."""
+def _copies(key, rows):
+    """Documents of one bucket from all blocks -> for each block those whose whole text a smaller document has."""
+    import numpy as np
+    import pyarrow as pa
+
+    which, ids, digests, blocks = [], [], [], []
+    for block, body in zip(rows["block"].to_pylist(), rows["body"].to_pylist(), strict=True):
+        w, i, d = _part(body, 3)
+        which.append(np.frombuffer(w, np.int64))
+        ids.append(np.frombuffer(i, np.int64))
+        digests.append(np.frombuffer(d, "V16"))
+        blocks.append(np.full(len(which[-1]), block, np.int64))
+    which, ids, blocks = map(np.concatenate, (which, ids, blocks))
+    u, inverse = np.unique(np.concatenate(digests), return_inverse=True)
+    least = np.full(len(u), NO_ID)
+    np.minimum.at(least, inverse, ids)
+    later = np.flatnonzero(ids > least[inverse])
+    later = later[np.argsort(blocks[later], kind="stable")]
+    return pa.Table.from_batches([_batch([(b, key[0].as_py(), "copy", which[later[lo:hi]].tobytes()) for b, lo, hi in _runs(blocks[later])])])
+
+
+def _suffixes(block: Block, says: dict[int, bytes], copies, length: int, buckets: int, to: int):
+    """The block's shard (without the documents that are copies): rows (bytes before the anchor | bytes from it on), reach before and after, bucket; and of each occurrence its position, document and row."""
     import numpy as np
 
     before = length - ANCHOR
@@ -263,7 +294,8 @@ def _suffixes(block: Block, says: dict[int, bytes], length: int, buckets: int, t
     for b, lo, hi in _runs(distinct >> np.uint64(40)):
         if b in says:
             flags[lo:hi] = _unzip(says[b], "u1")
-    flag, owner = flags[which], block.owners()
+    owner = block.owners()
+    flag = np.where(copies[owner], 0, flags[which])
     ends = block.starts + block.lengths
     one = np.flatnonzero(flag == 1)
     at, doc, reach = block.at[one], owner[one], np.full(len(one), before)
@@ -314,26 +346,34 @@ def _suffixes(block: Block, says: dict[int, bytes], length: int, buckets: int, t
     return u[order], low[order], where[order], at, doc, place[out], left, right
 
 
-def _of_block(rows) -> tuple[Block, dict, dict]:
-    text, says, owned = None, {}, {}
+def _of_block(rows) -> tuple[Block, object, dict, dict]:
+    """The block, which of its documents are copies, what is said of its anchors, and who owns its suffixes."""
+    import numpy as np
+
+    text, copies, says, owned = None, [], {}, {}
     for bucket, kind, body in zip(rows["bucket"].to_pylist(), rows["kind"].to_pylist(), rows["body"].to_pylist(), strict=True):
         if kind == "text":
             text = Block.unpack(body)
+        elif kind == "copy":
+            copies.append(np.frombuffer(body, np.int64))
         else:
             (says if kind == "says" else owned)[bucket] = body
-    return text, says, owned
+    flags = np.zeros(len(text.ids), bool)
+    for c in copies:
+        flags[c] = True
+    return text, flags, says, owned
 
 
 def _shard(length: int, buckets: int, to: int):
     def run(key, rows):
         import pyarrow as pa
 
-        block, says, _ = _of_block(rows)
-        out, made = [], _suffixes(block, says, length, buckets, to) if says else None
+        block, copies, says, _ = _of_block(rows)
+        out, made = [], _suffixes(block, says, copies, length, buckets, to) if says else None
         if made:
             u, low, where = made[:3]
             for b, lo, hi in _runs(where):
-                out.append((key[0].as_py(), b, "shard", _join([_zip(u[lo:hi]), _zip(low[lo:hi])])))
+                out.append((key[0].as_py(), b, "shard", _join([_zip(u[lo:hi], 6), _zip(low[lo:hi], 6)])))
         return pa.Table.from_batches([_batch(out)])
 
     return run
@@ -397,12 +437,12 @@ def _merge(length: int):
     return run
 
 
-def _marks(block: Block, says: dict, owned: dict, length: int, buckets: int, to: int):
+def _marks(block: Block, says: dict, copies, owned: dict, length: int, buckets: int, to: int):
     """The bytes of the block that go."""
     import numpy as np
 
     starts = np.zeros(len(block.data) + 1, np.int8)
-    made = _suffixes(block, says, length, buckets, to) if says else None
+    made = _suffixes(block, says, copies, length, buckets, to) if says else None
     if made:
         u, low, where, at, doc, row, left, right = made
         width = -(-(length - ANCHOR + 1) // 8)
@@ -417,7 +457,10 @@ def _marks(block: Block, says: dict, owned: dict, length: int, buckets: int, to:
     change = np.zeros(len(block.data) + 1, np.int32)
     change[first] += 1
     np.add.at(change, first + length, -1)
-    return np.cumsum(change)[:-1] > 0
+    gone = np.cumsum(change)[:-1] > 0
+    for i in np.flatnonzero(copies):
+        gone[block.starts[i] : block.starts[i] + block.lengths[i]] = True
+    return gone
 
 
 def _finish(length: int, buckets: int, to: int, with_text: bool):
@@ -427,8 +470,8 @@ def _finish(length: int, buckets: int, to: int, with_text: bool):
         import numpy as np
         import pyarrow as pa
 
-        block, says, owned = _of_block(rows)
-        gone = _marks(block, says, owned, length, buckets, to)
+        block, copies, says, owned = _of_block(rows)
+        gone = _marks(block, says, copies, owned, length, buckets, to)
         out = []
         for i, lo, n in zip(block.ids.tolist(), block.starts.tolist(), block.lengths.tolist(), strict=True):
             g, text = gone[lo : lo + n], block.data[lo : lo + n]
@@ -451,7 +494,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     buckets, to = total // ANCHOR_BYTES + 1, total // SUFFIX_BYTES + 1
     packed = common.cut(rows.mapInArrow(_pack(length, buckets), ROWS))
     texts = packed.filter("kind = 'text'")
-    says = common.cut(packed.filter("kind = 'keys'").groupBy("bucket").applyInArrow(_share(hot), ROWS))
+    says = common.cut(packed.filter("kind = 'keys'").groupBy("bucket").applyInArrow(_share(hot), ROWS).unionByName(packed.filter("kind = 'docs'").groupBy("bucket").applyInArrow(_copies, ROWS)))
     shards = texts.unionByName(says).groupBy("block").applyInArrow(_shard(length, buckets, to), ROWS)
     owned = common.cut(shards.groupBy("bucket").applyInArrow(_merge(length), ROWS))
     return texts.unionByName(says).unionByName(owned).groupBy("block").applyInArrow(_finish(length, buckets, to, with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
