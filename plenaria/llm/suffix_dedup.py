@@ -42,7 +42,7 @@ from . import common
 ANCHOR = 16
 BLOCK = 8 << 20
 #: Bytes of the input to each bucket of anchors (8 bytes an anchor, one in 18 bytes), and of suffixes.
-ANCHOR_BYTES, SUFFIX_BYTES = 64 << 20, 32 << 20
+ANCHOR_BYTES, SUFFIX_BYTES = 64 << 20, 16 << 20
 PAD = 255  # never a byte of UTF-8
 NO_ID = (1 << 63) - 1
 
@@ -160,7 +160,7 @@ def _runs(bucket) -> Iterator[tuple[int, int, int]]:
     import numpy as np
 
     cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.empty(0, np.int64)
-    for lo, hi in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
+    for lo, hi in zip(cuts, [*cuts[1:], len(bucket)], strict=False):
         yield int(bucket[lo]), int(lo), int(hi)
 
 
@@ -346,15 +346,14 @@ def _suffixes(block: Block, says: dict[int, bytes], copies, length: int, buckets
     return u[order], low[order], where[order], at, doc, place[out], left, right
 
 
-def _of_block(rows) -> tuple[Block, object, dict, dict]:
+def _of_block(text, said) -> tuple[Block, object, dict, dict]:
     """The block, which of its documents are copies, what is said of its anchors, and who owns its suffixes."""
     import numpy as np
 
-    text, copies, says, owned = None, [], {}, {}
-    for bucket, kind, body in zip(rows["bucket"].to_pylist(), rows["kind"].to_pylist(), rows["body"].to_pylist(), strict=True):
-        if kind == "text":
-            text = Block.unpack(body)
-        elif kind == "copy":
+    copies, says, owned = [], {}, {}
+    text = Block.unpack(text["body"][0].as_py())
+    for bucket, kind, body in zip(said["bucket"].to_pylist(), said["kind"].to_pylist(), said["body"].to_pylist(), strict=True):
+        if kind == "copy":
             copies.append(np.frombuffer(body, np.int64))
         else:
             (says if kind == "says" else owned)[bucket] = body
@@ -365,10 +364,10 @@ def _of_block(rows) -> tuple[Block, object, dict, dict]:
 
 
 def _shard(length: int, buckets: int, to: int):
-    def run(key, rows):
+    def run(key, text, said):
         import pyarrow as pa
 
-        block, copies, says, _ = _of_block(rows)
+        block, copies, says, _ = _of_block(text, said)
         out, made = [], _suffixes(block, says, copies, length, buckets, to) if says else None
         if made:
             u, low, where = made[:3]
@@ -386,22 +385,25 @@ def merge_shards(rows, low, length: int):
 
     n, before = len(rows), length - ANCHOR
     m = rows.view(np.uint8).reshape(n, -1)
-    left, right = m[:, -2].astype(np.int64), m[:, -1].astype(np.int64)
+    left, right = m[:, -2], m[:, -1]
     # interleave the shards by what follows the anchor: eight bytes a pass, last first
-    wide = np.zeros((n, -(-length // 8) * 8), np.uint8)
-    wide[:, :length] = m[:, :length]
-    eights = wide.view(">u8")
-    order = np.arange(n)
-    for k in range(eights.shape[1] - 1, -1, -1):
-        order = order[np.argsort(eights[order, k].astype(np.uint64), kind="stable")]
+    order = np.arange(n, dtype=np.int32)
+    for k in range((length - 1) // 8 * 8, -1, -8):
+        eight = np.zeros((n, 8), np.uint8)
+        eight[:, : min(8, length - k)] = m[:, k : min(k + 8, length)]
+        eight = eight.view(">u8").ravel().astype(np.uint64)
+        order = order[np.argsort(eight[order], kind="stable")]
+    del eight
     # common prefixes of neighbours
-    s = m[order, :length]
-    differs = s[1:] != s[:-1]
-    prefix = np.concatenate(([0], np.where(differs.any(axis=1), differs.argmax(axis=1), length)))
-    del s, differs, wide, eights
-    rank = np.empty(n, np.int64)
-    rank[order] = np.arange(n)
-    same = np.zeros(n, np.int64)  # class of the bytes before, as far as they have been read
+    prefix = np.zeros(n, np.uint8)
+    for lo in range(1, n, 1 << 16):
+        at = order[lo - 1 : lo + (1 << 16)]
+        s = m[at, :length]
+        differs = s[1:] != s[:-1]
+        prefix[lo : lo + len(differs)] = np.where(differs.any(axis=1), differs.argmax(axis=1), length)
+    rank = np.empty(n, np.int32)
+    rank[order] = np.arange(n, dtype=np.int32)
+    same = np.zeros(n, np.int32)  # class of the bytes before, as far as they have been read
     owned = np.zeros((n, before + 1), bool)
     for a in range(before + 1):
         if a:
@@ -409,8 +411,8 @@ def merge_shards(rows, low, length: int):
             moved = np.argsort(byte[order], kind="stable")
             order = order[moved]
             b, c = byte[order], same[order]
-            same[order] = np.concatenate(([0], np.cumsum((b[1:] != b[:-1]) | (c[1:] != c[:-1]))))
-        reach = np.cumsum(prefix < length - a)[rank[order]]  # class of the length - a bytes from the anchor on
+            same[order] = np.concatenate(([0], np.cumsum((b[1:] != b[:-1]) | (c[1:] != c[:-1]), dtype=np.int32)))
+        reach = np.cumsum(prefix < length - a, dtype=np.int32)[rank[order]]  # class of the length - a bytes from the anchor on
         c = same[order]
         first = np.flatnonzero(np.concatenate(([True], (reach[1:] != reach[:-1]) | (c[1:] != c[:-1]))))
         d = np.where((left >= a) & (right >= length - a), low, NO_ID)[order]
@@ -464,13 +466,13 @@ def _marks(block: Block, says: dict, copies, owned: dict, length: int, buckets:
 
 
 def _finish(length: int, buckets: int, to: int, with_text: bool):
-    def run(key, rows):
+    def run(key, text, said):
         import hashlib
 
         import numpy as np
         import pyarrow as pa
 
-        block, copies, says, owned = _of_block(rows)
+        block, copies, says, owned = _of_block(text, said)
         gone = _marks(block, says, copies, owned, length, buckets, to)
         out = []
         for i, lo, n in zip(block.ids.tolist(), block.starts.tolist(), block.lengths.tolist(), strict=True):
@@ -495,9 +497,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     packed = common.cut(rows.mapInArrow(_pack(length, buckets), ROWS))
     texts = packed.filter("kind = 'text'")
     says = common.cut(packed.filter("kind = 'keys'").groupBy("bucket").applyInArrow(_share(hot), ROWS).unionByName(packed.filter("kind = 'docs'").groupBy("bucket").applyInArrow(_copies, ROWS)))
-    shards = texts.unionByName(says).groupBy("block").applyInArrow(_shard(length, buckets, to), ROWS)
-    owned = common.cut(shards.groupBy("bucket").applyInArrow(_merge(length), ROWS))
-    return texts.unionByName(says).unionByName(owned).groupBy("block").applyInArrow(_finish(length, buckets, to, with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    # one plan from here on, so that both groupings of the texts share one exchange
+    shards = texts.groupBy("block").cogroup(says.groupBy("block")).applyInArrow(_shard(length, buckets, to), ROWS)
+    owned = shards.groupBy("bucket").applyInArrow(_merge(length), ROWS)
+    return texts.groupBy("block").cogroup(says.unionByName(owned).groupBy("block")).applyInArrow(_finish(length, buckets, to, with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
