@@ -488,7 +488,7 @@ def _finish(length: int, buckets: int, to: int, with_text: bool):
     return run
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, hot: int = 48, with_text: bool = True) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, hot: int = 512, with_text: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes, with_text only; else null)."""
     common.shared_dir(docs.sparkSession)
     rows = common.pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
