@@ -87,7 +87,7 @@ def _fly(seed: str):
     return fly
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple = WEIGHTS, group: int = 20_000, seed: int = 7) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple = WEIGHTS, group: int = 2_000, seed: int = 7) -> DataFrame:
     """doc_id, source, size, source_size, target, taken."""
     rows = common.pick(docs, doc_id=id_col, source=source_col, text=text_col)
     sizes = common.cut(rows.select("doc_id", "source", F.size(common.words(F.col("text"))).cast("long").alias("size")))
