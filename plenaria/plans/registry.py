@@ -57,7 +57,11 @@ def first_mover(t):
     return t("conversations").groupBy("conv_id").agg(F.min_by("role", F.when(F.col("role") != "system", F.col("turn"))).alias("mover"))
 
 
-TITLES = F.concat(F.element_at(F.array(*[F.lit(x) for x in [*text.STAGE_PREFIXES, ""]]), (F.col("p_partkey") % 20 + 1).cast("int")), F.lit("THE "), F.upper("p_name"), F.lit(" (AMENDMENT) BILL"))
+def _titles():
+    """Bill titles made of part names; built when asked for, as columns need a session."""
+    return F.concat(F.element_at(F.array(*[F.lit(x) for x in [*text.STAGE_PREFIXES, ""]]), (F.col("p_partkey") % 20 + 1).cast("int")), F.lit("THE "), F.upper("p_name"), F.lit(" (AMENDMENT) BILL"))
+
+
 TITLES_SQL = "list_extract([" + ", ".join("'" + p.replace("'", "''") + "'" for p in [*text.STAGE_PREFIXES, ""]) + "], p_partkey % 20 + 1) || 'THE ' || upper(p_name) || ' (AMENDMENT) BILL'"
 TITLE_CASE_SQL = "array_to_string(list_transform(string_split({0}, ' '), lambda w: regexp_extract(w, '^[^A-Za-z]*') || upper(substr(w, length(regexp_extract(w, '^[^A-Za-z]*')) + 1, 1)) || lower(substr(w, length(regexp_extract(w, '^[^A-Za-z]*')) + 2))), ' ')"
 STAGES_SQL = "case " + " ".join("when " + " or ".join("contains(u, '" + p.replace("'", "''") + "')" for p in parts) + f" then '{s}'" for s, parts in text.TITLE_STAGES) + " end"
@@ -65,7 +69,7 @@ STAGES_SQL = "case " + " ".join("when " + " or ".join("contains(u, '" + p.replac
 
 @query(f"select p_partkey, {STAGES_SQL} as stage from (select p_partkey, {TITLES_SQL} as u from part)")
 def stage_cascade(t):
-    return t("part").select("p_partkey", text.stage_from_title(TITLES).alias("stage"))
+    return t("part").select("p_partkey", text.stage_from_title(_titles()).alias("stage"))
 
 
 @query("select conv_id, turn, case regexp_extract(x, '(?i)be read a (First|Second|Third) Time', 1) when '' then null else regexp_extract(x, '(?i)be read a (First|Second|Third) Time', 1) || ' Reading' end as stage from (select *, text || ' be read a ' || list_extract(['First', 'Second', 'Third', 'Next'], turn % 4 + 1) || ' Time' as x from conversations)")
@@ -84,7 +88,7 @@ PREFIX_SQL = "|".join(p.replace(".", r"\.").replace("'", "''") for p in text.STA
 
 @query(f"select p_partkey, case when not contains(u, 'ADJOURNMENT OF DEBATE') then {TITLE_CASE_SQL.format('n')} end as bill from (select p_partkey, u, regexp_replace(regexp_replace(u, '^({PREFIX_SQL})', ''), '^THE ', '') as n from (select p_partkey, {TITLES_SQL} as u from part))")
 def bill_name(t):
-    return t("part").select("p_partkey", text.bill_name(TITLES).alias("bill"))
+    return t("part").select("p_partkey", text.bill_name(_titles()).alias("bill"))
 
 
 @query("select c_custkey, 'Senate Bill No. ' || c_custkey || ' of ' || (1990 + c_custkey % 40) as number, cast(1990 + c_custkey % 40 as int) as year from customer")
@@ -93,13 +97,16 @@ def bill_number(t):
     return t("customer").select("c_custkey", text.bill_number(said).alias("number"), text.bill_year(said).alias("year"))
 
 
-ORDER_LISTING = [F.col("o_orderdate").cast("date").alias("date"), F.concat(F.lit("/o/"), F.col("o_orderkey").cast("string")).alias("url"), F.when(F.col("o_orderkey") % 2 == 0, "Senate").otherwise("National Assembly").alias("house")]
+def _listing_columns():
+    return [F.col("o_orderdate").cast("date").alias("date"), F.concat(F.lit("/o/"), F.col("o_orderkey").cast("string")).alias("url"), F.when(F.col("o_orderkey") % 2 == 0, "Senate").otherwise("National Assembly").alias("house")]
+
+
 CUT = dt.date(1998, 1, 1)
 LISTED_SQL = "(select cast(o_orderdate as date) as date, '/o/' || o_orderkey as url, case when o_orderkey % 2 = 0 then 'Senate' else 'National Assembly' end as house from orders)"
 
 
 def _listings(t):
-    rows = t("orders").select(*ORDER_LISTING)
+    rows = t("orders").select(*_listing_columns())
     return rows.filter(F.col("date") < F.lit(CUT)), rows.filter(F.col("date") >= F.lit(CUT))
 
 
