@@ -16,7 +16,7 @@ Work on a passage grows with its words and with what it retrieves.
 
 Words are runs of non-space characters, lower case, without ASCII punctuation; what is nothing else vanishes. Null and empty texts have no passage; items without a word are in no index. An item shorter than
 `min_words` words is matched like others. Repeated rows give repeated results; repeated items are one item if
-their ids are equal too. Empty tables give no rows. Only the named columns are read.
+their ids are equal too; an item with a null id is found under it. Empty tables give no rows. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -95,7 +95,7 @@ class Index:
         from collections import Counter
 
         self.ids, bags, self.sides = [], [], []
-        for i, text in sorted(set(items)):
+        for i, text in sorted(set(items), key=lambda x: (x[0] is None, x[0] or 0, x[1])):
             sides = parts(text)
             if sides:
                 self.ids.append(i)
