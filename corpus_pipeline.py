@@ -22,15 +22,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without their sources' boilerplate lines."""
-    out = line_dedup.drop_lines(docs).drop("_n_dropped")
+    out = line_dedup.drop_lines(docs)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class: the row with the smallest id (of repeated ids, the first text)."""
+    """One document of each class: the row with the smallest id (of repeated ids, the first text). Rows with a null
+    id cannot be told apart, so all of them stay."""
     lead = simhash.classes(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_lead")).distinct()
     out = docs.join(lead, docs.doc_id == lead["_lead"], "left_semi")
-    return out.withColumn("_n", F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).filter("_n = 1").drop("_n")
+    number = "_".join(["_row", *docs.columns])  # clashes with no column
+    out = out.withColumn(number, F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).filter(F.col(number) == 1)
+    return out.select(docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
