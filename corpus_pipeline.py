@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from plenaria.llm import common, decontamination, line_dedup, mixing, quality, simhash
+from plenaria.llm import common, decontamination, line_dedup, mixing, near, quality
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,9 +27,9 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class: the row with the smallest id (of repeated ids, the first text). Rows with a null
+    """One document of each class at similarity 0.8 or more of 5-word shingles: the row with the smallest id (of repeated ids, the first text). Rows with a null
     id cannot be told apart, so all of them stay."""
-    lead = simhash.classes(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_lead")).distinct()
+    lead = near.classes(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_lead")).distinct()
     out = docs.join(lead, docs.doc_id == lead["_lead"], "left_semi")
     number = "_".join(["_row", *docs.columns])  # clashes with no column
     out = out.withColumn(number, F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).filter(F.col(number) == 1)
@@ -54,7 +54,7 @@ STAGES = [
     ("mix", mix),
 ]
 
-#: Fingerprint classes and balanced sampling are iterative; tests hold the stages against brute force.
+#: Near-duplicate classes and balanced sampling are iterative; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
