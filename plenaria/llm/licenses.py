@@ -1,14 +1,15 @@
 """License scans by conditional compression.
 
-A block is a paragraph's line or lines around a cue word. Its size under zstandard, alone and with each template as
-raw dictionary, gives each template's relative reduction: what the block shares with the wording costs almost
-nothing. Templates are ranked by it, the best `top` with at least `gain` are confirmed by exact wording
-differences: the words of the block that align with the template (difflib) must cover at least `share` of the
-template's words; the first confirmed wins, with its number of differing words.
+A block is a line with a cue word and what follows it up to an empty line. Windows of a few templates' length are
+cut around the cue words, wherever lines and paragraphs break. The size of a window under zstandard, alone and with each template as raw
+dictionary, gives the bytes saved; a template of which at least `gain` of its own size is saved is confirmed by
+exact wording differences: the words missing, added and changed in the stretch of the window that fits it best may be
+at most 1 - `share` of the template's words, and none of them may be a number or a word that makes it another
+licence (`MARKS`). Of confirmed stretches that overlap the longest counts.
 
-Scale: one pass, no shuffle; only blocks with a cue are compressed, and templates are a constant.
+Scale: one pass, no shuffle; only windows with a cue are compressed, each cue is in a bounded number of windows, and templates are a constant.
 
-Null and empty texts have no blocks; every document gives a row. Ties in reduction go to the template first by
+Null and empty texts have no blocks; every document gives a row. Ties go to the template first by
 name. Repeated rows give repeated results; an empty table gives no rows. Only the named columns are read.
 """
 
@@ -34,7 +35,11 @@ TEMPLATES = {
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
 }
 CUES = (b"licen", b"permission", b"redistribution", b"copyright")
-GAIN, SHARE, TOP = 0.3, 0.9, 4
+GAIN, SHARE = 0.3, 0.9
+#: Words that make another licence of the same wording.
+MARKS = re.compile(r"[0-9]|lesser|library|affero|documentation|commercial|deriv|sharealike|(?:^|-)(?:nc|nd|sa)(?:-|$)|^not$")
+#: Numbers of a list's points; a version at the start of a line is none.
+POINT = re.compile(r"(?m)(?<!ersion\n)^[^\w\n]*[0-9][.)](?=\s)")
 TOKEN = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
 
 
@@ -49,45 +54,97 @@ def blocks(text: bytes) -> list[str]:
     for i, marked in enumerate(marks):
         if marked and i > taken:
             taken = i
-            while taken + 1 < len(lines) and marks[taken + 1] and lines[taken + 1].strip():
+            while taken + 1 < len(lines) and lines[taken + 1].strip():
                 taken += 1
             out.append(" ".join(lines[i : taken + 1]).strip())
     return out
 
 
+def fit(said: list[str], words: list[str]) -> tuple[int, int, int, list[str]]:
+    """(start, end, differences, differing words of both) of the stretch of said with the fewest differences from words."""
+    n = len(words)
+    for i in range(len(said) - n + 1):
+        if said[i] == words[0] and said[i : i + n] == words:
+            return i, i + n, 0, []
+    table = [list(range(n + 1))]
+    for w in said:
+        last, row = table[-1], [0]
+        for j in range(n):
+            row.append(min(last[j] + (w != words[j]), last[j + 1] + 1, row[j] + 1))
+        table.append(row)
+    end = min(range(len(table)), key=lambda i: (table[i][n], -i))
+    i, j, differ = end, n, []
+    while j:
+        here = table[i][j]
+        if i and here == table[i - 1][j - 1] + (said[i - 1] != words[j - 1]):
+            differ += [] if said[i - 1] == words[j - 1] else [said[i - 1], words[j - 1]]
+            i, j = i - 1, j - 1
+        elif i and here == table[i - 1][j] + 1:
+            differ.append(said[i - 1])
+            i -= 1
+        else:
+            differ.append(words[j - 1])
+            j -= 1
+    return i, end, table[end][n], differ
+
+
 class Scanner:
-    def __init__(self, templates: dict[str, list[str]], gain: float = GAIN, share: float = SHARE, top: int = TOP):
+    def __init__(self, templates: dict[str, list[str]], gain: float = GAIN, share: float = SHARE):
         import zstandard as z
 
-        self.gain, self.share, self.top = gain, share, top
+        self.gain, self.share = gain, share
         self.alone = z.ZstdCompressor(level=19)
-        self.given = [(name, TOKEN.findall(t.lower()), z.ZstdCompressor(level=19, dict_data=z.ZstdCompressionDict(t.encode(), dict_type=z.DICT_TYPE_RAWCONTENT))) for name, texts in sorted(templates.items()) for t in texts]
-        self.known: dict[str, tuple | None] = {}
-
-    def best(self, block: str) -> tuple[str, float, int] | None:
-        """(licence, reduction, differing words) of the confirmed winner."""
-        from difflib import SequenceMatcher
-
-        if block not in self.known:
-            if len(self.known) > 10_000:
-                self.known.clear()
-            raw, said = block.encode(), TOKEN.findall(block.lower())
-            size = len(self.alone.compress(raw))
-            ranked = sorted(((1 - len(c.compress(raw)) / size, name, words) for name, words, c in self.given), key=lambda x: (-x[0], x[1]))
-            self.known[block] = None
-            for gain, name, words in ranked[: self.top]:
-                if gain < self.gain:
-                    break
-                same = sum(m.size for m in SequenceMatcher(None, said, words, autojunk=False).get_matching_blocks())
-                lacking = [w for w in words if w not in said]
-                if same >= self.share * len(words) and not any(c.isdigit() for w in lacking for c in w):
-                    self.known[block] = (name, round(gain, 4), len(words) - same)
+        empty = len(self.alone.compress(b""))
+        self.given = [(name, TOKEN.findall(t.lower()), len(self.alone.compress(t.encode())) - empty, z.ZstdCompressor(level=19, dict_data=z.ZstdCompressionDict(t.encode(), dict_type=z.DICT_TYPE_RAWCONTENT))) for name, texts in sorted(templates.items()) for t in texts]
+        self.reach = max(len(words) for _, words, _, _ in self.given) * 5 // 4
+
+    def found(self, text: bytes) -> list[tuple[str, float, int]]:
+        """(licence, share of the template's size saved, differing words) of every confirmed notice, each once, in order."""
+        plain = POINT.sub(lambda m: " " * len(m[0]), text.decode("utf-8"))
+        at = [(m.start(), m.end()) for m in TOKEN.finditer(plain)]
+        said = [plain[a:b].lower() for a, b in at]
+        cues, out = [c.decode() for c in CUES], []
+        near = [i for i, w in enumerate(said) if any(c in w for c in cues)]
+        k = 0
+        while k < len(near):
+            last = near[k] + self.reach
+            lo, hi = max(0, near[k] - self.reach), min(len(said), last + self.reach + 1)
+            out += [(a + lo, b + lo, *x) for a, b, *x in self._window(plain[at[lo][0] : at[hi - 1][1]], said[lo:hi])]
+            while k < len(near) and near[k] <= last:
+                k += 1
+        return [x[2:] for x in _longest(out)]
+
+    def _window(self, window: str, said: list[str]) -> list[tuple]:
+        raw, held, out = window.encode(), set(said), []
+        size = len(self.alone.compress(raw))
+        for name, words, own, compressor in self.given:
+            if sum(w in held for w in words) < self.share * len(words):
+                continue
+            saved = (size - len(compressor.compress(raw))) / own
+            if saved < self.gain:
+                continue
+            left, shift = said, 0
+            while len(left) >= self.share * len(words):  # every place of the template in the window
+                a, b, n, differ = fit(left, words)
+                if n > (1 - self.share) * len(words) + 1e-9:
                     break
-        return self.known[block]
+                if not any(MARKS.search(w) for w in differ):
+                    out.append((a + shift, b + shift, name, round(min(1.0, saved), 4), n))
+                left, shift = left[b:], shift + b
+        return out
+
+
+def _longest(found: list[tuple]) -> list[tuple]:
+    """The longest of stretches (start, end, name, ...) that overlap, in order."""
+    out: list[tuple] = []
+    for x in sorted(set(found), key=lambda x: (x[0] - x[1], x[4], x[2], x[0], -x[3])):
+        if all(x[1] <= y[0] or y[1] <= x[0] for y in out):
+            out.append(x)
+    return sorted(out)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, list[str]] | None = None) -> DataFrame:
-    """doc_id, n_blocks, license (of the strongest block, null: none), licenses (all, sorted), reduction, n_diff."""
+    """doc_id, n_blocks, license (of the strongest notice, null: none), licenses (all, sorted), reduction (share of the template's size saved), n_diff."""
     common.shared_dir(docs.sparkSession)
     rows = common.pick(docs, id=id_col, text=text_col)
     templates = templates or TEMPLATES
@@ -100,7 +157,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
             out = []
             for text in common.encoded(piece.column("text")):
                 here = blocks(text)
-                found = sorted((-f[1], f[0], f[2]) for b in here if (f := scanner.best(b)))
+                found = sorted((-f[1], f[0], f[2]) for f in (scanner.found(text) if here else []))
                 top = found[0] if found else (None, None, None)
                 out.append((len(here), top[1], sorted({f[1] for f in found}), -top[0] if found else None, top[2]))
             cols = list(zip(*out, strict=True))
