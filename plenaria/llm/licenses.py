@@ -1,6 +1,6 @@
 """License scans by conditional compression.
 
-A block is a line with a cue word and what follows it up to an empty line. Windows of a few templates' length are
+A block is a line with a cue word and what follows it up to an empty line. Windows of about three times a template's length are
 cut around the cue words, wherever lines and paragraphs break. The size of a window under zstandard, alone and with each template as raw
 dictionary, gives the bytes saved; a template of which at least `gain` of its own size is saved is confirmed by
 exact wording differences: the words missing, added and changed in the stretch of the window that fits it best may be
@@ -96,41 +96,40 @@ class Scanner:
         self.alone = z.ZstdCompressor(level=19)
         empty = len(self.alone.compress(b""))
         self.given = [(name, TOKEN.findall(t.lower()), len(self.alone.compress(t.encode())) - empty, z.ZstdCompressor(level=19, dict_data=z.ZstdCompressionDict(t.encode(), dict_type=z.DICT_TYPE_RAWCONTENT))) for name, texts in sorted(templates.items()) for t in texts]
-        self.reach = max(len(words) for _, words, _, _ in self.given) * 5 // 4
 
     def found(self, text: bytes) -> list[tuple[str, float, int]]:
         """(licence, share of the template's size saved, differing words) of every confirmed notice, each once, in order."""
         plain = POINT.sub(lambda m: " " * len(m[0]), text.decode("utf-8"))
         at = [(m.start(), m.end()) for m in TOKEN.finditer(plain)]
         said = [plain[a:b].lower() for a, b in at]
-        cues, out = [c.decode() for c in CUES], []
+        cues, held, out = [c.decode() for c in CUES], set(said), []
         near = [i for i, w in enumerate(said) if any(c in w for c in cues)]
-        k = 0
-        while k < len(near):
-            last = near[k] + self.reach
-            lo, hi = max(0, near[k] - self.reach), min(len(said), last + self.reach + 1)
-            out += [(a + lo, b + lo, *x) for a, b, *x in self._window(plain[at[lo][0] : at[hi - 1][1]], said[lo:hi])]
-            while k < len(near) and near[k] <= last:
-                k += 1
-        return [x[2:] for x in _longest(out)]
-
-    def _window(self, window: str, said: list[str]) -> list[tuple]:
-        raw, held, out = window.encode(), set(said), []
-        size = len(self.alone.compress(raw))
-        for name, words, own, compressor in self.given:
+        for given in self.given:
+            words = given[1]
             if sum(w in held for w in words) < self.share * len(words):
                 continue
-            saved = (size - len(compressor.compress(raw))) / own
-            if saved < self.gain:
-                continue
-            left, shift = said, 0
-            while len(left) >= self.share * len(words):  # every place of the template in the window
-                a, b, n, differ = fit(left, words)
-                if n > (1 - self.share) * len(words) + 1e-9:
-                    break
-                if not any(MARKS.search(w) for w in differ):
-                    out.append((a + shift, b + shift, name, round(min(1.0, saved), 4), n))
-                left, shift = left[b:], shift + b
+            reach, k = len(words) * 5 // 4, 0
+            while k < len(near):
+                last = near[k] + reach
+                lo, hi = max(0, near[k] - reach), min(len(said), last + reach + 1)
+                out += [(a + lo, b + lo, *x) for a, b, *x in self._window(given, plain[at[lo][0] : at[hi - 1][1]], said[lo:hi])]
+                while k < len(near) and near[k] <= last:
+                    k += 1
+        return [x[2:] for x in _longest(out)]
+
+    def _window(self, given: tuple, window: str, said: list[str]) -> list[tuple]:
+        (name, words, own, compressor), raw, out = given, window.encode(), []
+        saved = (len(self.alone.compress(raw)) - len(compressor.compress(raw))) / own
+        if saved < self.gain:
+            return out
+        left, shift = said, 0
+        while len(left) >= self.share * len(words):  # every place of the template in the window
+            a, b, n, differ = fit(left, words)
+            if n > (1 - self.share) * len(words) + 1e-9:
+                break
+            if not any(MARKS.search(w) for w in differ):
+                out.append((a + shift, b + shift, name, round(min(1.0, saved), 4), n))
+            left, shift = left[b:], shift + b
         return out
 
 

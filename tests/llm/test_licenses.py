@@ -20,3 +20,13 @@ def test_wrapped_notices(spark):
     got = scan(spark, wrapped)
     assert [x for x, _ in got[:3]] == ["MIT", "ISC", "GPL-3.0"] and got[3][0].startswith("BSD")
     assert licenses.blocks(b"a licence\nof two lines\n\nnone here") == ["a licence of two lines"]
+
+
+def test_notices_inside_long_lines(spark):
+    prose = "the quiet harbour kept its boats through winter and nobody wrote down why it did so "
+    texts = [prose * n + t + " " + prose * n for n in (1, 3, 20, 200) for t in ("Released under the MIT License.", BSD)]
+    got = scan(spark, [*texts, prose * 9 + "a driving licence, with permission, is asked for"])
+    assert [x and x[:3] for x, _ in got] == ["MIT", "BSD"] * 4 + [None]
+    two = "Released under the MIT License. " + prose + "Licensed under the Apache License, Version 2.0."
+    docs = spark.createDataFrame([(0, two)], "doc_id long, text string")
+    assert licenses.scan(docs).first().licenses == ["Apache-2.0", "MIT"]
