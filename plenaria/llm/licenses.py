@@ -22,15 +22,39 @@ from pyspark.sql import DataFrame, SparkSession
 from . import common
 
 #: Notices by which texts name their licence.
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_BSD_2 = _BSD + " Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_3 = " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_END = " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES,"
+_FREE = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} General Public License as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version."
+
+
+def _gnu(kind: str, version: str) -> list[str]:
+    return [t.replace("GNU  ", "GNU ") for t in (f"This work is licensed under the GNU {kind} General Public License, version {version}.", _FREE.format(kind, version))]
+
+
+def _cc(short: str, long: str) -> list[str]:
+    return [f"Licensed under CC {short} 4.0.", f"This work is licensed under a Creative Commons {long} 4.0 International License."]
+
+
+#: BSD: the opening sentence without its conditions, which BSD-2-Clause and BSD-3-Clause share.
 TEMPLATES = {
+    "AGPL-3.0": _gnu("Affero", "3"),
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."],
-    "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "BSD": [_BSD],
+    "BSD-2-Clause": [_BSD_2 + _BSD_END],
+    "BSD-3-Clause": [_BSD_2 + _BSD_3, _BSD_3.strip()],
+    "CC-BY-4.0": _cc("BY", "Attribution"),
+    "CC-BY-NC-4.0": _cc("BY-NC", "Attribution-NonCommercial"),
+    "CC-BY-NC-ND-4.0": _cc("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+    "CC-BY-NC-SA-4.0": _cc("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    "CC-BY-ND-4.0": _cc("BY-ND", "Attribution-NoDerivatives"),
+    "CC-BY-SA-4.0": _cc("BY-SA", "Attribution-ShareAlike"),
+    "GPL-2.0": _gnu("", "2"),
+    "GPL-3.0": _gnu("", "3"),
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "LGPL-2.1": _gnu("Lesser", "2.1"),
+    "LGPL-3.0": _gnu("Lesser", "3"),
     "MIT": ["Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction."],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
 }

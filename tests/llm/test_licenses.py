@@ -30,3 +30,25 @@ def test_notices_inside_long_lines(spark):
     two = "Released under the MIT License. " + prose + "Licensed under the Apache License, Version 2.0."
     docs = spark.createDataFrame([(0, two)], "doc_id long, text string")
     assert licenses.scan(docs).first().licenses == ["Apache-2.0", "MIT"]
+
+
+def test_neighbouring_licences_are_told_apart(spark):
+    two = BSD + "\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n"
+    end = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING"
+    three = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n\n"
+    cc = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    texts = {
+        GPL: "GPL-3.0",
+        GPL.replace("GNU General", "GNU Lesser General"): "LGPL-3.0",
+        GPL.replace("GNU General", "GNU Affero General"): "AGPL-3.0",
+        GPL.replace("version 3", "version 2"): "GPL-2.0",
+        GPL.replace("version 3", "version 7"): None,
+        cc.format("-NonCommercial-NoDerivatives"): "CC-BY-NC-ND-4.0",
+        cc.format("-NonCommercial"): "CC-BY-NC-4.0",
+        "Licensed under CC BY-NC-ND 4.0.": "CC-BY-NC-ND-4.0",
+        two + end: "BSD-2-Clause",
+        two + three + end: "BSD-3-Clause",
+        BSD: "BSD",
+    }
+    assert scan(spark, list(texts)) == [(x, x and 0) for x in texts.values()]
+    assert scan(spark, [GPL.replace("redistribute it", "freely redistribute it")]) == [("GPL-3.0", 1)]
