@@ -1,15 +1,17 @@
 """PII: fixed patterns, and information-theoretic sanitisation of the terms that reveal what they found.
 
-Patterns find entities (e-mail, IP address, card, phone). A term near an entity (within `reach` words of it)
-discloses the entity if the corpus shows that the term alone almost names it: with n(t) texts that hold the term and
-n(t, e) texts that hold it near the entity, -log2(n(t, e) / n(t)) is the uncertainty left about the entity once
-the term is read. Terms that leave at most `bits` of it, and share at least `support` texts with the entity, are
-spans of kind term, beside the pattern spans, which all stay. `redact` generalises pattern spans to their kind and
+Patterns find entities (e-mail, IP address, card, phone). A term discloses an entity if the corpus shows that the
+term alone almost names it: with n(t) texts that hold the term and n(t, e) texts that hold both, anywhere,
+-log2(n(t, e) / n(t)) is the uncertainty left about the entity once the term is read. Terms that leave at most `bits`
+of it are telling if they share at least `support` texts with the entity; of an entity in fewer texts, those that
+share all of them and stand within `reach` words of it. Every occurrence of a telling term, in any text, is a
+span of kind term, beside the pattern spans, which all stay. `redact` generalises pattern spans to their kind and
 removes disclosing terms.
 
-Scale: texts are read once and never shuffled. The pass emits a narrow row a document, with its entities' neighbours,
-and the number of texts for every word, summed in the task (bounded tables) before the shuffle. The rest is joins
-of narrow rows; nothing is collected or broadcast by hint. All counts cover all texts.
+Scale: texts are read twice and never shuffled. The first pass emits a row a document, with its entities, their neighbours and
+(only if it has entities) its words, and the number of texts for every word, summed in the task (bounded tables) before the shuffle.
+Pairs of an entity and a word are made for entities of `support` texts or more only. The telling terms are sent to the
+executors in blocks of `block_terms`, each with one more step in the second pass. All counts cover all texts.
 
 Null and empty texts have no spans; the hash is that of the empty string. Repeated rows are texts of their own.
 Ties: spans are ordered by start, then kind. An empty table gives no rows. Only the named columns are read.
@@ -73,70 +75,109 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, str, int]]:
+    """Start, word (lower case, without edges) and length of all words outside the spans (sorted)."""
+    out, k, top = [], 0, 0
+    for m in WORDS.finditer(text):
+        w = m[0].strip(EDGE)
+        a = m.start() + len(m[0]) - len(m[0].lstrip(EDGE))
+        while k < len(spans) and spans[k][0] < a + len(w):
+            top, k = max(top, spans[k][2]), k + 1
+        if w and top <= a:
+            out.append((a, w.lower(), len(w)))
+    return out
+
+
 def _scan(reach: int):
     def run(batches):
-        import hashlib
         from bisect import bisect_left
         from collections import Counter
 
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        uid, corpus = TaskContext.get().partitionId() << 40, Counter()
-        kinds = {"uid": pa.int64(), "n_email": pa.int64(), "n_ip": pa.int64(), "n_card": pa.int64(), "n_phone": pa.int64(), "base_sha256": pa.string(), "base": pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32())])), "near": pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))}
+        corpus = Counter()
+        kinds = {"entities": pa.list_(pa.string()), "words": pa.list_(pa.string()), "near": pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())])), "word": pa.string(), "texts": pa.int64()}
 
         def told():
-            out = pa.RecordBatch.from_pydict({"id": pa.nulls(len(corpus), id_type), **{k: pa.nulls(len(corpus), t) for k, t in kinds.items()}, "word": pa.array(list(corpus), pa.string()), "texts": pa.array(list(corpus.values()), pa.int64())})
+            n = len(corpus)
+            out = pa.RecordBatch.from_pydict({k: pa.array(list(corpus) if k == "word" else list(corpus.values()), t) if k in ("word", "texts") else pa.nulls(n, t) for k, t in kinds.items()})
             corpus.clear()
             return out
 
-        id_type = None
         for piece in common.pieces(batches):
-            id_type = piece.schema.field("id").type
             rows = []
             for raw in common.encoded(piece.column("text")):
                 text = raw.decode("utf-8")
-                spans = base_spans(text)
-                n = [sum(k == i for _, k, _ in spans) for i in range(4)]
-                near = []
-                if spans:
-                    at = [(m.start() + len(w) - len(w.lstrip(EDGE)), w.strip(EDGE)) for m in WORDS.finditer(text) for w in [m[0]]]
-                    starts = [a for a, _ in at]
-                    inside = lambda a, b, spans=spans: any(a < e and s < b for s, _, e in spans)
+                corpus.update({x.lower() for w in set(WORDS.findall(text)) if (x := w.strip(EDGE))})
+                if spans := base_spans(text):
+                    at = _terms(text, spans)
+                    starts, near, entities = [a for a, _, _ in at], set(), set()
                     for s, k, e in spans:
+                        entity = f"{KINDS[k]}:{text[s:e]}"
                         lo, hi = bisect_left(starts, s), bisect_left(starts, e)
-                        for a, w in at[max(0, lo - reach) : lo] + at[hi : hi + reach]:
-                            if w and not inside(a, a + len(w)):
-                                near.append((f"{KINDS[k]}:{text[s:e]}", w.lower(), a, a + len(w)))
-                digest = hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans).encode()).hexdigest()
-                rows.append((uid, *n, digest, [{"start": s, "kind": k, "stop": e} for s, k, e in spans], [dict(zip(("entity", "term", "start", "stop"), x, strict=True)) for x in sorted(set(near))]))
-                uid += 1
-                corpus.update({x for w in set(text.lower().split()) if (x := w.strip(EDGE))})
+                        entities.add(entity)
+                        near.update((entity, w) for _, w, _ in at[max(0, lo - reach) : lo] + at[hi : hi + reach])
+                    rows.append((sorted(entities), sorted({w for _, w, _ in at}), [{"entity": e, "term": t} for e, t in sorted(near)], None, None))
                 if len(corpus) > 300_000:
                     yield told()
-            cols = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_pydict({"id": piece.column("id"), **{k: pa.array(c, t) for (k, t), c in zip(kinds.items(), cols, strict=True)}, "word": pa.nulls(len(rows), pa.string()), "texts": pa.nulls(len(rows), pa.int64())})
+            if rows:
+                yield pa.RecordBatch.from_pydict({k: pa.array(c, t) for (k, t), c in zip(kinds.items(), zip(*rows, strict=True), strict=True)})
         if corpus:
             yield told()
 
     return run
 
 
-def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH, support: int = SUPPORT, bits: float = BITS) -> DataFrame:
+def _mark(telling: frozenset[str], first: bool):
+    """Adds the occurrences of the telling terms to found (first: and the patterns' spans)."""
+
+    def run(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32())]))
+        for piece in common.pieces(batches):
+            rows = []
+            for raw in common.encoded(piece.column("text")):
+                text = raw.decode("utf-8")
+                base = base_spans(text)
+                digest = hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in base).encode()).hexdigest()
+                more = [(a, 4, a + n) for a, w, n in _terms(text, base) if w in telling] if telling else []
+                rows.append(([sum(k == i for _, k, _ in base) for i in range(4)], digest, [{"start": s, "kind": k, "stop": e} for s, k, e in (base if first else []) + more]))
+            found = [x[2] for x in rows]
+            if not first:
+                found = [a + b for a, b in zip(piece.column("found").to_pylist(), found, strict=True)]
+            found = [sorted(x, key=lambda s: (s["start"], s["kind"], s["stop"])) for x in found]
+            cols = {"id": piece.column("id"), "text": piece.column("text")} | {f"n_{KINDS[i]}": pa.array([x[0][i] for x in rows], pa.int64()) for i in range(4)}
+            yield pa.RecordBatch.from_pydict(cols | {"base_sha256": pa.array([x[1] for x in rows], pa.string()), "found": pa.array(found, span)})
+
+    return run
+
+
+def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH, support: int = SUPPORT, bits: float = BITS, block_terms: int = 200_000) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (text), found (array of start, kind, stop: all spans)."""
     common.shared_dir(docs.sparkSession)
     rows = common.pick(docs, id=id_col, text=text_col)
+    scanned = common.cut(rows.select("text").mapInArrow(_scan(reach), "entities array<string>, words array<string>, near array<struct<entity:string,term:string>>, word string, texts long"))
+    texts = scanned.filter("word is null")
+    held = texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("held"))
+    often = held.filter(F.col("held") >= support)
+    shared = texts.select(F.explode("entities").alias("entity"), "words").join(often.select("entity"), "entity", "left_semi").select("entity", F.explode("words").alias("term"))
+    shared = shared.groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= support)
+    near = texts.select(F.explode("near").alias("x")).select("x.*").groupBy("entity", "term").agg(F.count("*").alias("by"))
+    rare = near.join(held.filter(F.col("held") < support), "entity").filter("by = held").select("entity", "term", F.col("held").alias("both"))
+    pairs = shared.unionByName(rare).groupBy("term").agg(F.max("both").alias("both"))
+    words = scanned.filter("word is not null").join(pairs.select(F.col("term").alias("word")), "word", "left_semi").groupBy(F.col("word").alias("term")).agg(F.sum("texts").alias("n"))
+    telling = common.cut(pairs.join(words, "term").filter(-F.log2(F.col("both") / F.col("n")) <= bits).select("term"))
+    n = max(1, -(-telling.count() // block_terms))
     span = "array<struct<start:int,kind:int,stop:int>>"
-    scanned = common.cut(rows.mapInArrow(_scan(reach), f"id {rows.schema['id'].dataType.simpleString()}, uid long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base {span}, near array<struct<entity:string,term:string,start:int,stop:int>>, word string, texts long"))
-    texts = scanned.filter("uid is not null")
-    near = texts.select("uid", F.explode("near").alias("x")).select("uid", "x.*")
-    pairs = near.select("uid", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= support)
-    words = scanned.filter("word is not null").join(pairs.select(F.col("term").alias("word")).distinct(), "word", "left_semi").groupBy(F.col("word").alias("term")).agg(F.sum("texts").alias("n"))
-    telling = pairs.join(words, "term").filter(-F.log2(F.col("both") / F.col("n")) <= bits).select("entity", "term")
-    extra = near.join(telling, ["entity", "term"]).groupBy(F.col("uid").alias("_uid")).agg(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "stop")).alias("more"))
-    out = texts.join(extra, texts.uid == extra["_uid"], "left").withColumn("found", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast(span)))))
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, text string, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, found {span}"
+    for k in range(n):
+        block = telling.filter(F.pmod(F.xxhash64("term"), F.lit(n)) == k).collect()
+        rows = rows.mapInArrow(_mark(frozenset(r.term for r in block), k == 0), schema)
     text = F.array_join(F.transform("found", lambda s: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), s["start"].cast("string"), s["stop"].cast("string"))), ",")
-    return out.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", "base_sha256", text.alias("spans"), "found")
+    return rows.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", "base_sha256", text.alias("spans"), "found")
 
 
 def redact(rows: DataFrame, text_col: str = "text", found_col: str = "found") -> DataFrame:
