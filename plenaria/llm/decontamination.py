@@ -2,13 +2,15 @@
 
 A document is read in passages of 2 L words, L words apart, where L is the number of words of the longest item of
 the index, so every run of L words lies whole in one passage. A passage's query is its set of distinct terms. An
-item's impacts are its BM25 weights divided by its own total, so a passage that holds all of an item scores 1 on
+item's impacts are its question's BM25 weights divided by their total, so a passage that holds all of the question scores 1 on
 it, and one threshold serves items of any length. Retrieval is complete: block-max WAND skips only documents of
 the index whose upper bound stays below the threshold. Before that a bound settles most passages, for a slice of
 texts at once: frequent terms (together at most `COMMON` of any item) are granted to every item, the postings of
 the others are added up; only passages where some item still reaches the threshold are searched. A retrieved
-item is confirmed on the passage's words: of its question (all sentences but the last) and of its answer (the last sentence), each, at
-least `overlap` of the 5-word shingles must be in the passage (a shorter part: its whole sequence).
+item is confirmed on the passage's words, in order: at least `overlap` of the words of its question (all sentences but
+the last) must align with a stretch of the passage (words missing, added and changed count against it). The answer's (the last
+sentence) share is reported, not asked for: a leaked question leaks the item, also where the answer is short or missing.
+Only a question under `TELLING` words is retrieved and confirmed together with its answer, as one sequence.
 
 Scale: one pass over the documents and no shuffle. The index is sent to the executors in blocks of at most
 `block_items` items, each with one more pass, so what is broadcast is bounded whatever the size of the benchmark.
@@ -31,7 +33,9 @@ from pyspark.sql import functions as F
 from . import common
 
 K1, B = 1.2, 0.75
-THRESHOLD, OVERLAP, SHINGLE = 0.7, 0.8, 5
+THRESHOLD, OVERLAP = 0.7, 0.8
+#: Words of a question that tells its item by itself; with a shorter one the answer is asked for too.
+TELLING = 8
 POSTINGS = 32
 COMMON = 0.5
 JUNK = bytes(c for c in range(128) if not (chr(c).isalnum() or chr(c) in "_ \t\n\v\f\r"))
@@ -83,8 +87,18 @@ def parts(text: str) -> list[list[bytes]]:
     return [[w for s in spoken[:-1] for w in s], spoken[-1]]
 
 
-def shingles(words: list[bytes]) -> set[tuple]:
-    return {tuple(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))}
+def coverage(words: list[bytes], spoken: list[bytes]) -> float:
+    """1 - the fewest words to add, drop or change to make words of a stretch of spoken, as a share of words."""
+    last = list(range(len(words) + 1))
+    best = last[-1]
+    if not set(words) & set(spoken):
+        return 0.0
+    for w in spoken:
+        row = [0]
+        for j, x in enumerate(words):
+            row.append(min(last[j] + (w != x), last[j + 1] + 1, row[j] + 1))
+        last, best = row, min(best, row[-1])
+    return 1 - best / len(words)
 
 
 class Index:
@@ -94,14 +108,17 @@ class Index:
         import math
         from collections import Counter
 
-        self.ids, bags, self.sides = [], [], []
+        self.ids, bags, self.sides, self.keys, longest = [], [], [], [], []
         for i, text in sorted(set(items), key=lambda x: (x[0] is None, x[0] or 0, x[1])):
             sides = parts(text)
             if sides:
                 self.ids.append(i)
-                self.sides.append([shingles(s) for s in sides])
-                bags.append(Counter(plain(text.encode()).split()))
-        self.longest = max((sum(b.values()) for b in bags), default=1)
+                self.sides.append(sides)
+                whole = plain(text.encode()).split()
+                self.keys.append(sides[0] if len(sides[0]) >= TELLING else whole)
+                longest.append(len(whole))
+                bags.append(Counter(self.keys[-1]))
+        self.longest = max(longest, default=1)
         mean = sum(sum(b.values()) for b in bags) / max(1, len(bags))
         n = Counter(t for b in bags for t in b)
         idf = {t: math.log(1 + (len(bags) - k + 0.5) / (k + 0.5)) for t, k in n.items()}
@@ -192,10 +209,12 @@ class Index:
             if score >= low:
                 found.append((d, score))
 
-    def confirm(self, place: int, spoken: list[bytes]) -> tuple[float, float]:
-        """Shares of the question's and the answer's shingles in a passage."""
-        held = {n: {tuple(spoken[i : i + n]) for i in range(len(spoken) - n + 1)} for n in {len(s) for side in self.sides[place] for s in side}}
-        return tuple(sum(s in held[len(s)] for s in side) / len(side) for side in self.sides[place])
+    def confirm(self, place: int, spoken: list[bytes], overlap: float) -> tuple[float, float]:
+        """Shares of the question's and the answer's words that align with a passage (both 0 if the key's is below overlap)."""
+        (question, answer), key, held = self.sides[place], self.keys[place], set(spoken)
+        if sum(w in held for w in key) < overlap * len(key) or coverage(key, spoken) < overlap:
+            return 0.0, 0.0
+        return coverage(question, spoken), coverage(answer, spoken)
 
 
 def _scan(index: Index, threshold: float, overlap: float):
@@ -228,8 +247,8 @@ def _scan(index: Index, threshold: float, overlap: float):
                 d = bisect_right(firsts, p) - 1
                 passage = texts[d].split()[(p - firsts[d]) * step : (p - firsts[d] + 2) * step]
                 for place, score in index.search(set(passage), threshold):
-                    q, a = index.confirm(place, passage)
-                    if q >= overlap and a >= overlap:
+                    q, a = index.confirm(place, passage, overlap)
+                    if q or a:
                         had = best.setdefault((d, place), [0.0, 0.0, 0.0, 0])
                         had[:] = *max(tuple(had[:3]), (min(1.0, score), q, a)), had[3] + 1
             rows = [(ids[d], index.ids[p], round(v[0], 6), round(v[1], 6), round(v[2], 6), v[3]) for (d, p), v in sorted(best.items())]
