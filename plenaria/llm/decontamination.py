@@ -104,7 +104,8 @@ def coverage(words: list[bytes], spoken: list[bytes]) -> float:
 class Index:
     """Inverted index of items with the largest impact of each block of postings."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], totals: tuple | None = None):
+        """totals: of all items, where these are a block of them (`own` of every block, added up)."""
         import math
         from collections import Counter
 
@@ -118,10 +119,10 @@ class Index:
                 self.keys.append(sides[0] if len(sides[0]) >= TELLING else whole)
                 longest.append(len(whole))
                 bags.append(Counter(self.keys[-1]))
-        self.longest = max(longest, default=1)
-        mean = sum(sum(b.values()) for b in bags) / max(1, len(bags))
-        n = Counter(t for b in bags for t in b)
-        idf = {t: math.log(1 + (len(bags) - k + 0.5) / (k + 0.5)) for t, k in n.items()}
+        self.own = (len(bags), sum(sum(b.values()) for b in bags), Counter(t for b in bags for t in b), max(longest, default=1))
+        count, words, n, self.longest = totals or self.own
+        mean = words / max(1, count)
+        idf = {t: math.log(1 + (count - n[t] + 0.5) / (n[t] + 0.5)) for b in bags for t in b}
         self.postings: dict[bytes, tuple[list[int], list[float]]] = {}
         for d, bag in enumerate(bags):
             size = sum(bag.values())
@@ -267,10 +268,12 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     asked = common.pick(items, id=item_col, text=item_text_col).filter("text is not null")
     n = -(-asked.count() // block_items)
     schema = f"doc_id {rows.schema['id'].dataType.simpleString()}, item_id long, score double, question_overlap double, answer_overlap double, n_passages long"
-    out = []
-    for k in range(n):
-        block = asked.filter(F.pmod(F.xxhash64("id"), F.lit(n)) == k).collect() if n > 1 else asked.collect()
-        out.append(rows.mapInArrow(_scan(Index([tuple(r) for r in block]), threshold, overlap), schema))
+    block = lambda k: [tuple(r) for r in (asked.filter(F.pmod(F.xxhash64("id"), F.lit(n)) == k) if n > 1 else asked).collect()]
+    totals = None
+    for k in range(n if n > 1 else 0):
+        own = Index(block(k)).own
+        totals = own if totals is None else (totals[0] + own[0], totals[1] + own[1], totals[2] + own[2], max(totals[3], own[3]))
+    out = [rows.mapInArrow(_scan(Index(block(k), totals), threshold, overlap), schema) for k in range(n)]
     return reduce(DataFrame.unionByName, out) if out else docs.sparkSession.createDataFrame([], schema)
 
 

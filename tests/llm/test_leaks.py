@@ -14,3 +14,11 @@ def test_edited_and_cut_items_leak(spark):
     items = spark.createDataFrame([(1, ITEM), (2, FILL.replace("boats", "cows") * 2 + "Why so? Nobody knows the reason of it at all.")], "item_id long, text string")
     got = {r.doc_id for r in decontamination.leaks(docs, items).filter("item_id = 1").collect()}
     assert got == set(range(len(words) + 1))
+
+
+def test_blocks_score_as_one_index(spark):
+    items = spark.createDataFrame([(i, f"Which {w} runs through the old town of {w} by the {w} hills? It is known.") for i, w in enumerate(("river", "road", "boats", "rail"))], "item_id long, text string")
+    texts = [FILL + r.text.replace("old", "new").replace("hills", "hill") + FILL for r in items.collect()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = [sorted(map(tuple, decontamination.leaks(docs, items, **x).collect())) for x in ({}, {"block_items": 1})]
+    assert len(rows[0]) >= 4 and rows[0] == rows[1]
