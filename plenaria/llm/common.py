@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,10 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: spark.checkpoint.dir, or a local one of our own where none is set (tests)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    """The folder all executors see: spark.checkpoint.dir. Where it is unset a local master gets a folder of its own
+    (tests); a cluster gets an error. Sessions that keep Spark's Arrow batch size get a smaller one."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="plenaria-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext
@@ -38,6 +43,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: like cut, for rows with texts (compressed, read by column)."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/stored-{spark.sparkContext.applicationId}-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """name, with underscores before it until it clashes with none of columns (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+#: Rows of two 64-bit numbers that may be broadcast: 32 MB.
+BROADCAST_ROWS = 2_000_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df (materialised, narrow) marked for broadcast if it has at most `rows` rows; else left to a shuffle join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def words(text: Column) -> Column:
     """All words of a text (null: none), in order."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), rf"[{SPACE}]+"), lambda w: w != "")

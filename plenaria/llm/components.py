@@ -1,4 +1,8 @@
-"""Connected components by alternating large-star and small-star steps (Kiveris et al. 2014)."""
+"""Connected components by alternating large-star and small-star steps (Kiveris et al. 2014).
+
+Scale: edges are two longs. A hub's edges are one join key; the other side of that join has one row a key, so
+adaptive execution's skew join splits a hub over tasks, and the minimum of a key is combined before its shuffle.
+"""
 
 from __future__ import annotations
 

@@ -12,7 +12,7 @@ L / ratio such lines: the list a host needs is bounded whatever its number of pa
 are broadcast while there are at most `broadcast_lines` in all; beyond that pages meet their list in a
 join on (host, salt).
 
-Null texts stay null; a null host is a host of its own; blank lines always stay; repeated rows count
+Null texts stay null (0 lines dropped, 0 kept); a null host is a host of its own; blank lines always stay; repeated rows count
 as pages of their own; an empty table gives an empty result; all other columns pass through.
 """
 
@@ -45,28 +45,29 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
 
 
 def drop_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, broadcast_lines: int = 100_000) -> DataFrame:
-    """docs with each host's boilerplate lines removed from text_col, and _n_dropped (long)."""
+    """docs with each host's boilerplate lines removed from text_col, and _n_dropped (long), which takes the place of a
+    column of that name."""
     found = common.cut(boilerplate(docs, host_col, text_col, ratio, min_pages))
-    lists = found.groupBy(F.col("host").alias("_host")).agg(F.collect_list("key").alias("_lines"))
+    h, keys, salt, mine = (common.fresh(docs.columns, x) for x in ("host", "keys", "salt", "mine"))
+    lists = found.groupBy(F.col("host").alias(h)).agg(F.collect_list("key").alias(keys))
     host, text = docs[f"`{host_col}`"], docs[f"`{text_col}`"]
-    if found.count() <= broadcast_lines:
-        joined = docs.join(F.broadcast(lists), host.eqNullSafe(lists["_host"]), "left")
+    if found.limit(broadcast_lines + 1).count() <= broadcast_lines:
+        joined = docs.join(F.broadcast(lists), host.eqNullSafe(lists[h]), "left")
     else:
-        salted = lists.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        left = docs.withColumn("_salt_of", F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int"))
-        joined = left.join(salted, left[f"`{host_col}`"].eqNullSafe(salted["_host"]) & (left["_salt_of"] == salted["_salt"]), "left").drop("_salt", "_salt_of")
-    none = F.size("_lines") > 0  # null without a list
-    kept = common.let(F.col("_lines"), lambda lines: F.filter(F.split(text, "\n"), lambda x: ~x.rlike(rf"[^{common.SPACE}]") | ~F.array_contains(lines, _key(_clean(x)))))
-    new = F.when(none & text.isNotNull(), F.array_join(kept, "\n")).otherwise(text)
-    n = lambda t: F.size(F.split(t, "\n"))
-    dropped = F.when(none & text.isNotNull(), n(text) - F.size(kept)).otherwise(0).cast("long")
-    return joined.select(*[(new.alias(c) if c == text_col else docs[f"`{c}`"]) for c in docs.columns], dropped.alias("_n_dropped"))
+        salted = lists.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        left = docs.withColumn(mine, F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int"))
+        joined = left.join(salted, host.eqNullSafe(salted[h]) & (left[mine] == salted[salt]), "left")
+    some = F.size(keys) > 0  # null without a list
+    kept = common.let(F.col(keys), lambda lines: F.filter(F.split(text, "\n"), lambda x: ~x.rlike(rf"[^{common.SPACE}]") | ~F.array_contains(lines, _key(_clean(x)))))
+    new = F.when(some & text.isNotNull(), F.array_join(kept, "\n")).otherwise(text)
+    dropped = F.when(some & text.isNotNull(), F.size(F.split(text, "\n")) - F.size(kept)).otherwise(0).cast("long")
+    return joined.select(*[(new.alias(c) if c == text_col else docs[f"`{c}`"]) for c in docs.columns if c != "_n_dropped"], dropped.alias("_n_dropped"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op4: doc_id, n_dropped, n_kept (lines) and the sha256 of what is left, for every document; its source is the site."""
     out = drop_lines(common.table(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.col("_n_dropped").alias("n_dropped"), F.size(F.split("text", "\n")).cast("long").alias("n_kept"), F.sha2("text", 256).alias("kept_sha256"))
+    return out.select("doc_id", F.col("_n_dropped").alias("n_dropped"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_kept"), F.sha2("text", 256).alias("kept_sha256"))
 
 
 CLEAN_SQL = r"regexp_replace(regexp_replace(l, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '')"
@@ -89,5 +90,5 @@ def texts_sql(docs: str) -> str:
 
 
 SQL = rf"""
-    select doc_id, len(lines) - len(kept) as n_dropped, cast(greatest(len(kept), 1) as bigint) as n_kept, sha256(array_to_string(kept, chr(10))) as kept_sha256
+    select doc_id, coalesce(len(lines) - len(kept), 0) as n_dropped, cast(case when lines is null then 0 else greatest(len(kept), 1) end as bigint) as n_kept, sha256(array_to_string(kept, chr(10))) as kept_sha256
     from ({texts_sql('documents')})"""
