@@ -17,4 +17,4 @@ QUERIES = {
     "op10_toxicity": toxicity.query,
 }
 
-ORACLES = {"op4_line_dedup": line_dedup.SQL}
+ORACLES = {"op4_line_dedup": line_dedup.SQL, "op5_quality_rules": quality.SQL}
