@@ -1,12 +1,13 @@
 """PII: fixed patterns, and information-theoretic sanitisation of the terms that reveal what they found.
 
-Patterns find entities (e-mail, IP address, card, phone). A term discloses an entity if the corpus shows that the
+Patterns find entities (e-mail, IP address, card, phone; and secrets: what is given as a key, token or password, and keys
+that show by their form). A term discloses an entity if the corpus shows that the
 term alone almost names it: with n(t) texts that hold the term and n(t, e) texts that hold both, anywhere,
 -log2(n(t, e) / n(t)) is the uncertainty left about the entity once the term is read. Terms that leave at most `bits`
 of it are telling if they share at least `support` texts with the entity; of an entity in fewer texts, those that
 share all of them and stand within `reach` words of it. Every occurrence of a telling term, in any text, is a
 span of kind term, beside the pattern spans, which all stay. `redact` generalises pattern spans to their kind and
-removes disclosing terms.
+removes disclosing terms; of spans that overlap the first, then the longest, decides how, and all their characters go.
 
 Scale: texts are read twice and never shuffled. The first pass emits a row a document, with its entities, their neighbours and
 (only if it has entities) its words, and the number of texts for every word, summed in the task (bounded tables) before the shuffle.
@@ -20,18 +21,23 @@ Ties: spans are ordered by start, then kind. An empty table gives no rows. Only
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 
-KINDS = ("email", "ip", "card", "phone", "term")
+#: The first four are the base patterns.
+KINDS = ("email", "ip", "card", "phone", "secret", "term")
+BASE, SECRET_KIND, TERM = 4, 4, 5
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+SECRET = re.compile(r"(?i:key|token|secret|passw(?:or)?d|pwd)[\"']?[\x20\t]{0,8}[=:][\x20\t]{0,8}[\"']?([A-Za-z0-9+/_.~-]{12,}=*)|\b((?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9_-]{20,})")
 WORDS = re.compile(common.WORD)
 EDGE = ".,;:!?\"'()[]{}<>"
 REACH, SUPPORT, BITS = 5, 3, 1.0
@@ -75,6 +81,31 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def secrets(text: str) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of given keys, tokens and passwords of 12 characters or more, one of them a digit."""
+    out = []
+    for m in SECRET.finditer(text):
+        k = 1 if m[1] else 2
+        if any(c.isdigit() for c in m[k]):
+            out.append((m.start(k), SECRET_KIND, m.end(k)))
+    return out
+
+
+def protected(text: str) -> list[tuple[int, int, int]]:
+    """All pattern spans, sorted."""
+    return sorted(base_spans(text) + secrets(text))
+
+
+def hide(text: str, spans: Iterable[tuple[int, int, int]]) -> str:
+    """text with pattern spans as [KIND] and terms gone; spans: (start, kind, stop)."""
+    parts, at = [], 0
+    for s, k, e in sorted(spans, key=lambda x: (x[0], -x[2], x[1])):
+        if s >= at:
+            parts += [text[at:s], "" if k == TERM else f"[{KINDS[k].upper()}]"]
+        at = max(at, e)
+    return "".join([*parts, text[at:]])
+
+
 def _terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, str, int]]:
     """Start, word (lower case, without edges) and length of all words outside the spans (sorted)."""
     out, k, top = [], 0, 0
@@ -109,7 +140,7 @@ def _scan(reach: int):
             for raw in common.encoded(piece.column("text")):
                 text = raw.decode("utf-8")
                 corpus.update({x.lower() for w in set(WORDS.findall(text)) if (x := w.strip(EDGE))})
-                if spans := base_spans(text):
+                if spans := protected(text):
                     at = _terms(text, spans)
                     starts, near, entities = [a for a, _, _ in at], set(), set()
                     for s, k, e in spans:
@@ -128,8 +159,8 @@ def _scan(reach: int):
     return run
 
 
-def _mark(telling: frozenset[str], first: bool):
-    """Adds the occurrences of the telling terms to found (first: and the patterns' spans)."""
+def _mark(telling: frozenset[str], first: bool, last: bool):
+    """Adds the occurrences of the telling terms to found (first: and the patterns' spans); last: the clean text's digest too."""
 
     def run(batches):
         import hashlib
@@ -138,25 +169,25 @@ def _mark(telling: frozenset[str], first: bool):
 
         span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32())]))
         for piece in common.pieces(batches):
-            rows = []
-            for raw in common.encoded(piece.column("text")):
+            rows, had = [], piece.column("found").to_pylist() if not first else None
+            for i, raw in enumerate(common.encoded(piece.column("text"))):
                 text = raw.decode("utf-8")
-                base = base_spans(text)
+                every = protected(text)
+                base = [x for x in every if x[1] < BASE]
                 digest = hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in base).encode()).hexdigest()
-                more = [(a, 4, a + n) for a, w, n in _terms(text, base) if w in telling] if telling else []
-                rows.append(([sum(k == i for _, k, _ in base) for i in range(4)], digest, [{"start": s, "kind": k, "stop": e} for s, k, e in (base if first else []) + more]))
-            found = [x[2] for x in rows]
-            if not first:
-                found = [a + b for a, b in zip(piece.column("found").to_pylist(), found, strict=True)]
-            found = [sorted(x, key=lambda s: (s["start"], s["kind"], s["stop"])) for x in found]
-            cols = {"id": piece.column("id"), "text": piece.column("text")} | {f"n_{KINDS[i]}": pa.array([x[0][i] for x in rows], pa.int64()) for i in range(4)}
-            yield pa.RecordBatch.from_pydict(cols | {"base_sha256": pa.array([x[1] for x in rows], pa.string()), "found": pa.array(found, span)})
+                more = [(a, TERM, a + n) for a, w, n in _terms(text, every) if w in telling] if telling else []
+                found = sorted((every if first else [(x["start"], x["kind"], x["stop"]) for x in had[i]]) + more)
+                clean = hashlib.sha256(hide(text, found).encode()).hexdigest() if last else None
+                rows.append(([sum(k == i for _, k, _ in every) for i in range(TERM)], digest, clean, [{"start": s, "kind": k, "stop": e} for s, k, e in found]))
+            cols = {"id": piece.column("id"), "text": piece.column("text")} | {f"n_{KINDS[i]}": pa.array([x[0][i] for x in rows], pa.int64()) for i in range(TERM)}
+            yield pa.RecordBatch.from_pydict(cols | {"base_sha256": pa.array([x[1] for x in rows], pa.string()), "clean_sha256": pa.array([x[2] for x in rows], pa.string()), "found": pa.array([x[3] for x in rows], span)})
 
     return run
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH, support: int = SUPPORT, bits: float = BITS, block_terms: int = 200_000) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (text), found (array of start, kind, stop: all spans)."""
+    """doc_id, n_email, n_ip, n_card, n_phone, n_secret, n_protected (all pattern spans), base_sha256, clean_sha256 (of the
+    text that `redact` leaves), spans (text), found (array of start, kind, stop: all spans)."""
     common.shared_dir(docs.sparkSession)
     rows = common.pick(docs, id=id_col, text=text_col)
     scanned = common.cut(rows.select("text").mapInArrow(_scan(reach), "entities array<string>, words array<string>, near array<struct<entity:string,term:string>>, word string, texts long"))
@@ -172,34 +203,23 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach
     telling = common.cut(pairs.join(words, "term").filter(-F.log2(F.col("both") / F.col("n")) <= bits).select("term"))
     n = max(1, -(-telling.count() // block_terms))
     span = "array<struct<start:int,kind:int,stop:int>>"
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, text string, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, found {span}"
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, text string, n_email long, n_ip long, n_card long, n_phone long, n_secret long, base_sha256 string, clean_sha256 string, found {span}"
     for k in range(n):
         block = telling.filter(F.pmod(F.xxhash64("term"), F.lit(n)) == k).collect()
-        rows = rows.mapInArrow(_mark(frozenset(r.term for r in block), k == 0), schema)
+        rows = rows.mapInArrow(_mark(frozenset(r.term for r in block), k == 0, k == n - 1), schema)
     text = F.array_join(F.transform("found", lambda s: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), s["start"].cast("string"), s["stop"].cast("string"))), ",")
-    return rows.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", "base_sha256", text.alias("spans"), "found")
+    counts = [f"n_{k}" for k in KINDS[:TERM]]
+    return rows.select(F.col("id").alias("doc_id"), *counts, F.expr(" + ".join(counts)).alias("n_protected"), "base_sha256", "clean_sha256", text.alias("spans"), "found")
+
+
+def _redacted(texts: pd.Series, found: pd.Series) -> pd.Series:
+    return pd.Series([t if t is None else hide(t, [(x["start"], x["kind"], x["stop"]) for x in (f if f is not None else [])]) for t, f in zip(texts, found, strict=True)], dtype=object)
 
 
 def redact(rows: DataFrame, text_col: str = "text", found_col: str = "found") -> DataFrame:
-    """rows (a text and its spans) with the text sanitised: pattern spans become [KIND], disclosing terms go."""
-    import pandas as pd
-
-    @F.pandas_udf("string")
-    def hide(texts: pd.Series, found: pd.Series) -> pd.Series:
-        out = []
-        for text, spans in zip(texts, found, strict=True):
-            if text is None:
-                out.append(None)
-                continue
-            parts, at = [], 0
-            for s in spans if spans is not None else []:
-                if s["start"] >= at:
-                    parts += [text[at : s["start"]], "" if s["kind"] == 4 else f"[{KINDS[s['kind']].upper()}]"]
-                at = max(at, s["stop"])
-            out.append("".join([*parts, text[at:]]))
-        return pd.Series(out)
-
-    return rows.withColumn(text_col, hide(F.col(text_col), F.col(found_col)))
+    """rows (a text and its spans) with the text sanitised. Null texts stay null; null spans are none; other columns stay."""
+    common.shared_dir(rows.sparkSession)
+    return rows.withColumn(text_col, F.pandas_udf(_redacted, "string")(rows[f"`{text_col}`"], rows[f"`{found_col}`"]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
