@@ -1,20 +1,22 @@
 """Benchmark decontamination: a BM25 index of the test items, queried with every training passage by block-max WAND.
 
-A document is read in passages of 2 L words, L words apart, where L is the number of words of the longest item of
-the index, so every run of L words lies whole in one passage. A passage's query is its set of distinct terms. An
+A document is read in passages of 2 L words, L words apart, where L is the number of words of the longest item, `PART`
+at most, so every run of L words lies whole in one passage. A question of more than `PART` words is retrieved by its
+parts of about equal length, any of which brings it up, and confirmed whole, on as many words more around the passage. A passage's query is its set of distinct terms. An
 item's impacts are its question's BM25 weights divided by their total, so a passage that holds all of the question scores 1 on
 it, and one threshold serves items of any length. Retrieval is complete: block-max WAND skips only documents of
 the index whose upper bound stays below the threshold. Before that a bound settles most passages, for a slice of
-texts at once: frequent terms (together at most `COMMON` of any item) are granted to every item, the postings of
-the others are added up; only passages where some item still reaches the threshold are searched. A retrieved
+texts at once: frequent terms (together at most `COMMON` of the threshold, of any item) are granted to every item, so
+an item that reaches the threshold has other terms there too, whose postings are added up; only passages where some item still reaches the threshold are searched. A retrieved
 item is confirmed on the passage's words, in order: at least `overlap` of the words of its question (all sentences but
 the last) must align with a stretch of the passage (words missing, added and changed count against it). The answer's (the last
 sentence) share is reported, not asked for: a leaked question leaks the item, also where the answer is short or missing.
 Only a question under `TELLING` words is retrieved and confirmed together with its answer, as one sequence.
 
 Scale: one pass over the documents and no shuffle. The index is sent to the executors in blocks of at most
-`block_items` items, each with one more pass, so what is broadcast is bounded whatever the size of the benchmark.
-Work on a passage grows with its words and with what it retrieves.
+`block_items` items, each with one more pass whose result is materialised before the next block is read, so what the
+driver holds and sends is one block's index, whatever the size of the benchmark (and the document frequencies of all
+items' words). Work on a passage grows with its words and with what it retrieves.
 
 Words are runs of non-space characters, lower case, without ASCII punctuation; what is nothing else vanishes. Null and empty texts have no passage; items without a word are in no index. An item shorter than
 `min_words` words is matched like others. Repeated rows give repeated results; repeated items are one item if
@@ -37,7 +39,8 @@ THRESHOLD, OVERLAP = 0.7, 0.8
 #: Words of a question that tells its item by itself; with a shorter one the answer is asked for too.
 TELLING = 8
 POSTINGS = 32
-COMMON = 0.5
+COMMON = 0.7
+PART = 256
 JUNK = bytes(c for c in range(128) if not (chr(c).isalnum() or chr(c) in "_ \t\n\v\f\r"))
 
 
@@ -104,23 +107,28 @@ def coverage(words: list[bytes], spoken: list[bytes]) -> float:
 class Index:
     """Inverted index of items with the largest impact of each block of postings."""
 
-    def __init__(self, items: list[tuple[int, str]], totals: tuple | None = None):
-        """totals: of all items, where these are a block of them (`own` of every block, added up)."""
+    def __init__(self, items: list[tuple[int, str]], totals: tuple | None = None, threshold: float = THRESHOLD):
+        """totals: of all items, where these are a block of them (`own` of every block, added up). threshold: the
+        least that will be asked for. Each item has an entry for each part of its question; a place is an entry's."""
         import math
         from collections import Counter
 
-        self.ids, bags, self.sides, self.keys, longest = [], [], [], [], []
+        self.least, self.ids, bags, self.sides, self.keys, sizes = threshold, [], [], [], [], []
         for i, text in sorted(set(items), key=lambda x: (x[0] is None, x[0] or 0, x[1])):
             sides = parts(text)
             if sides:
-                self.ids.append(i)
-                self.sides.append(sides)
                 whole = plain(text.encode()).split()
-                self.keys.append(sides[0] if len(sides[0]) >= TELLING else whole)
-                longest.append(len(whole))
-                bags.append(Counter(self.keys[-1]))
-        self.own = (len(bags), sum(sum(b.values()) for b in bags), Counter(t for b in bags for t in b), max(longest, default=1))
+                key = sides[0] if len(sides[0]) >= TELLING else whole
+                n = -(-len(key) // PART)
+                for k in range(n):
+                    self.ids.append(i)
+                    self.sides.append(sides)
+                    self.keys.append(key)
+                    sizes.append(len(whole))
+                    bags.append(Counter(key[len(key) * k // n : len(key) * (k + 1) // n]))
+        self.own = (len(bags), sum(sum(b.values()) for b in bags), Counter(t for b in bags for t in b), min(PART, max(sizes, default=1)))
         count, words, n, self.longest = totals or self.own
+        self.around = [max(0, size - self.longest) for size in sizes]
         mean = words / max(1, count)
         idf = {t: math.log(1 + (count - n[t] + 0.5) / (n[t] + 0.5)) for b in bags for t in b}
         self.postings: dict[bytes, tuple[list[int], list[float]]] = {}
@@ -142,7 +150,7 @@ class Index:
 
         self.granted, self.number, rare = np.zeros(len(self.ids)), {}, []
         for t, (at, impact) in sorted(self.postings.items(), key=lambda x: (-len(x[1][0]), x[0])):
-            if len(at) > 3 and (self.granted[at] + impact).max() <= COMMON:
+            if len(at) > 3 and (self.granted[at] + impact).max() <= COMMON * self.least:
                 self.granted[at] += impact
             else:
                 self.number[t] = len(rare)
@@ -243,15 +251,20 @@ def _scan(index: Index, threshold: float, overlap: float):
                 where.append((firsts[doc] + here - k)[ok])
                 numbers.append(found[ok])
             firsts = firsts.tolist()
-            best: dict[tuple[int, int], list] = {}
+            best: dict[tuple[int, int], list] = {}  # by document and item (the first place of equal sides)
             for p in index.hopeful(np.concatenate(where), np.concatenate(numbers), threshold).tolist():
                 d = bisect_right(firsts, p) - 1
-                passage = texts[d].split()[(p - firsts[d]) * step : (p - firsts[d] + 2) * step]
-                for place, score in index.search(set(passage), threshold):
-                    q, a = index.confirm(place, passage, overlap)
+                spoken, at, here = texts[d].split(), (p - firsts[d]) * step, {}
+                for place, score in index.search(set(spoken[at : at + 2 * step]), threshold):
+                    wide = index.around[place]
+                    q, a = index.confirm(place, spoken[max(0, at - wide) : at + 2 * step + wide], overlap)
                     if q or a:
-                        had = best.setdefault((d, place), [0.0, 0.0, 0.0, 0])
-                        had[:] = *max(tuple(had[:3]), (min(1.0, score), q, a)), had[3] + 1
+                        while place and index.sides[place - 1] is index.sides[place]:
+                            place -= 1
+                        here[place] = max(here.get(place, (0.0,)), (min(1.0, score), q, a))
+                for place, x in here.items():
+                    had = best.setdefault((d, place), [0.0, 0.0, 0.0, 0])
+                    had[:] = *max(tuple(had[:3]), x), had[3] + 1
             rows = [(ids[d], index.ids[p], round(v[0], 6), round(v[1], 6), round(v[2], 6), v[3]) for (d, p), v in sorted(best.items())]
             if rows:
                 cols = list(zip(*rows, strict=True))
@@ -271,16 +284,19 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     block = lambda k: [tuple(r) for r in (asked.filter(F.pmod(F.xxhash64("id"), F.lit(n)) == k) if n > 1 else asked).collect()]
     totals = None
     for k in range(n if n > 1 else 0):
-        own = Index(block(k)).own
+        own = Index(block(k), None, threshold).own
         totals = own if totals is None else (totals[0] + own[0], totals[1] + own[1], totals[2] + own[2], max(totals[3], own[3]))
-    out = [rows.mapInArrow(_scan(Index(block(k), totals), threshold, overlap), schema) for k in range(n)]
+    found = lambda k: rows.mapInArrow(_scan(Index(block(k), totals, threshold), threshold, overlap), schema)
+    out = [common.cut(found(k)) if n > 1 else found(k) for k in range(n)]
     return reduce(DataFrame.unionByName, out) if out else docs.sparkSession.createDataFrame([], schema)
 
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **more) -> DataFrame:
-    """docs without the documents that leak an item; rows with a null id stay."""
-    found = leaks(docs, items, id_col, **more).select(F.col("doc_id").alias("_leaks")).distinct()
-    return docs.join(found, docs[f"`{id_col}`"] == found["_leaks"], "left_anti")
+    """docs without the documents that leak an item (all rows of their ids); rows with a null id stay. The ids go to
+    the texts while there are at most `common.BROADCAST_ROWS` of them; beyond, both are joined by a shuffle."""
+    gone = common.fresh(docs.columns, "gone")
+    found = common.cut(leaks(docs, items, id_col, **more).select(F.col("doc_id").alias(gone)).distinct())
+    return docs.join(common.small(found), docs[f"`{id_col}`"] == found[gone], "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
