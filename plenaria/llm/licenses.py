@@ -37,28 +37,43 @@ def _cc(short: str, long: str) -> list[str]:
     return [f"Licensed under CC {short} 4.0.", f"This work is licensed under a Creative Commons {long} 4.0 International License."]
 
 
+def _spdx(*names: str) -> list[str]:
+    return [f"SPDX-License-Identifier: {n}" for n in names]
+
+
+_MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"
+_MIT_END = ", including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+_APACHE = "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."
+_APACHE_END = " You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."
+_ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+
 #: BSD: the opening sentence without its conditions, which BSD-2-Clause and BSD-3-Clause share.
 TEMPLATES = {
-    "AGPL-3.0": _gnu("Affero", "3"),
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."],
+    "AGPL-3.0": [*_gnu("Affero", "3"), *_spdx("AGPL-3.0-only", "AGPL-3.0-or-later")],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", _APACHE, _APACHE + _APACHE_END, *_spdx("Apache-2.0")],
     "BSD": [_BSD],
-    "BSD-2-Clause": [_BSD_2 + _BSD_END],
-    "BSD-3-Clause": [_BSD_2 + _BSD_3, _BSD_3.strip()],
+    "BSD-2-Clause": [_BSD_2 + _BSD_END, *_spdx("BSD-2-Clause")],
+    "BSD-3-Clause": [_BSD_2 + _BSD_3, _BSD_3.strip(), *_spdx("BSD-3-Clause")],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0.", *_spdx("BSL-1.0")],
     "CC-BY-4.0": _cc("BY", "Attribution"),
     "CC-BY-NC-4.0": _cc("BY-NC", "Attribution-NonCommercial"),
     "CC-BY-NC-ND-4.0": _cc("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
     "CC-BY-NC-SA-4.0": _cc("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
     "CC-BY-ND-4.0": _cc("BY-ND", "Attribution-NoDerivatives"),
     "CC-BY-SA-4.0": _cc("BY-SA", "Attribution-ShareAlike"),
-    "GPL-2.0": _gnu("", "2"),
-    "GPL-3.0": _gnu("", "3"),
-    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
-    "LGPL-2.1": _gnu("Lesser", "2.1"),
-    "LGPL-3.0": _gnu("Lesser", "3"),
-    "MIT": ["Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction."],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "CC0-1.0": ["To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide.", *_spdx("CC0-1.0")],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", *_spdx("EPL-2.0")],
+    "GPL-2.0": [*_gnu("", "2"), *_spdx("GPL-2.0-only", "GPL-2.0-or-later")],
+    "GPL-3.0": [*_gnu("", "3"), *_spdx("GPL-3.0-only", "GPL-3.0-or-later")],
+    "ISC": [_ISC, *_spdx("ISC")],
+    "LGPL-2.1": [*_gnu("Lesser", "2.1"), *_spdx("LGPL-2.1-only", "LGPL-2.1-or-later")],
+    "LGPL-3.0": [*_gnu("Lesser", "3"), *_spdx("LGPL-3.0-only", "LGPL-3.0-or-later")],
+    "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", _MIT + ".", _MIT + _MIT_END, *_spdx("MIT")],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", *_spdx("MPL-2.0")],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.", *_spdx("Unlicense")],
+    "Zlib": ["Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:", *_spdx("Zlib")],
 }
-CUES = (b"licen", b"permission", b"redistribution", b"copyright")
+CUES = (b"licen", b"permission", b"redistribution", b"copyright", b"unencumbered")
 GAIN, SHARE = 0.3, 0.9
 #: Words that make another licence of the same wording.
 MARKS = re.compile(r"[0-9]|lesser|library|affero|documentation|commercial|deriv|sharealike|(?:^|-)(?:nc|nd|sa)(?:-|$)|^not$")

@@ -52,3 +52,50 @@ def test_neighbouring_licences_are_told_apart(spark):
     }
     assert scan(spark, list(texts)) == [(x, x and 0) for x in texts.values()]
     assert scan(spark, [GPL.replace("redistribute it", "freely redistribute it")]) == [("GPL-3.0", 1)]
+
+
+def edits(words, spoken):
+    """The fewest edits from words to a stretch of spoken, and the changed words of one such alignment."""
+    import re
+
+    cost = [[(j * 0, []) for j in range(len(spoken) + 1)]]
+    for i, w in enumerate(words, 1):
+        row = [(i, [*cost[-1][0][1], w])]
+        for j, x in enumerate(spoken, 1):
+            kept = cost[-1][j - 1] if w == x else (cost[-1][j - 1][0] + 1, [*cost[-1][j - 1][1], w, x])
+            row.append(min(kept, (cost[-1][j][0] + 1, [*cost[-1][j][1], w]), (row[-1][0] + 1, [*row[-1][1], x]), key=lambda c: c[0]))
+        cost.append(row)
+    n, changed = min(cost[-1], key=lambda c: c[0])
+    return n, any(re.search(licenses.MARKS, w) for w in changed)
+
+
+def test_compression_loses_no_notice_that_wording_confirms(spark):
+    """Against every template aligned with every whole text."""
+    import random
+
+    r = random.Random(3)
+    prose = "the quiet harbour kept its boats through winter and nobody wrote down why it did so".split()
+    names = {t: n for n, texts in licenses.TEMPLATES.items() for t in texts}
+    planted, texts = [], []
+    for t, n in names.items():
+        words = t.split()
+        for k in range(len(words) // 14):  # within a tenth of the words, and no word that tells licences apart
+            at = r.randrange(1, len(words))
+            if not licenses.MARKS.search(words[at].lower()) and licenses.TOKEN.fullmatch(words[at]):
+                words[at] = "changed" + "abcdefghij"[k] if r.random() < 0.6 else words[at] + " added"
+        planted.append(n)
+        texts.append(" ".join(r.choices(prose, k=r.randrange(60))) + ". " + " ".join(words) + " " + " ".join(r.choices(prose, k=r.randrange(60))))
+    texts += [" ".join(r.choices(prose, k=200)), "a licence to keep boats, by permission of the harbour, and its copyright", "You may not use this file", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: set(x.licenses) for x in licenses.scan(docs).collect()}
+    for i, text in enumerate(texts):
+        said = [m.group().lower() for m in licenses.TOKEN.finditer(text)]
+        fits = set()
+        for t, n in names.items():
+            words = licenses.TOKEN.findall(t.lower())
+            if len(set(words) & set(said)) >= 0.6 * len(set(words)):
+                off, marked = edits(words, said)
+                if off <= 0.1 * len(words) + 1e-9 and not marked:
+                    fits.add(n)
+        assert got[i] <= fits and bool(got[i]) == bool(fits), (text, got[i], fits)
+        assert i >= len(planted) or planted[i] in got[i], (text, got[i])
