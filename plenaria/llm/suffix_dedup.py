@@ -18,13 +18,16 @@ windows hold the same one at the same place. So all windows can be compared anch
    length - a form a repeated interval, whose least document is the window's first owner.
 4. A block gets, for each suffix and each a, whether a smaller document owns the window, and marks its texts.
 
-Scale: texts travel as compressed blocks, twice; anchors as 5 bytes each. Work in a bucket is linear in its
-windows, and the number of buckets grows with the bytes of the table. An anchor in more than `hot` blocks (a
+Scale: texts travel as compressed blocks, twice; anchors as 5 bytes each; a text that a block has many times is one
+entry. Work in a bucket is linear in its windows, and the number of buckets grows with the bytes of the table, so a
+block has a row for each bucket it has an anchor for: at most as many rows as anchors. Tasks are as many as blocks or
+buckets, up to `TASKS`; beyond, a task takes them one after the other. An anchor in more than `hot` blocks (a
 line in a third of all documents) is not sent whole: its windows are dealt singly, by their own hash, after
 equal ones are merged in the block, so inner windows are one row a block and outer ones spread evenly.
-Hashes decide only where windows meet; windows are compared byte by byte.
+Hashes decide only where windows meet; windows are compared byte by byte. Copies of whole texts alone are told by a
+128-bit digest.
 
-Null text: empty, nothing removed. Texts under 50 bytes: nothing removed. Repeated rows with one id never
+Ids are whole numbers (text ids raise). Null text: empty, nothing removed. Texts under 50 bytes: nothing removed. Repeated rows with one id never
 remove each other (no smaller id). A null id counts as larger than all others. Empty table: no rows.
 Only the named columns are read.
 """
@@ -43,6 +46,7 @@ ANCHOR = 16
 BLOCK = 8 << 20
 #: Bytes of the input to each bucket of anchors (8 bytes an anchor, one in 18 bytes), and of suffixes.
 ANCHOR_BYTES, SUFFIX_BYTES = 64 << 20, 16 << 20
+TASKS = 50_000
 PAD = 255  # never a byte of UTF-8
 NO_ID = (1 << 63) - 1
 
@@ -134,6 +138,23 @@ class Block:
 
         return np.searchsorted(self.starts, self.at, "right") - 1
 
+    def digests(self, length: int, buckets: int):
+        """The distinct texts of length bytes or more: digests and their buckets, in order of these, and their least ids; the documents that are long enough, and which digest each has."""
+        import hashlib
+
+        import numpy as np
+
+        long = np.flatnonzero(self.lengths >= length)
+        said = b"".join(hashlib.blake2b(self.data[s : s + n], digest_size=16).digest() for s, n in zip(self.starts[long].tolist(), self.lengths[long].tolist(), strict=True))
+        u, which = np.unique(np.frombuffer(said, "V16"), return_inverse=True)
+        bucket = (u.view("<u8").reshape(-1, 2)[:, 0] % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(u), np.int64)
+        place[order] = np.arange(len(u))
+        least = np.full(len(u), NO_ID)
+        np.minimum.at(least, place[which], self.ids[long])
+        return u[order], bucket[order], least, long, place[which]
+
     def keys(self, buckets: int):
         """For each anchor its bucket and its key of 40 bits in the bucket; the distinct pairs, sorted; which of these each anchor has."""
         import numpy as np
@@ -191,8 +212,6 @@ def _pack(length: int, buckets: int):
     """Texts -> blocks (kind text), and for each bucket the block's distinct anchor keys and which of them two of its documents share (kind keys)."""
 
     def run(batches):
-        import hashlib
-
         import numpy as np
         from pyspark import TaskContext
 
@@ -210,11 +229,9 @@ def _pack(length: int, buckets: int):
                 steps = np.diff(distinct[lo:hi] & np.uint64((1 << 40) - 1), prepend=np.uint64(0))
                 planes = np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].T)
                 out.append((number, b, "keys", _join([_zip(planes), np.packbits(low[lo:hi] < high[lo:hi]).tobytes()])))
-            long = np.flatnonzero(block.lengths >= length)
-            into = np.array([int.from_bytes(hashlib.blake2b(texts[i], digest_size=2).digest()) % buckets for i in long], np.int64)
-            for b in np.unique(into).tolist():
-                which = long[into == b]
-                out.append((number, b, "docs", _join([which.tobytes(), block.ids[which].tobytes(), b"".join(hashlib.blake2b(texts[i], digest_size=16).digest() for i in which)])))
+            u, bucket, least, _, _ = block.digests(length, buckets)
+            for b, lo, hi in _runs(bucket):
+                out.append((number, b, "docs", _join([u[lo:hi].tobytes(), least[lo:hi].tobytes()])))
             return _batch(out)
 
         for batch in batches:
@@ -264,24 +281,24 @@ def _share(hot: int):
 
 
 def _copies(key, rows):
-    """Documents of one bucket from all blocks -> for each block those whose whole text a smaller document has."""
+    """Distinct texts of one bucket from all blocks -> for each block those that have a smaller id elsewhere, and that id."""
     import numpy as np
     import pyarrow as pa
 
-    which, ids, digests, blocks = [], [], [], []
-    for block, body in zip(rows["block"].to_pylist(), rows["body"].to_pylist(), strict=True):
-        w, i, d = _part(body, 3)
-        which.append(np.frombuffer(w, np.int64))
-        ids.append(np.frombuffer(i, np.int64))
+    blocks, ids, digests = rows["block"].to_pylist(), [], []
+    for body in rows["body"].to_pylist():
+        d, i = _part(body, 2)
         digests.append(np.frombuffer(d, "V16"))
-        blocks.append(np.full(len(which[-1]), block, np.int64))
-    which, ids, blocks = map(np.concatenate, (which, ids, blocks))
+        ids.append(np.frombuffer(i, np.int64))
     u, inverse = np.unique(np.concatenate(digests), return_inverse=True)
     least = np.full(len(u), NO_ID)
-    np.minimum.at(least, inverse, ids)
-    later = np.flatnonzero(ids > least[inverse])
-    later = later[np.argsort(blocks[later], kind="stable")]
-    return pa.Table.from_batches([_batch([(b, key[0].as_py(), "copy", which[later[lo:hi]].tobytes()) for b, lo, hi in _runs(blocks[later])])])
+    np.minimum.at(least, inverse, np.concatenate(ids))
+    least, cuts, out = least[inverse], np.concatenate(([0], np.cumsum([len(i) for i in ids]))), []
+    for b, i, lo, hi in zip(blocks, ids, cuts, cuts[1:], strict=False):
+        at = np.flatnonzero(least[lo:hi] < i)
+        if len(at):
+            out.append((b, key[0].as_py(), "copy", _join([at.tobytes(), least[lo:hi][at].tobytes()])))
+    return pa.Table.from_batches([_batch(out)])
 
 
 def _suffixes(block: Block, says: dict[int, bytes], copies, length: int, buckets: int, to: int):
@@ -346,20 +363,20 @@ def _suffixes(block: Block, says: dict[int, bytes], copies, length: int, buckets
     return u[order], low[order], where[order], at, doc, place[out], left, right
 
 
-def _of_block(text, said) -> tuple[Block, object, dict, dict]:
+def _of_block(text, said, length: int, buckets: int) -> tuple[Block, object, dict, dict]:
     """The block, which of its documents are copies, what is said of its anchors, and who owns its suffixes."""
     import numpy as np
 
-    copies, says, owned = [], {}, {}
-    text = Block.unpack(text["body"][0].as_py())
+    text, says, owned = Block.unpack(text["body"][0].as_py()), {}, {}
+    _, of, least, long, which = text.digests(length, buckets)
     for bucket, kind, body in zip(said["bucket"].to_pylist(), said["kind"].to_pylist(), said["body"].to_pylist(), strict=True):
         if kind == "copy":
-            copies.append(np.frombuffer(body, np.int64))
+            at, ids = (np.frombuffer(x, np.int64) for x in _part(body, 2))
+            least[np.searchsorted(of, bucket) + at] = ids
         else:
             (says if kind == "says" else owned)[bucket] = body
     flags = np.zeros(len(text.ids), bool)
-    for c in copies:
-        flags[c] = True
+    flags[long] = text.ids[long] > least[which]
     return text, flags, says, owned
 
 
@@ -367,7 +384,7 @@ def _shard(length: int, buckets: int, to: int):
     def run(key, text, said):
         import pyarrow as pa
 
-        block, copies, says, _ = _of_block(text, said)
+        block, copies, says, _ = _of_block(text, said, length, buckets)
         out, made = [], _suffixes(block, says, copies, length, buckets, to) if says else None
         if made:
             u, low, where = made[:3]
@@ -472,7 +489,7 @@ def _finish(length: int, buckets: int, to: int, with_text: bool):
         import numpy as np
         import pyarrow as pa
 
-        block, copies, says, owned = _of_block(text, said)
+        block, copies, says, owned = _of_block(text, said, length, buckets)
         gone = _marks(block, says, copies, owned, length, buckets, to)
         out = []
         for i, lo, n in zip(block.ids.tolist(), block.starts.tolist(), block.lengths.tolist(), strict=True):
@@ -495,12 +512,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets, to = total // ANCHOR_BYTES + 1, total // SUFFIX_BYTES + 1
     packed = common.cut(rows.mapInArrow(_pack(length, buckets), ROWS))
-    texts = packed.filter("kind = 'text'")
+    n, m = min(TASKS, total // BLOCK + 1), min(TASKS, to)
+    texts = packed.filter("kind = 'text'").repartition(n, "block")
     says = common.cut(packed.filter("kind = 'keys'").groupBy("bucket").applyInArrow(_share(hot), ROWS).unionByName(packed.filter("kind = 'docs'").groupBy("bucket").applyInArrow(_copies, ROWS)))
     # one plan from here on, so that both groupings of the texts share one exchange
-    shards = texts.groupBy("block").cogroup(says.groupBy("block")).applyInArrow(_shard(length, buckets, to), ROWS)
-    owned = shards.groupBy("bucket").applyInArrow(_merge(length), ROWS)
-    return texts.groupBy("block").cogroup(says.unionByName(owned).groupBy("block")).applyInArrow(_finish(length, buckets, to, with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    shards = texts.groupBy("block").cogroup(says.repartition(n, "block").groupBy("block")).applyInArrow(_shard(length, buckets, to), ROWS)
+    owned = shards.repartition(m, "bucket").groupBy("bucket").applyInArrow(_merge(length), ROWS)
+    return texts.groupBy("block").cogroup(says.unionByName(owned).repartition(n, "block").groupBy("block")).applyInArrow(_finish(length, buckets, to, with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

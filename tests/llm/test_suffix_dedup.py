@@ -51,6 +51,16 @@ def test_hot_anchors_and_small_blocks(spark, monkeypatch):
     assert run(spark, rows, hot=1) == brute(rows)
 
 
+def test_copies_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 700)
+    monkeypatch.setattr(suffix_dedup, "ANCHOR_BYTES", 4000)
+    r = random.Random(6)
+    copies = [corpus(30, 3)[k][1] for k in (3, 4, 5)]
+    rows = corpus(30, 3) + [(100 + k, r.choice(copies)) for k in range(60)]
+    r.shuffle(rows)
+    assert run(spark, rows) == brute(rows)
+
+
 def test_empty(spark):
     assert run(spark, []) == []
 
