@@ -73,6 +73,24 @@ def test_mixing(spark):
     assert sorted(map(str, rows)) == sorted(map(str, mixing.mix(df, group=50).collect()))
 
 
+def test_mixing_of_rows_without_id(spark):
+    """Null ids and repeated rows are dealt over groups like others, and layouts of the table do not matter."""
+    rows = [(None, "w " * (1 + k % 7), "a") for k in range(900)] + [(1, "q " * 9, "b")] * 400 + [(k, "z", "c") for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    layouts = [sorted(map(str, mixing.mix(df.repartition(n), group=40).collect())) for n in (1, 5)]
+    assert layouts[0] == layouts[1] and len(layouts[0]) == len(rows)
+
+
+def test_many_sources(spark):
+    sources = spark.range(3000).selectExpr("concat('host', id) as source", "id % 90 as size", "1L as m").repartition(7)
+    got = {r.source: (r.source_size, r.target) for r in mixing.targets(sources).collect()}
+    order = sorted(got)
+    weight = {s: (1, 2, 3)[k % 3] for k, s in enumerate(order)}
+    level = max(t / weight[s] for s, (_, t) in got.items())
+    assert abs(sum(t for _, t in got.values()) - sum(s for s, _ in got.values())) < 1e-6
+    assert all(abs(t - min(3 * size, level * weight[s])) < 1e-9 for s, (size, t) in got.items())
+
+
 def test_pii(spark):
     t = "mail a.b@c.org or x@y, call +1 (555) 123-4567, 4111 1111 1111 1111 at 10.0.0.255 not 10.0.0.256"
     r = pii.spans(docs(spark, [t, None])).orderBy("doc_id").collect()

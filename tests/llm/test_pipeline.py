@@ -132,7 +132,8 @@ def test_divergence_rejects_another_alphabet(spark):
 
 def test_targets(spark):
     sizes = [("b", 100), ("a", 10), (None, 1000), ("c", 50), ("d", 0)]
-    got = {r.source: r.target for r in mixing.targets(spark.createDataFrame(sizes, "source string, size long")).collect()}
+    rows = spark.createDataFrame([(s, n, 1) for s, n in sizes], "source string, size long, m long")
+    got = {r.source: r.target for r in mixing.targets(rows.repartition(3)).collect()}
     order = sorted((s for s, _ in sizes if s is not None)) + [None]
     size, weight, fixed = dict(sizes), {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)}, {}
     while True:  # cap, and share out what is left, until none is above
