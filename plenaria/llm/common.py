@@ -51,6 +51,12 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that we wrote."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def fresh(columns: list[str], name: str) -> str:
     """name, with underscores before it until it clashes with none of columns (in any case)."""
     taken = {c.lower() for c in columns}

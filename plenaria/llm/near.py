@@ -1,32 +1,39 @@
-"""Near-duplicate classes at a Jaccard similarity of 0.8 or more of 5-word shingles, exact.
+"""SimHash near-dedup of whole texts at a Jaccard similarity of 0.8 or more of 5-word shingles, exact.
 
-Two sets at that similarity share a shingle among the first n - ceil(0.8 n) + 1 of each, in any order that holds for
-all sets (prefix filtering), so documents that share none are never compared and no pair is lost. The order is that
-of the shingles' hashes, with those frequent in a sample last; the sample decides the cost only. Every candidate that
-the lengths allow is verified on its whole sets, and classes are the components of what is linked.
+First SimHash fingerprints of the shingles are linked by pigeonring filtering (`simhash.links`); what it links is
+verified on the whole sets of shingles. At 0.8 about ten of 64 bits differ, far beyond what segments of a
+fingerprint can find, so fingerprints alone lose links. A prefix filter finds the rest: two sets at that similarity
+share a shingle among the first n - ceil(0.8 n) + 1 of each, in any order that holds for all sets, so documents that share
+none are never compared and no pair is lost. The order is that of the shingles' hashes, with those frequent in
+a sample last; the sample decides the cost only. Every candidate that the lengths allow is verified on its whole
+sets, and classes are the components of what is linked.
 
 Scale: equal sets are one node, so copies never make pairs. Each document gives a row for a fifth of its shingles. Of
-all nodes under one shingle, first each is compared with the least, then each with the greatest of the other
-components, and then only those with each other whose components still differ, so a large group of near copies
-makes few pairs. A shingle that many unlike documents keep among their first ones still makes pairs of all of them
+all nodes under one shingle each is compared with one of the least component, then with one of the greatest, and then
+only those with each other whose components still differ, so a large group of near copies makes few pairs. A
+shingle that many unlike documents keep among their first ones still makes pairs of all of them
 whose lengths are alike: what is compared there is not cut. Whole sets are built for candidates only.
 
 Words are as in op3. Null and empty texts are one class. Fewer words than a shingle: the whole sequence is the
-shingle. Repeated rows and ids: one row each. An empty table gives no rows. Only the named columns are read.
+shingle. Repeated rows and ids: one row each; a null id counts as larger than all others. An empty table gives no
+rows. Only the named columns are read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, simhash
 from .components import components
 from .decontamination import WordHashes
 
 SHINGLE = 5
 #: Similarity: 4 / 5. Sets of a and b shingles with c in common have it if 9 c >= 4 (a + b).
 SAMPLE, FREQUENT = 5_000, 20_000
+#: Bits by which linked fingerprints differ at most.
+RADIUS = 2
 
 
 def _sets(texts: list[bytes], hasher: WordHashes) -> list:
@@ -50,8 +57,19 @@ def _sets(texts: list[bytes], hasher: WordHashes) -> list:
     return out
 
 
+def _fingerprint(s) -> int:
+    """The SimHash of a set of hashes: a bit is 1 if set in over half of them."""
+    import numpy as np
+
+    ones = np.zeros(simhash.BITS, np.int64)
+    for i in range(0, len(s), 65536):
+        ones += np.unpackbits(s[i : i + 65536].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(s), bitorder="little").view("<i8")[0])
+
+
 def _rows(docs: DataFrame, frequent: list[int] | None):
-    """Of every row its key, node and number of shingles, and the first shingles in the order of all (frequent is None: whole sets)."""
+    """Of every row its key, node, number of shingles and fingerprint, and the first shingles in the order of all (frequent
+    is None: whole sets, no fingerprint)."""
 
     def run(batches):
         import numpy as np
@@ -72,11 +90,11 @@ def _rows(docs: DataFrame, frequent: list[int] | None):
             offsets = np.cumsum([0] + [len(s) for s in told]).astype(np.int32)
             values = np.concatenate(told).view(np.int64) if told else np.zeros(0, np.int64)
             arrays = [piece.column(c) for c in piece.schema.names if c != "text"]
-            arrays += [pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[c for c in piece.schema.names if c != "text"] + ["node", "n", "shingles"])
+            arrays += [pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), pa.array([0 if frequent is None else _fingerprint(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))]
+            yield pa.RecordBatch.from_arrays(arrays, names=[c for c in piece.schema.names if c != "text"] + ["node", "n", "fp", "shingles"])
 
     names = "".join(f"{c} {t}, " for c, t in docs.dtypes if c != "text")
-    return docs.mapInArrow(run, names + "node long, n int, shingles array<long>")
+    return docs.mapInArrow(run, names + "node long, n int, fp long, shingles array<long>")
 
 
 def _frequent(docs: DataFrame) -> list[int]:
@@ -90,8 +108,8 @@ def _verified(texts: DataFrame, keys: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b: nodes) at the similarity, verified on whole sets."""
     pairs = common.cut(pairs.distinct())
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = keys.join(asked, "node", "left_semi").select(F.col("key").alias("_key")).distinct()
-    chosen = texts.join(wanted, texts.key == wanted["_key"], "left_semi").dropDuplicates(["key"])
+    wanted = common.cut(keys.join(asked, "node", "left_semi").select(F.col("key").alias("_key")).distinct())
+    chosen = texts.join(common.small(wanted), texts.key == wanted["_key"], "left_semi").dropDuplicates(["key"])
     sets = common.cut(_rows(chosen.select("text"), None))
     for side in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("shingles").alias(f"s_{side}")), side)
@@ -107,31 +125,60 @@ def _pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
     return rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
 
+def _by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """Pairs of nodes whose fingerprints are equal (each with the first) or linked (the first ones of both)."""
+    first = common.cut(nodes.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("low")))
+    same = nodes.join(first, "fp").filter((F.col("node") != F.col("low.node")) & _alike("n", "low.n"))
+    linked = simhash.links(first.select("fp"), RADIUS)
+    a, b = (first.select(F.col("fp").alias(side), F.col("low").alias(f"{side}_low")) for side in ("src", "dst"))
+    linked = linked.join(a, "src").join(b, "dst").filter(_alike("src_low.n", "dst_low.n"))
+    return _pairs(same, "node", "low.node").union(_pairs(linked, "src_low.node", "dst_low.node"))
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, component_id (the smallest id of the class)."""
+    """doc_id, component_id (the smallest id of the class), key (xxhash64 of the text), leads (whether the row has the
+    smallest id of its class and, of the texts with that id, the smallest key)."""
     common.shared_dir(docs.sparkSession)
     texts = common.pick(docs, id=id_col, text=text_col).withColumn("key", F.xxhash64("text"))
     signed = common.cut(_rows(texts, _frequent(texts)))
     keys = signed.groupBy("node").agg(F.min("key").alias("key"))
     nodes = signed.dropDuplicates(["node"])
+    links = _verified(texts, keys, _by_fingerprint(nodes.select("node", "n", "fp")))
     rows = nodes.select("node", "n", F.explode("shingles").alias("shingle")).repartition("shingle")
-    ends = rows.groupBy("shingle").agg(F.count("*").alias("k"), F.min(F.struct("node", "n")).alias("low")).filter("k > 1").drop("k")
-    rows = common.cut(rows.join(ends, "shingle"))
-    links = _verified(texts, keys, _pairs(rows.filter((F.col("node") != F.col("low.node")) & _alike("n", "low.n")), "node", "low.node"))
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("k")).filter("k > 1").select("shingle")
+    rows = common.cut(rows.join(shared, "shingle"))
 
     def labelled():
-        """Rows of the shingles whose nodes are not all in one component, with the component."""
+        """Rows of the shingles whose nodes are not all in one component, with the component, and a node of the least and of the greatest component there."""
         labels = components(links).withColumnRenamed("label", "part")
         named = rows.join(labels, "node", "left").withColumn("part", F.coalesce("part", "node"))
-        open_ = named.groupBy("shingle").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.max(F.struct("part", "node", "n")).alias("high")).filter("x != y").select("shingle", "high")
+        x = F.struct("part", "node", "n")
+        open_ = named.groupBy("shingle").agg(F.min(x).alias("low"), F.max(x).alias("high")).filter("low.part != high.part")
         return common.cut(named.join(open_, "shingle"))
 
-    named = labelled()
-    links = common.cut(links.union(_verified(texts, keys, _pairs(named.filter((F.col("part") != F.col("high.part")) & _alike("n", "high.n")), "node", "high.node"))))
+    for end in ("low", "high"):
+        named = labelled()
+        links = common.cut(links.union(_verified(texts, keys, _pairs(named.filter((F.col("part") != F.col(f"{end}.part")) & _alike("n", f"{end}.n")), "node", f"{end}.node"))))
     named = labelled().select("shingle", "node", "n", "part")
     a, b = named.alias("a"), named.alias("b")
     rest = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.part") != F.col("b.part")) & _alike("a.n", "b.n"))
     links = links.union(_verified(texts, keys, rest.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))))
-    parts = signed.select("id", "node").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = parts.groupBy("label").agg(F.min("id").alias("component_id"))
-    return parts.join(least, "label").select(F.col("id").alias("doc_id"), "component_id")
+    parts = signed.select("id", "key", "node").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = parts.groupBy("label").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "key"))).alias("least"))
+    return parts.join(least, "label").select(F.col("id").alias("doc_id"), F.col("least.id").alias("component_id"), "key", F.coalesce((F.col("id") == F.col("least.id")) & (F.col("key") == F.col("least.key")), F.lit(False)).alias("leads"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each class: the one with the smallest id, of the texts with that id the one with the
+    smallest hash, of rows alike in both any one (the same in every run). Rows with a null id all stay. What goes is told to the texts by id and
+    hash, by broadcast while that is at most `common.BROADCAST_ROWS` rows, beyond by a shuffle."""
+    found = common.cut(classes(docs, id_col, text_col).filter("doc_id is not null").groupBy("doc_id", "key", "leads").agg(F.count("*").alias("n")))
+    i, k, number = (common.fresh(docs.columns, x) for x in ("id", "key", "number"))
+    named = lambda df: df.select(F.col("doc_id").alias(i), F.col("key").alias(k))
+    gone, again = common.cut(named(found.filter("not leads or n > 1"))), common.cut(named(found.filter("leads and n > 1")))
+    same = lambda d, x: (d[f"`{id_col}`"] == x[i]) & (F.xxhash64(d[f"`{text_col}`"]) == x[k])
+    out = docs.join(common.small(gone), same(docs, gone), "left_anti")
+    if again.isEmpty():
+        return out
+    row = F.row_number().over(W.partitionBy(f"`{id_col}`", F.xxhash64(f"`{text_col}`")).orderBy(F.xxhash64(*[f"`{c}`" for c in docs.columns])))
+    return out.unionByName(docs.join(common.small(again), same(docs, again), "left_semi").withColumn(number, row).filter(F.col(number) == 1).drop(number))

@@ -84,14 +84,6 @@ def chain_holds(diff: Column, start: int, radius: int) -> Column:
     return out
 
 
-def _linked(rows: DataFrame, start: Column, keys: list[str], radius: int) -> DataFrame:
-    a, b = rows.alias("a"), rows.alias("b")
-    diff = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
-    chain = reduce(lambda x, y: x | y, [(start == s) & chain_holds(diff, s, radius) for s in range(radius + 1)])
-    same = reduce(lambda x, y: x & y, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys])
-    return a.join(b, same & (F.col("a.fp") < F.col("b.fp")) & chain & (F.bit_count(diff) <= radius)).select(F.col("a.fp").alias("src"), F.col("b.fp").alias("dst"))
-
-
 def links(nodes: DataFrame, radius: int = 2, pairwise: int = 64) -> DataFrame:
     """src, dst: linked fingerprints of nodes (column fp, distinct), enough to connect all that is linked."""
     ring = _ring(radius)

@@ -6,10 +6,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from plenaria.llm import decontamination, licenses, line_dedup, mixing, pii, quality, simhash, suffix_dedup, token_counts, toxicity
+from plenaria.llm import decontamination, licenses, line_dedup, mixing, near, pii, quality, simhash, suffix_dedup, token_counts, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-CLASH = ("id", "uid", "fp", "size", "block", "body", "key", "host", "word", "_id", "_kept", "_n", "found", "classes", "w", "target", "n_tokens")
+CLASH = ("id", "uid", "fp", "size", "block", "body", "key", "host", "word", "_id", "_kept", "_n", "found", "classes", "w", "target", "n_tokens", "_lines", "_salt", "_salt_of", "_host", "keys", "salt", "mine", "host_", "doc", "mark", "nth", "m", "_s", "part", "place", "node", "shingles", "leads", "gone")
 LONG = "Very long words and numbers 12345 " * 30_000
 ROWS = [(1, "one text of some words", "en", "s", 5), (1, "one text of some words", "en", "s", 5), (None, "no id at all here", None, None, None), (2, None, "de", "s", 0), (3, "", None, None, None), (4, LONG, "xx", "t", 9)]
 
@@ -27,7 +27,9 @@ OPERATORS = {
     "mixing": lambda spark, d: mixing.mix(d),
     "simhash": lambda spark, d: simhash.classes(d),
     "line_dedup": lambda spark, d: line_dedup.drop_lines(d),
+    "line_dedup_salted": lambda spark, d: line_dedup.drop_lines(d.withColumn("_n_dropped", F.lit(-1)), broadcast_lines=-1),
     "quality": lambda spark, d: quality.judge(d),
+    "near": lambda spark, d: near.classes(d),
     "pii": lambda spark, d: pii.spans(d),
     "licenses": lambda spark, d: licenses.scan(d),
     "token_counts": lambda spark, d: token_counts.prefix_counts(d),

@@ -70,9 +70,11 @@ def test_stages(spark, folder):
 
 def test_null_ids_and_clashing_columns(spark, folder):
     docs = spark.createDataFrame([(None, *r[1:]) for r in sample()[:3]] + sample()[:3] + sample()[:2], SCHEMA)
-    docs = docs.withColumn("_n", F.lit(1)).withColumn("_lead", F.lit(2)).withColumn("fp", F.lit(3))
+    for c in ("_n", "_lead", "fp", "id", "key", "KEY_", "number", "gone", "doc", "node", "_lines", "_salt", "_salt_of", "host", "lines"):
+        docs = docs.withColumn(c, F.lit(3))
+    for stage in (corpus_pipeline.quality_rules, corpus_pipeline.line_dedup_stage, corpus_pipeline.near_dedup, corpus_pipeline.decontaminate):
+        assert stage(spark, docs, folder).columns == docs.columns
     out = corpus_pipeline.near_dedup(spark, docs, folder)
-    assert out.columns == docs.columns
     assert Counter(r.doc_id for r in out.collect()) == {None: 3, 0: 1, 1: 1, 2: 1}
     assert Counter(r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, folder).collect()) == {None: 3, 0: 2, 1: 2, 2: 1}
     assert corpus_pipeline.decontaminate(spark, docs, folder).count() == 8
