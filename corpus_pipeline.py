@@ -7,17 +7,17 @@ leak a benchmark item go; the mix says how many words of each document to take.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from plenaria.llm import common, decontamination, line_dedup, mixing, near, quality
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep. A null doc_id is judged with all others of its kind: they stay if one is kept."""
-    kept = quality.judge(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept["_kept"]), "left_semi")
+    """Rows that the rules keep, each judged by itself; null and empty texts go, as they have too few words."""
+    return quality.keep(docs)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,22 +27,20 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class at similarity 0.8 or more of 5-word shingles: the row with the smallest id (of repeated ids, the first text). Rows with a null
-    id cannot be told apart, so all of them stay."""
-    lead = near.classes(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_lead")).distinct()
-    out = docs.join(lead, docs.doc_id == lead["_lead"], "left_semi")
-    number = "_".join(["_row", *docs.columns])  # clashes with no column
-    out = out.withColumn(number, F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).filter(F.col(number) == 1)
-    return out.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    """One document of each class at similarity 0.8 or more of 5-word shingles: the row with the smallest id (of the texts
+    with that id the one with the smallest hash; of repeated rows one). Rows with a null id cannot be told apart, so all of
+    them stay. Null and empty texts are one class."""
+    return near.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak no benchmark item."""
+    """Documents that leak no benchmark item. All rows of a leaking id go; rows with a null id, null and empty texts stay."""
     return decontamination.clean(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken."""
+    """doc_id, source, size, source_size, target, taken, a row for each row: null texts have size 0 and are taken 0 times,
+    a null source is a source, null ids and repeated rows are documents of their own."""
     return mixing.mix(docs)
 
 
@@ -59,9 +57,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What a stage wrote is removed once the next one is written; the last one's folder stays,
+    as the result reads it."""
     docs = common.table(spark, sf_dir, "documents")
-    folder = f"{common.shared_dir(spark).rstrip('/')}/pipeline-{spark.sparkContext.applicationId}-{spark.sparkContext._jvm.java.util.UUID.randomUUID()}"
+    folder = f"{common.shared_dir(spark).rstrip('/')}/pipeline-{spark.sparkContext.applicationId}-{uuid.uuid4()}"
+    last = None
     for k, (name, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}_{name}")
-        docs = spark.read.parquet(f"{folder}/{k}_{name}")
+        path = f"{folder}/{k}_{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if last:
+            common.remove(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
