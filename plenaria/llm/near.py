@@ -84,7 +84,7 @@ def _rows(docs: DataFrame, frequent: list[int] | None):
             if frequent is not None:
                 told = []
                 for s in sets:
-                    late = np.isin(s, last)
+                    late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s if len(last) else np.zeros(len(s), bool)
                     n = len(s) - (4 * len(s) + 4) // 5 + 1 if len(s) else 0
                     told.append(np.concatenate((s[~late], s[late]))[:n])
             offsets = np.cumsum([0] + [len(s) for s in told]).astype(np.int32)
