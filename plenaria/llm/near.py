@@ -5,14 +5,16 @@ verified on the whole sets of shingles. At 0.8 about ten of 64 bits differ, far
 fingerprint can find, so fingerprints alone lose links. A prefix filter finds the rest: two sets at that similarity
 share a shingle among the first n - ceil(0.8 n) + 1 of each, in any order that holds for all sets, so documents that share
 none are never compared and no pair is lost. The order is that of the shingles' hashes, with those frequent in
-a sample last; the sample decides the cost only. Every candidate that the lengths allow is verified on its whole
-sets, and classes are the components of what is linked.
+a sample last; the sample decides the cost only. Every candidate that the lengths and the first shingles of both allow
+is verified on its whole sets, and classes are the components of what is linked.
 
-Scale: equal sets are one node, so copies never make pairs. Each document gives a row for a fifth of its shingles. Of
-all nodes under one shingle each is compared with one of the least component, then with one of the greatest, and then
-only those with each other whose components still differ, so a large group of near copies makes few pairs. A
-shingle that many unlike documents keep among their first ones still makes pairs of all of them
-whose lengths are alike: what is compared there is not cut. Whole sets are built for candidates only.
+Scale: equal sets are one node, so copies never make pairs. Each document gives a row for a fifth of its shingles. Two
+nodes alone under a shingle are a pair. Of more than two each is compared with one of the least component, then with one of
+the greatest, and then only those with each other whose components still differ, so a large group of near copies makes
+few pairs. A shingle that many unlike documents keep among their first ones still makes pairs of all of them
+whose lengths are alike: what is compared there is not cut. Whole sets are built only for pairs that the first shingles
+allow: with c of them shared, up to the end of the list that ends first, no more than c and what is left of the
+shorter rest can be shared in all.
 
 Words are as in op3. Null and empty texts are one class. Fewer words than a shingle: the whole sequence is the
 shingle. Repeated rows and ids: one row each; a null id counts as larger than all others. An empty table gives no
@@ -83,10 +85,11 @@ def _rows(docs: DataFrame, frequent: list[int] | None):
             told = sets
             if frequent is not None:
                 told = []
-                for s in sets:
+                for s in sets:  # as 63-bit numbers in the order of all: those that are not frequent below 0
                     late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s if len(last) else np.zeros(len(s), bool)
                     n = len(s) - (4 * len(s) + 4) // 5 + 1 if len(s) else 0
-                    told.append(np.concatenate((s[~late], s[late]))[:n])
+                    o = s >> np.uint64(1)
+                    told.append(np.concatenate((o[~late] | np.uint64(1 << 63), o[late]))[:n])
             offsets = np.cumsum([0] + [len(s) for s in told]).astype(np.int32)
             values = np.concatenate(told).view(np.int64) if told else np.zeros(0, np.int64)
             arrays = [piece.column(c) for c in piece.schema.names if c != "text"]
@@ -104,17 +107,31 @@ def _frequent(docs: DataFrame) -> list[int]:
     return [r.s for r in counted.orderBy(F.desc("n"), "s").limit(FREQUENT).collect()]
 
 
-def _verified(texts: DataFrame, keys: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b: nodes) at the similarity, verified on whole sets."""
+def _at_most(p: str, n: str, q: str, m: str):
+    """The most shingles that sets of n and m can share whose first ones are p and q, where p ends first."""
+    seen = F.size(F.filter(q, lambda x: x <= F.element_at(p, -1)))
+    return F.size(F.array_intersect(p, q)) + F.least(F.col(n) - F.size(p), F.col(m) - seen)
+
+
+def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs with n and shingles of both nodes."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("shingles").alias(f"s_{side}")), side)
+    return pairs
+
+
+def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b: nodes) at the similarity: what the first shingles allow, verified on whole sets."""
+    enough = lambda c: 9 * c >= 4 * (F.col("n_a") + F.col("n_b"))
+    both = lambda pairs: common.small(common.cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()))
     pairs = common.cut(pairs.distinct())
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = common.cut(keys.join(asked, "node", "left_semi").select(F.col("key").alias("_key")).distinct())
+    near = _beside(pairs, nodes.join(both(pairs), "node", "left_semi"))
+    first = F.element_at("s_a", -1) <= F.element_at("s_b", -1)
+    pairs = common.cut(near.filter(enough(F.when(first, _at_most("s_a", "n_a", "s_b", "n_b")).otherwise(_at_most("s_b", "n_b", "s_a", "n_a")))).select("a", "b"))
+    wanted = common.cut(nodes.join(both(pairs), "node", "left_semi").select(F.col("key").alias("_key")))
     chosen = texts.join(common.small(wanted), texts.key == wanted["_key"], "left_semi").dropDuplicates(["key"])
     sets = common.cut(_rows(chosen.select("text"), None))
-    for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("shingles").alias(f"s_{side}")), side)
-    linked = pairs.filter(9 * F.size(F.array_intersect("s_a", "s_b")) >= 4 * (F.col("n_a") + F.col("n_b")))
-    return common.cut(linked.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    return common.cut(_beside(pairs, sets).filter(enough(F.size(F.array_intersect("s_a", "s_b")))).select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
 
 def _alike(a: str, b: str):
@@ -141,28 +158,26 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     common.shared_dir(docs.sparkSession)
     texts = common.pick(docs, id=id_col, text=text_col).withColumn("key", F.xxhash64("text"))
     signed = common.cut(_rows(texts, _frequent(texts)))
-    keys = signed.groupBy("node").agg(F.min("key").alias("key"))
-    nodes = signed.dropDuplicates(["node"])
-    links = _verified(texts, keys, _by_fingerprint(nodes.select("node", "n", "fp")))
+    nodes = common.cut(signed.groupBy("node").agg(F.min_by(F.struct("key", "n", "fp", "shingles"), "key").alias("x")).select("node", "x.*"))
     rows = nodes.select("node", "n", F.explode("shingles").alias("shingle")).repartition("shingle")
-    shared = rows.groupBy("shingle").agg(F.count("*").alias("k")).filter("k > 1").select("shingle")
-    rows = common.cut(rows.join(shared, "shingle"))
+    ends = common.cut(rows.groupBy("shingle").agg(F.count("*").alias("k"), F.min(F.struct("node", "n")).alias("low"), F.max(F.struct("node", "n")).alias("high")).filter("k > 1"))
+    alone = ends.filter((F.col("k") == 2) & _alike("low.n", "high.n"))
+    links = _verified(texts, nodes, _by_fingerprint(nodes.select("node", "n", "fp")).union(_pairs(alone, "low.node", "high.node")))
+    rows = common.cut(rows.join(ends.filter("k > 2").select("shingle"), "shingle"))
 
     def labelled():
         """Rows of the shingles whose nodes are not all in one component, with the component, and a node of the least and of the greatest component there."""
         labels = components(links).withColumnRenamed("label", "part")
         named = rows.join(labels, "node", "left").withColumn("part", F.coalesce("part", "node"))
         x = F.struct("part", "node", "n")
-        open_ = named.groupBy("shingle").agg(F.min(x).alias("low"), F.max(x).alias("high")).filter("low.part != high.part")
-        return common.cut(named.join(open_, "shingle"))
+        return named.join(named.groupBy("shingle").agg(F.min(x).alias("low"), F.max(x).alias("high")).filter("low.part != high.part"), "shingle")
 
     for end in ("low", "high"):
-        named = labelled()
-        links = common.cut(links.union(_verified(texts, keys, _pairs(named.filter((F.col("part") != F.col(f"{end}.part")) & _alike("n", f"{end}.n")), "node", f"{end}.node"))))
-    named = labelled().select("shingle", "node", "n", "part")
+        links = common.cut(links.union(_verified(texts, nodes, _pairs(labelled().filter((F.col("part") != F.col(f"{end}.part")) & _alike("n", f"{end}.n")), "node", f"{end}.node"))))
+    named = common.cut(labelled().select("shingle", "node", "n", "part"))
     a, b = named.alias("a"), named.alias("b")
     rest = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.part") != F.col("b.part")) & _alike("a.n", "b.n"))
-    links = links.union(_verified(texts, keys, rest.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))))
+    links = links.union(_verified(texts, nodes, rest.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))))
     parts = signed.select("id", "key", "node").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = parts.groupBy("label").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "key"))).alias("least"))
     return parts.join(least, "label").select(F.col("id").alias("doc_id"), F.col("least.id").alias("component_id"), "key", F.coalesce((F.col("id") == F.col("least.id")) & (F.col("key") == F.col("least.key")), F.lit(False)).alias("leads"))
