@@ -8,9 +8,9 @@ none are never compared and no pair is lost. The order is that of the shingles'
 a sample last; the sample decides the cost only. Every candidate that the lengths and the first shingles of both allow
 is verified on its whole sets, and classes are the components of what is linked.
 
-Scale: equal sets are one node, so copies never make pairs. Each document gives a row for a fifth of its shingles. Two
-nodes alone under a shingle are a pair. Of more than two each is compared with one of the least component, then with one of
-the greatest, and then only those with each other whose components still differ, so a large group of near copies makes
+Scale: equal sets are one node, so copies never make pairs. Each document gives a row for a fifth of its shingles, which
+moves once. Of all nodes under one shingle, first each is compared with the least, then each with one of the greatest
+component, and then only those with each other whose components still differ, so a large group of near copies makes
 few pairs. A shingle that many unlike documents keep among their first ones still makes pairs of all of them
 whose lengths are alike: what is compared there is not cut. Whole sets are built only for pairs that the first shingles
 allow: with c of them shared, up to the end of the list that ends first, no more than c and what is left of the
@@ -33,7 +33,7 @@ from .decontamination import WordHashes
 
 SHINGLE = 5
 #: Similarity: 4 / 5. Sets of a and b shingles with c in common have it if 9 c >= 4 (a + b).
-SAMPLE, FREQUENT = 5_000, 20_000
+SAMPLE, FREQUENT = 20_000, 200_000
 #: Bits by which linked fingerprints differ at most.
 RADIUS = 2
 
@@ -120,15 +120,15 @@ def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs
 
 
-def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(texts: DataFrame, signed: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b: nodes) at the similarity: what the first shingles allow, verified on whole sets."""
     enough = lambda c: 9 * c >= 4 * (F.col("n_a") + F.col("n_b"))
     both = lambda pairs: common.small(common.cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()))
     pairs = common.cut(pairs.distinct())
-    near = _beside(pairs, nodes.join(both(pairs), "node", "left_semi"))
+    near = _beside(pairs, signed.join(both(pairs), "node", "left_semi").dropDuplicates(["node"]))
     first = F.element_at("s_a", -1) <= F.element_at("s_b", -1)
     pairs = common.cut(near.filter(enough(F.when(first, _at_most("s_a", "n_a", "s_b", "n_b")).otherwise(_at_most("s_b", "n_b", "s_a", "n_a")))).select("a", "b"))
-    wanted = common.cut(nodes.join(both(pairs), "node", "left_semi").select(F.col("key").alias("_key")))
+    wanted = common.cut(signed.join(both(pairs), "node", "left_semi").groupBy("node").agg(F.min("key").alias("_key")).select("_key"))
     chosen = texts.join(common.small(wanted), texts.key == wanted["_key"], "left_semi").dropDuplicates(["key"])
     sets = common.cut(_rows(chosen.select("text"), None))
     return common.cut(_beside(pairs, sets).filter(enough(F.size(F.array_intersect("s_a", "s_b")))).select(F.col("a").alias("src"), F.col("b").alias("dst")))
@@ -158,26 +158,31 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     common.shared_dir(docs.sparkSession)
     texts = common.pick(docs, id=id_col, text=text_col).withColumn("key", F.xxhash64("text"))
     signed = common.cut(_rows(texts, _frequent(texts)))
-    nodes = common.cut(signed.groupBy("node").agg(F.min_by(F.struct("key", "n", "fp", "shingles"), "key").alias("x")).select("node", "x.*"))
-    rows = nodes.select("node", "n", F.explode("shingles").alias("shingle")).repartition("shingle")
-    ends = common.cut(rows.groupBy("shingle").agg(F.count("*").alias("k"), F.min(F.struct("node", "n")).alias("low"), F.max(F.struct("node", "n")).alias("high")).filter("k > 1"))
-    alone = ends.filter((F.col("k") == 2) & _alike("low.n", "high.n"))
-    links = _verified(texts, nodes, _by_fingerprint(nodes.select("node", "n", "fp")).union(_pairs(alone, "low.node", "high.node")))
-    rows = common.cut(rows.join(ends.filter("k > 2").select("shingle"), "shingle"))
+    nodes = signed.dropDuplicates(["node"])
+    under = W.partitionBy("shingle")
+    rows = nodes.select("node", "n", F.explode("shingles").alias("shingle"))
+    rows = rows.withColumn("k", F.count("*").over(under)).withColumn("low", F.min(F.struct("node", "n")).over(under))
+    rows = common.cut(rows.filter("k > 2 or k = 2 and node != low.node"))
+    least = _pairs(rows.filter((F.col("node") != F.col("low.node")) & _alike("n", "low.n")), "node", "low.node")
+    links = _verified(texts, signed, _by_fingerprint(nodes.select("node", "n", "fp")).union(least))
+    rows = rows.filter("k > 2").select("shingle", "node", "n")
 
     def labelled():
-        """Rows of the shingles whose nodes are not all in one component, with the component, and a node of the least and of the greatest component there."""
+        """Rows of the shingles whose nodes are not all in one component, with the component, and a node of the greatest one there."""
         labels = components(links).withColumnRenamed("label", "part")
         named = rows.join(labels, "node", "left").withColumn("part", F.coalesce("part", "node"))
-        x = F.struct("part", "node", "n")
-        return named.join(named.groupBy("shingle").agg(F.min(x).alias("low"), F.max(x).alias("high")).filter("low.part != high.part"), "shingle")
+        named = named.withColumn("low", F.min("part").over(under)).withColumn("high", F.max(F.struct("part", "node", "n")).over(under))
+        return named.filter("low != high.part")
 
-    for end in ("low", "high"):
-        links = common.cut(links.union(_verified(texts, nodes, _pairs(labelled().filter((F.col("part") != F.col(f"{end}.part")) & _alike("n", f"{end}.n")), "node", f"{end}.node"))))
+    links = common.cut(links.union(_verified(texts, signed, _pairs(labelled().filter((F.col("part") != F.col("high.part")) & _alike("n", "high.n")), "node", "high.node"))))
     named = common.cut(labelled().select("shingle", "node", "n", "part"))
     a, b = named.alias("a"), named.alias("b")
     rest = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.part") != F.col("b.part")) & _alike("a.n", "b.n"))
-    links = links.union(_verified(texts, nodes, rest.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))))
+    # what they share here is all that their first shingles share: pairs alone under a shingle have been compared
+    rest = rest.groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b")).agg(F.count("*").alias("c"))
+    later = lambda n: F.col(n) - (F.col(n) - F.floor((4 * F.col(n) + 4) / 5) + 1)
+    rest = rest.filter(9 * (F.col("c") + F.greatest(later("n_a"), later("n_b"))) >= 4 * (F.col("n_a") + F.col("n_b")))
+    links = links.union(_verified(texts, signed, rest.select("a", "b")))
     parts = signed.select("id", "key", "node").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = parts.groupBy("label").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "key"))).alias("least"))
     return parts.join(least, "label").select(F.col("id").alias("doc_id"), F.col("least.id").alias("component_id"), "key", F.coalesce((F.col("id") == F.col("least.id")) & (F.col("key") == F.col("least.key")), F.lit(False)).alias("leads"))
