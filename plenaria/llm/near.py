@@ -9,9 +9,10 @@ a sample last; the sample decides the cost only. Every candidate that the length
 is verified on its whole sets, and classes are the components of what is linked.
 
 Scale: equal sets are one node, so copies never make pairs. Each document gives a row for a fifth of its shingles, which
-moves once. Of all nodes under one shingle, first each is compared with the least, then each with one of the greatest
-component, and then only those with each other whose components still differ, so a large group of near copies makes
-few pairs. A shingle that many unlike documents keep among their first ones still makes pairs of all of them
+moves once. Of all nodes under one shingle, first each is compared with the least, then with the one that shares most of its
+first shingles with others (of near copies the one nearest to all), then with one of the greatest component, and then
+only those with each other whose components still differ and that share enough of their first shingles with anyone,
+so a large group of near copies makes few pairs. A shingle that many unlike documents keep among their first ones still makes pairs of all of them
 whose lengths are alike: what is compared there is not cut. Whole sets are built only for pairs that the first shingles
 allow: with c of them shared, up to the end of the list that ends first, no more than c and what is left of the
 shorter rest can be shared in all.
@@ -138,6 +139,12 @@ def _alike(a: str, b: str):
     return (5 * F.col(a) >= 4 * F.col(b)) & (5 * F.col(b) >= 4 * F.col(a))
 
 
+def _possible(c, a: str, b: str):
+    """Whether sets of a and b shingles that share c of their first ones can share enough in all."""
+    later = lambda n: F.floor((4 * F.col(n) + 4) / 5) - 1  # noqa: E731  behind the first ones
+    return 9 * (c + F.greatest(later(a), later(b))) >= 4 * (F.col(a) + F.col(b))
+
+
 def _pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
     return rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
@@ -165,23 +172,23 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = common.cut(rows.filter("k > 2 or k = 2 and node != low.node"))
     least = _pairs(rows.filter((F.col("node") != F.col("low.node")) & _alike("n", "low.n")), "node", "low.node")
     links = _verified(texts, signed, _by_fingerprint(nodes.select("node", "n", "fp")).union(least))
-    rows = rows.filter("k > 2").select("shingle", "node", "n")
+    # pairs alone under a shingle have been compared, so what other pairs share is under shingles of three nodes or more
+    rows = common.cut(rows.filter("k > 2").select("shingle", "node", "n").withColumn("c", F.count("*").over(W.partitionBy("node"))))
 
     def labelled():
-        """Rows of the shingles whose nodes are not all in one component, with the component, and a node of the greatest one there."""
+        """Rows of the shingles whose nodes are not all in one component, with the component, the node that shares most, and a node of the greatest component."""
         labels = components(links).withColumnRenamed("label", "part")
         named = rows.join(labels, "node", "left").withColumn("part", F.coalesce("part", "node"))
-        named = named.withColumn("low", F.min("part").over(under)).withColumn("high", F.max(F.struct("part", "node", "n")).over(under))
-        return named.filter("low != high.part")
+        named = named.withColumn("least", F.min("part").over(under)).withColumn("core", F.max(F.struct("c", "node", "n", "part")).over(under)).withColumn("high", F.max(F.struct("part", "node", "n", "c")).over(under))
+        return named.filter("least != high.part")
 
-    links = common.cut(links.union(_verified(texts, signed, _pairs(labelled().filter((F.col("part") != F.col("high.part")) & _alike("n", "high.n")), "node", "high.node"))))
-    named = common.cut(labelled().select("shingle", "node", "n", "part"))
+    for end in ("core", "high"):
+        asked = labelled().filter((F.col("part") != F.col(f"{end}.part")) & _alike("n", f"{end}.n") & _possible(F.least("c", f"{end}.c"), "n", f"{end}.n"))
+        links = common.cut(links.union(_verified(texts, signed, _pairs(asked, "node", f"{end}.node"))))
+    named = common.cut(labelled().select("shingle", "node", "n", "c", "part"))
     a, b = named.alias("a"), named.alias("b")
-    rest = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.part") != F.col("b.part")) & _alike("a.n", "b.n"))
-    # what they share here is all that their first shingles share: pairs alone under a shingle have been compared
-    rest = rest.groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b")).agg(F.count("*").alias("c"))
-    later = lambda n: F.col(n) - (F.col(n) - F.floor((4 * F.col(n) + 4) / 5) + 1)
-    rest = rest.filter(9 * (F.col("c") + F.greatest(later("n_a"), later("n_b"))) >= 4 * (F.col("n_a") + F.col("n_b")))
+    rest = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.part") != F.col("b.part")) & _alike("a.n", "b.n") & _possible(F.least("a.c", "b.c"), "a.n", "b.n"))
+    rest = rest.groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b")).agg(F.count("*").alias("c")).filter(_possible(F.col("c"), "n_a", "n_b"))
     links = links.union(_verified(texts, signed, rest.select("a", "b")))
     parts = signed.select("id", "key", "node").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = parts.groupBy("label").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "key"))).alias("least"))
