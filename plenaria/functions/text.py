@@ -168,19 +168,35 @@ def time_12h(c: Column) -> Column:
     return F.when((half != "") & (hour < 24) & (m.try_cast("int") < 60), F.format_string("%02d:%s:00", hour, m))
 
 
+SHOWN_END = r"\bto\s+(\d{1,2}):(\d{2})\b"
+
+
+def _clock(*parts: Column) -> Column:
+    """HH:mm:ss of hour, minute and second; null if there is no such time."""
+    h, m, s = (p.try_cast("int") for p in parts)
+    return F.when(h.between(0, 23) & m.between(0, 59) & s.between(0, 59), F.format_string("%02d:%02d:%02d", h, m, s))
+
+
 def end_time(c: Column) -> Column:
-    at = r"\bto\s+(\d{1,2}):(\d{2})\b"
-    return F.when(F.regexp_extract(c, at, 1) != "", F.concat(F.lpad(F.regexp_extract(c, at, 1), 2, "0"), F.lit(":"), F.regexp_extract(c, at, 2), F.lit(":00")))
+    """HH:mm:ss after "to"; null without one or if there is no such time."""
+    return _clock(F.regexp_extract(c, SHOWN_END, 1), F.regexp_extract(c, SHOWN_END, 2), F.lit("0"))
 
 
-def archive_entry(url: Column, shown: Column) -> Column:
-    """house, date, start_time, end_time of an archive link; null if its last two parts are no house and date."""
-    parts = F.split(F.regexp_replace(url, "/+$", ""), "/")
-    stamp = F.split(F.element_at(parts, -1), "-")
-    house = F.when(F.element_at(parts, -2).isin(list(HOUSES)), F.element_at(parts, -2))
+def slug(url: Column) -> Column:
+    """The last part of a URL."""
+    return F.element_at(F.split(F.regexp_replace(url, "/+$", ""), "/"), -1)
+
+
+def archive_entry(url: Column, shown: Column, least: int = 4) -> Column:
+    """house, date, start_time, end_time of an archive link; null if it has fewer than `least` parts, if the last two are no
+    house and date, or if it or the shown text names a time that there is not."""
+    parts = F.filter(F.split(url, "/"), lambda x: x != "")
+    stamp = F.split(F.get(parts, F.size(parts) - 1), "-")
+    house = house_name(F.get(parts, F.size(parts) - 2))
     date = F.to_date(F.try_to_timestamp(F.array_join(F.slice(stamp, 1, 3), "-"), F.lit("yyyy-M-d")))
-    start = F.when(F.size(stamp) >= 6, F.concat_ws(":", *[F.lpad(F.get(stamp, F.lit(k)), 2, "0") for k in (3, 4, 5)]))
-    return F.when((F.size(parts) >= 4) & house.isNotNull() & date.isNotNull(), F.struct(house_name(house).alias("house"), date.alias("date"), start.alias("start_time"), end_time(shown).alias("end_time")))
+    start = _clock(*[F.get(stamp, F.lit(k)) for k in (3, 4, 5)])
+    ok = (F.size(parts) >= least) & house.isNotNull() & date.isNotNull() & ((F.size(stamp) < 6) | start.isNotNull()) & ((F.regexp_extract(shown, SHOWN_END, 1) == "") | end_time(shown).isNotNull())
+    return F.when(ok, F.struct(house.alias("house"), date.alias("date"), F.when(F.size(stamp) >= 6, start).alias("start_time"), end_time(shown).alias("end_time")))
 
 
 def source_of(url: Column) -> Column:
@@ -220,6 +236,11 @@ def fix_name_and_role(name: Column, role: Column) -> Column:
     return F.struct(F.when(swap, role).when(split, F.trim(inner)).otherwise(name).alias("name"), F.when(swap, name).when(split, F.trim(outer)).otherwise(role).alias("role"))
 
 
+def date_argument(c: Column) -> Column:
+    """The date of a yyyy-MM-dd argument; null if it isn't one."""
+    return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.to_date(F.try_to_timestamp(c, F.lit("yyyy-MM-dd"))))
+
+
 def key(*parts: Column) -> Column:
     """A key of natural key parts; null differs from every text."""
     return F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("="), p.cast("string")), F.lit("-")) for p in parts]), 256)

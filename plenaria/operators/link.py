@@ -6,7 +6,6 @@ The links go URL, name, role, each for what the ones before left open.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.trigram import match_members
@@ -40,19 +39,28 @@ def link_speakers(speakers: DataFrame, members: DataFrame, sitting_speakers: Dat
     return by_role(by_name(by_url(speakers, members), members), members, sitting_speakers, sittings)
 
 
+def linked(before: DataFrame, after: DataFrame, keys: list[str], column: str = "member_url") -> int:
+    """How many rows a link has filled: those (by null-safe keys) with a value after it and none before."""
+    was = before.filter(F.col(column).isNotNull()) if column in before.columns else before.limit(0)
+    return after.filter(F.col(column).isNotNull()).select(*keys).exceptAll(was.select(*keys)).count()
+
+
 def link_sponsors(bills: DataFrame, members: DataFrame, min_score: float = 0.4) -> DataFrame:
-    best = match_members(bills.filter("sponsor is not null").select(F.col("sponsor").alias("name")).distinct(), members, min_score=min_score, top=1).select(F.col("name").alias("_n"), F.col("member_url").alias("_m"))
-    return bills.join(best, bills.sponsor == best["_n"], "left").withColumn("sponsor_url", F.col("_m")).drop("_n", "_m")
+    """bills with sponsor_url; one that is there stays."""
+    if "sponsor_url" not in bills.columns:
+        bills = bills.withColumn("sponsor_url", F.lit(None).cast("string"))
+    best = match_members(bills.filter("sponsor is not null and sponsor_url is null").select(F.col("sponsor").alias("name")).distinct(), members, min_score=min_score, top=1).select(F.col("name").alias("_n"), F.col("member_url").alias("_m"))
+    return bills.join(best, bills.sponsor == best["_n"], "left").withColumn("sponsor_url", F.coalesce("sponsor_url", "_m")).drop("_n", "_m")
 
 
 def canonical(speakers: DataFrame, refs: DataFrame) -> DataFrame:
-    """id -> keep: per url the speaker with most references, then least id; without url per name the least id."""
+    """id -> keep: per url the speaker with most references, then least id; without url per name the least id. The least
+    of a part is combined before its shuffle, so a name that many share is one row a task."""
     n = refs.groupBy(F.col("speaker_id").alias("id")).agg(F.count("*").alias("refs"))
-    s = speakers.join(n, "id", "left").fillna(0, ["refs"])
-    part = F.when(F.col("url").isNotNull(), F.struct(F.lit("url").alias("by"), F.col("url").alias("v"))).otherwise(F.struct(F.lit("name").alias("by"), F.col("name").alias("v")))
-    w = W.partitionBy("part").orderBy(F.when(F.col("url").isNotNull(), -F.col("refs")).otherwise(0), "id")
-    first = s.withColumn("part", part).withColumn("_rn", F.row_number().over(w))
-    return first.select("id", "part").join(first.filter("_rn = 1").select("part", F.col("id").alias("keep")), "part").select("id", "keep")
+    by_url = F.col("url").isNotNull()
+    part = F.struct(F.when(by_url, "url").otherwise("name").alias("by"), F.when(by_url, F.col("url")).otherwise(F.col("name")).alias("v"))
+    s = speakers.join(n, "id", "left").select("id", part.alias("part"), F.when(by_url, -F.coalesce("refs", F.lit(0))).otherwise(0).alias("rank"))
+    return s.join(s.groupBy("part").agg(F.min(F.struct("rank", "id"))["id"].alias("keep")), "part").select("id", "keep")
 
 
 def merge_counts(links: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:

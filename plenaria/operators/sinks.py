@@ -2,12 +2,80 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections import defaultdict
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import fold
+
+# Declared schemas of the stored tables.
+SCHEMAS = {
+    "sittings": "url string, house string, date date, session_type string, source string, summary string, sentiment string, pdf_url string, raw string, generated_summary string, summary_model string, embedding array<float>",
+    "speakers": "name string, url string, member_url string",
+    "sitting_speakers": "sitting_url string, speaker_name string, speaker_url string, speech_count long",
+    "bills": "name string, bill_number string, year int, sponsor string, sponsor_url string, summary string, summary_model string",
+    "bill_mentions": "bill string, sitting_url string, stage string, house string, date date, section_title string, speech_count long, summary string, summary_model string",
+    "bill_mention_speakers": "bill string, sitting_url string, stage string, speaker_name string, speaker_url string, speech_count long, contributions_text string, summary string, summary_model string",
+    "topics": "sitting_url string, section_type string, title string, speech_count long, summary string, summary_model string",
+    "topic_speakers": "sitting_url string, section_type string, title string, speaker_name string, speaker_url string, speech_count long, contributions_text string, summary string, summary_model string",
+    "members": "url string, name string, house string, parliament string, role string, constituency string, biography string, photo_url string",
+}
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the one that driver and executors share; on a local master without one, a folder of our own."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="plenaria-")
+    return f"{root.rstrip('/')}/store-{spark.sparkContext.applicationId}-{uuid.uuid4()}"
+
+
+class Store:
+    """The stored tables as Parquet, each version a folder of its own; an upsert writes the next one, whole or not at all."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _versions(self, name: str) -> list[int]:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        fs = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(at):
+            return []
+        done = [s.getPath() for s in fs.listStatus(at) if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+        return sorted(int(p.getName()) for p in done)
+
+    def migrate(self) -> None:
+        """Empty tables of the declared schemas, where there are none."""
+        for name, schema in SCHEMAS.items():
+            if not self._versions(name):
+                self.write(name, self.spark.createDataFrame([], schema))
+
+    def read(self, name: str) -> DataFrame:
+        """The table's last version; only the columns that a fold knows."""
+        keys, policies = fold.TABLES[name]
+        return self.spark.read.parquet(f"{self.path}/{name}/{self._versions(name)[-1]}").select(*keys, *policies)
+
+    def write(self, name: str, df: DataFrame) -> None:
+        done = self._versions(name)
+        df.write.parquet(f"{self.path}/{name}/{done[-1] + 1 if done else 0}")
+
+    def upsert(self, name: str, incoming: DataFrame, order: list[str]) -> None:
+        self.write(name, fold.upsert(self.read(name), incoming, name, order))
+
+
+def frame(rows: DataFrame, json_col: str, schema: str) -> DataFrame:
+    """The records of a JSON column, one object or a list of them a row, as columns of a declared schema."""
+    many = F.col(json_col).rlike(r"^\s*\[")
+    one = F.array(F.from_json(json_col, schema))
+    listed = F.from_json(json_col, f"array<struct<{', '.join(f.strip().replace(' ', ':', 1) for f in schema.split(','))}>>")
+    return rows.select(F.explode(F.when(many, listed).otherwise(one)).alias("r")).select("r.*")
+
 
 def write_json(df: DataFrame, path: str) -> None:
     df.write.json(path, ignoreNullFields=False)
@@ -15,7 +83,7 @@ def write_json(df: DataFrame, path: str) -> None:
 
 def write_csv(df: DataFrame, path: str) -> None:
     flat = [F.to_json(f.name).alias(f.name) if f.dataType.typeName() in ("array", "struct", "map") else F.col(f.name) for f in df.schema]
-    df.select(*flat).write.csv(path, header=True)
+    df.select(*flat).write.csv(path, header=True, escape='"')
 
 
 def write_parquet(df: DataFrame, path: str, by: list[str] | None = None) -> None:

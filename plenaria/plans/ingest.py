@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import extract, fold
+from ..operators import extract, fold, link
 
 ORDER = ["date", "sitting_url", "section_ord", "sub_ord"]
 
@@ -38,3 +38,18 @@ def ingest(sittings: DataFrame, stored: dict[str, DataFrame] | None = None) -> d
     if "sittings" in stored:
         sittings = sittings.join(stored["sittings"].select("url"), "url", "left_anti")
     return {name: fold.upsert(stored.get(name), rows, name, ORDER) for name, rows in tables(sittings).items()}
+
+
+def ingest_members(members: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """The stored members after folding in a listing (name, url, house, parliament, role, constituency)."""
+    return fold.upsert(stored, members, "members", ["url"])
+
+
+def link_all(tables: dict[str, DataFrame], members: DataFrame) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """The stored tables with speakers and sponsors linked to members, and how many rows each link has filled."""
+    speakers = tables["speakers"]
+    if "member_url" not in speakers.columns:
+        speakers = speakers.withColumn("member_url", F.lit(None).cast("string"))
+    to = link.link_speakers(speakers, members, tables["sitting_speakers"], tables["sittings"])
+    bills = link.link_sponsors(tables["bills"], members)
+    return tables | {"speakers": to, "bills": bills, "members": members}, {"speakers": link.linked(speakers, to, ["name", "url"]), "bills": link.linked(tables["bills"], bills, ["name"], "sponsor_url")}

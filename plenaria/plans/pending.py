@@ -59,10 +59,10 @@ def mentions(mentions_: DataFrame, bills: DataFrame, sittings: DataFrame, limit:
 
 
 def journeys(bills: DataFrame, mentions_: DataFrame, appearances: DataFrame, limit: int) -> DataFrame:
-    """Bills without summary with their mentions by date, each with its summary and its speakers' texts."""
-    said = appearances.groupBy(*MENTION).agg(ordered_text(["speaker_name", "speaker_url"], "contributions_text", "\n\n").alias("speakers_text"))
+    """Bills without summary with their mentions by date, each with its summary and its speakers' texts (null where none spoke)."""
+    said = appearances.filter("contributions_text is not null").groupBy(*MENTION).agg(ordered_text(["speaker_name", "speaker_url"], "contributions_text", "\n\n").alias("speakers_text"))
     m = _null_safe(mentions_, said, MENTION, "left")
-    m = m.groupBy("bill").agg(F.sort_array(F.collect_list(F.struct("date", "sitting_url", "house", "stage", "summary", "speakers_text"))).alias("mentions"))
+    m = m.groupBy("bill").agg(F.sort_array(F.collect_list(F.struct("date", "sitting_url", "house", "stage", "section_title", "summary", "speakers_text"))).alias("mentions"))
     return bills.filter("summary is null").join(m, bills.name == m.bill).drop("bill").orderBy("name").limit(limit)
 
 
@@ -91,6 +91,49 @@ def answer(rows: DataFrame, prompt_col: str, make: Callable[[], Summarizer], mod
     return rows.mapInArrow(run, schema)
 
 
+def embedded(rows: DataFrame, text_col: str, make: Callable[[], Embedder]) -> DataFrame:
+    """rows with embedding (array of float); make() builds one embedder a task; what fails stays null."""
+    rows = rows.drop("embedding")
+
+    def run(batches):
+        import pyarrow as pa
+
+        embedder = make()
+        for batch in batches:
+            out = []
+            for t in batch.column(text_col).to_pylist():
+                try:
+                    out.append(None if t is None else [float(x) for x in embedder.embed(t)])
+                except Exception:  # noqa: BLE001  as in answer
+                    out.append(None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.float32()))], names=[*batch.schema.names, "embedding"])
+
+    return rows.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", embedding array<float>")
+
+
+# Keys and written columns of the stored tables that take summaries; sittings keep the source's own summary apart.
+TARGETS = {
+    "sittings": (["url"], {"summary": "generated_summary", "summary_model": "summary_model"}),
+    "bills": (["name"], {}),
+    "bill_mentions": (MENTION, {}),
+    "bill_mention_speakers": ([*MENTION, "speaker_name", "speaker_url"], {}),
+    "topics": (TOPIC, {}),
+    "topic_speakers": ([*TOPIC, "speaker_name", "speaker_url"], {}),
+}
+
+
+def store(table: DataFrame, name: str, answered: DataFrame, columns: tuple[str, ...] = ("summary", "summary_model")) -> DataFrame:
+    """table with what answered says written over the columns, by the table's key (nulls are equal); rows that answered
+    does not name, or has no value for, keep theirs. columns: or ("embedding",)."""
+    keys, renamed = TARGETS[name]
+    new = answered.select(*[F.col(k).alias(f"_{k}") for k in keys], *[F.col(c).alias(f"_new_{renamed.get(c, c)}") for c in columns]).dropDuplicates([f"_{k}" for k in keys])
+    on = [table[k].eqNullSafe(new[f"_{k}"]) for k in keys]
+    written = {renamed.get(c, c): c for c in columns}
+    out = table.join(new, on, "left")
+    kept = [F.coalesce(f"_new_{c}", table[c]).alias(c) if c in written else table[c] for c in table.columns]
+    return out.select(*kept, *[F.col(f"_new_{c}").alias(c) for c in written if c not in table.columns])
+
+
 def drain(pending: Callable[[int], DataFrame], work: Callable[[DataFrame], int], batch: int = 10, attempts: int = 3) -> int:
     """Repeats pending -> work until nothing is pending or `attempts` batches in a row write nothing."""
     done = idle = 0

@@ -32,11 +32,6 @@ def query(sql: str | None = None):
 NOISE_SQL = "(strlen({0}) < 4 or strlen({0}) > 150 or regexp_matches({0}, '^[0-9]') or contains({0}, 'I beg to move') or lower({0}) in (" + ", ".join(f"'{n}'" for n in text.NOISE_NAMES) + "))"
 
 
-@query("select conv_id, role, count(*) as n from conversations group by all")
-def speaker_tally(t):
-    return t("conversations").groupBy("conv_id", "role").agg(F.count("*").alias("n"))
-
-
 @query("select conv_id, role, count(*) as n, string_agg(text, chr(10) || chr(10) order by turn) as contributions_text from conversations group by conv_id, role")
 def speaker_text(t):
     return t("conversations").groupBy("conv_id", "role").agg(F.count("*").alias("n"), ordered_text(["turn"], "text", "\n\n").alias("contributions_text"))
@@ -47,16 +42,6 @@ def noise_filter(t):
     return t("conversations").select("conv_id", "turn", text.is_noise(F.col("role")).alias("noise_role"), text.is_noise(F.col("text")).alias("noise_text"))
 
 
-@query(f"select conv_id, count(*) as n_all, count(*) filter (not {NOISE_SQL.format('trim(text)')}) as n_kept from conversations group by all")
-def segment_count(t):
-    return t("conversations").groupBy("conv_id").agg(F.count("*").alias("n_all"), F.count(F.when(~text.is_noise(F.col("text")), 1)).alias("n_kept"))
-
-
-@query("select conv_id, arg_min(role, turn) filter (role <> 'system') as mover from conversations group by all")
-def first_mover(t):
-    return t("conversations").groupBy("conv_id").agg(F.min_by("role", F.when(F.col("role") != "system", F.col("turn"))).alias("mover"))
-
-
 def _titles():
     """Bill titles made of part names; built when asked for, as columns need a session."""
     return F.concat(F.element_at(F.array(*[F.lit(x) for x in [*text.STAGE_PREFIXES, ""]]), (F.col("p_partkey") % 20 + 1).cast("int")), F.lit("THE "), F.upper("p_name"), F.lit(" (AMENDMENT) BILL"))
@@ -117,7 +102,8 @@ def route_union(t):
 
 @query("select event_id, event_type from events where ts between timestamp '2024-01-02' and timestamp '2024-01-20'")
 def range_filter(t):
-    return t("events").filter(F.col("ts").between(F.lit("2024-01-02").cast("timestamp_ntz"), F.lit("2024-01-20").cast("timestamp_ntz"))).select("event_id", "event_type")
+    at = lambda day: F.lit(f"2024-01-{day}").cast("timestamp_ntz")
+    return listing.between(t("events"), at("02"), at("20"), "ts").select("event_id", "event_type")
 
 
 @query("select o_orderkey, o_totalprice from orders order by o_orderdate desc, o_orderkey limit 20 offset 40")
@@ -130,21 +116,9 @@ def top_n_recent(t):
     return listing.ordered_slice(t("orders"), [F.desc("o_orderdate"), F.asc("o_orderkey")], None, 10).select("o_orderkey", "o_custkey")
 
 
-@query("select c_custkey as url, c_name from customer c where not exists (select 1 from orders o where o.o_custkey = c.c_custkey)")
+@query("select c_custkey as url, c_name from customer c where not exists (select 1 from orders o where o.o_custkey = c.c_custkey and o_orderstatus = 'F')")
 def skip_ingested(t):
-    return listing.skip_ingested(t("customer").select(F.col("c_custkey").alias("url"), "c_name"), t("orders").select(F.col("o_custkey").alias("url")))
-
-
-@query("select l_orderkey, l_linenumber, c_name, n_name, s_name from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey left join supplier on l_suppkey = s_suppkey and s_acctbal > 0 where l_quantity > 40 order by o_orderdate, l_orderkey, l_linenumber limit 100")
-def pending_pairs(t):
-    r = t("lineitem").filter("l_quantity > 40").select("l_orderkey", "l_linenumber", "l_suppkey").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t("supplier").filter("s_acctbal > 0"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
-    return r.orderBy("o_orderdate", "l_orderkey", "l_linenumber").limit(100).select("l_orderkey", "l_linenumber", "c_name", "n_name", "s_name")
-
-
-@query("select o_orderkey, c_name, n_name from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey where o_orderstatus = 'O' order by o_orderdate desc, o_orderkey limit 50")
-def appearance_join(t):
-    r = t("orders").filter("o_orderstatus = 'O'").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    return r.orderBy(F.desc("o_orderdate"), "o_orderkey").limit(50).select("o_orderkey", "c_name", "n_name")
+    return listing.skip_ingested(t("customer").select(F.col("c_custkey").alias("url"), "c_name"), t("orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("url")))
 
 
 @query("with x as (select l_orderkey, string_agg(l_returnflag || l_linestatus, '+' order by l_linenumber, l_returnflag || l_linestatus) as said from lineitem group by 1) select o_custkey, string_agg(o_orderkey || ':' || coalesce(said, '-'), ' | ' order by o_orderdate, o_orderkey) as journey from orders left join x on o_orderkey = l_orderkey group by 1")
@@ -178,12 +152,6 @@ def ref_counts(t):
     return link.ref_counts(t("lineitem").select(F.col("l_suppkey").alias("speaker_id")), t("supplier").select(F.col("s_suppkey").alias("speaker_id")))
 
 
-@query("select source, lang, doc_id, rn from (select *, row_number() over (partition by source, lang order by n_chars desc, doc_id) as rn from documents) where rn <= 2")
-def canonical_rank(t):
-    rn = F.row_number().over(W.partitionBy("source", "lang").orderBy(F.desc("n_chars"), "doc_id"))
-    return t("documents").withColumn("rn", rn).filter("rn <= 2").select("source", "lang", "doc_id", F.col("rn").cast("long").alias("rn"))
-
-
 def _speakers(t):
     return t("orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"), F.when(F.col("o_custkey") % 3 > 0, F.col("o_custkey").cast("string")).alias("url"))
 
@@ -208,26 +176,12 @@ def link_by_key(t):
     return link.by_url(s, t("supplier").select(F.col("s_suppkey").cast("string").alias("url")))
 
 
-@query("select s_suppkey, s_name from supplier where regexp_matches(s_name, '(?i)supp.*[0-4]$') and exists (select 1 from lineitem where l_suppkey = s_suppkey and l_returnflag = 'R')")
-def link_role_semi(t):
-    return t("supplier").filter(F.col("s_name").rlike("(?i)supp.*[0-4]$")).join(t("lineitem").filter("l_returnflag = 'R'"), F.col("s_suppkey") == F.col("l_suppkey"), "left_semi").select("s_suppkey", "s_name")
-
-
 TRI_SQL = "list_distinct(flatten(list_transform(list_filter(regexp_split_to_array(lower({0}), '[^a-z0-9]+'), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))))"
 
 
-@query(f"with n as (select distinct p_name as a, {TRI_SQL.format('p_name')} as ta from part), m as (select distinct p_name as b, {TRI_SQL.format('p_name')} as tb from part) select a, b, round(len(list_intersect(ta, tb)) / len(list_distinct(list_concat(ta, tb))), 6) as score from n, m where a < b and len(list_intersect(ta, tb)) > 0")
+@query(f"with n as (select distinct p_name as a, {TRI_SQL.format('p_name')} as ta from part), m as (select distinct p_name as b, {TRI_SQL.format('p_name')} as tb from part) select a, b, round(len(list_intersect(ta, tb)) / len(list_distinct(list_concat(ta, tb))), 6) as score from n, m where a < b and len(list_intersect(ta, tb)) / len(list_distinct(list_concat(ta, tb))) >= 0.4")
 def similarity_pairs(t):
-    n = t("part").select("p_name").distinct().withColumn("t", trigram.trigrams(F.col("p_name")))
-    g = n.select("p_name", "t", F.explode("t").alias("g"))
-    a, b = g.select(F.col("p_name").alias("a"), F.col("t").alias("ta"), "g"), g.select(F.col("p_name").alias("b"), F.col("t").alias("tb"), "g")
-    return a.join(b, "g").filter("a < b").select("a", "b", "ta", "tb").distinct().select("a", "b", F.round(trigram.set_similarity(F.col("ta"), F.col("tb")), 6).alias("score"))
-
-
-@query()
-def match_topk(t):
-    names = t("part").select(F.col("p_name").alias("name")).distinct()
-    return trigram.match_members(names, t("part").select(F.col("p_type").alias("name"), F.col("p_type").alias("url")).distinct(), min_score=0.1).withColumn("score", F.round("score", 6))
+    return trigram.similar_pairs(t("part"), "p_name", 0.4).withColumn("score", F.round("score", 6))
 
 
 @query("select c_custkey, 'Kamau ' || c_custkey as name from customer")
@@ -308,12 +262,6 @@ def prompt_render(t):
     return t("conversations").select("conv_id", "turn", prompts.contribution("Topic", F.col("role"), F.lit("talk"), F.lit("Senate"), F.lit("2024-01-01"), F.when(F.col("turn") % 2 == 0, "s"), F.col("text")).alias("prompt"))
 
 
-@query("select count(*) as count, string_agg(n_nationkey || ':' || n_name, ',' order by n_nationkey) as data from nation")
-def list_envelope(t):
-    out = listing.envelope(t("nation").select("n_nationkey", "n_name"), ["n_nationkey"])
-    return out.select("count", F.array_join(F.transform("data", lambda x: F.concat_ws(":", x["n_nationkey"].cast("string"), x["n_name"])), ",").alias("data"))
-
-
 @query("select cast(sum(case when o_orderstatus = 'F' then 1 else 0 end) as bigint) as ingested, cast(sum(case when o_orderstatus = 'O' then 1 else 0 end) as bigint) as failed from orders")
 def ingest_stats(t):
     return fold.stats(t("orders").select((F.col("o_orderstatus") == "F").alias("ingested"), (F.col("o_orderstatus") == "O").alias("failed")), ["ingested", "failed"])
@@ -339,3 +287,6 @@ def delete_set_null(t):
 def enrich_rows(t):
     new = t("supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, "new").alias("s_name"))
     return fold.enrich(t("supplier").select("s_suppkey", "s_name"), new, "s_suppkey", ["s_name"])
+
+
+from . import model_queries, page_queries  # noqa: E402, F401  they register theirs

@@ -117,12 +117,28 @@ def archive_links(html: str) -> list[dict]:
     return out
 
 
-def page_info(html: str) -> dict:
-    """current and last page over the pager's links; a page without pager is the only one."""
-    pages = [int(n) for a in tree(html).find("a") for n in re.findall(r"[?&]page=(\d+)", a.attrs.get("href", ""))]
-    now = [int(m[1]) for x in tree(html).find(None, "current") if (m := re.search(r"(\d+)", x.clean()))]
-    here = now[0] if now else 1
-    return {"current": here, "last": max([here, *pages])}
+# Pagers by kind of page, as (class of the pager, link parameter); the listing's pager has no class of its own.
+PAGERS = {"listing": (None, "page="), "bills": ("bills-pagination", "bills_page="), "activity": ("contributions-pagination", "contributions_page=")}
+
+
+def page_info(html: str, kind: str = "listing") -> dict | None:
+    """current and last page of a pager; None without one."""
+    root = tree(html)
+    nav, parameter = PAGERS[kind]
+    boxes = list(root.find("nav", nav)) if nav else [root]
+    # fixed values: the class names
+    marks = [s.clean() for box in boxes for li in box.find("li", "active_number_box" if nav else "active.active_number_box") for s in li.find("span")]
+    if not marks or not marks[0].isdigit():
+        return None
+    links = [a.attrs["href"] for box in boxes for a in box.find("a", None if nav else "page_label") if "href" in a.attrs]
+    pages = [int(m[1]) for href in links if (m := re.search(re.escape(parameter) + r"(\d+)", href))]
+    return {"current": int(marks[0]), "last": max(pages, default=int(marks[0]))}
+
+
+def pages_of(html: str, kind: str, items: list) -> int:
+    """Pages of a part of a profile: the pager's, else 1 if there are items."""
+    info = page_info(html, kind)
+    return info["last"] if info else int(bool(items))
 
 
 class _Sections:
@@ -226,7 +242,7 @@ def archive_sitting(html: str) -> dict:
         if "heading" in kinds:
             title = li.clean()
             section = None
-            if title and not re.search("PARLIAMENT|SENATE|NATIONAL ASSEMBLY", title.upper()):
+            if not re.search("PARLIAMENT|SENATE|NATIONAL ASSEMBLY", title):
                 section = {"section_type": title, "subsections": [], "contributions": []}
                 sections.append(section)
         elif "speech" in kinds and section is not None:
@@ -242,92 +258,133 @@ def archive_sitting(html: str) -> dict:
     heads = [h.clean() for h in root.find("h2")]
     page = root.first("li", "page_number")
     kind = re.search(r"(?i)(Special|Morning|Afternoon) Sitting", page.clean()) if page else None
-    chair = next((x.clean() for x in root.find("li", "scene") if "in the Chair" in x.clean()), None)
-    return {"parliament_number": next((h for h in heads if "PARLIAMENT" in h), None), "session_number": next((h for h in heads if "Session" in h), None), "session_type": kind[0] if kind else None, "speaker_in_chair": chair, "sections": sections}
+    chair = next((x.clean() for x in root.find("li", "scene") if "in the Chair" in x.text()), None)
+    # fixed values: what stands for what a page does not say
+    return {"parliament_number": next((h for h in heads if "PARLIAMENT" in h), "PARLIAMENT OF KENYA"), "session_number": next((h for h in heads if "Session" in h), "Unknown Session"), "session_type": kind[0] if kind else "Regular Sitting", "speaker_in_chair": chair or "[Speaker information not found]", "sections": sections}
 
 
 def person(html: str) -> dict | None:
-    """Archive person page; None without a name."""
+    """Archive person page; None without a heading."""
     root = tree(html)
     h1 = root.first("h1")
-    if not h1 or not h1.clean():
+    if not h1:
         return None
-    party, email, phone = root.first(None, "party-membership"), None, None
-    for a in root.find("a"):
-        href = a.attrs.get("href", "")
-        email = email or (href[7:] if href.startswith("mailto:") else None)
-        phone = phone or (href[4:] if href.startswith("tel:") else None)
-    link = party.first("a") if party else None
-    place = next((a for a in root.find("a") if "/place/" in a.attrs.get("href", "")), None)
-    about = next((t for p in root.find("p") if (t := p.clean()) and not re.search("Email|Telephone|@", t)), None)
-    return {"name": h1.clean(), "summary": about, "party": _text(party), "party_url": link.attrs.get("href") if link else None, "email": email, "telephone": phone, "position": _text(root.first(None, "position.ongoing")), "constituency": _text(place), "constituency_url": place.attrs.get("href") if place else None}
-
-
+    hrefs = [a.attrs.get("href", "") for a in root.find("a")]
+    party = root.first(None, "party-membership")
+    posts = list(root.find(None, "position.ongoing"))
+    place = next((a for x in posts for a in x.find("a") if a.attrs.get("href", "").startswith("/place/")), None)
+    return {
+        "name": h1.clean(),
+        "summary": next((t for p in root.find("p") if (t := p.clean()) and not re.search("Email|Telephone|@", t)), None),
+        "party": party.clean() if party else None,
+        "party_url": party.attrs.get("href") if party else None,
+        "email": next((h.removeprefix("mailto:") for h in hrefs if h.startswith("mailto:")), None),
+        "telephone": next((h.removeprefix("tel:") for h in hrefs if h.startswith("tel:")), None),
+        "position": next((h.clean() for x in posts for h in x.find("h4")), None),
+        "constituency": place.clean() if place else None,
+        "constituency_url": place.attrs.get("href") if place else None,
+    }
+
+
+# Fixed values from here on: the class names of member pages.
 def members(html: str) -> list[dict]:
-    """Members of a list page, of either house's layout."""
+    """Members of a list page, of either house's layout; items without a link or a name are none."""
     out = []
     for a in tree(html).find("a"):
-        kind = next((k for k in ("members-list--item", "senators-list--item") if k in a.classes.split()), None)
-        part = lambda word, a=a: next((_text(x) for x in a.walk() if word in x.classes), None)
-        if kind and part("name"):
-            out.append({"name": part("name"), "url": a.attrs.get("href"), "role": part("leader-role"), "constituency": part("representation")})
+        kind = next((k for k in ("members-list", "senators-list") if f"{k}--item" in a.classes.split()), None)
+        part = lambda *names, a=a: next((t for x in a.walk() if any(n in x.classes.split() for n in names) and (t := x.clean())), None)
+        name = part("members-list--name", "senators-list--name") if kind else None
+        if name and "href" in a.attrs:
+            out.append({"name": name, "url": a.attrs["href"], "role": part("leader-role"), "constituency": part("members-list--representation", "senators-list--representation")})
     return out
 
 
+def _said(node: Node, tag: str, cls: str) -> str:
+    """The clean text of the first such element below node; empty without one."""
+    x = node.first(tag, cls)
+    return x.clean() if x else ""
+
+
 def bills(html: str) -> list[dict]:
-    out = []
-    for b in tree(html).find("div", "bill-item"):
-        part = lambda word, b=b: next((x.clean() for x in b.walk() if word in x.classes), "")
-        head = next((x.clean() for x in b.walk() if x.tag in ("h3", "h4", "h5") or "name" in x.classes), "")
-        if head:
-            out.append({"name": head, "year": part("year"), "status": part("status").removeprefix("Status:").strip()})
-    return out
+    """Bills of a profile: name, year, status (the stage, without its label)."""
+    out = [{"name": _said(b, "h3", "bill-name"), "year": _said(b, "span", "bill-year"), "status": _said(b, "div", "bill-stage").removeprefix("Status:").strip()} for b in tree(html).find("div", "bill-item")]
+    return [b for b in out if b["name"]]
 
 
 def votes(html: str) -> list[dict]:
+    """Votes of a profile; rows without a date cell or a linked title are none."""
     out = []
-    for r in tree(html).find(None, "voting-patterns-row"):
-        part = lambda word, r=r: next((x.clean() for x in r.walk() if word in x.classes), "")
-        a = r.first("a")
-        if part("date") and part("title"):
-            out.append({"date": part("date"), "title": part("title"), "url": a.attrs.get("href") if a else None, "decision": part("decision")})
+    for r in tree(html).find("div", "voting-patterns-row"):
+        date = r.first("div", "voting-cell.voting-date")
+        title = next((a for c in r.find("div", "voting-cell.voting-title") for a in c.find("a")), None)
+        if date and title:
+            decision = next((b.clean() for c in r.find("div", "voting-cell.voting-decision") for b in c.find("span", "decision-badge")), "")
+            out.append({"date": date.clean(), "title": title.clean(), "url": title.attrs.get("href"), "decision": decision})
     return out
 
 
 def activity(html: str) -> list[dict]:
-    """Contributions of a profile: group (date), subgroup (topic), item; each item carries what is above it."""
+    """Contributions of a profile: groups (topic, date) hold subgroups (type, title with the sitting's link), and these the items."""
     out = []
-    for g in tree(html).find(None, "contribution-group"):
-        part = lambda x, word: next((y.clean() for y in x.walk() if word in y.classes.split("-") or word in y.classes), "")
-        for a in g.find("a"):
-            url = a.attrs.get("href", "")
-            if url:
-                out.append({"date": part(g, "date"), "topic": part(g, "topic"), "contribution_type": part(g, "type"), "section_title": part(g, "section"), "sitting_url": url.split("#")[0], "text_preview": a.clean(), "url": url})
+    for group in tree(html).find("div", "contribution-group"):
+        above = {"date": _said(group, "span", "group-date"), "topic": _said(group, "span", "topic-badge.topic-badge-large")}
+        for sub in group.find("div", "conversation-subgroup"):
+            head = sub.first("a", "conversation-title")
+            own = {"contribution_type": _said(sub, "span", "conversation-type-badge"), "section_title": head.clean() if head else "", "sitting_url": head.attrs.get("href", "").split("#")[0] if head else ""}
+            for item in sub.find("div", "contribution-item"):
+                link = item.first("a", "contribution-text-link")
+                if link and link.attrs.get("href"):
+                    out.append({**above, **own, "text_preview": _said(link, "p", "contribution-text"), "url": link.attrs["href"]})
     return out
 
 
+def _siblings(root: Node, tags: tuple[str, ...], cls: tuple[str, ...], word: str) -> list[Node]:
+    """The elements that follow, beside it, the first heading of such a tag and class whose text has the word."""
+    for parent in (root, *root.walk()):
+        below = parent.elements()
+        for i, x in enumerate(below):
+            if x.tag in tags and set(cls) & set(x.classes.split()) and word in x.text():
+                return below[i + 1 :]
+    return []
+
+
 def profile(html: str) -> dict | None:
+    """Profile page; None without a name. Lists that pages hold in parts are the page's, with the number of pages."""
     root = tree(html)
-    h1 = root.first("h1")
+    h1 = root.first("h1", "page-heading")
     if not h1:
         return None
-    flat, text = list(root.walk()), root.clean()
-    positions, on = [], False
-    for x in flat:
+    positions = []
+    for x in _siblings(root, ("h2",), ("header-two",), "CURRENT POSITIONS"):
         if x.tag == "h2":
-            on = "position" in x.clean().lower()
-        elif on and x.tag in ("li", "p") and x.clean():
-            positions.append(x.clean())
-    after, party = False, None
-    for x in flat:
-        after = after or (x.tag == "h2" and "Parties" in x.clean())
-        if after and x.tag == "p" and "elected-post" in x.classes.split():
-            party = x.clean()
             break
-    speeches = re.search(r"has made\D+(\d+)\D+speeches last year\D+(\d+)\D+speeches", text)
-    sponsored = re.search(r"has sponsored\D+(\d+)\D+bill", text)
-    photo = next((x for x in root.find("img") if "photo" in x.classes or "profile" in x.classes), None)
-    return {"name": h1.clean(), "photo_url": photo.attrs.get("src") if photo else None, "biography": _text(root.first(None, "biography")), "positions": positions, "party": party, "committees": [x.clean() for x in root.find(None, "committee-item")], "speeches_last_year": int(speeches[1]) if speeches else None, "speeches_total": int(speeches[2]) if speeches else None, "bills_total": int(sponsored[1]) if sponsored else None, "bills": bills(html), "voting_patterns": votes(html), "activity": activity(html)}
+        inside = [x] if x.tag == "p" else list(x.find("p")) if x.tag == "div" and "position-section" in x.classes else []
+        positions += [t for p in inside if (t := p.clean())]
+    party = next((x.clean() for x in _siblings(root, ("h2",), ("header-two", "header-three"), "Parties") if x.tag == "p" and "elected-post" in x.classes), "")
+    biography = next((d.clean() for s in root.find("section", "member-biography") for d in s.find("div", "biography-content")), "")
+    spoken = next((p.text() for d in root.find("div", "activity-section") for p in d.find("p")), "")
+    speeches = re.search(r"has made\D+(\d+)\D+speeches last year\D+(\d+)\D+speeches", spoken)
+    summary = root.first("p", "bills-summary")
+    sponsored = re.search(r"has sponsored\D+(\d+)\D+bill", summary.text()) if summary else None
+    photo = root.first("img", "member-list--image")
+    own_bills, own_activity = bills(html), activity(html)
+    return {
+        "name": h1.clean(),
+        "photo_url": photo.attrs.get("src") if photo else None,
+        "biography": biography or None,
+        "position_type": _said(root, "h2", "assembly-entry") or None,
+        "positions": positions,
+        "party": party or None,
+        "committees": [t for x in root.find("li", "committee-item") if (t := x.clean())],
+        "speeches_last_year": int(speeches[1]) if speeches else None,
+        "speeches_total": int(speeches[2]) if speeches else None,
+        "bills": own_bills,
+        "bills_total": int(sponsored[1]) if sponsored else None,
+        "bills_pages": pages_of(html, "bills", own_bills),
+        "voting_patterns": votes(html),
+        "activity": own_activity,
+        "activity_pages": pages_of(html, "activity", own_activity),
+    }
 
 
 def links(html: str) -> list[dict]:

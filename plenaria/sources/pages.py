@@ -17,8 +17,16 @@ CONTRIBUTION = "struct<speaker_name:string,speaker_role:string,speaker_url:strin
 SECTIONS = f"array<struct<section_type:string,subsections:array<struct<title:string,contributions:array<{CONTRIBUTION}>>>,contributions:array<{CONTRIBUTION}>>>"
 SITTING = f"house string, breadcrumb string, time string, pdf_url string, summary_box string, sections {SECTIONS}"
 ARCHIVE_SITTING = f"parliament_number string, session_number string, session_type string, speaker_in_chair string, sections {SECTIONS}"
+BILL = "name string, year string, status string"
+VOTE = "date string, title string, url string, decision string"
+ACTIVITY = "date string, topic string, contribution_type string, section_title string, sitting_url string, text_preview string, url string"
+MEMBER = "name string, url string, role string, constituency string"
 PERSON = "name string, summary string, party string, party_url string, email string, telephone string, position string, constituency string, constituency_url string"
-PROFILE = "name string, photo_url string, biography string, positions array<string>, party string, committees array<string>, speeches_last_year int, speeches_total int, bills_total int, bills array<struct<name:string,year:string,status:string>>, voting_patterns array<struct<date:string,title:string,url:string,decision:string>>, activity array<struct<date:string,topic:string,contribution_type:string,section_title:string,sitting_url:string,text_preview:string,url:string>>"
+def _struct(fields: str) -> str:
+    return "struct<" + ", ".join(f.replace(" ", ":", 1) for f in fields.split(", ")) + ">"
+
+
+PROFILE = f"name string, photo_url string, biography string, position_type string, positions array<string>, party string, committees array<string>, speeches_last_year int, speeches_total int, bills array<{_struct(BILL)}>, bills_total int, bills_pages int, voting_patterns array<{_struct(VOTE)}>, activity array<{_struct(ACTIVITY)}>, activity_pages int"
 
 
 class PageOutOfRange(ValueError):
@@ -70,31 +78,83 @@ def current_sittings(pages: DataFrame) -> DataFrame:
 
 
 def archive_sittings(pages: DataFrame, people: DataFrame | None = None) -> DataFrame:
-    """Sittings of the archive; people (url, name) replaces nothing but names speakers' pages, each joined once."""
-    rows = parse(pages, html.archive_sitting, ARCHIVE_SITTING).withColumn("at", text.archive_entry(F.col("page_url"), F.lit(""))).filter("at is not null")
+    """Sittings of the archive. people (a result of `people`): adds speakers, the details of every page that a sitting's
+    speakers link to, each once; speakers without a page stay as they are."""
+    rows = parse(pages, html.archive_sitting, ARCHIVE_SITTING).withColumn("at", text.archive_entry(F.col("page_url"), F.lit(""), 2)).filter("at is not null")
     fix = lambda c: c.withField("speaker_name", text.fix_name_and_role(c["speaker_name"], c["speaker_role"])["name"]).withField("speaker_role", text.fix_name_and_role(c["speaker_name"], c["speaker_role"])["role"])
     sections = F.transform("sections", lambda s: s.withField("contributions", F.transform(s["contributions"], fix)))
     none = F.lit(None).cast("string")
-    return rows.select("at.house", "at.date", F.col("page_url").alias("url"), F.coalesce("session_type", F.lit("Unknown")).alias("session_type"), F.lit("archive").alias("source"), none.alias("day_of_week"), "at.start_time", none.alias("end_time"), "parliament_number", "session_number", "speaker_in_chair", none.alias("summary"), none.alias("sentiment"), none.alias("pdf_url"), sections.alias("sections"))
+    out = rows.select("at.house", "at.date", F.col("page_url").alias("url"), "session_type", F.lit("archive").alias("source"), none.alias("day_of_week"), "at.start_time", none.alias("end_time"), "parliament_number", "session_number", "speaker_in_chair", none.alias("summary"), none.alias("sentiment"), none.alias("pdf_url"), sections.alias("sections"))
+    return out if people is None else with_speakers(out, people)
+
+
+def with_speakers(sittings: DataFrame, people: DataFrame) -> DataFrame:
+    """sittings with speakers: array of (speaker_url, details or null) of the distinct links of each, in order of the links."""
+    links = sittings.select("url", F.explode(F.array_distinct(F.flatten(F.transform("sections", lambda s: F.transform(s["contributions"], lambda c: c["speaker_url"]))))).alias("speaker_url")).filter("speaker_url is not null")
+    details = people.select(F.col("page_url").alias("_p"), F.struct(*[c for c in people.columns if c != "page_url"]).alias("details"))
+    found = links.join(details, links.speaker_url == details["_p"], "left")
+    found = found.groupBy(F.col("url").alias("_u")).agg(F.sort_array(F.collect_list(F.struct("speaker_url", "details"))).alias("speakers"))
+    return sittings.join(found, sittings.url == found["_u"], "left").drop("_u")
 
 
 def people(pages: DataFrame) -> DataFrame:
-    return parse(pages, html.person, PERSON)
+    """Person pages by page_url, with slug; blank pages and pages without a heading give none."""
+    return parse(pages, html.person, PERSON).withColumn("slug", text.slug(F.col("page_url")))
+
 
+def members(pages: DataFrame, house: str, parliament: str = "13th-parliament") -> DataFrame:
+    """Members of all list pages of a house and parliament."""
+    return parse(pages, html.members, MEMBER).select("name", text.member_url(F.col("url")).alias("url"), F.lit(house).alias("house"), F.lit(parliament).alias("parliament"), "role", "constituency")
 
-def members(pages: DataFrame, house: str) -> DataFrame:
-    return parse(pages, html.members, "name string, url string, role string, constituency string").select("name", text.member_url(F.col("url")).alias("url"), F.lit(house).alias("house"), "role", "constituency")
+
+def member_page(pages: DataFrame, house: str, page: int, parliament: str = "13th-parliament") -> DataFrame:
+    """Members of one list page; a page that is another one than asked for is refused."""
+    return members(checked(pages, page), house, parliament)
+
+
+def members_both(assembly: DataFrame, senate: DataFrame, parliament: str = "13th-parliament") -> DataFrame:
+    """Members of both houses; a house without pages has none."""
+    return members(assembly, "National Assembly", parliament).unionByName(members(senate, "Senate", parliament))
 
 
 def profiles(pages: DataFrame) -> DataFrame:
-    return parse(pages, html.profile, PROFILE)
+    """Profiles by page_url, with slug and absolute photo_url."""
+    rows = parse(pages, html.profile, PROFILE)
+    return rows.withColumn("slug", text.slug(F.col("page_url"))).withColumn("photo_url", text.absolute_photo(F.col("photo_url")))
+
 
+def activities(pages: DataFrame) -> DataFrame:
+    """page_url and the contributions of a profile's activity pages."""
+    return parse(pages, html.activity, ACTIVITY)
 
-def page_infos(pages: DataFrame) -> DataFrame:
-    return parse(pages, html.page_info, "current int, last int")
 
+def bills(pages: DataFrame) -> DataFrame:
+    """page_url and the bills of a profile's bill pages."""
+    return parse(pages, html.bills, BILL)
 
-def check_page(asked: int, last: int) -> int:
-    if not 1 <= asked <= max(1, last):
+
+def votes(pages: DataFrame) -> DataFrame:
+    return parse(pages, html.votes, VOTE)
+
+
+def page_infos(pages: DataFrame, kind: str = "listing") -> DataFrame:
+    """page_url, current, last of pages with a pager of the kind (listing, bills, activity)."""
+    return parse(pages, lambda page: html.page_info(page, kind), "current int, last int")
+
+
+def checked(pages: DataFrame, asked: int, kind: str = "listing") -> DataFrame:
+    """pages (one page, asked for by number), or PageOutOfRange where its pager says it is another."""
+    for info in page_infos(pages, kind).limit(1).collect():
+        check_page(asked, info.current, info.last)
+    return pages
+
+
+def check_page(asked: int, current: int, last: int) -> int:
+    if asked != current:
         raise PageOutOfRange(f"page {asked} of {last}")
     return asked
+
+
+def listing_page(pages: DataFrame, page: int, house: str | None = None) -> DataFrame:
+    """Listings of one page, asked for by number."""
+    return current_listings(checked(pages, page), house)
