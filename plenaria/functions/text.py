@@ -44,7 +44,7 @@ PROFESSIONS = r"(?i)\(?(Dr|Prof|Eng|Rtd|Ret|SC|EGH|CBS|OGW|MBS|EBS|HSC|OBS|Capt|
 MOVE = "I beg to move"
 HOUSES = {"senate": ("senate", "Senate"), "national_assembly": ("national-assembly", "National Assembly"), "na": ("national-assembly", "National Assembly")}
 ARCHIVE_HOST = "info.mzalendo.com"
-ARCHIVE_URL, CURRENT_URL = "http://info.mzalendo.com", "https://mzalendo.com"
+ARCHIVE_URL, CURRENT_URL = "https://info.mzalendo.com", "https://mzalendo.com"
 
 
 def squeeze(c: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import prompts, text
 from ..operators import extract, fold, link, listing, sinks
 from . import ingest, pending
-from .registry import query
+from .base import query
 
 MOVED = "I beg to move that it be read a Second Time; National Assembly Bill No. 20 of 2026. "
 SITTINGS = "struct<title:string,contributions:" + extract.SPOKEN + ">"

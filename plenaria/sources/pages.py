@@ -66,7 +66,7 @@ def current_listings(pages: DataFrame, house: str | None = None) -> DataFrame:
 
 def archive_listings(pages: DataFrame) -> DataFrame:
     rows = parse(pages, html.archive_links, "url string, title string").filter("url is not null").withColumn("at", text.archive_entry(F.col("url"), F.col("title"))).filter("at is not null")
-    return rows.select("at.house", "at.date", text.normal_url(F.col("url")).alias("url"), "title", F.lit(None).cast("string").alias("session_type"), "at.start_time", "at.end_time", F.lit("archive").alias("source"))
+    return rows.select("at.house", "at.date", F.when(F.col("url").startswith("http"), F.col("url")).otherwise(F.concat(F.lit(text.ARCHIVE_URL), "url")).alias("url"), "title", F.lit(None).cast("string").alias("session_type"), "at.start_time", "at.end_time", F.lit("archive").alias("source"))
 
 
 def current_sittings(pages: DataFrame) -> DataFrame:
