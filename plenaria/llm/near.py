@@ -10,10 +10,11 @@ is verified on its whole sets, and classes are the components of what is linked.
 
 Scale: equal sets are one node, so copies never make pairs. Each document gives a row for a fifth of its shingles, which
 moves once. Of all nodes under one shingle, first each is compared with the least, then with the one that shares most of its
-first shingles with others (of near copies the one nearest to all), then with one of the greatest component, and then
-only those with each other whose components still differ and that share enough of their first shingles with anyone,
-so a large group of near copies makes few pairs. A shingle that many unlike documents keep among their first ones still makes pairs of all of them
-whose lengths are alike: what is compared there is not cut. Whole sets are built only for pairs that the first shingles
+first shingles with others (of near copies the one nearest to all), and then only those with each other whose components
+still differ. Those must share `_needed` of their first shingles, which depends on both lengths, so by the prefix
+filter once more they meet under the first of the shingles that each shares at all, fewer the more they need (`_rest`): a large
+group of near copies, or of documents with a common passage, makes few pairs. Unlinked copies that are nearly similar enough are
+still compared with each other: what is compared there is not cut. Whole sets are built only for pairs that the first shingles
 allow: with c of them shared, up to the end of the list that ends first, no more than c and what is left of the
 shorter rest can be shared in all.
 
@@ -139,10 +140,42 @@ def _alike(a: str, b: str):
     return (5 * F.col(a) >= 4 * F.col(b)) & (5 * F.col(b) >= 4 * F.col(a))
 
 
+def _later(n):
+    """How many shingles of a set of n are behind its first ones."""
+    return F.floor((4 * n + 4) / 5) - 1
+
+
 def _possible(c, a: str, b: str):
     """Whether sets of a and b shingles that share c of their first ones can share enough in all."""
-    later = lambda n: F.floor((4 * F.col(n) + 4) / 5) - 1  # noqa: E731  behind the first ones
-    return 9 * (c + F.greatest(later(a), later(b))) >= 4 * (F.col(a) + F.col(b))
+    return 9 * (c + F.greatest(_later(F.col(a)), _later(F.col(b)))) >= 4 * (F.col(a) + F.col(b))
+
+
+def _needed(short, long):
+    """How many of their first shingles sets of these sizes must share at least, to share enough in all."""
+    return F.greatest(F.lit(1), F.ceil(4 * (short + long) / 9) - _later(long))
+
+
+#: Sizes of one class differ by less than this factor; sets at the similarity are up to STEPS classes apart.
+GROWTH, STEPS = 1.05, 5
+
+
+def _rest(named: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that may be linked, of rows shingle, node, n, part: all of a node's
+    first shingles that it can share with one of another component. For each class of the other's size a node needs
+    to share `_needed` of its c shingles at least, and meets it under the first c - needed + 1, by hash."""
+    own = W.partitionBy("node")
+    named = named.withColumn("c", F.count("*").over(own)).withColumn("i", F.row_number().over(own.orderBy("shingle"))).withColumn("size", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(GROWTH))).cast("int"))
+    rows = common.cut(named).withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(STEPS))))
+    n, at = F.col("n").cast("long"), lambda e: F.pow(F.lit(GROWTH), e)
+    longest = F.least(F.ceil(at(F.col("size") + F.col("step") + 1)) + 1, F.floor(5 * n / 4))  # of the class, a bit more by rounding
+    shortest = F.greatest(F.floor(at(F.col("size") - F.col("step"))) - 1, F.ceil(4 * n / 5))
+    meets = lambda needed: F.col("i") <= F.col("c") - needed + 1
+    a = rows.filter(meets(_needed(n, F.greatest(n, longest)))).withColumn("other", F.col("size") + F.col("step")).alias("a")
+    b = rows.filter(meets(_needed(F.least(n, shortest), n))).withColumn("other", F.col("size") - F.col("step")).alias("b")
+    both = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.size") == F.col("b.other")) & (F.col("a.other") == F.col("b.size"))
+    once = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.node") < F.col("b.node")))
+    met = a.join(b, both & once & (F.col("a.part") != F.col("b.part")) & _alike("a.n", "b.n"))
+    return _pairs(met.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")), "x", "y")
 
 
 def _pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
@@ -176,20 +209,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = common.cut(rows.filter("k > 2").select("shingle", "node", "n").withColumn("c", F.count("*").over(W.partitionBy("node"))))
 
     def labelled():
-        """Rows of the shingles whose nodes are not all in one component, with the component, the node that shares most, and a node of the greatest component."""
+        """Rows of the shingles whose nodes are not all in one component, with the component and the node that shares most."""
         labels = components(links).withColumnRenamed("label", "part")
         named = rows.join(labels, "node", "left").withColumn("part", F.coalesce("part", "node"))
-        named = named.withColumn("least", F.min("part").over(under)).withColumn("core", F.max(F.struct("c", "node", "n", "part")).over(under)).withColumn("high", F.max(F.struct("part", "node", "n", "c")).over(under))
-        return named.filter("least != high.part")
-
-    for end in ("core", "high"):
-        asked = labelled().filter((F.col("part") != F.col(f"{end}.part")) & _alike("n", f"{end}.n") & _possible(F.least("c", f"{end}.c"), "n", f"{end}.n"))
-        links = common.cut(links.union(_verified(texts, signed, _pairs(asked, "node", f"{end}.node"))))
-    named = common.cut(labelled().select("shingle", "node", "n", "c", "part"))
-    a, b = named.alias("a"), named.alias("b")
-    rest = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.part") != F.col("b.part")) & _alike("a.n", "b.n") & _possible(F.least("a.c", "b.c"), "a.n", "b.n"))
-    rest = rest.groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b")).agg(F.count("*").alias("c")).filter(_possible(F.col("c"), "n_a", "n_b"))
-    links = links.union(_verified(texts, signed, rest.select("a", "b")))
+        return named.withColumn("least", F.min("part").over(under)).withColumn("most", F.max("part").over(under)).withColumn("core", F.max(F.struct("c", "node", "n", "part")).over(under)).filter("least != most")
+
+    asked = labelled().filter((F.col("part") != F.col("core.part")) & _alike("n", "core.n") & _possible(F.least("c", "core.c"), "n", "core.n"))
+    links = common.cut(links.union(_verified(texts, signed, _pairs(asked, "node", "core.node"))))
+    links = links.union(_verified(texts, signed, _rest(labelled().select("shingle", "node", "n", "part"))))
     parts = signed.select("id", "key", "node").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = parts.groupBy("label").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "key"))).alias("least"))
     return parts.join(least, "label").select(F.col("id").alias("doc_id"), F.col("least.id").alias("component_id"), "key", F.coalesce((F.col("id") == F.col("least.id")) & (F.col("key") == F.col("least.key")), F.lit(False)).alias("leads"))
