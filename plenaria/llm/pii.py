@@ -81,9 +81,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+#: What a text must hold to hold a secret.
+HINTS = ("key", "token", "secret", "passw", "pwd")
+FORMS = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-")
+
+
 def secrets(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of given keys, tokens and passwords of 12 characters or more, one of them a digit."""
     out = []
+    if not any(f in text for f in FORMS):
+        low = text.lower()
+        if not any(h in low for h in HINTS):
+            return out
     for m in SECRET.finditer(text):
         k = 1 if m[1] else 2
         if any(c.isdigit() for c in m[k]):
@@ -119,6 +128,24 @@ def _terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, str,
     return out
 
 
+class Terms:
+    """The terms of raw words, with a bounded memory; a word is a run of anything but ASCII white space."""
+
+    def __init__(self, limit: int = 400_000):
+        self.known, self.limit = {}, limit
+
+    def of(self, raw: bytes) -> set[str]:
+        """The distinct terms of a text."""
+        words, known = set(raw.split()), self.known
+        if len(known) > self.limit:
+            known.clear()
+        for w in words.difference(known):
+            known[w] = w.decode("utf-8").strip(EDGE).lower()
+        out = set(map(known.__getitem__, words))
+        out.discard("")
+        return out
+
+
 def _scan(reach: int):
     def run(batches):
         from bisect import bisect_left
@@ -126,7 +153,7 @@ def _scan(reach: int):
 
         import pyarrow as pa
 
-        corpus = Counter()
+        corpus, terms = Counter(), Terms()
         kinds = {"entities": pa.list_(pa.string()), "words": pa.list_(pa.string()), "near": pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())])), "word": pa.string(), "texts": pa.int64()}
 
         def told():
@@ -139,7 +166,7 @@ def _scan(reach: int):
             rows = []
             for raw in common.encoded(piece.column("text")):
                 text = raw.decode("utf-8")
-                corpus.update({x.lower() for w in set(WORDS.findall(text)) if (x := w.strip(EDGE))})
+                corpus.update(terms.of(raw))
                 if spans := protected(text):
                     at = _terms(text, spans)
                     starts, near, entities = [a for a, _, _ in at], set(), set()
@@ -168,6 +195,7 @@ def _mark(telling: frozenset[str], first: bool, last: bool):
         import pyarrow as pa
 
         span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32())]))
+        terms = Terms()
         for piece in common.pieces(batches):
             rows, had = [], piece.column("found").to_pylist() if not first else None
             for i, raw in enumerate(common.encoded(piece.column("text"))):
@@ -175,7 +203,7 @@ def _mark(telling: frozenset[str], first: bool, last: bool):
                 every = protected(text)
                 base = [x for x in every if x[1] < BASE]
                 digest = hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in base).encode()).hexdigest()
-                more = [(a, TERM, a + n) for a, w, n in _terms(text, every) if w in telling] if telling else []
+                more = [(a, TERM, a + n) for a, w, n in _terms(text, every) if w in telling] if telling and not telling.isdisjoint(terms.of(raw)) else []
                 found = sorted((every if first else [(x["start"], x["kind"], x["stop"]) for x in had[i]]) + more)
                 clean = hashlib.sha256(hide(text, found).encode()).hexdigest() if last else None
                 rows.append(([sum(k == i for _, k, _ in every) for i in range(TERM)], digest, clean, [{"start": s, "kind": k, "stop": e} for s, k, e in found]))
