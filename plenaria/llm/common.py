@@ -47,7 +47,7 @@ def stored(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: like cut, for rows with texts (compressed, read by column)."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/stored-{spark.sparkContext.applicationId}-{uuid.uuid4()}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -13,7 +13,9 @@ moves once. Of all nodes under one shingle, first each is compared with the leas
 first shingles with others (of near copies the one nearest to all), and then only those with each other whose components
 still differ. Those must share `_needed` of their first shingles, which depends on both lengths, so by the prefix
 filter once more they meet under the first of the shingles that each shares at all, fewer the more they need (`_rest`): a large
-group of near copies, or of documents with a common passage, makes few pairs. Unlinked copies that are nearly similar enough are
+group of near copies, or of documents with a common passage, makes few pairs. A sketch of the parities of `PARITIES` classes
+of a set's shingles says of how many at least two sets differ, which leaves out most pairs of up to some 500 shingles that
+are not similar enough. Unlinked copies that are nearly similar enough are
 still compared with each other: what is compared there is not cut. Whole sets are built only for pairs that the first shingles
 allow: with c of them shared, up to the end of the list that ends first, no more than c and what is left of the
 shorter rest can be shared in all.
@@ -61,6 +63,17 @@ def _sets(texts: list[bytes], hasher: WordHashes) -> list:
     return out
 
 
+PARITIES = 256
+
+
+def _parities(s) -> list[int]:
+    """For each of PARITIES classes whether the set has an odd number of it, as longs. Sets differ by as many members at least as these by bits."""
+    import numpy as np
+
+    odd = np.bincount((s >> np.uint64(20)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
 def _fingerprint(s) -> int:
     """The SimHash of a set of hashes: a bit is 1 if set in over half of them."""
     import numpy as np
@@ -73,7 +86,7 @@ def _fingerprint(s) -> int:
 
 def _rows(docs: DataFrame, frequent: list[int] | None):
     """Of every row its key, node, number of shingles and fingerprint, and the first shingles in the order of all (frequent
-    is None: whole sets, no fingerprint)."""
+    is None: whole sets, no fingerprint or parities)."""
 
     def run(batches):
         import numpy as np
@@ -95,11 +108,11 @@ def _rows(docs: DataFrame, frequent: list[int] | None):
             offsets = np.cumsum([0] + [len(s) for s in told]).astype(np.int32)
             values = np.concatenate(told).view(np.int64) if told else np.zeros(0, np.int64)
             arrays = [piece.column(c) for c in piece.schema.names if c != "text"]
-            arrays += [pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), pa.array([0 if frequent is None else _fingerprint(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[c for c in piece.schema.names if c != "text"] + ["node", "n", "fp", "shingles"])
+            arrays += [pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), pa.array([0 if frequent is None else _fingerprint(s) for s in sets], pa.int64()), pa.array([None if frequent is None else _parities(s) for s in sets], pa.list_(pa.int64())), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))]
+            yield pa.RecordBatch.from_arrays(arrays, names=[c for c in piece.schema.names if c != "text"] + ["node", "n", "fp", "parities", "shingles"])
 
     names = "".join(f"{c} {t}, " for c, t in docs.dtypes if c != "text")
-    return docs.mapInArrow(run, names + "node long, n int, fp long, shingles array<long>")
+    return docs.mapInArrow(run, names + "node long, n int, fp long, parities array<long>, shingles array<long>")
 
 
 def _frequent(docs: DataFrame) -> list[int]:
@@ -159,13 +172,13 @@ def _needed(short, long):
 GROWTH, STEPS = 1.05, 5
 
 
-def _rest(named: DataFrame) -> DataFrame:
+def _rest(named: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs (a, b) of nodes of different components that may be linked, of rows shingle, node, n, part: all of a node's
     first shingles that it can share with one of another component. For each class of the other's size a node needs
-    to share `_needed` of its c shingles at least, and meets it under the first c - needed + 1, by hash."""
+    to share `_needed` of its c shingles at least, and meets it under the first c - needed + 1, by hash. sketches: node, parities."""
     own = W.partitionBy("node")
     named = named.withColumn("c", F.count("*").over(own)).withColumn("i", F.row_number().over(own.orderBy("shingle"))).withColumn("size", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(GROWTH))).cast("int"))
-    rows = common.cut(named).withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(STEPS))))
+    rows = common.cut(named.join(sketches, "node")).withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(STEPS))))
     n, at = F.col("n").cast("long"), lambda e: F.pow(F.lit(GROWTH), e)
     longest = F.least(F.ceil(at(F.col("size") + F.col("step") + 1)) + 1, F.floor(5 * n / 4))  # of the class, a bit more by rounding
     shortest = F.greatest(F.floor(at(F.col("size") - F.col("step"))) - 1, F.ceil(4 * n / 5))
@@ -174,7 +187,8 @@ def _rest(named: DataFrame) -> DataFrame:
     b = rows.filter(meets(_needed(F.least(n, shortest), n))).withColumn("other", F.col("size") - F.col("step")).alias("b")
     both = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.size") == F.col("b.other")) & (F.col("a.other") == F.col("b.size"))
     once = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.node") < F.col("b.node")))
-    met = a.join(b, both & once & (F.col("a.part") != F.col("b.part")) & _alike("a.n", "b.n"))
+    differ = sum((F.bit_count(F.col("a.parities")[k].bitwiseXOR(F.col("b.parities")[k])) for k in range(PARITIES // 64)), F.lit(0))
+    met = a.join(b, both & once & (F.col("a.part") != F.col("b.part")) & _alike("a.n", "b.n") & (9 * differ <= F.col("a.n") + F.col("b.n")))
     return _pairs(met.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")), "x", "y")
 
 
@@ -216,7 +230,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     asked = labelled().filter((F.col("part") != F.col("core.part")) & _alike("n", "core.n") & _possible(F.least("c", "core.c"), "n", "core.n"))
     links = common.cut(links.union(_verified(texts, signed, _pairs(asked, "node", "core.node"))))
-    links = links.union(_verified(texts, signed, _rest(labelled().select("shingle", "node", "n", "part"))))
+    links = links.union(_verified(texts, signed, _rest(labelled().select("shingle", "node", "n", "part"), signed.groupBy("node").agg(F.first("parities").alias("parities")))))
     parts = signed.select("id", "key", "node").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = parts.groupBy("label").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "key"))).alias("least"))
     return parts.join(least, "label").select(F.col("id").alias("doc_id"), F.col("least.id").alias("component_id"), "key", F.coalesce((F.col("id") == F.col("least.id")) & (F.col("key") == F.col("least.key")), F.lit(False)).alias("leads"))

@@ -41,3 +41,46 @@ def test_pipeline_drops_copies_beyond_two_bits(spark):
     changed = ["other" if i in (40, 90, 140) else w for i, w in enumerate(words)]
     docs = spark.createDataFrame([(1, " ".join(words), "en", "s", 1), (2, " ".join(changed), "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
     assert [x.doc_id for x in corpus_pipeline.near_dedup(spark, docs, "").collect()] == [1]
+
+
+def brute(texts):
+    sets, label = [shingles(t) for t in texts], list(range(len(texts)))
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a) if sets[a] and len(sets[a] & sets[b]) * 5 >= 4 * len(sets[a] | sets[b])]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            low = min(label[a], label[b])
+            changed |= label[a] != low or label[b] != low
+            label[a] = label[b] = low
+    return label
+
+
+def test_large_group_of_copies_about_as_alike_as_asked(spark):
+    """Copies of one text with more and more words changed or cut, and texts with a common passage."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    base, passage, texts = [word() for _ in range(140)], " ".join(word() for _ in range(30)), []
+    for k in range(160):
+        copy = list(base)
+        for _ in range(r.choice((0, 2, 3, 4, 5, 7))):
+            copy[r.randrange(len(copy))] = word()
+        texts.append(" ".join(copy[r.choice((0, 0, 0, 12, 25)) :]))
+    texts += [" ".join(word() for _ in range(r.randrange(60, 140))) + " " + passage for _ in range(60)]
+    r.shuffle(texts)
+    want = brute(texts)
+    assert 3 < len(set(want)) < len(texts) - 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in near.classes(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_parities_differ_by_no_more_than_the_sets(spark):
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    for n in (0, 3, 50, 400, 3000):
+        a = np.unique(r.integers(0, 1 << 63, n, np.uint64))
+        b = np.union1d(a[n // 5 :], r.integers(0, 1 << 63, n // 6, np.uint64))
+        apart = sum((x ^ y).bit_count() for x, y in zip((v % (1 << 64) for v in near._parities(a)), (v % (1 << 64) for v in near._parities(b)), strict=True))
+        assert apart <= len(np.setxor1d(a, b))
