@@ -4,7 +4,7 @@ Which bytes: each one covered by a `length`-byte string that also starts in a do
 Every such string (window) holds a minimizer, the `ANCHOR`-byte string of least hash in it, and equal
 windows hold the same one at the same place. So all windows can be compared anchor by anchor:
 
-1. Documents are packed into blocks (the shards, about 8 MiB). A block lists the hashes of its anchors.
+1. Documents are packed into blocks (the shards, about 6 MiB). A block lists the hashes of its anchors.
 2. Hashes that several documents share are found (buckets of the hash range); a block gets two bits an anchor.
    A document whose whole text a smaller document has goes whole, and is left out of what follows.
 3. For shared anchors a block makes its shard of the suffix array: the suffixes that start at anchors, sorted
@@ -43,9 +43,9 @@ from pyspark.sql import functions as F
 from . import common
 
 ANCHOR = 16
-BLOCK = 8 << 20
+BLOCK = 6 << 20
 #: Bytes of the input to each bucket of anchors (8 bytes an anchor, one in 18 bytes), and of suffixes.
-ANCHOR_BYTES, SUFFIX_BYTES = 64 << 20, 16 << 20
+ANCHOR_BYTES, SUFFIX_BYTES = 64 << 20, 12 << 20
 TASKS = 50_000
 PAD = 255  # never a byte of UTF-8
 NO_ID = (1 << 63) - 1
