@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, licenses, line_dedup, mixing, pii, quality, simhash, suffix_dedup, token_counts, toxicity, turns
+from . import decontamination, divergence, licenses, line_dedup, mixing, pii, quality, simhash, suffix_dedup, token_counts, toxicity, turns
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.query,
@@ -15,7 +15,8 @@ QUERIES = {
     "op8_license_scan": licenses.query,
     "op9_token_counts": token_counts.query,
     "op10_toxicity": toxicity.query,
+    "op11_divergence": divergence.query,
     "op13_turns": turns.query,
 }
 
-ORACLES = {"op4_line_dedup": line_dedup.SQL, "op5_quality_rules": quality.SQL, "op13_turns": turns.SQL}
+ORACLES = {"op4_line_dedup": line_dedup.SQL, "op5_quality_rules": quality.SQL, "op11_divergence": divergence.SQL, "op13_turns": turns.SQL}
