@@ -11,12 +11,13 @@ is verified on its whole sets, and classes are the components of what is linked.
 Scale: equal sets are one node, so copies never make pairs. Each document gives a row for a fifth of its shingles, which
 moves once. Of all nodes under one shingle, first each is compared with the least, then with the one that shares most of its
 first shingles with others (of near copies the one nearest to all), and then only those with each other whose components
-still differ. Those must share `_needed` of their first shingles, which depends on both lengths, so by the prefix
+still differ. Those must share `needed` of their first shingles, which depends on both lengths, so by the prefix
 filter once more they meet under the first of the shingles that each shares at all, fewer the more they need (`_rest`): a large
 group of near copies, or of documents with a common passage, makes few pairs. A sketch of the parities of `PARITIES` classes
 of a set's shingles says of how many at least two sets differ, which leaves out most pairs of up to some 500 shingles that
 are not similar enough. Unlinked copies that are nearly similar enough are
-still compared with each other: what is compared there is not cut. Whole sets are built only for pairs that the first shingles
+still compared with each other: what is compared there is not cut. What the nodes under a shingle have in common is
+aggregated before its shuffle and joined back, so a frequent shingle is a key that adaptive execution can split. Whole sets are built only for pairs that the first shingles
 allow: with c of them shared, up to the end of the list that ends first, no more than c and what is left of the
 shorter rest can be shared in all.
 
@@ -27,6 +28,9 @@ rows. Only the named columns are read.
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,12 +40,56 @@ from .components import components
 from .decontamination import WordHashes
 
 SHINGLE = 5
-#: Similarity: 4 / 5. Sets of a and b shingles with c in common have it if 9 c >= 4 (a + b).
 SAMPLE, FREQUENT = 20_000, 200_000
 #: Bits by which linked fingerprints differ at most.
 RADIUS = 2
 
 
+@dataclass(frozen=True)
+class Similarity:
+    """Jaccard similarity p / q at least: sets of a and b with c in common have it if (p + q) c >= p (a + b)."""
+
+    p: int = 4
+    q: int = 5
+
+    def enough(self, c, a, b):
+        return (self.p + self.q) * c >= self.p * (a + b)
+
+    def differ(self, d, a, b):
+        """Whether similar sets of a and b can have d members in one only."""
+        return (self.p + self.q) * d <= (self.q - self.p) * (a + b)
+
+    def alike(self, a, b):
+        """Whether sets of a and b can be similar."""
+        return (self.q * a >= self.p * b) & (self.q * b >= self.p * a)
+
+    def first(self, n: int) -> int:
+        """How many first members (in one order of all) similar sets share one of, if one set has n."""
+        return n - (self.p * n + self.q - 1) // self.q + 1 if n else 0
+
+    def later(self, n):
+        """How many members of a set of n are behind its first ones."""
+        return F.floor((self.p * n + self.q - 1) / self.q) - 1
+
+    def possible(self, c, a, b):
+        """Whether sets of a and b that share c of their first members can share enough in all."""
+        return self.enough(c + F.greatest(self.later(a), self.later(b)), a, b)
+
+    def needed(self, short, long):
+        """How many of their first members sets of these sizes must share at least, to share enough in all."""
+        return F.greatest(F.lit(1), F.ceil(self.p * (short + long) / (self.p + self.q)) - self.later(long))
+
+    @property
+    def steps(self) -> int:
+        """How many size classes similar sets are apart at most."""
+        return math.ceil(math.log(self.q / self.p) / math.log(GROWTH))
+
+
+#: Sizes of one class differ by less than this factor.
+GROWTH = 1.05
+AT_0_8 = Similarity(4, 5)
+
+
 def _sets(texts: list[bytes], hasher: WordHashes) -> list:
     """Sorted distinct hashes of the shingles of every text."""
     import numpy as np
@@ -84,7 +132,7 @@ def _fingerprint(s) -> int:
     return int(np.packbits(ones * 2 > len(s), bitorder="little").view("<i8")[0])
 
 
-def _rows(docs: DataFrame, frequent: list[int] | None):
+def _rows(docs: DataFrame, frequent: list[int] | None, similar: Similarity = AT_0_8):
     """Of every row its key, node, number of shingles and fingerprint, and the first shingles in the order of all (frequent
     is None: whole sets, no fingerprint or parities)."""
 
@@ -102,9 +150,8 @@ def _rows(docs: DataFrame, frequent: list[int] | None):
                 told = []
                 for s in sets:  # as 63-bit numbers in the order of all: those that are not frequent below 0
                     late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s if len(last) else np.zeros(len(s), bool)
-                    n = len(s) - (4 * len(s) + 4) // 5 + 1 if len(s) else 0
                     o = s >> np.uint64(1)
-                    told.append(np.concatenate((o[~late] | np.uint64(1 << 63), o[late]))[:n])
+                    told.append(np.concatenate((o[~late] | np.uint64(1 << 63), o[late]))[: similar.first(len(s))])
             offsets = np.cumsum([0] + [len(s) for s in told]).astype(np.int32)
             values = np.concatenate(told).view(np.int64) if told else np.zeros(0, np.int64)
             arrays = [piece.column(c) for c in piece.schema.names if c != "text"]
@@ -135,60 +182,47 @@ def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs
 
 
-def _verified(texts: DataFrame, signed: DataFrame, pairs: DataFrame) -> DataFrame:
+def confirmed(texts: DataFrame, keys: DataFrame, pairs: DataFrame, similar: Similarity) -> DataFrame:
+    """src, dst: the pairs (a, b: nodes) whose whole sets are similar; keys: node, key (of a text of it), of all their nodes."""
+    wanted = common.cut(keys.groupBy("node").agg(F.min("key").alias("_key")).select("_key"))
+    chosen = texts.join(common.small(wanted), texts.key == wanted["_key"], "left_semi").dropDuplicates(["key"])
+    sets = common.cut(_rows(chosen.select("text"), None))
+    shared = F.size(F.array_intersect("s_a", "s_b"))
+    return common.cut(_beside(pairs, sets).filter(similar.enough(shared, F.col("n_a"), F.col("n_b"))).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+
+
+def _verified(texts: DataFrame, signed: DataFrame, pairs: DataFrame, similar: Similarity) -> DataFrame:
     """The pairs (a, b: nodes) at the similarity: what the first shingles allow, verified on whole sets."""
-    enough = lambda c: 9 * c >= 4 * (F.col("n_a") + F.col("n_b"))
+    enough = lambda c: similar.enough(c, F.col("n_a"), F.col("n_b"))
     both = lambda pairs: common.small(common.cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()))
     pairs = common.cut(pairs.distinct())
     near = _beside(pairs, signed.join(both(pairs), "node", "left_semi").dropDuplicates(["node"]))
     first = F.element_at("s_a", -1) <= F.element_at("s_b", -1)
     pairs = common.cut(near.filter(enough(F.when(first, _at_most("s_a", "n_a", "s_b", "n_b")).otherwise(_at_most("s_b", "n_b", "s_a", "n_a")))).select("a", "b"))
-    wanted = common.cut(signed.join(both(pairs), "node", "left_semi").groupBy("node").agg(F.min("key").alias("_key")).select("_key"))
-    chosen = texts.join(common.small(wanted), texts.key == wanted["_key"], "left_semi").dropDuplicates(["key"])
-    sets = common.cut(_rows(chosen.select("text"), None))
-    return common.cut(_beside(pairs, sets).filter(enough(F.size(F.array_intersect("s_a", "s_b")))).select(F.col("a").alias("src"), F.col("b").alias("dst")))
-
-
-def _alike(a: str, b: str):
-    return (5 * F.col(a) >= 4 * F.col(b)) & (5 * F.col(b) >= 4 * F.col(a))
+    return confirmed(texts, signed.join(both(pairs), "node", "left_semi"), pairs, similar)
 
 
-def _later(n):
-    """How many shingles of a set of n are behind its first ones."""
-    return F.floor((4 * n + 4) / 5) - 1
+def odd(a, b, longs: int):
+    """How many bits of two bitmaps differ."""
+    return sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(longs)), F.lit(0))
 
 
-def _possible(c, a: str, b: str):
-    """Whether sets of a and b shingles that share c of their first ones can share enough in all."""
-    return 9 * (c + F.greatest(_later(F.col(a)), _later(F.col(b)))) >= 4 * (F.col(a) + F.col(b))
-
-
-def _needed(short, long):
-    """How many of their first shingles sets of these sizes must share at least, to share enough in all."""
-    return F.greatest(F.lit(1), F.ceil(4 * (short + long) / 9) - _later(long))
-
-
-#: Sizes of one class differ by less than this factor; sets at the similarity are up to STEPS classes apart.
-GROWTH, STEPS = 1.05, 5
-
-
-def _rest(named: DataFrame, sketches: DataFrame) -> DataFrame:
+def _rest(named: DataFrame, sketches: DataFrame, similar: Similarity) -> DataFrame:
     """Pairs (a, b) of nodes of different components that may be linked, of rows shingle, node, n, part: all of a node's
     first shingles that it can share with one of another component. For each class of the other's size a node needs
-    to share `_needed` of its c shingles at least, and meets it under the first c - needed + 1, by hash. sketches: node, parities."""
+    to share `needed` of its c shingles at least, and meets it under the first c - needed + 1, by hash. sketches: node, parities."""
     own = W.partitionBy("node")
     named = named.withColumn("c", F.count("*").over(own)).withColumn("i", F.row_number().over(own.orderBy("shingle"))).withColumn("size", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(GROWTH))).cast("int"))
-    rows = common.cut(named.join(sketches, "node")).withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(STEPS))))
+    rows = common.cut(named.join(sketches, "node")).withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(similar.steps))))
     n, at = F.col("n").cast("long"), lambda e: F.pow(F.lit(GROWTH), e)
-    longest = F.least(F.ceil(at(F.col("size") + F.col("step") + 1)) + 1, F.floor(5 * n / 4))  # of the class, a bit more by rounding
-    shortest = F.greatest(F.floor(at(F.col("size") - F.col("step"))) - 1, F.ceil(4 * n / 5))
+    longest = F.least(F.ceil(at(F.col("size") + F.col("step") + 1)) + 1, F.floor(similar.q * n / similar.p))  # of the class, a bit more by rounding
+    shortest = F.greatest(F.floor(at(F.col("size") - F.col("step"))) - 1, F.ceil(similar.p * n / similar.q))
     meets = lambda needed: F.col("i") <= F.col("c") - needed + 1
-    a = rows.filter(meets(_needed(n, F.greatest(n, longest)))).withColumn("other", F.col("size") + F.col("step")).alias("a")
-    b = rows.filter(meets(_needed(F.least(n, shortest), n))).withColumn("other", F.col("size") - F.col("step")).alias("b")
+    a = rows.filter(meets(similar.needed(n, F.greatest(n, longest)))).withColumn("other", F.col("size") + F.col("step")).alias("a")
+    b = rows.filter(meets(similar.needed(F.least(n, shortest), n))).withColumn("other", F.col("size") - F.col("step")).alias("b")
     both = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.size") == F.col("b.other")) & (F.col("a.other") == F.col("b.size"))
     once = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.node") < F.col("b.node")))
-    differ = sum((F.bit_count(F.col("a.parities")[k].bitwiseXOR(F.col("b.parities")[k])) for k in range(PARITIES // 64)), F.lit(0))
-    met = a.join(b, both & once & (F.col("a.part") != F.col("b.part")) & _alike("a.n", "b.n") & (9 * differ <= F.col("a.n") + F.col("b.n")))
+    met = a.join(b, both & once & (F.col("a.part") != F.col("b.part")) & similar.alike(F.col("a.n"), F.col("b.n")) & similar.differ(odd(F.col("a.parities"), F.col("b.parities"), PARITIES // 64), F.col("a.n"), F.col("b.n")))
     return _pairs(met.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")), "x", "y")
 
 
@@ -196,41 +230,44 @@ def _pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
     return rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
 
-def _by_fingerprint(nodes: DataFrame) -> DataFrame:
+def _by_fingerprint(nodes: DataFrame, similar: Similarity) -> DataFrame:
     """Pairs of nodes whose fingerprints are equal (each with the first) or linked (the first ones of both)."""
     first = common.cut(nodes.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("low")))
-    same = nodes.join(first, "fp").filter((F.col("node") != F.col("low.node")) & _alike("n", "low.n"))
+    same = nodes.join(first, "fp").filter((F.col("node") != F.col("low.node")) & similar.alike(F.col("n"), F.col("low.n")))
     linked = simhash.links(first.select("fp"), RADIUS)
     a, b = (first.select(F.col("fp").alias(side), F.col("low").alias(f"{side}_low")) for side in ("src", "dst"))
-    linked = linked.join(a, "src").join(b, "dst").filter(_alike("src_low.n", "dst_low.n"))
+    linked = linked.join(a, "src").join(b, "dst").filter(similar.alike(F.col("src_low.n"), F.col("dst_low.n")))
     return _pairs(same, "node", "low.node").union(_pairs(linked, "src_low.node", "dst_low.node"))
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: Similarity = AT_0_8) -> DataFrame:
     """doc_id, component_id (the smallest id of the class), key (xxhash64 of the text), leads (whether the row has the
     smallest id of its class and, of the texts with that id, the smallest key)."""
     common.shared_dir(docs.sparkSession)
     texts = common.pick(docs, id=id_col, text=text_col).withColumn("key", F.xxhash64("text"))
-    signed = common.cut(_rows(texts, _frequent(texts)))
+    signed = common.cut(_rows(texts, _frequent(texts), similar))
     nodes = signed.dropDuplicates(["node"])
-    under = W.partitionBy("shingle")
     rows = nodes.select("node", "n", F.explode("shingles").alias("shingle"))
-    rows = rows.withColumn("k", F.count("*").over(under)).withColumn("low", F.min(F.struct("node", "n")).over(under))
-    rows = common.cut(rows.filter("k > 2 or k = 2 and node != low.node"))
-    least = _pairs(rows.filter((F.col("node") != F.col("low.node")) & _alike("n", "low.n")), "node", "low.node")
-    links = _verified(texts, signed, _by_fingerprint(nodes.select("node", "n", "fp")).union(least))
+    shared = common.cut(rows.groupBy("shingle").agg(F.count("*").alias("k")).filter("k > 1"))
+    rows = common.cut(rows.join(common.small(shared), "shingle"))
+    low = rows.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("low"))
+    least = _pairs(rows.join(low, "shingle").filter((F.col("node") != F.col("low.node")) & similar.alike(F.col("n"), F.col("low.n"))), "node", "low.node")
+    links = _verified(texts, signed, _by_fingerprint(nodes.select("node", "n", "fp"), similar).union(least), similar)
     # pairs alone under a shingle have been compared, so what other pairs share is under shingles of three nodes or more
-    rows = common.cut(rows.filter("k > 2").select("shingle", "node", "n").withColumn("c", F.count("*").over(W.partitionBy("node"))))
+    rows = rows.filter("k > 2").select("shingle", "node", "n")
+    rows = common.cut(rows.join(rows.groupBy("node").agg(F.count("*").alias("c")), "node"))
 
     def labelled():
         """Rows of the shingles whose nodes are not all in one component, with the component and the node that shares most."""
         labels = components(links).withColumnRenamed("label", "part")
-        named = rows.join(labels, "node", "left").withColumn("part", F.coalesce("part", "node"))
-        return named.withColumn("least", F.min("part").over(under)).withColumn("most", F.max("part").over(under)).withColumn("core", F.max(F.struct("c", "node", "n", "part")).over(under)).filter("least != most")
-
-    asked = labelled().filter((F.col("part") != F.col("core.part")) & _alike("n", "core.n") & _possible(F.least("c", "core.c"), "n", "core.n"))
-    links = common.cut(links.union(_verified(texts, signed, _pairs(asked, "node", "core.node"))))
-    links = links.union(_verified(texts, signed, _rest(labelled().select("shingle", "node", "n", "part"), signed.groupBy("node").agg(F.first("parities").alias("parities")))))
+        named = common.cut(rows.join(labels, "node", "left").withColumn("part", F.coalesce("part", "node")))
+        of = named.groupBy("shingle").agg(F.min("part").alias("least"), F.max("part").alias("most"), F.max(F.struct("c", "node", "n", "part")).alias("core"))
+        return named.join(of.filter("least != most"), "shingle")
+
+    sizes = (F.col("n"), F.col("core.n"))
+    asked = labelled().filter((F.col("part") != F.col("core.part")) & similar.alike(*sizes) & similar.possible(F.least("c", "core.c"), *sizes))
+    links = common.cut(links.union(_verified(texts, signed, _pairs(asked, "node", "core.node"), similar)))
+    links = links.union(_verified(texts, signed, _rest(labelled().select("shingle", "node", "n", "part"), signed.groupBy("node").agg(F.first("parities").alias("parities")), similar), similar))
     parts = signed.select("id", "key", "node").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = parts.groupBy("label").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "key"))).alias("least"))
     return parts.join(least, "label").select(F.col("id").alias("doc_id"), F.col("least.id").alias("component_id"), "key", F.coalesce((F.col("id") == F.col("least.id")) & (F.col("key") == F.col("least.key")), F.lit(False)).alias("leads"))
