@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, divergence, licenses, line_dedup, mixing, pii, quality, simhash, suffix_dedup, token_counts, toxicity, turns
+from . import decontamination, divergence, licenses, line_dedup, mixing, odd_sketch, pii, quality, simhash, suffix_dedup, token_counts, toxicity, turns
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_token_counts": token_counts.query,
     "op10_toxicity": toxicity.query,
     "op11_divergence": divergence.query,
+    "op12_odd_sketch": odd_sketch.query,
     "op13_turns": turns.query,
 }
 
