@@ -9,6 +9,7 @@ from ..functions import text
 
 
 SPOKEN = "array<struct<speaker_name:string,speaker_role:string,speaker_url:string,content:string,procedural_notes:array<string>>>"
+SECTIONS = f"array<struct<section_type:string,subsections:array<struct<title:string,contributions:{SPOKEN}>>,contributions:{SPOKEN}>>"
 
 
 def contributions(sittings: DataFrame) -> DataFrame:
@@ -58,13 +59,28 @@ def contributors(rows: DataFrame) -> DataFrame:
 def bills(rows: DataFrame) -> DataFrame:
     """Subsections, and sections without any, whose heading names a bill: name, bill_number, year, sponsor, stage (of the
     heading, else of the text), section_title, speech_count (0 for an empty one)."""
-    s = segments(rows.filter("sub_ord >= 0 or flat")).withColumn("heading", F.when(F.col("sub_ord") >= 0, F.col("title")).otherwise(F.col("section_type")))
+    return bills_of(segments(rows.filter("sub_ord >= 0 or flat")))
+
+
+def bills_of(parts: DataFrame) -> DataFrame:
+    """bills() of a result of segments()."""
+    s = parts.filter("sub_ord >= 0 or flat").withColumn("heading", F.when(F.col("sub_ord") >= 0, F.col("title")).otherwise(F.col("section_type")))
     s = s.withColumn("name", text.bill_name(F.col("heading"))).filter("name is not null")
     return s.select("url", "house", "date", "section_ord", "sub_ord", "name", text.bill_number(F.col("text")).alias("bill_number"), text.bill_year(F.col("text")).alias("year"), F.col("mover").alias("sponsor"), F.coalesce(text.stage_from_title(F.col("heading")), text.stage_from_text(F.col("text"))).alias("stage"), F.col("heading").alias("section_title"), "speech_count")
 
 
 def topics(rows: DataFrame) -> DataFrame:
     """Subsections of topic sections that are about no bill and have a speaker: section_type, title, speech_count."""
-    s = segments(rows.filter("sub_ord >= 0").filter(text.is_topic_section(F.col("section_type")) & text.is_topic_title(F.col("title"))))
-    spoken = contributors(rows.filter("sub_ord >= 0")).select("url", "section_ord", "sub_ord").distinct()
-    return s.join(spoken, ["url", "section_ord", "sub_ord"], "left_semi").select("url", "date", "section_ord", "sub_ord", F.upper(F.trim("section_type")).alias("section_type"), text.title_case(F.col("title")).alias("title"), "speech_count")
+    rows = rows.filter("sub_ord >= 0")
+    return topics_of(segments(rows.filter(_topic())), contributors(rows))
+
+
+def _topic() -> Column:
+    return text.is_topic_section(F.col("section_type")) & text.is_topic_title(F.col("title"))
+
+
+def topics_of(parts: DataFrame, spoken: DataFrame) -> DataFrame:
+    """topics() of results of segments() and contributors()."""
+    s = parts.filter("sub_ord >= 0").filter(_topic())
+    s = s.join(spoken.filter("sub_ord >= 0").select("url", "section_ord", "sub_ord").distinct(), ["url", "section_ord", "sub_ord"], "left_semi")
+    return s.select("url", "date", "section_ord", "sub_ord", F.upper(F.trim("section_type")).alias("section_type"), text.title_case(F.col("title")).alias("title"), "speech_count")

@@ -5,6 +5,8 @@ The links go URL, name, role, each for what the ones before left open.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +41,17 @@ def link_speakers(speakers: DataFrame, members: DataFrame, sitting_speakers: Dat
     return by_role(by_name(by_url(speakers, members), members), members, sitting_speakers, sittings)
 
 
-def linked(before: DataFrame, after: DataFrame, keys: list[str], column: str = "member_url") -> int:
-    """How many rows a link has filled: those (by null-safe keys) with a value after it and none before."""
+def filled(before: DataFrame, after: DataFrame, keys: list[str], column: str = "member_url") -> DataFrame:
+    """Keys of the rows that a link has filled: those (by null-safe keys) with a value after it and none before."""
     was = before.filter(F.col(column).isNotNull()) if column in before.columns else before.limit(0)
-    return after.filter(F.col(column).isNotNull()).select(*keys).exceptAll(was.select(*keys)).count()
+    was = was.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    now = after.filter(F.col(column).isNotNull()).select(*keys)
+    return now.join(was, reduce(lambda x, y: x & y, [now[k].eqNullSafe(was[f"_{k}"]) for k in keys]), "left_anti")
+
+
+def linked(before: DataFrame, after: DataFrame, keys: list[str], column: str = "member_url") -> int:
+    """How many rows a link has filled."""
+    return filled(before, after, keys, column).count()
 
 
 def link_sponsors(bills: DataFrame, members: DataFrame, min_score: float = 0.4) -> DataFrame:

@@ -7,25 +7,11 @@ import uuid
 from collections import defaultdict
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fold
 
-# Declared schemas of the stored tables.
-SCHEMAS = {
-    "sittings": "url string, house string, date date, session_type string, source string, summary string, sentiment string, pdf_url string, raw string, generated_summary string, summary_model string, embedding array<float>",
-    "speakers": "name string, url string, member_url string",
-    "sitting_speakers": "sitting_url string, speaker_name string, speaker_url string, speech_count long",
-    "bills": "name string, bill_number string, year int, sponsor string, sponsor_url string, summary string, summary_model string",
-    "bill_mentions": "bill string, sitting_url string, stage string, house string, date date, section_title string, speech_count long, summary string, summary_model string",
-    "bill_mention_speakers": "bill string, sitting_url string, stage string, speaker_name string, speaker_url string, speech_count long, contributions_text string, summary string, summary_model string",
-    "topics": "sitting_url string, section_type string, title string, speech_count long, summary string, summary_model string",
-    "topic_speakers": "sitting_url string, section_type string, title string, speaker_name string, speaker_url string, speech_count long, contributions_text string, summary string, summary_model string",
-    "members": "url string, name string, house string, parliament string, role string, constituency string, biography string, photo_url string",
-}
-
-
 def scratch(spark: SparkSession) -> str:
     """A new folder in the one that driver and executors share; on a local master without one, a folder of our own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -36,37 +22,62 @@ def scratch(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/store-{spark.sparkContext.applicationId}-{uuid.uuid4()}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that we wrote."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 class Store:
-    """The stored tables as Parquet, each version a folder of its own; an upsert writes the next one, whole or not at all."""
+    """The stored tables as Parquet folders of the declared schemas, partitioned by a hash of the key. An upsert reads and
+    rewrites only the partitions that its keys fall in, by dynamic partition overwrite: what it reads stays until the write
+    commits, so a failed one changes nothing. One writer at a time."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, parts: int = 16):
+        """parts: of every table, fixed with the first migrate()."""
+        self.spark, self.path, self.parts = spark, path.rstrip("/"), parts
 
-    def _versions(self, name: str) -> list[int]:
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        fs = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(at):
-            return []
-        done = [s.getPath() for s in fs.listStatus(at) if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-        return sorted(int(p.getName()) for p in done)
+    def _there(self, path: str) -> bool:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
 
     def migrate(self) -> None:
-        """Empty tables of the declared schemas, where there are none."""
-        for name, schema in SCHEMAS.items():
-            if not self._versions(name):
-                self.write(name, self.spark.createDataFrame([], schema))
+        """Empty tables of the declared schemas, where there are none; the number of partitions is the store's, once it has one."""
+        about = f"{self.path}/_about"
+        if not self._there(f"{about}/_SUCCESS"):
+            self.spark.createDataFrame([(self.parts,)], "parts int").coalesce(1).write.mode("overwrite").json(about)
+        self.parts = self.spark.read.schema("parts int").json(about).first().parts
+        for name, schema in fold.SCHEMAS.items():
+            if not self._there(f"{self.path}/{name}"):
+                self.spark.createDataFrame([], schema).write.parquet(f"{self.path}/{name}")
+
+    def _part(self, name: str) -> Column:
+        return F.pmod(F.xxhash64(*fold.TABLES[name][0]), F.lit(self.parts)).cast("int")
+
+    def _all(self, name: str) -> DataFrame:
+        return self.spark.read.schema(f"{fold.SCHEMAS[name]}, _part int").parquet(f"{self.path}/{name}")
 
     def read(self, name: str) -> DataFrame:
-        """The table's last version; only the columns that a fold knows."""
-        keys, policies = fold.TABLES[name]
-        return self.spark.read.parquet(f"{self.path}/{name}/{self._versions(name)[-1]}").select(*keys, *policies)
+        return self._all(name).drop("_part")
 
     def write(self, name: str, df: DataFrame) -> None:
-        done = self._versions(name)
-        df.write.parquet(f"{self.path}/{name}/{done[-1] + 1 if done else 0}")
-
-    def upsert(self, name: str, incoming: DataFrame, order: list[str]) -> None:
-        self.write(name, fold.upsert(self.read(name), incoming, name, order))
+        """df in place of the partitions that it has rows for."""
+        rows = df.select(*fold.complete(df, name)).withColumn("_part", self._part(name))
+        rows.repartition("_part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part").parquet(f"{self.path}/{name}")
+
+    def upsert(self, name: str, incoming: DataFrame, order: list[str], without: DataFrame | None = None) -> list[int]:
+        """Folds incoming in; returns the partitions that it touched. without (sitting_url): stored rows of these sittings are
+        left out, as what a broken run has left of them."""
+        touched = [r[0] for r in incoming.select(self._part(name)).distinct().collect()]  # at most self.parts
+        if touched:
+            stored = self._all(name).filter(F.col("_part").isin(touched)).drop("_part")
+            stored = stored if without is None else stored.join(without, "sitting_url", "left_anti")
+            self.write(name, fold.upsert(stored, incoming, name, order))
+        return sorted(touched)
+
+    def update(self, name: str, change) -> None:
+        """The table with change(table) in its place, row by row of the same keys: links, summaries, embeddings."""
+        self.write(name, change(self.read(name)))
 
 
 def frame(rows: DataFrame, json_col: str, schema: str) -> DataFrame:

@@ -101,8 +101,25 @@ def topic_predicates(t):
     return rows.select("section", text.is_topic_section(F.col("section")).alias("topic_section"), "title", text.is_topic_title(F.col("title")).alias("topic_title"))
 
 
+#: Stores of this process, by session and by the files that their rows come from.
+_STORES: dict[tuple, sinks.Store] = {}
+
+
+def store(t) -> sinks.Store:
+    """The sittings ingested into a store, once a session while the table's files stay as they are."""
+    rows = t("conversations")
+    files = rows.select(F.xxhash64("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size").alias("f")).distinct()
+    key = (rows.sparkSession.sparkContext.applicationId, *files.agg(F.bit_xor("f"), F.count("*")).first())
+    if key not in _STORES:
+        made = sinks.Store(rows.sparkSession, sinks.scratch(rows.sparkSession), 8)
+        made.migrate()
+        ingest.ingest_into(made, sittings(t))
+        _STORES[key] = made
+    return _STORES[key]
+
+
 def stored(t, name: str) -> DataFrame:
-    return ingest.ingest(sittings(t))[name]
+    return store(t).read(name)
 
 
 @query(f"select url, house, date, 'Afternoon Sitting' as session_type, case when cast(substr(url, 4) as int) % 3 = 0 then 'told' end as summary from {HEADS}")
@@ -112,7 +129,7 @@ def ingest_sittings(t):
 
 @query(f"select distinct speaker_name as name, speaker_url as url from {SAID} where speaker_name <> 'Hon.'")
 def ingest_speakers(t):
-    return stored(t, "speakers")
+    return stored(t, "speakers").select("name", "url")
 
 
 @query(f"select url as sitting_url, speaker_name, speaker_url, cast(2 * count(*) as bigint) as speech_count from {SAID} where speaker_name <> 'Hon.' group by all")
@@ -127,12 +144,12 @@ LAST = "arg_max({0}, (date, url, section_ord, sub_ord)) filter ({0} is not null)
 
 @query(f"select name, {', '.join(LAST.format(c) for c in ('bill_number', 'year', 'sponsor'))} from {BILLS} group by name")
 def ingest_bills(t):
-    return stored(t, "bills")
+    return stored(t, "bills").select("name", "bill_number", "year", "sponsor")
 
 
 @query(f"select name as bill, url as sitting_url, stage, house, date, section_title, speech_count from {BILLS}")
 def ingest_bill_mentions(t):
-    return stored(t, "bill_mentions")
+    return stored(t, "bill_mentions").drop(*fold.SUMMARIES)
 
 
 IN_BILL = f"(select b.name as bill, b.url as sitting_url, b.stage, b.house, b.date, s.speaker_name, s.speaker_url, count(*) as speech_count, string_agg(s.content, chr(10) || chr(10) order by s.turn) as contributions_text from {BILLS} b join {PARTS} p on p.bill = b.name join {SAID} s on s.url = b.url and s.part = p.part where s.speaker_name <> 'Hon.' group by all)"
@@ -141,17 +158,17 @@ IN_TOPIC = f"(select o.sitting_url, o.section_type, o.title, s.speaker_name, s.s
 
 @query(f"select * exclude (house, date) from {IN_BILL}")
 def ingest_bill_mention_speakers(t):
-    return stored(t, "bill_mention_speakers")
+    return stored(t, "bill_mention_speakers").drop(*fold.SUMMARIES)
 
 
 @query(f"select sitting_url, section_type, title, speech_count from {TOPICS}")
 def ingest_topics(t):
-    return stored(t, "topics")
+    return stored(t, "topics").drop(*fold.SUMMARIES)
 
 
 @query(f"select * from {IN_TOPIC}")
 def ingest_topic_speakers(t):
-    return stored(t, "topic_speakers")
+    return stored(t, "topic_speakers").drop(*fold.SUMMARIES)
 
 
 @query("select '/m/' || c_custkey || '/' as url, list_extract(['New ', 'Hon. '], c_custkey % 2 + 1) || c_name as name, 'Senate' as house, case when c_custkey % 4 > 0 then 'Whip ' || (c_custkey % 4) else 'old' end as role, case when c_custkey % 3 = 0 then 'Molo' else 'Kibra' end as constituency from customer")
@@ -170,15 +187,11 @@ def _members(t) -> DataFrame:
 
 def _linked(t) -> DataFrame:
     """Stored speakers linked by URL."""
-    return link.by_url(stored(t, "speakers").withColumn("member_url", F.lit(None).cast("string")), _members(t))
-
-
-def _open(df: DataFrame) -> DataFrame:
-    return df.withColumn("summary", F.lit(None).cast("string"))
+    return link.by_url(stored(t, "speakers"), _members(t))
 
 
 def _bill_speakers(t) -> DataFrame:
-    return pending.bill_speakers(_open(stored(t, "bill_mention_speakers")), stored(t, "bill_mentions"), _linked(t), stored(t, "bills"), _members(t), 60)
+    return pending.bill_speakers(stored(t, "bill_mention_speakers"), stored(t, "bill_mentions"), _linked(t), stored(t, "bills"), _members(t), 60)
 
 
 MEMBER_OF = "case when speaker_url = '/m/user/' then 'User' end as member_name"
@@ -196,11 +209,11 @@ PENDING_TOPICS = f"(select i.*, h.house, h.date, {MEMBER_OF} from {IN_TOPIC} i j
 
 @query(f"select sitting_url, title, speaker_name, house, date, member_name, contributions_text from {PENDING_TOPICS}")
 def pending_topic_speakers(t):
-    return pending.topic_speakers(_open(stored(t, "topic_speakers")), stored(t, "topics"), stored(t, "sittings"), _linked(t), _members(t), 40).select("sitting_url", "title", "speaker_name", "house", "date", "member_name", "contributions_text")
+    return pending.topic_speakers(stored(t, "topic_speakers"), stored(t, "topics"), stored(t, "sittings"), _linked(t), _members(t), 40).select("sitting_url", "title", "speaker_name", "house", "date", "member_name", "contributions_text")
 
 
 def _topics(t) -> DataFrame:
-    return pending.topics(_open(stored(t, "topics")), stored(t, "sittings").withColumnRenamed("raw", "sections"), 30)
+    return pending.topics(stored(t, "topics"), stored(t, "sittings").withColumnRenamed("raw", "sections"), 30)
 
 
 PENDING_OPEN_TOPICS = f"(select t.*, h.house from {TOPICS} t join {HEADS} h on h.url = t.sitting_url order by t.date desc, sitting_url limit 30)"
@@ -212,7 +225,7 @@ def pending_topics(t):
 
 
 def _mentions(t) -> DataFrame:
-    return pending.mentions(_open(stored(t, "bill_mentions")), stored(t, "bills"), stored(t, "sittings").withColumnRenamed("raw", "sections"), 45)
+    return pending.mentions(stored(t, "bill_mentions"), stored(t, "bills"), stored(t, "sittings").withColumnRenamed("raw", "sections"), 45)
 
 
 PENDING_MENTIONS = f"(select name as bill, url as sitting_url, stage, section_title, speech_count, house, date, n.bill_number from {BILLS} b join {NUMBERS} n on n.bill = b.name where speech_count > 0 order by date desc, name, url, stage nulls first limit 45)"
@@ -225,7 +238,7 @@ def pending_mentions(t):
 
 def _journeys(t) -> DataFrame:
     mentions = stored(t, "bill_mentions").withColumn("summary", F.when(F.col("sitting_url").endswith("3"), F.concat(F.lit("sum "), F.col("sitting_url"))))
-    return pending.journeys(_open(stored(t, "bills")), mentions, stored(t, "bill_mention_speakers"), 9)
+    return pending.journeys(stored(t, "bills"), mentions, stored(t, "bill_mention_speakers"), 9)
 
 
 SPEAKERS_TEXT = f"(select bill, sitting_url, string_agg(contributions_text, chr(10) || chr(10) order by speaker_name, speaker_url nulls first, contributions_text) as speakers_text from {IN_BILL} group by all)"
@@ -260,7 +273,7 @@ def prompt_bill_appearance(t):
 
 @query(f"select url, 'Summarise this sitting.' || chr(10) || 'House: ' || house || chr(10) || 'Date: ' || date || chr(10) || 'Session: Afternoon Sitting' || chr(10) || case when cast(substr(url, 4) as int) % 3 = 0 then 'Existing summary: told' || chr(10) else '' end || chr(10) || 'said' as prompt from {HEADS} order by date desc, url limit 25")
 def prompt_sitting(t):
-    rows = pending.sittings(stored(t, "sittings").withColumn("generated_summary", F.lit(None).cast("string")), 25)
+    rows = pending.sittings(stored(t, "sittings"), 25)
     return rows.select("url", prompts.sitting(F.col("house"), F.col("date"), F.col("session_type"), F.col("summary"), F.lit("said")).alias("prompt"))
 
 
@@ -295,6 +308,55 @@ def store_embeddings(t):
     return out.select("url", "house", F.col("embedding")[0].cast("double").alias("size"), "summary")
 
 
+class Counter:
+    """A summarizer that says how long a prompt is."""
+
+    def summarize(self, prompt: str) -> str:
+        return f"{len(prompt)} characters"
+
+
+def _reingested(t) -> sinks.Store:
+    """A store that was summarised, embedded and linked, and then got all sittings once more as if none were known."""
+    made = sinks.Store(t("region").sparkSession, sinks.scratch(t("region").sparkSession), 4)
+    made.migrate()
+    ingest.ingest_into(made, sittings(t))
+    for name, column in (("bill_mention_speakers", "contributions_text"), ("topics", "title"), ("bills", "name")):
+        rows = made.read(name)
+        made.write(name, pending.store(rows, name, pending.answer(rows.withColumn("prompt", F.col(column)), "prompt", Counter, "count")))
+    rows = made.read("sittings")
+    made.write("sittings", pending.store(rows, "sittings", pending.embedded(rows.select("url"), "url", Upper), ("embedding",)))
+    ingest.link_into(made, _members(t).withColumns({"house": F.lit("Senate"), "parliament": F.lit("13th-parliament")}))
+    for name, rows in ingest.tables(sittings(t)).items():
+        made.upsert(name, rows, ingest.ORDER)
+    return made
+
+
+@query(f"select bill, sitting_url, stage, speaker_name, speech_count, length(contributions_text) || ' characters' as summary, 'count' as summary_model from {IN_BILL}")
+def reingest_keeps_summaries(t):
+    return _reingested(t).read("bill_mention_speakers").select("bill", "sitting_url", "stage", "speaker_name", "speech_count", "summary", "summary_model")
+
+
+@query(f"""select distinct 'speaker' as kind, speaker_name as name, case when speaker_url = '/m/user/' then speaker_url when speaker_name = 'assistant' then '/m/assistant/' end as link from {SAID} where speaker_name <> 'Hon.'
+    union all select 'sitting', url, cast(strlen(url) as varchar) from {HEADS} union all select 'bill', name, length(name) || ' characters' from {BILLS} group by name""")
+def reingest_keeps_links(t):
+    """Links of speakers, embeddings of sittings and summaries of bills after all sittings came again."""
+    made = _reingested(t)
+    speakers = made.read("speakers").select(F.lit("speaker").alias("kind"), "name", F.col("member_url").alias("link"))
+    embedded = made.read("sittings").select(F.lit("sitting").alias("kind"), F.col("url").alias("name"), F.col("embedding")[0].cast("int").cast("string").alias("link"))
+    return speakers.unionByName(embedded).unionByName(made.read("bills").select(F.lit("bill").alias("kind"), "name", F.col("summary").alias("link")))
+
+
+@query(f"select count(*) filter (cast(substr(url, 4) as int) % 3 > 0) as ingested, count(*) filter (cast(substr(url, 4) as int) % 3 = 0) as skipped, 0 as failed, (select count(*) from {SAID} where speaker_name <> 'Hon.') as speeches from {HEADS}")
+def ingest_run_stats(t):
+    """A third of the sittings is stored, then all come: what the second run says it did, and that no speech counts twice."""
+    made = sinks.Store(t("region").sparkSession, sinks.scratch(t("region").sparkSession), 4)
+    made.migrate()
+    all_ = sittings(t)
+    ingest.ingest_into(made, all_.filter("cast(substr(url, 4) as int) % 3 = 0"))
+    told = ingest.ingest_into(made, all_)
+    return made.read("sitting_speakers").agg(*[F.lit(n).cast("long").alias(k) for k, n in told.items()], F.sum("speech_count").alias("speeches"))
+
+
 # Linking. Speakers are customers: some known by URL, some by name, some by their office.
 def _customers(t) -> DataFrame:
     key = F.col("c_custkey")
@@ -344,8 +406,7 @@ def link_bill_sponsors(t):
 @query(f"select count(*) as linked from {CUSTOMERS} c join {SEATS} m on c.url = m.url")
 def link_counts(t):
     before = _customers(t)
-    n = link.linked(before, link.by_url(before, _seats(t)), ["id", "name", "url"])
-    return t("region").limit(1).select(F.lit(n).cast("long").alias("linked"))
+    return link.filled(before, link.by_url(before, _seats(t)), ["id", "name", "url"]).agg(F.count("*").alias("linked"))
 
 
 @query(f"select n.name, m.name as member_name, m.url as member_url, round(m.score, 6) as score, m.rank from {OPEN} n join (select *, row_number() over (partition by asked order by score desc, url) as rank from (select n.name as asked, m.name, m.url, {SCORE} as score from {OPEN} n cross join (select *, {TRIGRAMS.format('name')} as tb from {SEATS}) m) where score >= 0.3) m on m.asked = n.name where m.rank <= 5")
@@ -394,7 +455,7 @@ def store_upsert(t):
     kept.migrate()
     for part in ("n_regionkey < 3", "n_regionkey >= 0"):
         kept.upsert("speakers", rows.join(t("nation").filter(part).select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("name")), "name"), ["n"])
-    return kept.read("speakers")
+    return kept.read("speakers").select("name", "url")
 
 
 @query("select n_name as name, cast(n_nationkey as bigint) as value, '[' || n_nationkey || ']' as list from nation")
