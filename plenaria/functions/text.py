@@ -39,6 +39,7 @@ LISTING_TITLE = r"(?i)(?U)(\w+),\s+(\d+)\w*\s+(\w+),?\s+(\d{4})\s*[-–]\s*(.+)"
 NAME_PREFIX = r"(?i)^(Hon\.|Sen\.)\s(Dr\.\s)?"
 ROLE_PREFIX = r"(?i)^(The\s)?(Ayes|Noes|Teller|Temporary Speaker|Speaker|Chairperson|Majority Leader|Minority Leader|Majority Whip|Minority Whip)"
 PRESIDING = r"(?i)^(The|Hon\.?)\s+(Temporary\s+)?(Deputy\s+)?(Speaker|Chairman|Chairlady|Chairperson|Chair|Deputy\s+Speaker)\s*"
+# (Mrs stands before Mr, as Java takes the first alternative that fits.)
 HONORIFICS = r"(?i)\b(?=\w)(Hon|Sen|Mrs|Mr|Ms|Madam|Mhe)\.?\s*"
 PROFESSIONS = r"(?i)\(?(Dr|Prof|Eng|Rtd|Ret|SC|EGH|CBS|OGW|MBS|EBS|HSC|OBS|Capt|Maj|Col|Gen|Lt|Cdr)\.?\)?\s*"
 MOVE = "I beg to move"
@@ -115,15 +116,24 @@ def is_topic_title(c: Column) -> Column:
     return (F.octet_length(c) >= 5) & ~u.endswith("BILL") & ~u.endswith(" ACT") & ~c.rlike(BILL_CITATION)
 
 
+#: What cleaning a name replaces, in this order. Possessive and white space go at the first place only, and titles are taken out
+#: of words too, as in the reference.
+CLEANING = [
+    (PRESIDING, ""),
+    (r"(?s)^\s*\((.+)\)\s*$", "$1"),
+    (HONORIFICS, ""),
+    (PROFESSIONS, ""),
+    (r"\s*\([^)]*\)\s*$", ""),
+    (r"\s*\([^)]*$", ""),
+    (r"[:);,]+\s*$", ""),
+    (r"(?s)^(.*?)'s?\s", "$1 "),
+    (r"(?s)^(.*?)\s+", "$1 "),
+]
+
+
 def clean_name(c: Column) -> Column:
-    """A raw speaker name without roles, honours, titles and trailing parentheses. Possessive and white space go at
-    the first place only, and titles are taken out of words too, as in the reference."""
-    x = F.regexp_replace(F.trim(c), PRESIDING, "")
-    x = F.regexp_replace(x, r"(?s)^\s*\((.+)\)\s*$", "$1")
-    x = F.regexp_replace(F.regexp_replace(x, HONORIFICS, ""), PROFESSIONS, "")
-    x = F.regexp_replace(F.regexp_replace(x, r"\s*\([^)]*\)\s*$", ""), r"\s*\([^)]*$", "")
-    x = F.regexp_replace(x, r"[:);,]+\s*$", "")
-    return F.regexp_replace(F.regexp_replace(x, r"(?s)^(.*?)'s?\s", "$1 "), r"(?s)^(.*?)\s+", "$1 ")
+    """A raw speaker name without roles, honours, titles and trailing parentheses."""
+    return reduce(lambda x, step: F.regexp_replace(x, *step), CLEANING, F.trim(c))
 
 
 def _of_house(c: Column, i: int) -> Column:
@@ -154,9 +164,9 @@ def slug_date(url: Column) -> Column:
     slug = F.element_at(F.split(F.regexp_replace(url, "/+$", ""), "/"), -1)
     p = F.split(slug, "-")
     date = F.to_date(F.try_to_timestamp(F.concat_ws(" ", F.regexp_extract(F.get(p, F.lit(1)), r"^(\d+)", 1), F.initcap(F.get(p, F.lit(2))), F.get(p, F.lit(3))), F.lit("d MMMM yyyy")))
-    rest = F.slice(p, 5, 99)
-    stop = F.aggregate(F.transform(rest, lambda w, i: F.when(w.rlike(r"^\d+$"), i).otherwise(F.lit(99))), F.lit(99), lambda a, b: F.least(a, b))
-    words = F.transform(F.slice(rest, F.lit(1), F.least(stop, F.size(rest))), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 999)))
+    rest = F.slice(p, F.lit(5), F.greatest(F.size(p) - 4, F.lit(0)))
+    stop = F.coalesce(F.array_min(F.filter(F.transform(rest, lambda w, i: F.when(w.rlike(r"^\d+$"), i)), lambda i: i.isNotNull())), F.size(rest))
+    words = F.transform(F.slice(rest, F.lit(1), stop), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w))))
     return F.when((F.size(p) >= 5) & date.isNotNull(), F.struct(date.alias("date"), F.get(p, F.lit(0)).alias("day_of_week"), F.array_join(words, " ").alias("session_type")))
 
 

@@ -77,11 +77,8 @@ def skip_ingested(listings: DataFrame, stored: DataFrame) -> DataFrame:
     return listings.join(stored.select("url"), "url", "left_anti")
 
 
-ENVELOPE_ROWS = 1_000
-
-
-def envelope(df: DataFrame, order: list[str], offset: int = 0, limit: int = ENVELOPE_ROWS) -> DataFrame:
-    """One row {count, data} of a slice in order; an answer of a tool, so of a size a client can take: the slice is cut
-    (one TakeOrderedAndProject) before its rows come together."""
+def envelope(df: DataFrame, order: list[str], offset: int = 0, limit: int | None = None) -> DataFrame:
+    """One row {count, data} of a slice in order, the answer of a tool: count is that of the slice as asked for, data its rows. A slice with
+    a limit is one TakeOrderedAndProject; without one all rows come together, as in any answer that is one value."""
     part = ordered_slice(df, order, offset, limit)
     return part.agg(F.count("*").alias("count"), F.sort_array(F.collect_list(F.struct(*order, *[c for c in df.columns if c not in order]))).alias("data"))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections import defaultdict
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType, VariantType
 
 from . import fold
 
@@ -49,7 +53,8 @@ class Store:
         self.parts = self.spark.read.schema("parts int").json(about).first().parts
         for name, schema in fold.SCHEMAS.items():
             if not self._there(f"{self.path}/{name}"):
-                self.spark.createDataFrame([], schema).write.parquet(f"{self.path}/{name}")
+                empty = self.spark.createDataFrame([], f"{schema}, _part int")
+                empty.write.partitionBy("_part").parquet(f"{self.path}/{name}")
 
     def _part(self, name: str) -> Column:
         return F.pmod(F.xxhash64(*fold.TABLES[name][0]), F.lit(self.parts)).cast("int")
@@ -80,12 +85,29 @@ class Store:
         self.write(name, change(self.read(name)))
 
 
-def frame(rows: DataFrame, json_col: str, schema: str) -> DataFrame:
-    """The records of a JSON column, one object or a list of them a row, as columns of a declared schema."""
+def frame(rows: DataFrame, json_col: str, schema: str | None = None, told: Observation | None = None) -> DataFrame:
+    """The records of a JSON column, one object or a list of them a row, as columns of a schema (None: the one that all
+    records show). Records that are no object, or have a value of another type, are dropped; told: counts them (rejected)
+    and the others (decoded)."""
+    kind = StructType.fromDDL(schema) if schema else inferred(rows, json_col)
+    bad = "_corrupt_record"
+    full = StructType([*kind.fields, StructField(bad, StringType())])
+    each = F.when(F.col(json_col).rlike(r"^\s*\["), F.from_json(json_col, ArrayType(VariantType()))).otherwise(F.array(F.try_parse_json(json_col)))
+    records = rows.select(F.explode(F.coalesce(each, F.array(F.lit(None).cast("variant")))).alias("v"))
+    one = F.from_json(F.to_json("v"), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+    out = records.select(F.when(F.schema_of_variant("v").startswith("OBJECT"), one).alias("r"))
+    fits = F.col("r").isNotNull() & F.col(f"r.{bad}").isNull()
+    if told:
+        out = out.observe(told, F.count_if(~fits).alias("rejected"), F.count_if(fits).alias("decoded"))
+    return out.filter(fits).select(*[F.col("r")[f.name].alias(f.name) for f in kind.fields])
+
+
+def inferred(rows: DataFrame, json_col: str) -> StructType:
+    """The schema of all records of a JSON column, by an aggregate over all rows."""
     many = F.col(json_col).rlike(r"^\s*\[")
-    one = F.array(F.from_json(json_col, schema))
-    listed = F.from_json(json_col, f"array<struct<{', '.join(f.strip().replace(' ', ':', 1) for f in schema.split(','))}>>")
-    return rows.select(F.explode(F.when(many, listed).otherwise(one)).alias("r")).select("r.*")
+    v = rows.select(F.when(many, F.from_json(json_col, ArrayType(VariantType()))).otherwise(F.array(F.try_parse_json(json_col))).alias("v")).select(F.explode("v").alias("v"))
+    said = v.filter(F.schema_of_variant("v").startswith("OBJECT")).agg(F.schema_of_variant_agg("v")).first()[0]
+    return StructType.fromDDL(re.sub(r"^OBJECT<(.*)>$", r"\1", said, flags=re.S).replace("OBJECT<", "STRUCT<")) if said and said != "OBJECT<>" else StructType([])
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -156,3 +178,39 @@ class TextMetrics:
 def rollup(samples: DataFrame) -> DataFrame:
     """name, labels: counter (sum) and gauge (last by ts) of samples (name, labels, kind, value, ts)."""
     return samples.groupBy("name", "labels").agg(F.sum(F.when(F.col("kind") == "counter", F.col("value"))).alias("counter"), F.max_by("value", F.when(F.col("kind") == "gauge", F.col("ts"))).alias("gauge"))
+
+
+def counted(told: Observation) -> dict[str, int]:
+    """What an observation of a finished job counted; empty if its rows were optimised away, as there were none."""
+    try:
+        return {k: v or 0 for k, v in told.get.items()}
+    except Py4JJavaError:
+        return {}
+
+
+def report(told: Observation, metrics: Metrics, prefix: str, **labels: str) -> None:
+    """Hands what an observation counted in the tasks of a finished job to metrics, as counters."""
+    for name, value in counted(told).items():
+        metrics.counter(f"{prefix}_{name}", value, **labels)
+
+
+class StreamMetrics(StreamingQueryListener):
+    """Reports each micro-batch: rows read, its duration, and the observed metrics of its plan."""
+
+    def __init__(self, metrics: Metrics, prefix: str = "stream"):
+        self.metrics, self.prefix = metrics, prefix
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self.metrics.counter(f"{self.prefix}_rows", p.numInputRows, query=p.name or str(p.id))
+        self.metrics.gauge(f"{self.prefix}_batch_seconds", p.batchDuration / 1000, query=p.name or str(p.id))
+        for values in p.observedMetrics.values():
+            for name, value in values.asDict().items():
+                self.metrics.counter(f"{self.prefix}_{name}", value or 0, query=p.name or str(p.id))
+        self.metrics.flush()
+
+    def onQueryTerminated(self, event):
+        pass

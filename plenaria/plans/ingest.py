@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import extract, fold, link
-from ..operators.sinks import Store, remove, scratch
+from ..operators.sinks import Store, counted, remove, scratch
 
 ORDER = ["date", "sitting_url", "section_ord", "sub_ord"]
 
@@ -27,22 +27,24 @@ class Spread:
     spoken: DataFrame
 
 
-def spread(sittings: DataFrame, at: str) -> Spread:
-    """Writes under at: sittings, their contributions, and these by speaker, by part, by part and speaker."""
-    spark = sittings.sparkSession
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    def written(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{at}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{at}/{name}")
 
-    heads = written("sittings", sittings)
-    rows = written("contributions", extract.contributions(heads))
-    return Spread(heads, *[written(name, make(rows)) for name, make in (("speakers", extract.speakers), ("segments", extract.segments), ("spoken", extract.contributors))])
+def spread(heads: DataFrame, at: str) -> Spread:
+    """Writes under at, of written sittings, their contributions, and these by speaker, by part, by part and speaker."""
+    rows = _written(extract.contributions(heads), f"{at}/contributions")
+    return Spread(heads, *[_written(make(rows), f"{at}/{name}") for name, make in (("speakers", extract.speakers), ("segments", extract.segments), ("spoken", extract.contributors))])
 
 
 def tables(sittings: DataFrame, at: str | None = None) -> dict[str, DataFrame]:
     """Incoming rows of every stored table, with the columns that order them; at: where to write what they share."""
-    parts = spread(sittings, at or scratch(sittings.sparkSession))
+    at = at or scratch(sittings.sparkSession)
+    return _tables(spread(_written(sittings, f"{at}/sittings"), at))
+
+
+def _tables(parts: Spread) -> dict[str, DataFrame]:
     own = lambda df: df.withColumnRenamed("url", "sitting_url")
     at_top = [F.lit(0).alias("section_ord"), F.lit(0).alias("sub_ord")]
     heads, spoken = parts.sittings, own(parts.spoken)
@@ -77,18 +79,17 @@ def ingest_into(store: Store, sittings: DataFrame, told: Observation | None = No
     """Folds the sittings not yet stored into the store; returns ingested, skipped (stored before) and failed (pages, as
     told by the observation that a page source was given). The counts come with the one write that reads the pages. Sittings are
     stored last: after a broken run they count as new, and what that run has left of them is replaced."""
-    seen, new = Observation(), Observation()
-    rows = sittings.observe(seen, F.count(F.lit(1)).alias("n"))
-    rows = rows.join(store.read("sittings").select("url"), "url", "left_anti").observe(new, F.count(F.lit(1)).alias("n"))
-    at = scratch(store.spark)
-    incoming = tables(rows, at)
-    urls = incoming["sittings"].select("sitting_url").distinct()
+    seen, at = Observation(), scratch(store.spark)
+    all_ = _written(sittings.observe(seen, F.count(F.lit(1)).alias("n")), f"{at}/sittings")
+    new = all_.join(store.read("sittings").select("url"), "url", "left_anti")
+    incoming = _tables(spread(new, at))
+    urls = new.select(F.col("url").alias("sitting_url")).distinct()
+    ingested = new.count()
     for name in sorted(incoming, key=lambda name: name == "sittings"):
         left = urls if name != "sittings" and "sitting_url" in fold.TABLES[name][0] else None
         store.upsert(name, incoming[name], ORDER, left)
     remove(store.spark, at)
-    n = new.get.get("n", 0)
-    return {"ingested": n, "skipped": seen.get.get("n", 0) - n, "failed": (told.get.get("failed", 0) or 0) if told else 0}
+    return {"ingested": ingested, "skipped": counted(seen).get("n", 0) - ingested, "failed": counted(told).get("failed", 0) if told else 0}
 
 
 def ingest_members(members: DataFrame, stored: DataFrame | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import prompts, text
+from ..functions import prompts, sql, text
 from ..operators import extract, fold, link, listing, sinks
 from . import ingest, pending
 from .base import query
@@ -415,6 +415,22 @@ def match_topk(t):
     return link.match_members(names, _seats(t)).select("name", "member_name", "member_url", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
+@query(f"select n.name, m.name as member_name, m.url as member_url, round(m.score, 6) as score from {OPEN} n join (select *, row_number() over (partition by asked order by score desc, url) as rank from (select n.name as asked, m.name, m.url, {SCORE} as score from {OPEN} n cross join (select *, {TRIGRAMS.format('name')} as tb from {SEATS}) m) where score >= 0.45) m on m.asked = n.name where m.rank <= 5")
+def match_member_sql(t):
+    """The table function beside each name, in SQL."""
+    spark = t("nation").sparkSession
+    sql.register(spark, _seats(t).withColumn("constituency", F.lit(None).cast("string")))
+    names = _customers(t).filter("url is null and name not like '%Speaker'").select("name").distinct()
+    return spark.sql("select n.name, m.name as member_name, m.url as member_url, round(m.score, 6) as score from {names} n, lateral match_member(n.name, 0.45D) m", names=names)
+
+
+@query(f"select distinct name, {CLEAN.format('name')} as clean, name = 'Kamau' as same from {CUSTOMERS} where name not like '%Speaker'")
+def clean_name_sql(t):
+    spark = t("nation").sparkSession
+    sql.register(spark)
+    return spark.sql("select distinct name, clean_speaker_name(name) as clean, similarity(name, 'Kamau') = 1 as same from {names} where name not like '%Speaker'", names=_customers(t).select("name"))
+
+
 @query("select l_orderkey, l_linenumber, l_suppkey from lineitem where l_suppkey not in (select s_suppkey from supplier where s_acctbal < 2000)")
 def delete_using(t):
     gone = t("supplier").filter("s_acctbal < 2000").select(F.col("s_suppkey").alias("l_suppkey"))

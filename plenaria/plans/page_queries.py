@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..sources import pages
+from ..operators import sinks
+from ..sources import page_source, pages
 from .model_queries import spoken
 from .base import query
 
@@ -115,9 +116,11 @@ def _register_sittings():
     def page_sitting_head(t):
         return pages.current_sittings(sitting_pages(t)).select("url", "house", "date", "session_type", "source", "day_of_week", "start_time", "summary", "sentiment", "pdf_url", "parliament_number")
 
-    archive = f"(select '/hansard/sitting/' || case house when 'Senate' then 'senate' else 'national_assembly' end || '/' || date || '-14-30-00/' as u, * from {SAID} where conv_id < 250)"
+    n = "conv_id // 300"  # conversations of one day and house are told apart by their time
+    stamp = f"lpad(cast({n} // 3600 % 24 as varchar), 2, '0') || '-' || lpad(cast({n} // 60 % 60 as varchar), 2, '0') || '-' || lpad(cast({n} % 60 as varchar), 2, '0')"
+    archive = f"(select '/hansard/sitting/' || case house when 'Senate' then 'senate' else 'national_assembly' end || '/' || date || '-' || {stamp} || '/' as u, * from {SAID})"
 
-    @query(f"select u as url, house, date, '14:30:00' as start_time, case when min(conv_id) % 2 = 0 then 'THE TENTH PARLIAMENT' else 'PARLIAMENT OF KENYA' end as parliament_number, case when min(conv_id) % 2 = 0 then 'Third Session' else 'Unknown Session' end as session_number, case when min(conv_id) % 2 = 0 then 'Morning Sitting' else 'Regular Sitting' end as session_type, case when min(conv_id) % 2 = 0 then '[The Speaker in the Chair]' else '[Speaker information not found]' end as speaker_in_chair from {archive} group by all")
+    @query(f"select u as url, house, date, replace(min({stamp}), '-', ':') as start_time, case when min(conv_id) % 2 = 0 then 'THE TENTH PARLIAMENT' else 'PARLIAMENT OF KENYA' end as parliament_number, case when min(conv_id) % 2 = 0 then 'Third Session' else 'Unknown Session' end as session_number, case when min(conv_id) % 2 = 0 then 'Morning Sitting' else 'Regular Sitting' end as session_type, case when min(conv_id) % 2 = 0 then '[The Speaker in the Chair]' else '[Speaker information not found]' end as speaker_in_chair from {archive} group by all")
     def page_archive_sitting_head(t):
         return pages.archive_sittings(archive_pages(t)).select("url", "house", "date", "start_time", "parliament_number", "session_number", "session_type", "speaker_in_chair")
 
@@ -140,11 +143,11 @@ def archive_pages(t) -> DataFrame:
     name = F.when(turn % 3 == 0, _html("<a href='", F.coalesce("href", F.lit("/person/other/")), "'>", F.col("name"), "</a>")).when(turn % 3 == 1, "The Temporary Speaker").otherwise("The Speaker (Hon. Achieng)")
     role = F.when(turn % 3 == 0, " (Whip):").when(turn % 3 == 1, _html(" (Hon. ", F.col("name"), "):")).otherwise(":")
     item = _html("<li class='speech'><strong>", name, "</strong>", role, "<p>", F.col("said"), "</p></li>", F.when(turn % 2 == 1, "<li class='scene'>(Laughter)</li>"))
-    rows = _spoken(t).filter("conv_id < 250").groupBy("conv_id", "house", "date").agg(_joined("turn", item).alias("items"))
+    rows = _spoken(t).groupBy("conv_id", "house", "date").agg(_joined("turn", item).alias("items"))
     head = F.when(F.col("conv_id") % 2 == 0, "<h2>THE TENTH PARLIAMENT</h2><h2>Third Session</h2><li class='page_number'>1 (Morning Sitting)</li>").otherwise("<h2>Nothing</h2>")
     chair = F.when(F.col("conv_id") % 2 == 0, "<li class='scene'>[The Speaker in the Chair]</li>")
     page = _html(head, "<ul><li class='heading'>NATIONAL ASSEMBLY</li><li class='speech'><strong>Lost</strong><p>x</p></li>", chair, "<li class='heading'> MOTION</li>", F.col("items"), "</ul>")
-    url = F.concat(F.lit("/hansard/sitting/"), F.when(F.col("house") == "Senate", "senate").otherwise("national_assembly"), F.lit("/"), F.date_format("date", "yyyy-MM-dd"), F.lit("-14-30-00/"))
+    url = F.concat(F.lit("/hansard/sitting/"), F.when(F.col("house") == "Senate", "senate").otherwise("national_assembly"), F.lit("/"), F.date_format("date", "yyyy-MM-dd"), F.lit("-"), F.format_string("%02d-%02d-%02d", *[F.floor(F.col("conv_id") / 300 / k) % m for k, m in ((3600, 24), (60, 60), (1, 60))]), F.lit("/"))
     return rows.select(url.alias("url"), page.alias("html"))
 
 
@@ -181,20 +184,32 @@ def page_people(t):
 
 
 # Profiles: a page for each supplier, of its parts.
-def profile_pages(t) -> DataFrame:
-    key, part = F.col("s_suppkey"), F.col("l_partkey")
-    lines = t("lineitem").filter("l_linenumber <= 2 and l_orderkey % 5 = 0").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), F.concat(F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), F.col("l_linenumber").cast("string")).alias("at"))
+def _pager(kind: str, parameter: str, current, last) -> Column:
+    return _html(f"<nav class='{kind}'><li class='active_number_box'><span>", current, f"</span></li><a href='?q=1&amp;{parameter}=", last, "'>last</a></nav>")
+
+
+def _profile_items(t) -> DataFrame:
+    """l_suppkey, l_linenumber, at (the order of items), and a bill, vote and group of each line."""
+    part = F.col("l_partkey")
+    lines = t("lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), F.concat(F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), F.col("l_linenumber").cast("string"), F.lpad(F.col("l_partkey").cast("string"), 12, "0")).alias("at"))
     bill = _html("<div class='bill-item'><h3 class='bill-name'>Bill ", part, "</h3><span class='bill-year'>", F.substring("day", 1, 4), "</span><div class='bill-stage'>Status: Stage ", F.col("l_linenumber"), "</div></div>")
     vote = _html("<div class='voting-patterns-row'><div class='voting-cell voting-date'>", F.col("day"), "</div><div class='voting-cell voting-title'>", F.when(part % 6 > 0, _html("<a href='/v/", part, "'>Vote ", part, "</a>")), "</div><div class='voting-cell voting-decision'>", F.when(part % 2 == 0, "<span class='decision-badge'>Yes</span>"), "</div></div>")
     group = _html("<div class='contribution-group'><span class='topic-badge topic-badge-large'>Topic ", part, "</span><span class='group-date'>", F.col("day"), "</span><div class='conversation-subgroup'><span class='conversation-type-badge'>Motion</span><a class='conversation-title' href='/s/", part, "#top'>Title ", part, "</a><div class='contribution-item'><a class='contribution-text-link' href='/s/", part, "#chunk-1'><p class='contribution-text'>one </p></a></div><div class='contribution-item'><a class='contribution-text-link' href=''><p class='contribution-text'>none</p></a></div></div><div class='conversation-subgroup'><span class='conversation-type-badge'>Question</span><div class='contribution-item'><a class='contribution-text-link' href='/s/", part, "#chunk-2'>two</a></div></div></div>")
-    each = lines.groupBy("l_suppkey").agg(_joined("at", bill).alias("bills"), _joined("at", vote).alias("votes"), _joined("at", group).alias("groups"))
+    return lines.select("l_suppkey", "l_linenumber", "at", bill.alias("bill"), vote.alias("vote"), group.alias("group"))
+
+
+def profile_pages(t, items: DataFrame | None = None, parts: int | None = None) -> DataFrame:
+    """Profile pages with all items, or those given; parts: how many pages both pagers count."""
+    key = F.col("s_suppkey")
+    each = (_profile_items(t) if items is None else items).groupBy("l_suppkey").agg(_joined("at", F.col("bill")).alias("bills"), _joined("at", F.col("vote")).alias("votes"), _joined("at", F.col("group")).alias("groups"))
     s = t("supplier").join(each, F.col("s_suppkey") == F.col("l_suppkey"), "left")
-    pager = lambda kind, parameter, last: _html(f"<nav class='{kind}'><li class='active_number_box'><span>1</span></li><a href='?q=1&amp;{parameter}=", last, "'>last</a></nav>")
-    page = _html("<h1 class='page-heading'>", F.col("s_name"), "</h1><h2 class='assembly-entry'>Senator</h2><img class='member-list--image' src='/p/", key, ".png'><section class='member-biography'><div class='biography-content'>", F.when(key % 2 == 0, "Born  once"), "</div></section><h2 class='header-two'>CURRENT POSITIONS</h2><div class='position-section'><p>Member ", key, "</p><p> </p></div><p class='elected-post'>Chair</p><h2 class='header-three'>Parties and Coalitions</h2><p>none</p><p class='elected-post'>Party ", F.col("s_nationkey"), "</p><ul><li class='committee-item'>Works</li><li class='committee-item'> </li></ul><div class='activity-section'><p>Has it? ", F.when(key % 3 > 0, _html("He has made ", key, " speeches last year and ", key + 7, " speeches in all")), "</p></div><p class='bills-summary'>She has sponsored ", key % 9, " bills</p>", F.col("bills"), F.when(key % 4 == 0, pager("bills-pagination", "bills_page", key % 5 + 2)), F.col("votes"), F.col("groups"), F.when(key % 4 == 1, pager("contributions-pagination", "contributions_page", key % 6 + 2)))
+    bills_pager = F.when(key % 4 == 0, _pager("bills-pagination", "bills_page", "1", key % 5 + 2)) if parts is None else _pager("bills-pagination", "bills_page", "1", str(parts))
+    activity_pager = F.when(key % 4 == 1, _pager("contributions-pagination", "contributions_page", "1", key % 6 + 2)) if parts is None else _pager("contributions-pagination", "contributions_page", "1", str(parts))
+    page = _html("<h1 class='page-heading'>", F.col("s_name"), "</h1><h2 class='assembly-entry'>Senator</h2><img class='member-list--image' src='/p/", key, ".png'><section class='member-biography'><div class='biography-content'>", F.when(key % 2 == 0, "Born  once"), "</div></section><h2 class='header-two'>CURRENT POSITIONS</h2><div class='position-section'><p>Member ", key, "</p><p> </p></div><p class='elected-post'>Chair</p><h2 class='header-three'>Parties and Coalitions</h2><p>none</p><p class='elected-post'>Party ", F.col("s_nationkey"), "</p><ul><li class='committee-item'>Works</li><li class='committee-item'> </li></ul><div class='activity-section'><p>Has it? ", F.when(key % 3 > 0, _html("He has made ", key, " speeches last year and ", key + 7, " speeches in all")), "</p></div><p class='bills-summary'>She has sponsored ", key % 9, " bills</p>", F.col("bills"), bills_pager, F.col("votes"), F.col("groups"), activity_pager)
     return s.select(_html("/mps/", key, "/").alias("url"), page.alias("html"))
 
 
-LINES = "(select '/mps/' || l_suppkey || '/' as page_url, l_suppkey, l_partkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') as day from lineitem where l_linenumber <= 2 and l_orderkey % 5 = 0 and l_suppkey in (select s_suppkey from supplier))"
+LINES = "(select '/mps/' || l_suppkey || '/' as page_url, l_suppkey, l_partkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') as day from lineitem where l_suppkey in (select s_suppkey from supplier))"
 
 
 @query(f"select s_name as name, cast(s_suppkey as varchar) as slug, 'https://mzalendo.com/p/' || s_suppkey || '.png' as photo_url, case when s_suppkey % 2 = 0 then 'Born once' end as biography, 'Senator' as position_type, 'Member ' || s_suppkey || ';Chair' as positions, 'Party ' || s_nationkey as party, 'Works' as committees, cast(case when s_suppkey % 3 > 0 then s_suppkey end as int) as speeches_last_year, cast(case when s_suppkey % 3 > 0 then s_suppkey + 7 end as int) as speeches_total, cast(s_suppkey % 9 as int) as bills_total, cast(case when s_suppkey % 4 = 0 then s_suppkey % 5 + 2 when n > 0 then 1 else 0 end as int) as bills_pages, cast(case when s_suppkey % 4 = 1 then s_suppkey % 6 + 2 when n > 0 then 1 else 0 end as int) as activity_pages, coalesce(n, 0) as n_bills from supplier left join (select l_suppkey, count(*) as n from {LINES} group by 1) on l_suppkey = s_suppkey")
@@ -224,6 +239,90 @@ def page_info_parts(t):
     return both[0].unionByName(both[1]).select("page_url", "kind", "current", "last")
 
 
+def profile_parts(t) -> tuple[DataFrame, DataFrame]:
+    """Profiles in three pages: the first ones, and the further ones of bills and activity. The third ones of every fifth
+    profile say that they are the ninth."""
+    items = _profile_items(t).withColumn("p", F.col("l_linenumber") % 3 + 1)
+    each = items.filter("p > 1").groupBy("l_suppkey", "p").agg(_joined("at", F.col("bill")).alias("bills"), _joined("at", F.col("group")).alias("activity"))
+    says = F.when((F.col("l_suppkey") % 5 == 0) & (F.col("p") == 3), 9).otherwise(F.col("p"))
+    part = lambda kind, nav, parameter: F.struct(_html("/mps/", F.col("l_suppkey"), f"/?{parameter}=", F.col("p")).alias("url"), _html(F.col(kind), _pager(nav, parameter, says, "3")).alias("html"))
+    more = each.select(F.explode(F.array(part("bills", "bills-pagination", "bills_page"), part("activity", "contributions-pagination", "contributions_page"))).alias("x")).select("x.*")
+    return profile_pages(t, items.filter("p = 1"), 3), more
+
+
+ITEMS = "(select '/mps/' || l_suppkey || '/' as page_url, l_partkey as k, l_linenumber % 3 + 1 as p, lpad(cast(l_orderkey as varchar), 12, '0') || l_linenumber || lpad(cast(l_partkey as varchar), 12, '0') as pos from lineitem where not (l_suppkey % 5 = 0 and l_linenumber % 3 = 2))"
+
+
+@query(f"""select '/mps/' || s_suppkey || '/' as page_url, s_name as name, coalesce(n, 0) as n_bills, coalesce(2 * n, 0) as n_activity, coalesce(bills, '') as bills, coalesce(activity, '') as activity from supplier left join (
+    select page_url, count(*) as n, string_agg('Bill ' || k, ';' order by p, pos) as bills, string_agg('/s/' || k || '#chunk-1;/s/' || k || '#chunk-2', ';' order by p, pos) as activity from {ITEMS} group by page_url) i on i.page_url = '/mps/' || s_suppkey || '/'""")
+def page_profiles_in_parts(t):
+    """Bills and activity of all pages of a profile, in order, without the pages that are others than asked for."""
+    first, more = profile_parts(t)
+    p = pages.full_profiles(first, more)
+    told = lambda c, k: F.array_join(F.transform(c, lambda x: x[k]), ";").alias(c)
+    return p.select("page_url", "name", F.size("bills").cast("long").alias("n_bills"), F.size("activity").cast("long").alias("n_activity"), told("bills", "name"), told("activity", "url"))
+
+
+# The page source: pages of a list in a folder, of which one is broken and one is another than asked for.
+def _list_folder(t) -> str:
+    """Seven pages of listings, by the order's key; returns their folder."""
+    n = F.col("o_orderkey") % 7 + 1
+    link = _html("<div class='hansard-document'><h3><a href='/s/", F.col("o_orderkey"), "/'>", F.when(F.col("o_orderkey") % 11 == 0, "Notice").otherwise(F.concat(_day("o_orderdate"), F.lit(" - Afternoon Sitting"))), "</a></h3></div>")
+    each = t("orders").select(n.cast("int").alias("page"), "o_orderkey", (F.col("o_orderkey") % 2).alias("senate"), link.alias("link")).groupBy("page", "senate").agg(_joined("o_orderkey", F.col("link")).alias("part"))
+    rows = each.groupBy("page").agg(_joined("senate", _html("<div class='split-docs'>", F.col("part"), "</div>")).alias("html"))
+    says = F.when(F.col("page") == 4, 9).otherwise(F.col("page"))
+    nav = _html(F.when(F.col("page") == 6, "<![foo[x]]>"), "<nav><li class='active active_number_box'><span>", says, "</span></li><a class='page_label' href='?page=7'>7</a></nav>")
+    path = sinks.scratch(t("orders").sparkSession) + "/list"
+    page_source.write_pages(rows.select("page", F.concat(nav, "html").alias("html")), path)
+    return path
+
+
+LIST = "(select o_orderkey, cast(o_orderkey % 7 + 1 as int) as page, case o_orderkey % 2 when 1 then 'Senate' else 'National Assembly' end as house, cast(o_orderdate as date) as date from orders where o_orderkey % 11 > 0 and o_orderkey % 7 not in (3, 5))"
+
+
+@query(f"select page, house, date, '/s/' || o_orderkey || '/' as url, 'Afternoon Sitting' as session_type from {LIST} where house = 'Senate' and date >= date '1995-01-01' and date < date '1997-01-01'")
+def page_source_listings(t):
+    """All pages of a list, by the count of its pager; house and dates are filtered where pages are read."""
+    rows = page_source.all_pages(t("orders").sparkSession, _list_folder(t))
+    return rows.filter("house = 'Senate' and date >= date'1995-01-01' and date < date'1997-01-01'").select("page", "house", "date", "url", "session_type")
+
+
+@query(f"select count(*) as n, 2 as failed, '4,6' as pages from {LIST}")
+def page_source_failures(t):
+    """Rows of the pages that could be read, and what is told of the others."""
+    spark = t("orders").sparkSession
+    path = _list_folder(t)
+    page_source.all_pages(spark, path, failures=f"{path}-failures").write.parquet(f"{path}-rows")
+    failed = page_source.failures(spark, f"{path}-failures").agg(F.count("*").alias("failed"), F.array_join(F.sort_array(F.collect_list("page")), ",").alias("pages"))
+    return spark.read.parquet(f"{path}-rows").agg(F.count("*").alias("n")).join(failed)
+
+
+def _register_sql():
+    from .model_queries import SAID
+
+    told = f"select url, section_ord, section_type, title, contrib_ord, speaker_name, speaker_url, content, notes, cast(null as varchar) as error from {SPOKEN.format(SAID)} where turn % 4 < 4"
+
+    @query(f"{told} union all select '/bad/' || n_nationkey, null, null, null, null, null, null, null, null, 'AssertionError' from nation")
+    def page_sitting_sql(t):
+        """Sitting pages among broken ones, parsed by the table function in SQL; a broken page is a row with its error."""
+        spark = t("nation").sparkSession
+        page_source.register(spark)
+        bad = t("nation").select(F.concat(F.lit("/bad/"), F.col("n_nationkey").cast("string")).alias("url"), F.lit("<p>x</p><![foo[x]]>").alias("html"))
+        rows = spark.sql("select p.url, x.sections, x.error from {pages} p, lateral parse_page(p.html, 'sitting') x", pages=sitting_pages(t).unionByName(bad))
+        good = _told(rows.filter("error is null")).withColumn("error", F.lit(None).cast("string"))
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in good.schema if f.name not in ("url", "error")]
+        return good.unionByName(rows.filter("error is not null").select("url", *none, F.regexp_extract("error", r"^(\w+)", 1).alias("error")))
+
+    @query(f"select distinct url from {SAID}")
+    def page_sitting_among_broken(t):
+        """Broken pages stop nothing."""
+        bad = t("nation").select(F.concat(F.lit("/bad/"), F.col("n_nationkey").cast("string")).alias("url"), F.lit("<p>x</p><![foo[x]]>").alias("html"))
+        return pages.current_sittings(sitting_pages(t).unionByName(bad)).select("url")
+
+
+_register_sql()
+
+
 # Expressions that pages need, over columns of their own.
 @query("select o_orderkey, lpad(cast(o_orderkey % 24 as varchar), 2, '0') || ':45:00' as end_time, case when o_custkey % 2 = 0 then 'in ' || o_custkey || ' (x)' end as inside from orders")
 def archive_texts(t):

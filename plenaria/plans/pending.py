@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.extract import ordered_text
@@ -70,45 +70,61 @@ def sittings(sittings_: DataFrame, limit: int) -> DataFrame:
     return sittings_.filter("generated_summary is null").orderBy(F.desc("date"), "url").limit(limit)
 
 
-def answer(rows: DataFrame, prompt_col: str, make: Callable[[], Summarizer], model: str) -> DataFrame:
-    """rows with summary and summary_model; make() builds one summarizer a task; what fails stays null."""
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema if f.name not in ('summary', 'summary_model'))}, summary string, summary_model string"
-    rows = rows.drop("summary", "summary_model")
+#: Calls in flight in a task, by stored table; summaries of whole sittings are the heavy ones. Fixed values.
+CALLS, CALLS_OF = 4, {"sittings": 2}
 
-    def run(batches):
-        import pyarrow as pa
 
-        summarizer = make()
-        for batch in batches:
-            out = []
-            for p in batch.column(prompt_col).to_pylist():
-                try:
-                    out.append(summarizer.summarize(p))
-                except Exception:  # noqa: BLE001  a failed item is reported as pending, never retried without end
-                    out.append(None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string()), pa.array([model if x is not None else None for x in out], pa.string())], names=[*batch.schema.names, "summary", "summary_model"])
+def calls(name: str, asked: int = CALLS) -> int:
+    """How many calls a task may have in flight for a table."""
+    return max(1, min(asked, CALLS_OF.get(name, asked)))
+
+
+def _in_flight(make: Callable, call: Callable, at_once: int) -> Callable:
+    """A function of a list of values to their results in order (None where a call fails or the value is null), with up to
+    at_once calls at a time, each thread with an object of its own from make()."""
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import local
+
+    own, pool = local(), ThreadPoolExecutor(at_once)
 
-    return rows.mapInArrow(run, schema)
+    def one(value):
+        if value is None:
+            return None
+        try:
+            if not hasattr(own, "made"):
+                own.made = make()
+            return call(own.made, value)
+        except Exception:  # noqa: BLE001  a failed item is reported as pending, never retried without end
+            return None
 
+    return lambda values: list(pool.map(one, values))
 
-def embedded(rows: DataFrame, text_col: str, make: Callable[[], Embedder]) -> DataFrame:
-    """rows with embedding (array of float); make() builds one embedder a task; what fails stays null."""
-    rows = rows.drop("embedding")
+
+def _answered(rows: DataFrame, column: str, make: Callable, call: Callable, at_once: int, kind: str) -> DataFrame:
+    """rows with _made: what calls make of a column."""
 
     def run(batches):
         import pyarrow as pa
 
-        embedder = make()
+        work, kind_ = _in_flight(make, call, at_once), pa.string() if kind == "string" else pa.list_(pa.float32())
         for batch in batches:
-            out = []
-            for t in batch.column(text_col).to_pylist():
-                try:
-                    out.append(None if t is None else [float(x) for x in embedder.embed(t)])
-                except Exception:  # noqa: BLE001  as in answer
-                    out.append(None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.float32()))], names=[*batch.schema.names, "embedding"])
-
-    return rows.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", embedding array<float>")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(work(batch.column(column).to_pylist()), kind_)], names=[*batch.schema.names, "_made"])
+
+    return rows.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", _made {kind}")
+
+
+def answer(rows: DataFrame, prompt_col: str, make: Callable[[], Summarizer], model: str, at_once: int = CALLS, told: Observation | None = None) -> DataFrame:
+    """rows with summary and summary_model; make() builds a summarizer for each thread of a task; what fails stays null.
+    told: counts answered, failed and the characters of both sides in the job that writes the rows."""
+    out = _answered(rows.drop("summary", "summary_model"), prompt_col, make, lambda x, prompt: x.summarize(prompt), at_once, "string")
+    if told:
+        out = out.observe(told, F.count("_made").alias("answered"), F.count_if(F.col("_made").isNull()).alias("failed"), F.sum(F.length(prompt_col)).alias("characters_in"), F.sum(F.length("_made")).alias("characters_out"))
+    return out.withColumnRenamed("_made", "summary").withColumn("summary_model", F.when(F.col("summary").isNotNull(), model))
+
+
+def embedded(rows: DataFrame, text_col: str, make: Callable[[], Embedder], at_once: int = CALLS) -> DataFrame:
+    """rows with embedding (array of float); make() as in answer; what fails stays null."""
+    return _answered(rows.drop("embedding"), text_col, make, lambda x, said: [float(v) for v in x.embed(said)], at_once, "array<float>").withColumnRenamed("_made", "embedding")
 
 
 # Keys and written columns of the stored tables that take summaries; sittings keep the source's own summary apart.

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..functions import prompts, text, trigram
-from ..operators import fold, link, listing
+from ..operators import fold, link, listing, sinks
 from ..operators.extract import ordered_text
 from ..operators.sinks import rollup
 from ..sources import html, pages
@@ -182,6 +183,38 @@ def json_props(t):
     return t("events").select("event_id", F.from_json("props", "k long")["k"].alias("k")).filter("k is not null")
 
 
+def _records(t):
+    """The properties of events as a client sends them: some cut off, some of another type, some in lists of two."""
+    k = F.col("event_id") % 10
+    props = F.when(k == 1, F.substring("props", F.lit(1), F.length("props") - 1)).when(k == 2, '{"k": "many"}').when(k == 3, F.concat(F.lit("["), "props", F.lit(", "), "props", F.lit("]"))).when(k == 4, "7").otherwise(F.col("props"))
+    return t("events").select(props.alias("props"))
+
+
+GOOD = "(select cast(json_extract(props, '$.k') as bigint) as k, unnest(case when event_id % 10 = 3 then [1, 2] else [1] end) as copy from events where event_id % 10 not in (1, 2, 4))"
+
+
+@query(f"select k, count(*) as n from {GOOD} group by k")
+def json_rejects(t):
+    """Records of a declared schema; those that have another type, or are none, are dropped."""
+    return sinks.frame(_records(t), "props", "k long").groupBy("k").agg(F.count("*").alias("n"))
+
+
+@query(f"select k, count(*) as n, (select count(*) from {GOOD}) as decoded, (select count(*) from events where event_id % 10 in (1, 2, 4)) as rejected from {GOOD} group by k")
+def json_reject_counts(t):
+    """The same, with the counts that the one write of the records observes."""
+    spark, told = t("events").sparkSession, Observation()
+    path = sinks.scratch(spark) + "/records"
+    sinks.frame(_records(t), "props", "k long", told).write.parquet(path)
+    return spark.read.parquet(path).groupBy("k").agg(F.count("*").alias("n")).withColumns({c: F.lit(told.get[c]).cast("long") for c in ("decoded", "rejected")})
+
+
+@query("select event_type, sum(cast(json_extract(props, '$.k') as bigint)) as k from events group by event_type")
+def json_inferred(t):
+    """Records without a declared schema: it is inferred from all of them."""
+    rows = t("events").select(F.to_json(F.struct("event_type", F.from_json("props", "k long")["k"].alias("k"))).alias("j"))
+    return sinks.frame(rows, "j").groupBy("event_type").agg(F.sum("k").alias("k"))
+
+
 @query(r"""select o_orderkey, cast(strptime(regexp_replace(regexp_extract(shown, '\d+\w* \w+ \d{4}'), 'th', ''), '%-d %B %Y') as date) as date, regexp_extract(shown, '^\w+') as day_of_week, regexp_extract(shown, ' - (.+)$', 1) as session_type
     from (select o_orderkey, strftime(o_orderdate, '%A, %-dth %B %Y - Afternoon Sitting') as shown from orders)""")
 def date_title(t):

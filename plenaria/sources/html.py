@@ -88,7 +88,10 @@ class _Builder(HTMLParser):
         self.open[-1].children.append(data)
 
 
-def tree(html: str | None) -> Node:
+def tree(html: str | Node | None) -> Node:
+    """The tree of a page; one that is parsed already is itself."""
+    if isinstance(html, Node):
+        return html
     b = _Builder()
     b.feed(html or "")
     b.close()
@@ -121,7 +124,7 @@ def archive_links(html: str) -> list[dict]:
 PAGERS = {"listing": (None, "page="), "bills": ("bills-pagination", "bills_page="), "activity": ("contributions-pagination", "contributions_page=")}
 
 
-def page_info(html: str, kind: str = "listing") -> dict | None:
+def page_info(html: str | Node, kind: str = "listing") -> dict | None:
     """current and last page of a pager; None without one."""
     root = tree(html)
     nav, parameter = PAGERS[kind]
@@ -135,7 +138,7 @@ def page_info(html: str, kind: str = "listing") -> dict | None:
     return {"current": int(marks[0]), "last": max(pages, default=int(marks[0]))}
 
 
-def pages_of(html: str, kind: str, items: list) -> int:
+def pages_of(html: str | Node, kind: str, items: list) -> int:
     """Pages of a part of a profile: the pager's, else 1 if there are items."""
     info = page_info(html, kind)
     return info["last"] if info else int(bool(items))
@@ -305,13 +308,13 @@ def _said(node: Node, tag: str, cls: str) -> str:
     return x.clean() if x else ""
 
 
-def bills(html: str) -> list[dict]:
+def bills(html: str | Node) -> list[dict]:
     """Bills of a profile: name, year, status (the stage, without its label)."""
     out = [{"name": _said(b, "h3", "bill-name"), "year": _said(b, "span", "bill-year"), "status": _said(b, "div", "bill-stage").removeprefix("Status:").strip()} for b in tree(html).find("div", "bill-item")]
     return [b for b in out if b["name"]]
 
 
-def votes(html: str) -> list[dict]:
+def votes(html: str | Node) -> list[dict]:
     """Votes of a profile; rows without a date cell or a linked title are none."""
     out = []
     for r in tree(html).find("div", "voting-patterns-row"):
@@ -323,7 +326,7 @@ def votes(html: str) -> list[dict]:
     return out
 
 
-def activity(html: str) -> list[dict]:
+def activity(html: str | Node) -> list[dict]:
     """Contributions of a profile: groups (topic, date) hold subgroups (type, title with the sitting's link), and these the items."""
     out = []
     for group in tree(html).find("div", "contribution-group"):
@@ -367,7 +370,7 @@ def profile(html: str) -> dict | None:
     summary = root.first("p", "bills-summary")
     sponsored = re.search(r"has sponsored\D+(\d+)\D+bill", summary.text()) if summary else None
     photo = root.first("img", "member-list--image")
-    own_bills, own_activity = bills(html), activity(html)
+    own_bills, own_activity = bills(root), activity(root)
     return {
         "name": h1.clean(),
         "photo_url": photo.attrs.get("src") if photo else None,
@@ -380,13 +383,20 @@ def profile(html: str) -> dict | None:
         "speeches_total": int(speeches[2]) if speeches else None,
         "bills": own_bills,
         "bills_total": int(sponsored[1]) if sponsored else None,
-        "bills_pages": pages_of(html, "bills", own_bills),
-        "voting_patterns": votes(html),
+        "bills_pages": pages_of(root, "bills", own_bills),
+        "voting_patterns": votes(root),
         "activity": own_activity,
-        "activity_pages": pages_of(html, "activity", own_activity),
+        "activity_pages": pages_of(root, "activity", own_activity),
     }
 
 
+def profile_part(html: str, kind: str) -> dict:
+    """Further page of a profile's bills or activity: its items, and current, the page that its pager says it is (if it has one)."""
+    root = tree(html)
+    info = page_info(root, kind)
+    return {"current": info["current"] if info else None, kind: bills(root) if kind == "bills" else activity(root)}
+
+
 def links(html: str) -> list[dict]:
     return [{"href": a.attrs["href"], "label": a.clean()} for a in tree(html).find("a") if "href" in a.attrs]
 

@@ -1,13 +1,14 @@
 """DataFrame sources: saved pages (url, html) to listings, sittings, members and profiles.
 
-Files stand for the network: a page is a row, fetched once, parsed where it lies; bad pages give no rows.
+Files stand for the network: a page is a row, fetched once, parsed where it lies. A page that cannot be parsed gives no
+rows and stops nothing; `parsed` shows it with its error, and an observation counts it in the job that reads the pages.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -33,9 +34,11 @@ class PageOutOfRange(ValueError):
     """A page beyond the last one was asked for."""
 
 
-def parse(pages: DataFrame, function: Callable, schema: str, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_url and the rows (dict, list of dicts or None) that function makes of each page's html; blank pages give none."""
+def parsed(pages: DataFrame, function: Callable, schema: str, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """page_url, the rows (dict, list of dicts or None) that function makes of each page's html, and error: null, or why the
+    page cannot be parsed, in a row of its own. Blank pages give none."""
     rows = pages.select(F.col(url_col).alias("page_url"), F.col(html_col).alias("html")).filter("trim(html) <> ''")
+    schema = f"{schema}, error string"
     out = pages.sparkSession.createDataFrame([], schema).schema
 
     def run(batches):
@@ -46,7 +49,10 @@ def parse(pages: DataFrame, function: Callable, schema: str, url_col: str = "url
         for batch in batches:
             urls, found = [], []
             for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                made = function(page)
+                try:
+                    made = function(page)
+                except Exception as e:  # noqa: BLE001  whatever a page holds, the others are parsed
+                    made = {"error": f"{type(e).__name__}: {e}"[:500]}
                 made = made if isinstance(made, list) else [made] if made else []
                 urls += [url] * len(made)
                 found += made
@@ -56,6 +62,14 @@ def parse(pages: DataFrame, function: Callable, schema: str, url_col: str = "url
     return rows.mapInArrow(run, f"page_url string, {schema}")
 
 
+def parse(pages: DataFrame, function: Callable, schema: str, told: Observation | None = None) -> DataFrame:
+    """parsed() without the pages that cannot be; told: counts them (failed)."""
+    rows = parsed(pages, function, schema)
+    if told:
+        rows = rows.observe(told, F.count_if(F.col("error").isNotNull()).alias("failed"))
+    return rows.filter("error is null").drop("error")
+
+
 def current_listings(pages: DataFrame, house: str | None = None) -> DataFrame:
     """house, date, url, title, session_type, start_time, end_time, source; titles without a date are skipped."""
     rows = parse(pages, html.listing_links, "position int, url string, title string").withColumn("at", text.title_date(F.col("title"))).filter("at is not null")
@@ -69,8 +83,8 @@ def archive_listings(pages: DataFrame) -> DataFrame:
     return rows.select("at.house", "at.date", F.when(F.col("url").startswith("http"), F.col("url")).otherwise(F.concat(F.lit(text.ARCHIVE_URL), "url")).alias("url"), "title", F.lit(None).cast("string").alias("session_type"), "at.start_time", "at.end_time", F.lit("archive").alias("source"))
 
 
-def current_sittings(pages: DataFrame) -> DataFrame:
-    rows = parse(pages, html.current_sitting, SITTING)
+def current_sittings(pages: DataFrame, told: Observation | None = None) -> DataFrame:
+    rows = parse(pages, html.current_sitting, SITTING, told)
     at = F.coalesce(text.title_date(F.col("breadcrumb")), text.slug_date(F.col("page_url")))
     rows = rows.withColumn("at", at).filter("at is not null").withColumn("box", text.summary_parts(F.coalesce("summary_box", F.lit(""))))
     none = F.lit(None).cast("string")
@@ -123,14 +137,40 @@ def profiles(pages: DataFrame) -> DataFrame:
     return rows.withColumn("slug", text.slug(F.col("page_url"))).withColumn("photo_url", text.absolute_photo(F.col("photo_url")))
 
 
-def activities(pages: DataFrame) -> DataFrame:
-    """page_url and the contributions of a profile's activity pages."""
-    return parse(pages, html.activity, ACTIVITY)
-
-
-def bills(pages: DataFrame) -> DataFrame:
-    """page_url and the bills of a profile's bill pages."""
-    return parse(pages, html.bills, BILL)
+def full_profiles(pages: DataFrame, parts: DataFrame, told: Observation | None = None) -> DataFrame:
+    """Profiles with the bills and the activity of their further pages, in order. parts: pages by the profile's URL and
+    `?bills_page=2` or `?contributions_page=2`. Of each profile the pages are taken that its pagers count; one whose own pager
+    says that it is another page is refused and counted (told: refused), as if it had not been fetched."""
+    first = profiles(pages)
+    base = lambda c: F.regexp_replace(c, "/+$", "")
+    named = parts.withColumn("_kind", F.when(F.col("url").contains("?bills_page="), "bills").when(F.col("url").contains("?contributions_page="), "activity"))
+    kinds = {"bills": f"array<{_struct(BILL)}>", "activity": f"array<{_struct(ACTIVITY)}>"}
+    read = None
+    for kind in kinds:
+        own = parse(named.filter(F.col("_kind") == kind), lambda page, kind=kind: html.profile_part(page, kind), f"current int, {kind} {kinds[kind]}")
+        own = own.select("page_url", "current", *[(F.col(k) if k == kind else F.lit(None).cast(t)).alias(k) for k, t in kinds.items()], F.lit(kind).alias("kind"))
+        read = own if read is None else read.unionByName(own)
+    read = read.select(base(F.regexp_extract("page_url", r"^([^?]*)", 1)).alias("_base"), F.regexp_extract("page_url", r"_page=(\d+)", 1).try_cast("int").alias("page"), "kind", "current", *kinds)
+    counts = first.select(base(F.col("page_url")).alias("_base"), F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_pages").alias("last")) for k in kinds])).alias("x")).select("_base", "x.*")
+    read = read.join(counts, ["_base", "kind"]).filter(F.col("page").between(2, F.col("last")))
+    fits = F.col("current").isNull() | (F.col("current") == F.col("page"))
+    in_order = lambda kind: F.flatten(F.transform(F.sort_array(F.collect_list(F.when((F.col("kind") == kind) & fits, F.struct("page", kind)))), lambda x: x[kind]))
+    more = read.groupBy("_base").agg(*[in_order(kind).alias(f"_{kind}") for kind in kinds], F.count_if(~fits).alias("_refused"))
+    rows = first.withColumn("_at", base(F.col("page_url")))
+    rows = rows.join(more, rows["_at"] == more["_base"], "left")
+    if told:
+        rows = rows.observe(told, F.sum(F.coalesce("_refused", F.lit(0))).alias("refused"))
+    return rows.select(*[(F.concat(c, F.coalesce(f"_{c}", F.array().cast(kinds[c]))).alias(c) if c in kinds else F.col(c)) for c in first.columns])
+
+
+def activities(pages: DataFrame, asked: int | None = None) -> DataFrame:
+    """page_url and the contributions of a profile's activity pages; asked: of one page, by number."""
+    return parse(pages if asked is None else checked(pages, asked, "activity"), html.activity, ACTIVITY)
+
+
+def bills(pages: DataFrame, asked: int | None = None) -> DataFrame:
+    """page_url and the bills of a profile's bill pages; asked: of one page, by number."""
+    return parse(pages if asked is None else checked(pages, asked, "bills"), html.bills, BILL)
 
 
 def votes(pages: DataFrame) -> DataFrame:
@@ -143,8 +183,12 @@ def page_infos(pages: DataFrame, kind: str = "listing") -> DataFrame:
 
 
 def checked(pages: DataFrame, asked: int, kind: str = "listing") -> DataFrame:
-    """pages (one page, asked for by number), or PageOutOfRange where its pager says it is another."""
-    for info in page_infos(pages, kind).limit(1).collect():
+    """pages (one page, asked for by number), or PageOutOfRange where its pager says it is another. A list without a
+    pager is refused; parts of a profile (bills, activity) may have none."""
+    infos = page_infos(pages, kind).limit(1).collect()
+    if not infos and kind == "listing":
+        raise PageOutOfRange(f"page {asked} has no pager")
+    for info in infos:
         check_page(asked, info.current, info.last)
     return pages
 

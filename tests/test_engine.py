@@ -113,3 +113,9 @@ def test_streamed_batches_fold_once(spark, tmp_path):
         source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
         stream.fold_stream(source, "sitting_speakers", ["at"], table.read, table.swap, str(tmp_path / "check")).awaitTermination()
     assert {r.speaker_name: r.speech_count for r in table.read().collect()} == {"A": 4, "B": 2}
+    last = table.versions()[-1][1]
+    table.swap(table.read().limit(0), last)  # a retried batch is ignored
+    assert table.read().count() == 2
+    source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))  # another stream, whose numbers begin anew
+    stream.fold_stream(source, "sitting_speakers", ["at"], table.read, table.swap, str(tmp_path / "other")).awaitTermination()
+    assert {r.speaker_name: r.speech_count for r in table.read().collect()} == {"A": 8, "B": 4} and len(table.versions()) == 2
