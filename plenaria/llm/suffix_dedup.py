@@ -9,20 +9,21 @@ windows hold the same one at the same place. So all windows can be compared anch
    A document whose whole text a smaller document has goes whole, and is left out of what follows.
 3. For shared anchors a block makes its shard of the suffix array: the suffixes that start at anchors, sorted
    by what follows, each with the bytes before it (its Burrows-Wheeler columns), its least document and how far
-   it reaches; equal ones are kept once. Shards go to buckets by anchor. A bucket first interleaves the shards'
-   suffixes: the order is refined eight bytes at a time, from the last to the first (stable passes over ranks),
-   and common prefixes between neighbours follow. Then the interleave is refined backwards, one
-   Burrows-Wheeler column a step, as in merging transforms (Holt & McMillan): a stable counting sort of the
+   it reaches; equal ones are kept once. Shards go to buckets by anchor. A bucket starts from the shards' own
+   orders, one after the other, and refines that interleave eight bytes at a time: only suffixes that agree so far and whose
+   next bytes are out of order move, and where neighbours part gives their common prefix (`interleave`). Then the
+   interleave is refined backwards, one
+   Burrows-Wheeler column a step, as in merging transforms (Holt & McMillan): a stable pass over the
    preceding byte turns the order of the suffixes that start a bytes before the anchor into that of a + 1. No
-   suffix is sorted anew; neighbours whose preceding bytes were all equal and whose common prefix reaches
+   set of suffixes is sorted as a whole after the shards were; neighbours whose preceding bytes were all equal and whose common prefix reaches
    length - a form a repeated interval, whose least document is the window's first owner.
 4. A block gets, for each suffix and each a, whether a smaller document owns the window, and marks its texts.
 
 Scale: texts travel as compressed blocks, twice; anchors as 5 bytes each; a text that a block has many times is one
 entry. Work in a bucket is linear in its windows, and the number of buckets grows with the bytes of the table, so a
 block has a row for each bucket it has an anchor for: at most as many rows as anchors. Tasks are as many as blocks or
-buckets, up to `TASKS`; beyond, a task takes them one after the other. An anchor in more than `hot` blocks (a
-line in a third of all documents) is not sent whole: its windows are dealt singly, by their own hash, after
+buckets, up to `TASKS`; beyond, a task takes them one after the other. An anchor in more than `hot` blocks or at more than
+`hot_rows` places (a line in a third of all documents, a string that each of a few blocks repeats) is not sent whole: its windows are dealt singly, by their own hash, after
 equal ones are merged in the block, so inner windows are one row a block and outer ones spread evenly.
 Hashes decide only where windows meet; windows are compared byte by byte. Copies of whole texts alone are told by a
 128-bit digest.
@@ -47,6 +48,8 @@ BLOCK = 6 << 20
 #: Bytes of the input to each bucket of anchors (8 bytes an anchor, one in 18 bytes), and of suffixes.
 ANCHOR_BYTES, SUFFIX_BYTES = 64 << 20, 12 << 20
 TASKS = 50_000
+#: Places of an anchor whose suffixes (86 bytes each) may meet in one bucket.
+HOT_ROWS = 1 << 20
 PAD = 255  # never a byte of UTF-8
 NO_ID = (1 << 63) - 1
 
@@ -220,6 +223,7 @@ def _pack(length: int, buckets: int):
         def rows():
             block = Block.of(ids, texts, length)
             _, distinct, which = block.keys(buckets)
+            times = np.bincount(which, minlength=len(distinct)).astype("<u4")
             docs = block.ids[block.owners()]
             low, high = np.full(len(distinct), NO_ID), np.full(len(distinct), -NO_ID)
             np.minimum.at(low, which, docs)
@@ -228,7 +232,7 @@ def _pack(length: int, buckets: int):
             for b, lo, hi in _runs(distinct >> np.uint64(40)):
                 steps = np.diff(distinct[lo:hi] & np.uint64((1 << 40) - 1), prepend=np.uint64(0))
                 planes = np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].T)
-                out.append((number, b, "keys", _join([_zip(planes), np.packbits(low[lo:hi] < high[lo:hi]).tobytes()])))
+                out.append((number, b, "keys", _join([_zip(planes), np.packbits(low[lo:hi] < high[lo:hi]).tobytes(), _zip(times[lo:hi])])))
             u, bucket, least, _, _ = block.digests(length, buckets)
             for b, lo, hi in _runs(bucket):
                 out.append((number, b, "docs", _join([u[lo:hi].tobytes(), least[lo:hi].tobytes()])))
@@ -248,16 +252,18 @@ def _pack(length: int, buckets: int):
     return run
 
 
-def _share(hot: int):
-    """Keys of one bucket from all blocks -> for each block two bits a key: several documents have it; too many blocks have it."""
+def _share(hot: int, hot_rows: int):
+    """Keys of one bucket from all blocks -> for each block two bits a key: several documents have it; it is too frequent (in more
+    than `hot` blocks, or at more than `hot_rows` places)."""
 
     def run(key, rows):
         import numpy as np
         import pyarrow as pa
 
-        blocks, parts, multi, ends = rows["block"].to_pylist(), [], [], []
+        blocks, parts, multi, times, ends = rows["block"].to_pylist(), [], [], [], []
         for body in rows["body"].to_pylist():
-            planes, bits = _part(body, 2)
+            planes, bits, count = _part(body, 3)
+            times.append(_unzip(count, "<u4"))
             planes = _unzip(planes, "u1").reshape(5, -1)
             n = planes.shape[1]
             wide = np.zeros((n, 8), np.uint8)
@@ -271,8 +277,9 @@ def _share(hot: int):
         first = np.flatnonzero(np.concatenate(([True], runs[1:] != runs[:-1])))
         count = np.diff(np.append(first, len(runs)))
         many = (count > 1) | (np.add.reduceat(np.concatenate(multi)[order].astype(np.int64), first) > 0)
+        places = np.add.reduceat(np.concatenate(times)[order].astype(np.int64), first)
         says = np.empty(len(every), np.uint8)
-        says[order] = np.repeat(np.where(count > hot, 2, np.where(many, 1, 0)).astype(np.uint8), count)
+        says[order] = np.repeat(np.where((count > hot) | (places > hot_rows), 2, np.where(many, 1, 0)).astype(np.uint8), count)
         cuts = np.concatenate(([0], np.cumsum(ends)))
         out = [(b, key[0].as_py(), "says", _zip(says[lo:hi])) for b, lo, hi in zip(blocks, cuts, cuts[1:], strict=False) if says[lo:hi].any()]
         return pa.Table.from_batches([_batch(out)])
@@ -395,29 +402,53 @@ def _shard(length: int, buckets: int, to: int):
     return run
 
 
+def interleave(m, length: int):
+    """The order of the rows of m (bytes) by their first `length`, and the common prefix of each with the one before it. The rows
+    are those of sorted shards, one shard after the other, and so is the first interleave. It is refined eight bytes at a
+    time: of the rows that agree so far only the groups whose next bytes are out of order are put right, by a stable merge
+    of the shards' runs; where they agree for good, no row moves. A boundary between two rows stands once their bytes differ,
+    and the first byte that does is their common prefix."""
+    import numpy as np
+
+    n = len(m)
+    order, prefix = np.arange(n, dtype=np.int64), np.zeros(n, np.uint8)
+    tied = np.ones(n, bool)  # with the row before it, as far as bytes have been read
+    tied[:1] = False
+    for k in range(0, length, 8):
+        width = min(8, length - k)
+        at = np.flatnonzero(tied | np.append(tied[1:], False))
+        if not len(at):
+            break
+        eight = np.zeros((len(at), 8), np.uint8)
+        eight[:, :width] = m[order[at], k : k + width]
+        eight = eight.view(">u8").ravel().astype(np.uint64)
+        group = np.cumsum(~tied[at])
+        wrong = np.zeros(group[-1] + 1, bool)
+        wrong[group[1:][(eight[1:] < eight[:-1]) & tied[at[1:]]]] = True
+        some = np.flatnonzero(wrong[group])
+        if len(some):
+            moved = some[np.lexsort((eight[some], group[some]))]
+            order[at[some]], eight[some] = order[at[moved]], eight[moved]
+        inside = np.flatnonzero(tied[at])
+        differs = eight[inside] ^ eight[inside - 1]
+        apart = np.flatnonzero(differs)
+        first = differs[apart].astype(">u8").view(np.uint8).reshape(-1, 8).astype(bool).argmax(axis=1)
+        prefix[at[inside[apart]]] = k + first
+        tied[at[inside[apart]]] = False
+    prefix[tied] = length
+    return order.astype(np.int32), prefix
+
+
 def merge_shards(rows, low, length: int):
-    """rows: suffixes of all shards (bytes from the anchor on | bytes before | reach before | reach after). low:
-    their least documents. For each suffix and each a: whether a smaller document owns the window that starts a before."""
+    """rows: suffixes of all shards, one sorted shard after the other (bytes from the anchor on | bytes before | reach before |
+    reach after). low: their least documents. For each suffix and each a: whether a smaller document owns the window that
+    starts a before."""
     import numpy as np
 
     n, before = len(rows), length - ANCHOR
     m = rows.view(np.uint8).reshape(n, -1)
     left, right = m[:, -2], m[:, -1]
-    # interleave the shards by what follows the anchor: eight bytes a pass, last first
-    order = np.arange(n, dtype=np.int32)
-    for k in range((length - 1) // 8 * 8, -1, -8):
-        eight = np.zeros((n, 8), np.uint8)
-        eight[:, : min(8, length - k)] = m[:, k : min(k + 8, length)]
-        eight = eight.view(">u8").ravel().astype(np.uint64)
-        order = order[np.argsort(eight[order], kind="stable")]
-    del eight
-    # common prefixes of neighbours
-    prefix = np.zeros(n, np.uint8)
-    for lo in range(1, n, 1 << 16):
-        at = order[lo - 1 : lo + (1 << 16)]
-        s = m[at, :length]
-        differs = s[1:] != s[:-1]
-        prefix[lo : lo + len(differs)] = np.where(differs.any(axis=1), differs.argmax(axis=1), length)
+    order, prefix = interleave(m, length)
     rank = np.empty(n, np.int32)
     rank[order] = np.arange(n, dtype=np.int32)
     same = np.zeros(n, np.int32)  # class of the bytes before, as far as they have been read
@@ -505,7 +536,7 @@ def _finish(length: int, buckets: int, to: int, with_text: bool):
     return run
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, hot: int = 512, with_text: bool = True) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, hot: int = 512, hot_rows: int = HOT_ROWS, with_text: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes, with_text only; else null)."""
     common.shared_dir(docs.sparkSession)
     rows = common.pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
@@ -514,7 +545,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     packed = common.cut(rows.mapInArrow(_pack(length, buckets), ROWS))
     n, m = min(TASKS, total // BLOCK + 1), min(TASKS, to)
     texts = packed.filter("kind = 'text'").repartition(n, "block")
-    says = common.cut(packed.filter("kind = 'keys'").groupBy("bucket").applyInArrow(_share(hot), ROWS).unionByName(packed.filter("kind = 'docs'").groupBy("bucket").applyInArrow(_copies, ROWS)))
+    says = common.cut(packed.filter("kind = 'keys'").groupBy("bucket").applyInArrow(_share(hot, hot_rows), ROWS).unionByName(packed.filter("kind = 'docs'").groupBy("bucket").applyInArrow(_copies, ROWS)))
     # one plan from here on, so that both groupings of the texts share one exchange
     shards = texts.groupBy("block").cogroup(says.repartition(n, "block").groupBy("block")).applyInArrow(_shard(length, buckets, to), ROWS)
     owned = shards.repartition(m, "bucket").groupBy("bucket").applyInArrow(_merge(length), ROWS)

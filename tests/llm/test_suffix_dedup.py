@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+
 from plenaria.llm import suffix_dedup
 from plenaria.llm.suffix_dedup import dedup
 
@@ -70,3 +72,26 @@ def test_text_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, t, 1, "x"), (2, "new " + t, 2, "y")], "doc_id long, text string, block int, kept string")
     kept = {r.doc_id: bytes(r.kept) for r in dedup(df).collect()}
     assert kept == {1: t.encode(), 2: b"new "}
+
+
+def test_anchors_hot_by_rows(spark):
+    rows = corpus(40, 2)
+    assert run(spark, rows, hot_rows=2) == brute(rows)
+
+
+def test_interleave_starts_from_the_shards(monkeypatch):
+    """The order and the common prefixes are those of brute force, and rows that agree to the end are never moved."""
+    r = np.random.default_rng(4)
+    shards = [np.unique(r.integers(0, 3, (n, 21), np.uint8), axis=0) for n in (700, 1, 400, 90)]
+    m = np.concatenate(shards)
+    order, prefix = suffix_dedup.interleave(m, 21)
+    rows = [bytes(x) for x in m]
+    want = sorted(range(len(rows)), key=lambda i: (rows[i], i))
+    assert order.tolist() == want
+    common = [0] + [next((k for k in range(21) if rows[a][k] != rows[b][k]), 21) for a, b in zip(want, want[1:], strict=False)]
+    assert prefix.tolist() == common
+    same = np.repeat(np.unique(r.integers(0, 200, (500, 50), np.uint8), axis=0), 2, axis=0)
+    moved, lexsort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: moved.append(len(keys[0])) or lexsort(keys))
+    assert suffix_dedup.interleave(same, 50)[0].tolist() == list(range(len(same))) and moved == []
+    assert suffix_dedup.interleave(same[:0], 50)[0].tolist() == []
