@@ -7,9 +7,9 @@ they come from the models fitted on all training rows. Models are L2-regularised
 
 Features: presence of words (lower case, letters only) and of the first 4, 5 and 6 letters of longer words, which
 carry word families. Of these the `n_features` with the largest G statistic with any category on the training rows are
-kept. Training uses at most `train_rows` labelled rows (the least hashes of their ids), a documented bound: its
-counts are made by a DataFrame aggregation and the driver gets n_features counts and as many feature lists
-as there are training rows. Scoring reads every whole text once, without a shuffle.
+kept; a fold's out-of-fold model has those of the rows of the other folds, so held-out labels choose none of its features. Training uses at most `train_rows` labelled rows (the least hashes of their ids), a documented bound: its
+counts are made by a DataFrame aggregation and the driver gets n_features counts for each fold and for all, and as many
+feature lists as there are training rows. Scoring reads every whole text once, without a shuffle.
 
 Null and empty texts have no features: the models' intercepts score them. Rows without a label for a category
 don't train it. Without any labelled row, or with one class only, a category's probability is its share (0 if
@@ -91,8 +91,9 @@ class Chain:
         self.vocabulary, self.models = vocabulary, models
 
     @classmethod
-    def fit(cls, names: list[str], vocabulary: list[str], rows: list[list[int]], labels, folds) -> Chain:
-        """labels: a row for each of rows, -1: none."""
+    def fit(cls, names: list[str], vocabulary: list[str], rows: list[list[int]], labels, folds, own: list[list[int]]) -> Chain:
+        """labels: a row for each of rows, -1: none. own: of each fold the features that the other folds' rows choose, and
+        last those of all rows, which the model keeps."""
         import numpy as np
 
         x = np.zeros((len(rows), len(vocabulary) + len(names)), np.float32)
@@ -100,19 +101,19 @@ class Chain:
             x[i, r] = 1
         models, d = [], len(vocabulary)
         for k, name in enumerate(names):
-            y, wide = labels[:, k], d + k
+            y, before = labels[:, k], list(range(d, d + k))
             known = y >= 0
             out = np.zeros(len(rows), np.float32)
             for f in range(FOLDS):
                 train = known & (folds % FOLDS != f)
-                w, b = fit_logistic(x[train, :wide], y[train].astype(np.float32))
-                held = folds % FOLDS == f
-                out[held] = sigmoid(x[held, :wide] @ w + b)
-            w, b = fit_logistic(x[known, :wide], y[known].astype(np.float32))
+                seen, held = own[f] + before, folds % FOLDS == f
+                w, b = fit_logistic(x[np.ix_(train, seen)], y[train].astype(np.float32))
+                out[held] = sigmoid(x[np.ix_(held, seen)] @ w + b)
+            w, b = fit_logistic(x[np.ix_(known, own[-1] + before)], y[known].astype(np.float32))
             x[:, d + k] = out
             best = max((_f1(out[known] >= t, y[known] == 1), -abs(t - 0.5), t) for t in np.linspace(0.1, 0.9, 33)) if known.any() else (0, 0, 0.5)
             models.append((name, w, b, float(best[2])))
-        return cls({f: i for i, f in enumerate(vocabulary)}, models)
+        return cls({vocabulary[j]: i for i, j in enumerate(own[-1])}, models)
 
     def scores(self, lists: list[list[int]]):
         """Probabilities, a row for each list of features present."""
@@ -141,16 +142,32 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
     rows = common.pick(docs, id=id_col, text=text_col)
     rows = rows.join(F.broadcast(marked), rows.id == marked["_id"]).select(F.pmod(F.xxhash64("text"), F.lit(1 << 20)).alias("fold"), "y", "text").repartition(4 * docs.sparkSession.sparkContext.defaultParallelism)
     rows = common.cut(_featured(rows))
-    totals = rows.agg(*[F.count(F.when(F.col("y")[k] >= 0, 1)).alias(f"t{k}") for k in range(len(names))], *[F.count(F.when(F.col("y")[k] == 1, 1)).alias(f"o{k}") for k in range(len(names))]).first()
-    counts = rows.select("y", F.explode("features").alias("f")).groupBy("f").agg(*[F.count(F.when(F.col("y")[k] >= 0, 1)).alias(f"n{k}") for k in range(len(names))], *[F.count(F.when(F.col("y")[k] == 1, 1)).alias(f"k{k}") for k in range(len(names))])
-    counts = counts.filter(" or ".join(f"n{k} >= 3" for k in range(len(names))))
-    g = F.greatest(F.lit(0.0), *[_g(F.col(f"n{k}"), F.col(f"k{k}"), F.lit(float(totals[f"t{k}"] or 1)), F.lit(float(totals[f"o{k}"] or 0))) for k in range(len(names))])
-    vocabulary = [r.f for r in counts.orderBy(g.desc(), "f").limit(n_features).select("f").collect()]
+    vocabularies = _vocabularies(rows, len(names), n_features)
+    vocabulary = sorted({f for v in vocabularies for f in v})
+    index = {v: i for i, v in enumerate(vocabulary)}
     place = F.array(*[F.lit(v) for v in vocabulary]) if vocabulary else F.array().cast("array<string>")
     got = rows.select("fold", "y", F.array_intersect("features", place).alias("at")).collect()
-    index = {v: i for i, v in enumerate(vocabulary)}
-    got.sort(key=lambda r: (r.fold, r.y, r["at"]))
-    return Chain.fit(names, vocabulary, [[index[f] for f in r["at"]] for r in got], np.array([r.y for r in got]).reshape(len(got), len(names)), np.array([r.fold for r in got], np.int64))
+    got.sort(key=lambda r: (r.fold, r.y, sorted(r["at"])))
+    return Chain.fit(names, vocabulary, [[index[f] for f in r["at"]] for r in got], np.array([r.y for r in got]).reshape(len(got), len(names)), np.array([r.fold for r in got], np.int64), [[index[f] for f in v] for v in vocabularies])
+
+
+def _vocabularies(rows: DataFrame, categories: int, n_features: int) -> list[list[str]]:
+    """The n_features best features of the rows outside each fold, and last of all rows, best first."""
+    has = lambda k: F.count(F.when(F.col("y")[k] >= 0, 1)).alias(f"n{k}")
+    true = lambda k: F.count(F.when(F.col("y")[k] == 1, 1)).alias(f"k{k}")
+    both, f = [x(k) for k in range(categories) for x in (has, true)], F.col("fold") % FOLDS
+    names = [f"{x}{k}" for k in range(categories) for x in "nk"]
+    totals = {r["f"]: r for r in rows.groupBy(f.alias("f")).agg(*both).collect()}  # a row for each fold
+    counts = rows.select(f.alias("f"), "y", F.explode("features").alias("word")).groupBy("word", "f").agg(*both)
+    counts = common.cut(counts.groupBy("word").agg(*[F.sum(F.when(F.col("f") != fold, F.col(c)).otherwise(0) if fold < FOLDS else F.col(c)).alias(f"{c}_{fold}") for fold in range(FOLDS + 1) for c in names]))
+    out = []
+    for fold in range(FOLDS + 1):
+        at = lambda c, fold=fold: F.col(f"{c}_{fold}")
+        total = lambda c, fold=fold: F.lit(float(sum(r[c] for g, r in totals.items() if g != fold)))
+        seen = counts.filter(" or ".join(f"n{k}_{fold} >= 3" for k in range(categories)))
+        g = F.greatest(F.lit(0.0), *[_g(at(f"n{k}"), at(f"k{k}"), F.greatest(total(f"n{k}"), F.lit(1.0)), total(f"k{k}")) for k in range(categories)])
+        out.append([r.word for r in seen.orderBy(g.desc(), "word").limit(n_features).select("word").collect()])
+    return out
 
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
