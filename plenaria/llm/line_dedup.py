@@ -5,12 +5,13 @@ the number of its pages that hold the line. A line on more than `ratio` of its h
 `min_pages` of them at least, is boilerplate there and is dropped from that host's pages; other hosts
 keep it. Lines are compared whole, without white space at their ends.
 
-Scale: texts are never shuffled. Lines go to the count as two independent 64-bit hashes and are summed
+Scale: texts are not shuffled while the lists of all hosts can be broadcast. Lines go to the count as two independent 64-bit hashes and are summed
 before the shuffle, so a line on every page of a hot host is one row a task. A page has on average L
 distinct lines, and each boilerplate line uses more than `ratio` of the pages, so a host has under
 L / ratio such lines: the list a host needs is bounded whatever its number of pages. Lists of all hosts
 are broadcast while there are at most `broadcast_lines` in all; beyond that pages meet their list in a
-join on (host, salt).
+join on (host, salt), with one salt for every `PAGES` pages of a host (those of hosts with more than that are few, and
+broadcast).
 
 Null texts stay null (0 lines dropped, 0 kept); a null host is a host of its own; blank lines always stay; repeated rows count
 as pages of their own; an empty table gives an empty result; all other columns pass through.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from . import common
 
 RATIO, MIN_PAGES = 0.1, 5
-SALTS = 32
+PAGES = 50_000
 
 
 def _key(line: Column) -> Column:
@@ -44,18 +45,21 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
     return counts.join(pages, counts.host.eqNullSafe(pages.host)).filter(F.col("n") > ratio * F.col("pages")).select(counts.host, "key", "n", "pages")
 
 
-def drop_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, broadcast_lines: int = 100_000) -> DataFrame:
+def drop_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, broadcast_lines: int = 100_000, pages: int = PAGES) -> DataFrame:
     """docs with each host's boilerplate lines removed from text_col, and _n_dropped (long), which takes the place of a
     column of that name."""
     found = common.cut(boilerplate(docs, host_col, text_col, ratio, min_pages))
-    h, keys, salt, mine = (common.fresh(docs.columns, x) for x in ("host", "keys", "salt", "mine"))
+    h, keys, salt, mine, of_host, salts = (common.fresh(docs.columns, x) for x in ("host", "keys", "salt", "mine", "of_host", "salts"))
     lists = found.groupBy(F.col("host").alias(h)).agg(F.collect_list("key").alias(keys))
     host, text = docs[f"`{host_col}`"], docs[f"`{text_col}`"]
     if found.limit(broadcast_lines + 1).count() <= broadcast_lines:
         joined = docs.join(F.broadcast(lists), host.eqNullSafe(lists[h]), "left")
     else:
-        salted = lists.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        left = docs.withColumn(mine, F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int"))
+        # a host of P pages has ceil(P / pages) salts; only hosts of several need to be known beside their pages
+        of = found.groupBy(F.col("host").alias(of_host)).agg(F.ceil(F.max("pages") / pages).cast("int").alias(salts))
+        salted = lists.join(of, lists[h].eqNullSafe(of[of_host])).withColumn(salt, F.explode(F.sequence(F.lit(0), F.col(salts) - 1))).select(h, keys, salt)
+        large = common.small(common.cut(of.filter(F.col(salts) > 1)))
+        left = docs.join(large, host.eqNullSafe(large[of_host]), "left").withColumn(mine, F.pmod(F.xxhash64(text), F.coalesce(F.col(salts), F.lit(1))).cast("int"))
         joined = left.join(salted, host.eqNullSafe(salted[h]) & (left[mine] == salted[salt]), "left")
     some = F.size(keys) > 0  # null without a list
     kept = common.let(F.col(keys), lambda lines: F.filter(F.split(text, "\n"), lambda x: ~x.rlike(rf"[^{common.SPACE}]") | ~F.array_contains(lines, _key(_clean(x)))))
