@@ -5,7 +5,8 @@ cut around the cue words, wherever lines and paragraphs break. The size of a win
 dictionary, gives the bytes saved; a template of which at least `gain` of its own size is saved is confirmed by
 exact wording differences: the words missing, added and changed in the stretch of the window that fits it best may be
 at most 1 - `share` of the template's words, and none of them may be a number or a word that makes it another
-licence (`MARKS`). Of confirmed stretches that overlap the longest counts.
+licence (`MARKS`). Candidates are ranked by the bytes that their template saves; of confirmed stretches that overlap the one of
+the greatest reduction counts.
 
 Scale: one pass, no shuffle; only windows with a cue are compressed, each cue is in a bounded number of windows, and templates are a constant.
 
@@ -41,6 +42,11 @@ def _spdx(*names: str) -> list[str]:
     return [f"SPDX-License-Identifier: {n}" for n in names]
 
 
+def _short(*names: str) -> list[str]:
+    """The usual one-line notices of a licence under the names it goes by."""
+    return [form.format(n) for n in names for form in ("This project is licensed under the {0} license.", "Licensed under the {0} license.", "Available under the terms of the {0} license.", "License: {0}", "This project is {0} licensed.")]
+
+
 _MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"
 _MIT_END = ", including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
 _APACHE = "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."
@@ -50,10 +56,10 @@ _ISC = "Permission to use, copy, modify, and/or distribute this software for any
 #: BSD: the opening sentence without its conditions, which BSD-2-Clause and BSD-3-Clause share.
 TEMPLATES = {
     "AGPL-3.0": [*_gnu("Affero", "3"), *_spdx("AGPL-3.0-only", "AGPL-3.0-or-later")],
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", _APACHE, _APACHE + _APACHE_END, *_spdx("Apache-2.0")],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", _APACHE, _APACHE + _APACHE_END, *_short("Apache 2.0", "Apache-2.0", "Apache License 2.0"), *_spdx("Apache-2.0")],
     "BSD": [_BSD],
-    "BSD-2-Clause": [_BSD_2 + _BSD_END, *_spdx("BSD-2-Clause")],
-    "BSD-3-Clause": [_BSD_2 + _BSD_3, _BSD_3.strip(), *_spdx("BSD-3-Clause")],
+    "BSD-2-Clause": [_BSD_2 + _BSD_END, *_short("BSD 2-Clause", "BSD-2-Clause"), *_spdx("BSD-2-Clause")],
+    "BSD-3-Clause": [_BSD_2 + _BSD_3, _BSD_3.strip(), *_short("BSD 3-Clause", "BSD-3-Clause"), *_spdx("BSD-3-Clause")],
     "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0.", *_spdx("BSL-1.0")],
     "CC-BY-4.0": _cc("BY", "Attribution"),
     "CC-BY-NC-4.0": _cc("BY-NC", "Attribution-NonCommercial"),
@@ -63,13 +69,13 @@ TEMPLATES = {
     "CC-BY-SA-4.0": _cc("BY-SA", "Attribution-ShareAlike"),
     "CC0-1.0": ["To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide.", *_spdx("CC0-1.0")],
     "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", *_spdx("EPL-2.0")],
-    "GPL-2.0": [*_gnu("", "2"), *_spdx("GPL-2.0-only", "GPL-2.0-or-later")],
-    "GPL-3.0": [*_gnu("", "3"), *_spdx("GPL-3.0-only", "GPL-3.0-or-later")],
-    "ISC": [_ISC, *_spdx("ISC")],
+    "GPL-2.0": [*_gnu("", "2"), *_short("GPLv2", "GPL-2.0"), *_spdx("GPL-2.0-only", "GPL-2.0-or-later")],
+    "GPL-3.0": [*_gnu("", "3"), *_short("GPLv3", "GPL-3.0"), *_spdx("GPL-3.0-only", "GPL-3.0-or-later")],
+    "ISC": [_ISC, *_short("ISC"), *_spdx("ISC")],
     "LGPL-2.1": [*_gnu("Lesser", "2.1"), *_spdx("LGPL-2.1-only", "LGPL-2.1-or-later")],
     "LGPL-3.0": [*_gnu("Lesser", "3"), *_spdx("LGPL-3.0-only", "LGPL-3.0-or-later")],
-    "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", _MIT + ".", _MIT + _MIT_END, *_spdx("MIT")],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", *_spdx("MPL-2.0")],
+    "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", _MIT + ".", _MIT + _MIT_END, *_short("MIT"), *_spdx("MIT")],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", *_short("MPL 2.0", "MPL-2.0"), *_spdx("MPL-2.0")],
     "Unlicense": ["This is free and unencumbered software released into the public domain.", *_spdx("Unlicense")],
     "Zlib": ["Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:", *_spdx("Zlib")],
 }
@@ -154,11 +160,12 @@ class Scanner:
                 out += [(a + lo, b + lo, *x) for a, b, *x in self._window(given, plain[at[lo][0] : at[hi - 1][1]], said[lo:hi])]
                 while k < len(near) and near[k] <= last:
                     k += 1
-        return [x[2:] for x in _longest(out)]
+        return [x[2:5] for x in _strongest(out)]
 
     def _window(self, given: tuple, window: str, said: list[str]) -> list[tuple]:
         (name, words, own, compressor), raw, out = given, window.encode(), []
-        saved = (len(self.alone.compress(raw)) - len(compressor.compress(raw))) / own
+        reduction = len(self.alone.compress(raw)) - len(compressor.compress(raw))
+        saved = reduction / own
         if saved < self.gain:
             return out
         left, shift = said, 0
@@ -167,15 +174,16 @@ class Scanner:
             if n > (1 - self.share) * len(words) + 1e-9:
                 break
             if not any(MARKS.search(w) for w in differ):
-                out.append((a + shift, b + shift, name, round(min(1.0, saved), 4), n))
+                out.append((a + shift, b + shift, name, round(min(1.0, saved), 4), n, reduction))
             left, shift = left[b:], shift + b
         return out
 
 
-def _longest(found: list[tuple]) -> list[tuple]:
-    """The longest of stretches (start, end, name, ...) that overlap, in order."""
+def _strongest(found: list[tuple]) -> list[tuple]:
+    """Of stretches (start, end, name, share saved, words that differ, bytes saved) that overlap the one of the greatest
+    reduction, in order; equal ones: the longest, then the one that differs least."""
     out: list[tuple] = []
-    for x in sorted(set(found), key=lambda x: (x[0] - x[1], x[4], x[2], x[0], -x[3])):
+    for x in sorted(set(found), key=lambda x: (-x[5], x[0] - x[1], x[4], x[2], x[0])):
         if all(x[1] <= y[0] or y[1] <= x[0] for y in out):
             out.append(x)
     return sorted(out)
