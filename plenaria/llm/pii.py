@@ -1,18 +1,20 @@
 """PII: fixed patterns, and information-theoretic sanitisation of the terms that reveal what they found.
 
 Patterns find entities (e-mail, IP address, card, phone; and secrets: what is given as a key, token or password, and keys
-that show by their form). A term discloses an entity if the corpus shows that the
-term alone almost names it: with n(t) texts that hold the term and n(t, e) texts that hold both, anywhere,
--log2(n(t, e) / n(t)) is the uncertainty left about the entity once the term is read. Terms that leave at most `bits`
-of it are telling if they share at least `support` texts with the entity; of an entity in fewer texts, those that
-share all of them and stand within `reach` words of it. Every occurrence of a telling term, in any text, is a
-span of kind term, beside the pattern spans, which all stay. `redact` generalises pattern spans to their kind and
-removes disclosing terms; of spans that overlap the first, then the longest, decides how, and all their characters go.
-
-Scale: texts are read twice and never shuffled. The first pass emits a row a document, with its entities, their neighbours and
-(only if it has entities) its words, and the number of texts for every word, summed in the task (bounded tables) before the shuffle.
-Pairs of an entity and a word are made for entities of `support` texts or more only. The telling terms are sent to the
-executors in blocks of `block_terms`, each with one more step in the second pass. All counts cover all texts.
+that show by their form). What is protected is each entity and the pool it belongs to (the domain of an address, the network of
+an IP address, the issuer of a card, the area of a phone), as most entities stand in one text, which is no estimate. A term discloses
+one of these if the corpus shows that the term almost names it. With n texts that hold the term, k of which hold the protected
+thing too, and its share b of all texts, the chance of it given the term is estimated as (k + PRIOR b) / (n + PRIOR), and
+the lower end of that estimate's confidence interval (`z` standard errors) counts: -log2 of it is the uncertainty left once
+the term is read. A term is telling if that is at most `bits` and the chance is at least twice b, whatever the size of the
+table. Every occurrence of a telling term, in any text, is a span of kind term, beside the pattern spans, which all
+stay. `redact` generalises pattern spans to their kind and removes disclosing terms; of spans that overlap the first, then the
+longest, decides how, and all their characters go.
+
+Scale: texts are read twice and never shuffled. The first pass emits a row a document with entities (what it protects, its words)
+and the number of texts for every word, summed in the task (bounded tables) before the shuffle. Pairs of a protected
+thing and a word are made only for what enough texts hold to be disclosed at all. Telling terms are sent to the executors as
+hashes of 64 bits (16 MB for two millions); more come in blocks, each with one more step in the second pass. All counts cover all texts.
 
 Null and empty texts have no spans; the hash is that of the empty string. Repeated rows are texts of their own.
 Ties: spans are ordered by start, then kind. An empty table gives no rows. Only the named columns are read.
@@ -20,6 +22,7 @@ Ties: spans are ordered by start, then kind. An empty table gives no rows. Only
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable
 
@@ -40,7 +43,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SECRET = re.compile(r"(?i:key|token|secret|passw(?:or)?d|pwd)[\"']?[\x20\t]{0,8}[=:][\x20\t]{0,8}[\"']?([A-Za-z0-9+/_.~-]{12,}=*)|\b((?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9_-]{20,})")
 WORDS = re.compile(common.WORD)
 EDGE = ".,;:!?\"'()[]{}<>"
-REACH, SUPPORT, BITS = 5, 3, 1.0
+BITS, Z, PRIOR = 1.0, 1.64, 1.0
 
 
 def luhn(digits: str) -> bool:
@@ -128,66 +131,89 @@ def _terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, str,
     return out
 
 
+def pool(kind: int, value: str) -> str | None:
+    """What an entity has in common with others of its owner: domain, network, issuer, country and area."""
+    if kind == 0:
+        return value.rpartition("@")[2].lower()
+    if kind == 1:
+        return ".".join(value.split(".")[:2])
+    digits = "".join(c for c in value if "0" <= c <= "9")
+    return digits[:6] if kind == 2 else digits[:5] if kind == 3 else None
+
+
+def things(text: str, spans: list[tuple[int, int, int]]) -> list[str]:
+    """The protected things of a text: its entities and their pools."""
+    out = set()
+    for s, k, e in spans:
+        out.add(f"{KINDS[k]}:{text[s:e]}")
+        if of := pool(k, text[s:e]):
+            out.add(f"{KINDS[k]}~{of}")
+    return sorted(out)
+
+
 class Terms:
-    """The terms of raw words, with a bounded memory; a word is a run of anything but ASCII white space."""
+    """The terms of raw words, with a bounded memory; a word is a run of anything but ASCII white space. telling (sorted
+    hashes): only the terms among them."""
 
-    def __init__(self, limit: int = 400_000):
-        self.known, self.limit = {}, limit
+    def __init__(self, telling=None, limit: int = 400_000):
+        self.known, self.limit, self.telling = {}, limit, telling
 
     def of(self, raw: bytes) -> set[str]:
         """The distinct terms of a text."""
         words, known = set(raw.split()), self.known
         if len(known) > self.limit:
             known.clear()
-        for w in words.difference(known):
-            known[w] = w.decode("utf-8").strip(EDGE).lower()
+        if new := words.difference(known):
+            terms = [w.decode("utf-8").strip(EDGE).lower() for w in new]
+            known.update(zip(new, terms if self.telling is None else self._told(terms), strict=True))
         out = set(map(known.__getitem__, words))
         out.discard("")
         return out
 
+    def _told(self, terms: list[str]) -> list[str]:
+        import numpy as np
+        from xxhash import xxh64_intdigest
 
-def _scan(reach: int):
-    def run(batches):
-        from bisect import bisect_left
-        from collections import Counter
-
-        import pyarrow as pa
+        h = np.fromiter((xxh64_intdigest(t, 42) for t in terms), np.uint64, len(terms)).view(np.int64)
+        at = np.minimum(np.searchsorted(self.telling, h), max(0, len(self.telling) - 1))
+        ok = self.telling[at] == h if len(self.telling) else np.zeros(len(h), bool)
+        return [t if x else "" for t, x in zip(terms, ok.tolist(), strict=True)]
 
-        corpus, terms = Counter(), Terms()
-        kinds = {"entities": pa.list_(pa.string()), "words": pa.list_(pa.string()), "near": pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())])), "word": pa.string(), "texts": pa.int64()}
 
-        def told():
-            n = len(corpus)
-            out = pa.RecordBatch.from_pydict({k: pa.array(list(corpus) if k == "word" else list(corpus.values()), t) if k in ("word", "texts") else pa.nulls(n, t) for k, t in kinds.items()})
-            corpus.clear()
-            return out
+def _scan(batches):
+    """Texts -> things and words of those that hold an entity, and how many texts hold each word (the empty one: texts at all)."""
+    from collections import Counter
 
-        for piece in common.pieces(batches):
-            rows = []
-            for raw in common.encoded(piece.column("text")):
-                text = raw.decode("utf-8")
-                corpus.update(terms.of(raw))
-                if spans := protected(text):
-                    at = _terms(text, spans)
-                    starts, near, entities = [a for a, _, _ in at], set(), set()
-                    for s, k, e in spans:
-                        entity = f"{KINDS[k]}:{text[s:e]}"
-                        lo, hi = bisect_left(starts, s), bisect_left(starts, e)
-                        entities.add(entity)
-                        near.update((entity, w) for _, w, _ in at[max(0, lo - reach) : lo] + at[hi : hi + reach])
-                    rows.append((sorted(entities), sorted({w for _, w, _ in at}), [{"entity": e, "term": t} for e, t in sorted(near)], None, None))
-                if len(corpus) > 300_000:
-                    yield told()
-            if rows:
-                yield pa.RecordBatch.from_pydict({k: pa.array(c, t) for (k, t), c in zip(kinds.items(), zip(*rows, strict=True), strict=True)})
-        if corpus:
-            yield told()
+    import pyarrow as pa
 
-    return run
+    corpus, terms = Counter(), Terms()
+    kinds = {"things": pa.list_(pa.string()), "words": pa.list_(pa.string()), "word": pa.string(), "texts": pa.int64()}
 
+    def told():
+        n = len(corpus)
+        out = pa.RecordBatch.from_pydict({k: pa.array(list(corpus) if k == "word" else list(corpus.values()), t) if k in ("word", "texts") else pa.nulls(n, t) for k, t in kinds.items()})
+        corpus.clear()
+        return out
 
-def _mark(telling: frozenset[str], first: bool, last: bool):
-    """Adds the occurrences of the telling terms to found (first: and the patterns' spans); last: the clean text's digest too."""
+    for piece in common.pieces(batches):
+        rows = []
+        for raw in common.encoded(piece.column("text")):
+            text = raw.decode("utf-8")
+            corpus.update(terms.of(raw))
+            corpus[""] += 1
+            if spans := protected(text):
+                rows.append((things(text, spans), sorted({w for _, w, _ in _terms(text, spans)}), None, None))
+            if len(corpus) > 300_000:
+                yield told()
+        if rows:
+            yield pa.RecordBatch.from_pydict({k: pa.array(c, t) for (k, t), c in zip(kinds.items(), zip(*rows, strict=True), strict=True)})
+    if corpus:
+        yield told()
+
+
+def _mark(telling, first: bool, last: bool):
+    """Adds the occurrences of the telling terms (sorted hashes) to found (first: and the patterns' spans); last: the clean
+    text's digest too."""
 
     def run(batches):
         import hashlib
@@ -195,7 +221,7 @@ def _mark(telling: frozenset[str], first: bool, last: bool):
         import pyarrow as pa
 
         span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32())]))
-        terms = Terms()
+        terms = Terms(telling)
         for piece in common.pieces(batches):
             rows, had = [], piece.column("found").to_pylist() if not first else None
             for i, raw in enumerate(common.encoded(piece.column("text"))):
@@ -203,7 +229,8 @@ def _mark(telling: frozenset[str], first: bool, last: bool):
                 every = protected(text)
                 base = [x for x in every if x[1] < BASE]
                 digest = hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in base).encode()).hexdigest()
-                more = [(a, TERM, a + n) for a, w, n in _terms(text, every) if w in telling] if telling and not telling.isdisjoint(terms.of(raw)) else []
+                here = terms.of(raw) if len(telling) else ()
+                more = [(a, TERM, a + n) for a, w, n in _terms(text, every) if w in here] if here else []
                 found = sorted((every if first else [(x["start"], x["kind"], x["stop"]) for x in had[i]]) + more)
                 clean = hashlib.sha256(hide(text, found).encode()).hexdigest() if last else None
                 rows.append(([sum(k == i for _, k, _ in every) for i in range(TERM)], digest, clean, [{"start": s, "kind": k, "stop": e} for s, k, e in found]))
@@ -213,28 +240,43 @@ def _mark(telling: frozenset[str], first: bool, last: bool):
     return run
 
 
-def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH, support: int = SUPPORT, bits: float = BITS, block_terms: int = 200_000) -> DataFrame:
+def chance(k: float, n: float, b: float, z: float = Z) -> float:
+    """The lower end of the estimate that a text with a term holds what a share b of all texts holds, as k of n do."""
+    p = (k + PRIOR * b) / (n + PRIOR)
+    return p - z * math.sqrt(p * (1 - p) / (n + PRIOR))
+
+
+def telling_terms(texts: DataFrame, bits: float = BITS, z: float = Z) -> DataFrame:
+    """term: the disclosing ones of a table of texts (column text)."""
+    scanned = common.cut(texts.mapInArrow(_scan, "things array<string>, words array<string>, word string, texts long"))
+    counts = scanned.filter("word is not null").groupBy("word").agg(F.sum("texts").alias("n"))
+    total = scanned.filter("word = ''").agg(F.sum("texts")).first()[0] or 1
+    held = scanned.filter("word is null").select(F.explode("things").alias("thing")).groupBy("thing").agg(F.count("*").alias("held"))
+    # the chance is at least twice the share, so a share is half at most: with fewer texts than these nothing is told
+    least = next(k for k in range(1, 10_000) if chance(k, k, 0.5, z) >= 2.0**-bits)
+    often = held.filter(F.col("held") >= least)
+    shared = scanned.filter("word is null").select(F.explode("things").alias("thing"), "words").join(often, "thing").select("thing", "held", F.explode("words").alias("word"))
+    shared = shared.groupBy("thing", "held", "word").agg(F.count("*").alias("k")).filter(F.col("k") >= least).join(counts, "word")
+    share = F.col("held") / F.lit(float(total))
+    p = (F.col("k") + PRIOR * share) / (F.col("n") + PRIOR)
+    low = p - z * F.sqrt(p * (1 - p) / (F.col("n") + PRIOR))
+    return shared.filter((low >= 2.0**-bits) & (low >= 2 * share)).select(F.col("word").alias("term")).distinct()
+
+
+def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: float = BITS, z: float = Z, block_terms: int = 2_000_000) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, n_secret, n_protected (all pattern spans), base_sha256, clean_sha256 (of the
     text that `redact` leaves), spans (text), found (array of start, kind, stop: all spans)."""
+    import numpy as np
+
     common.shared_dir(docs.sparkSession)
     rows = common.pick(docs, id=id_col, text=text_col)
-    scanned = common.cut(rows.select("text").mapInArrow(_scan(reach), "entities array<string>, words array<string>, near array<struct<entity:string,term:string>>, word string, texts long"))
-    texts = scanned.filter("word is null")
-    held = texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("held"))
-    often = held.filter(F.col("held") >= support)
-    shared = texts.select(F.explode("entities").alias("entity"), "words").join(often.select("entity"), "entity", "left_semi").select("entity", F.explode("words").alias("term"))
-    shared = shared.groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= support)
-    near = texts.select(F.explode("near").alias("x")).select("x.*").groupBy("entity", "term").agg(F.count("*").alias("by"))
-    rare = near.join(held.filter(F.col("held") < support), "entity").filter("by = held").select("entity", "term", F.col("held").alias("both"))
-    pairs = shared.unionByName(rare).groupBy("term").agg(F.max("both").alias("both"))
-    words = scanned.filter("word is not null").join(pairs.select(F.col("term").alias("word")), "word", "left_semi").groupBy(F.col("word").alias("term")).agg(F.sum("texts").alias("n"))
-    telling = common.cut(pairs.join(words, "term").filter(-F.log2(F.col("both") / F.col("n")) <= bits).select("term"))
+    telling = common.cut(telling_terms(rows.select("text"), bits, z).select(F.xxhash64("term").alias("h")))
     n = max(1, -(-telling.count() // block_terms))
     span = "array<struct<start:int,kind:int,stop:int>>"
     schema = f"id {rows.schema['id'].dataType.simpleString()}, text string, n_email long, n_ip long, n_card long, n_phone long, n_secret long, base_sha256 string, clean_sha256 string, found {span}"
     for k in range(n):
-        block = telling.filter(F.pmod(F.xxhash64("term"), F.lit(n)) == k).collect()
-        rows = rows.mapInArrow(_mark(frozenset(r.term for r in block), k == 0, k == n - 1), schema)
+        block = np.sort(np.array([r.h for r in telling.filter(F.pmod("h", F.lit(n)) == k).collect()], np.int64))
+        rows = rows.mapInArrow(_mark(block, k == 0, k == n - 1), schema)
     text = F.array_join(F.transform("found", lambda s: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), s["start"].cast("string"), s["stop"].cast("string"))), ",")
     counts = [f"n_{k}" for k in KINDS[:TERM]]
     return rows.select(F.col("id").alias("doc_id"), *counts, F.expr(" + ".join(counts)).alias("n_protected"), "base_sha256", "clean_sha256", text.alias("spans"), "found")

@@ -96,7 +96,7 @@ def test_pii(spark):
     r = pii.spans(docs(spark, [t, None])).orderBy("doc_id").collect()
     assert (r[0].n_email, r[0].n_phone, r[0].n_card, r[0].n_ip) == (1, 1, 1, 1)
     assert r[1].spans == ""
-    shared = [f"agent falcon wrote spy@deep.org today number {i}" for i in range(5)]
+    shared = [f"agent falcon wrote spy@deep.org today number {i}" for i in range(6)] + ["nobody wrote today"] * 30
     found = pii.spans(docs(spark, shared)).first().spans
     assert ":" in found and "term" in found
 

@@ -44,9 +44,9 @@ def base(text):
     return sorted(out)
 
 
-def brute(texts, reach=5, support=3, bits=1.0):
-    """All spans of every text, term by term and entity by entity."""
-    spans, words, near = [], [], defaultdict(set)
+def brute(texts, bits=1.0):
+    """All spans of every text, term by term and thing by thing."""
+    spans, words = [], []
     held, both, has = defaultdict(set), defaultdict(set), defaultdict(set)
     for i, t in enumerate(texts):
         here = sorted(base(t) + [(m.start(1), 4, m.end(1)) for m in re.finditer(SECRET, t) if re.search(r"\d", m[1])])
@@ -59,20 +59,20 @@ def brute(texts, reach=5, support=3, bits=1.0):
                 if not any(s < a + len(w) and e > a for s, _, e in here):
                     said.append((a, w))
         for s, k, e in here:
-            entity = (k, t[s:e])
-            held[entity].add(i)
-            for _, w in said:
-                both[entity, w.lower()].add(i)
-            before, after = [w for a, w in said if a < s][-reach:], [w for a, w in said if a >= e][:reach]
-            for w in before + after:
-                near[entity, w.lower()].add(i)
+            value, digits = t[s:e], re.sub(r"\D", "", t[s:e])
+            pool = [value.split("@")[-1].lower(), ".".join(value.split(".")[:2]), digits[:6], digits[:5], value][k]
+            for thing in {(k, "value", value), (k, "pool", pool)}:
+                held[thing].add(i)
+                for _, w in said:
+                    both[thing, w.lower()].add(i)
         spans.append(here)
         words.append(said)
     telling = set()
-    for (entity, w), texts_ in both.items():
-        n = len(held[entity])
-        counts = len(texts_) >= support if n >= support else near[entity, w] == held[entity]
-        if counts and -math.log2(len(texts_ if n >= support else held[entity]) / len(has[w])) <= bits:
+    for (thing, w), there in both.items():
+        b, n = len(held[thing]) / len(texts), len(has[w])
+        p = (len(there) + b) / (n + 1)
+        low = p - 1.64 * math.sqrt(p * (1 - p) / (n + 1))
+        if low >= 2**-bits and low >= 2 * b:
             telling.add(w)
     return [sorted(s + [(a, 5, a + len(w)) for a, w in x if w.lower() in telling]) for s, x in zip(spans, words, strict=True)]
 
@@ -120,7 +120,7 @@ def test_recall_of_planted_data_by_kind(spark):
 
 
 def test_redaction(spark):
-    texts = ["write to spy@deep.org or 10.0.0.1, token = \"04dbebab91ab85687d33\" now", None, "", "nothing here"] + [f"falcon spy@deep.org {k}" for k in range(3)] + ["write to or token = now"] * 6
+    texts = ["write to spy@deep.org or 10.0.0.1, token = \"04dbebab91ab85687d33\" now", None, "", "nothing here"] + [f"falcon spy@deep.org {k}" for k in range(5)] + ["write to or token = now"] * 9
     docs = table(spark, texts)
     got = pii.spans(docs)
     rows = pii.redact(docs.join(got, "doc_id")).orderBy("doc_id").collect()
@@ -136,18 +136,38 @@ def test_many_entities_take_linear_time():
     text = " ".join(f"a{k}@b.org word{k}" for k in range(20_000))
     began = time.time()
     assert len(words(text, pii.protected(text))) == 20_000
-    list(pii._scan(5)(iter([__import__("pyarrow").RecordBatch.from_pydict({"text": [text]})])))
+    list(pii._scan(iter([__import__("pyarrow").RecordBatch.from_pydict({"text": [text]})])))
     assert time.time() - began < 5
 
 
 def test_telling_terms_are_marked_in_all_texts(spark):
-    texts = [f"Falcon{FAR} spy@deep.org{FAR} falcon"] * 3 + [f"only falcon is named here{FAR}", f"others speak{FAR}"] + ["a spoken far word"] * 9
+    texts = [f"Falcon{FAR} spy@deep.org{FAR} falcon"] * 6 + [f"only falcon is named here{FAR}", f"others speak{FAR}"] + ["a spoken far word"] * 20
     got = found(spark, texts)
-    assert got[:5] == [["Falcon", "falcon"]] * 3 + [["falcon"], []]
-    assert found(spark, texts, block_terms=1) == got
-
-
-def test_rare_entities_are_judged(spark):
-    common = ["write to the desk of our town"] * 6
-    got = found(spark, ["write to Zebulon at z@deep.org of our desk", "Zebulon of our town", *common])
-    assert got[:2] == [["Zebulon", "at"], ["Zebulon"]] and not any(got[2:])
+    assert got[:8] == [["Falcon", "falcon"]] * 6 + [["falcon"], []] and not any(got[8:])
+    more = [t.replace("spy@deep.org", f"spy@deep.org agent{k % 2} agent{k % 2}") for k, t in enumerate(texts * 2)]
+    assert found(spark, more, block_terms=1) == found(spark, more) != got
+
+
+def test_few_texts_tell_nothing_and_pools_do(spark):
+    """One text is no estimate, however rare its words; five addresses of one house are."""
+    plain = ["write to the desk of our town"] * 40
+    assert not any(found(spark, ["write to Zebulon at z@deep.org of our desk", "Zebulon of our town", *plain]))
+    got = found(spark, [f"write to Zebulon at z{k}@deep.org of our desk" for k in range(6)] + plain)
+    assert got[:6] == [["Zebulon", "at"]] * 6 and not any(got[6:])
+
+
+def test_precision_and_recall_of_planted_terms(spark):
+    """Code names that stand with one person's address mostly, among words that stand anywhere: most are found, few others are."""
+    r = random.Random(12)
+    words = [f"w{k}" for k in range(600)]
+    say = lambda n: r.choices(words, k=n)
+    texts, names = [" ".join(say(60)) for _ in range(2000)], {f"codename{k}" for k in range(60)}
+    for k, name in enumerate(sorted(names)):
+        for _ in range(9):
+            texts.append(" ".join([*say(25), name, *say(10), f"person{k}@house{k}.org", *say(5)]))
+        texts.append(" ".join([*say(30), name, *say(10)]))  # one that names no one
+    r.shuffle(texts)
+    told = Counter(w.lower() for t in found(spark, texts) for w in t)
+    hit = names & set(told)
+    assert len(hit) >= 0.95 * len(names) and len(hit) >= 0.95 * len(told), (len(hit), len(told))
+    assert all(told[n] == 10 for n in hit)
