@@ -189,3 +189,17 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op12: every document's set size and class, and whether it leads its class."""
     out = classes(common.table(spark, sf_dir, "documents"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+#: DuckDB: all pairs of documents that share a shingle, and what can be reached over those that are similar.
+SQL = r"""
+    with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+    s as (select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end) as x from w),
+    n as (select doc_id, count(*) as n from s group by all),
+    shared as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.x = b.x and a.doc_id < b.doc_id group by all),
+    linked as (select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+    ways as (select a, b from linked union all select b, a from linked),
+    reached as (select a, b from ways union select r.a, l.b from reached r join ways l on l.a = r.b),
+    firsts as (select a, least(a, min(b)) as component_id from reached group by a)
+    select w.doc_id, coalesce(n, 0) as n_shingles, coalesce(component_id, w.doc_id) as component_id, coalesce(component_id, w.doc_id) = w.doc_id as kept
+    from w left join n on n.doc_id = w.doc_id left join firsts on a = w.doc_id"""

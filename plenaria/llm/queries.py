@@ -20,4 +20,4 @@ QUERIES = {
     "op13_turns": turns.query,
 }
 
-ORACLES = {"op4_line_dedup": line_dedup.SQL, "op5_quality_rules": quality.SQL, "op11_divergence": divergence.SQL, "op13_turns": turns.SQL}
+ORACLES = {"op4_line_dedup": line_dedup.SQL, "op5_quality_rules": quality.SQL, "op11_divergence": divergence.SQL, "op12_odd_sketch": odd_sketch.SQL, "op13_turns": turns.SQL}
