@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections import defaultdict
+from contextlib import closing
 from typing import Protocol
 
 from py4j.protocol import Py4JJavaError
@@ -85,6 +86,88 @@ class Store:
         self.write(name, change(self.read(name)))
 
 
+class JdbcStore:
+    """The stored tables in a database: a batch goes to a staging table, by Spark's writer and over all tasks, and from there
+    into the table by one MERGE on its key, with the policies of the folds. The batch's name is written in the same
+    transaction, so a batch that comes again, or whose job died after the merge, changes nothing. Nested columns are JSON."""
+
+    #: What a matched row's column becomes; t: stored, s: staged.
+    MERGED = {"new": "{s}", "coalesce": "coalesce({s}, {t})", "add": "{t} + {s}", "stay": "coalesce({t}, {s})"}
+
+    def __init__(self, spark: SparkSession, url: str, key_type: str = "VARCHAR(1000)", **options: str):
+        """key_type: the database's type of text keys; options: of Spark's JDBC source."""
+        self.spark, self.url, self.key_type, self.options = spark, url, key_type, options
+
+    def _run(self, *statements: str) -> int:
+        """The statements as one transaction; returns the rows that the last one changed."""
+        c = self.spark._jvm.java.sql.DriverManager.getConnection(self.url)
+        try:
+            c.setAutoCommit(False)
+            changed = 0
+            for sql in statements:
+                with closing(c.createStatement()) as statement:
+                    changed = statement.executeUpdate(sql)
+            c.commit()
+            return changed
+        except Exception:
+            c.rollback()
+            raise
+        finally:
+            c.close()
+
+    def _about(self, what):
+        """what(metadata) of the database."""
+        c = self.spark._jvm.java.sql.DriverManager.getConnection(self.url)
+        try:
+            return what(c.getMetaData())
+        finally:
+            c.close()
+
+    def _exists(self, table: str) -> bool:
+        return self._about(lambda m: any(m.getTables(None, None, name, None).next() for name in (table, table.upper(), table.lower())))
+
+    def _save(self, rows: DataFrame, table: str, mode: str, types: str = "") -> None:
+        more = {"createTableColumnTypes": types} if types else {}
+        rows.write.format("jdbc").options(url=self.url, dbtable=table, **more, **self.options).mode(mode).save()
+
+    def _text_keys(self, name: str) -> list[str]:
+        return [f.name for f in StructType.fromDDL(fold.SCHEMAS[name]) if f.name in fold.TABLES[name][0] and f.dataType == StringType()]
+
+    def _flat(self, name: str, rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.to_json(f.name).alias(f.name) if f.dataType.typeName() in ("array", "struct", "map") else F.col(f.name) for f in StructType.fromDDL(fold.SCHEMAS[name])])
+
+    def migrate(self, *names: str) -> None:
+        """Empty tables, where there are none."""
+        for name in names or fold.SCHEMAS:
+            if not self._exists(name):
+                types = ", ".join(f"{k} {self.key_type}" for k in self._text_keys(name))
+                self._save(self._flat(name, self.spark.createDataFrame([], fold.SCHEMAS[name])), name, "append", types)
+        if not self._exists("batches"):
+            self._run(f"CREATE TABLE batches (name {self.key_type} NOT NULL PRIMARY KEY)")
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.format("jdbc").options(url=self.url, dbtable=name, **self.options).load()
+
+    def upsert(self, name: str, incoming: DataFrame, order: list[str], batch: str) -> bool:
+        """Folds incoming in, unless the batch has been; returns whether it did."""
+        keys, policies = fold.TABLES[name]
+        mark = f"{name}/{batch}".replace("'", "''")
+        if not self.read("batches").filter(F.col("name") == f"{name}/{batch}").isEmpty():
+            return False
+        self._save(self._flat(name, fold.upsert(None, incoming, name, order)), f"staged_{name}", "overwrite")
+        # staged texts have the type that Spark gives them, which need not be comparable
+        text, mark_ = self._text_keys(name), self._about(lambda m: m.getIdentifierQuoteString().strip())
+        at = lambda side, c: f"{side}.{mark_}{c}{mark_}"
+        staged = lambda c: f"CAST({at('s', c)} AS {self.key_type})" if c in text else at("s", c)
+        on = " AND ".join(f"({at('t', k)} = {staged(k)} OR {at('t', k)} IS NULL AND {at('s', k)} IS NULL)" for k in keys)
+        sets = ", ".join(f"{mark_}{c}{mark_} = {self.MERGED[p].format(s=at('s', c), t=at('t', c))}" for c, p in policies.items() if p in self.MERGED)
+        columns = [*keys, *policies]
+        matched = f" WHEN MATCHED THEN UPDATE SET {sets}" if sets else ""
+        merge = f"MERGE INTO {name} AS t USING staged_{name} AS s ON {on}{matched} WHEN NOT MATCHED THEN INSERT ({', '.join(f'{mark_}{c}{mark_}' for c in columns)}) VALUES ({', '.join(map(staged, columns))})"
+        self._run(f"INSERT INTO batches VALUES ('{mark}')", merge)
+        return True
+
+
 def frame(rows: DataFrame, json_col: str, schema: str | None = None, told: Observation | None = None) -> DataFrame:
     """The records of a JSON column, one object or a list of them a row, as columns of a schema (None: the one that all
     records show). Records that are no object, or have a value of another type, are dropped; told: counts them (rejected)
