@@ -301,6 +301,26 @@ def store_summaries(t):
     return pending.store(topics, "topics", pending.answer(topics.withColumn("prompt", F.col("sitting_url")), "prompt", Upper, "loud"))
 
 
+def _told(name: str, rows: str, key: str) -> str:
+    return f"select '{name}' as target, count(*) as n, cast(sum(length({key}) + 11) as bigint) as characters from {rows}"
+
+
+_BILL_ROWS = f"(select distinct name from {BILLS})"
+
+
+@query(" union all ".join([_told("sittings", HEADS, "url"), _told("bills", _BILL_ROWS, "name"), _told("bill_mentions", BILLS, "section_title"), _told("bill_mention_speakers", IN_BILL, "contributions_text"), _told("topics", TOPICS, "title"), _told("topic_speakers", IN_TOPIC, "contributions_text")]))
+def store_summaries_of_all(t):
+    """Every stored table that takes summaries gets them: how many, and of how many characters."""
+    prompts_ = {"sittings": "url", "bills": "name", "bill_mentions": "section_title", "bill_mention_speakers": "contributions_text", "topics": "title", "topic_speakers": "contributions_text"}
+    out = None
+    for name, (_, renamed) in pending.TARGETS.items():
+        rows = stored(t, name)
+        done = pending.store(rows, name, pending.answer(rows.withColumn("prompt", F.col(prompts_[name])), "prompt", Echo, "echo", pending.calls(name)))
+        own = done.select(F.lit(name).alias("target"), F.col(renamed.get("summary", "summary")).alias("s")).groupBy("target").agg(F.count("s").alias("n"), F.sum(F.length("s")).alias("characters"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 @query(f"select url, house, cast(strlen(url) as double) as size, case when cast(substr(url, 4) as int) % 3 = 0 then 'told' end as summary from {HEADS}")
 def store_embeddings(t):
     rows = stored(t, "sittings")
@@ -308,6 +328,13 @@ def store_embeddings(t):
     return out.select("url", "house", F.col("embedding")[0].cast("double").alias("size"), "summary")
 
 
+class Echo:
+    """A summarizer that says what it was asked."""
+
+    def summarize(self, prompt: str) -> str:
+        return f"{prompt} summarised"
+
+
 class Counter:
     """A summarizer that says how long a prompt is."""
 

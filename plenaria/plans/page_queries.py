@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import sinks
 from ..sources import page_source, pages
+from . import ingest
 from .model_queries import spoken
 from .base import query
 
@@ -297,6 +298,30 @@ def page_source_failures(t):
     return spark.read.parquet(f"{path}-rows").agg(F.count("*").alias("n")).join(failed)
 
 
+@query("select cast(c_custkey % 5 + 1 as int) as page, c_name as name, '/m/' || c_custkey as url, case when c_custkey % 3 = 0 then 'Whip' end as role, 'Ward ' || c_nationkey as constituency from customer")
+def page_source_members(t):
+    """All pages of a members' list."""
+    key = F.col("c_custkey")
+    item = _html("<a class='members-list--item' href='/m/", key, "'><div class='members-list--name'>", F.col("c_name"), "</div>", F.when(key % 3 == 0, "<p class='leader-role'>Whip</p>"), "<div class='members-list--representation'>Ward ", F.col("c_nationkey"), "</div></a>")
+    rows = t("customer").select((key % 5 + 1).cast("int").alias("page"), "c_custkey", item.alias("item")).groupBy("page").agg(_joined("c_custkey", F.col("item")).alias("items"))
+    path = sinks.scratch(t("customer").sparkSession) + "/members"
+    page_source.write_pages(rows.select("page", _html("<li class='active active_number_box'><span>", F.col("page"), "</span></li><a class='page_label' href='?page=5'>5</a>", F.col("items")).alias("html")), path)
+    return page_source.all_pages(t("customer").sparkSession, path, "members")
+
+
+@query("select '/mps/' || s_suppkey || '/' as url, s_name as name, case when s_suppkey % 2 = 0 then 'Born once' else 'known before' end as biography, 'https://mzalendo.com/p/' || s_suppkey || '.png' as photo_url, 'Senator' as position_type, 'Member ' || s_suppkey || ';Chair' as positions, 'Party ' || s_nationkey as party, 'Works' as committees, cast(case when s_suppkey % 3 > 0 then s_suppkey end as int) as speeches_last_year, cast(case when s_suppkey % 3 > 0 then s_suppkey + 7 else 1 end as int) as speeches_total, 'Whip' as role from supplier")
+def enrich_members_stored(t):
+    """Stored members with all that their profiles say, and after a listing came once more."""
+    store = sinks.Store(t("supplier").sparkSession, sinks.scratch(t("supplier").sparkSession), 4)
+    store.migrate()
+    listed = t("supplier").select(F.col("s_name").alias("name"), _html("/mps/", F.col("s_suppkey"), "/").alias("url"), F.lit("Senate").alias("house"), F.lit("13th-parliament").alias("parliament"), F.lit("Whip").alias("role"), F.lit(None).cast("string").alias("constituency"))
+    store.upsert("members", listed.withColumns({"biography": F.lit("known before"), "speeches_total": F.lit(1)}), ["url"])
+    store.write("members", ingest.enrich_members(store.read("members"), pages.profiles(profile_pages(t))))
+    store.upsert("members", listed.withColumn("role", F.lit(None).cast("string")), ["url"])
+    rows = store.read("members")
+    return rows.select("url", "name", "biography", "photo_url", "position_type", F.array_join("positions", ";").alias("positions"), "party", F.array_join("committees", ";").alias("committees"), "speeches_last_year", "speeches_total", "role")
+
+
 def _register_sql():
     from .model_queries import SAID
 
