@@ -248,7 +248,7 @@ def chance(k: float, n: float, b: float, z: float = Z) -> float:
 
 def telling_terms(texts: DataFrame, bits: float = BITS, z: float = Z) -> DataFrame:
     """term: the disclosing ones of a table of texts (column text)."""
-    scanned = common.cut(texts.mapInArrow(_scan, "things array<string>, words array<string>, word string, texts long"))
+    scanned = common.stored(texts.mapInArrow(_scan, "things array<string>, words array<string>, word string, texts long"))
     counts = scanned.filter("word is not null").groupBy("word").agg(F.sum("texts").alias("n"))
     total = scanned.filter("word = ''").agg(F.sum("texts")).first()[0] or 1
     held = scanned.filter("word is null").select(F.explode("things").alias("thing")).groupBy("thing").agg(F.count("*").alias("held"))
