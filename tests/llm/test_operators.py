@@ -107,6 +107,9 @@ def test_line_dedup_leaks_licenses(spark):
     assert out[0].text == texts[0].split("\n")[0] and out[20].text is None and out[0]._n_dropped == 1
     salted = line_dedup.drop_lines(docs(spark, [*texts, None]), broadcast_lines=0).orderBy("doc_id").collect()
     assert [r.text for r in salted] == [r.text for r in out]
+    two = docs(spark, texts, "large").union(docs(spark, texts[:6], "small")).union(docs(spark, texts[:6], None))
+    split = line_dedup.drop_lines(two, broadcast_lines=0, pages=7)  # three salts for one host, one for the others
+    assert sorted((str(r.source), r.text) for r in split.collect()) == sorted((str(r.source), r.text) for r in line_dedup.drop_lines(two).collect())
     items = spark.createDataFrame([(1, "Which river runs through the old town of Basel? The river Rhine runs through it.")], "item_id long, text string")
     clean = "An old town lies by a river and nobody asked which one it was, " * 9
     leak = clean + items.first().text + " " + clean
