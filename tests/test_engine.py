@@ -119,3 +119,9 @@ def test_streamed_batches_fold_once(spark, tmp_path):
     source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))  # another stream, whose numbers begin anew
     stream.fold_stream(source, "sitting_speakers", ["at"], table.read, table.swap, str(tmp_path / "other")).awaitTermination()
     assert {r.speaker_name: r.speech_count for r in table.read().collect()} == {"A": 8, "B": 4} and len(table.versions()) == 2
+
+
+def test_title_reads_whole_references_only():
+    """html_title is that of its SQL: a reference without its semicolon, as where a title was cut, stays as it stands."""
+    assert html.title("<title>a &amp; b &lt;c&gt; &quot;d&quot; e&amp</title>") == {"title": 'a & b <c> "d" e&amp'}
+    assert html.title("<title>&amp;amp; &nbsp; &</title>") == {"title": "&amp; &nbsp; &"}
