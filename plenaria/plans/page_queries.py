@@ -190,23 +190,50 @@ def _pager(kind: str, parameter: str, current, last) -> Column:
 
 
 def _profile_items(t) -> DataFrame:
-    """l_suppkey, l_linenumber, at (the order of items), and a bill, vote and group of each line."""
-    part = F.col("l_partkey")
-    lines = t("lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), F.concat(F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), F.col("l_linenumber").cast("string"), F.lpad(F.col("l_partkey").cast("string"), 12, "0")).alias("at"))
-    bill = _html("<div class='bill-item'><h3 class='bill-name'>Bill ", part, "</h3><span class='bill-year'>", F.substring("day", 1, 4), "</span><div class='bill-stage'>Status: Stage ", F.col("l_linenumber"), "</div></div>")
-    vote = _html("<div class='voting-patterns-row'><div class='voting-cell voting-date'>", F.col("day"), "</div><div class='voting-cell voting-title'>", F.when(part % 6 > 0, _html("<a href='/v/", part, "'>Vote ", part, "</a>")), "</div><div class='voting-cell voting-decision'>", F.when(part % 2 == 0, "<span class='decision-badge'>Yes</span>"), "</div></div>")
-    group = _html("<div class='contribution-group'><span class='topic-badge topic-badge-large'>Topic ", part, "</span><span class='group-date'>", F.col("day"), "</span><div class='conversation-subgroup'><span class='conversation-type-badge'>Motion</span><a class='conversation-title' href='/s/", part, "#top'>Title ", part, "</a><div class='contribution-item'><a class='contribution-text-link' href='/s/", part, "#chunk-1'><p class='contribution-text'>one </p></a></div><div class='contribution-item'><a class='contribution-text-link' href=''><p class='contribution-text'>none</p></a></div></div><div class='conversation-subgroup'><span class='conversation-type-badge'>Question</span><div class='contribution-item'><a class='contribution-text-link' href='/s/", part, "#chunk-2'>two</a></div></div></div>")
-    return lines.select("l_suppkey", "l_linenumber", "at", bill.alias("bill"), vote.alias("vote"), group.alias("group"))
+    """l_suppkey, p (the page of three that an item is on), x: what an item is made of, at first (the order of items)."""
+    at = F.concat(F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), F.col("l_linenumber").cast("string"), F.lpad(F.col("l_partkey").cast("string"), 12, "0"))
+    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    return t("lineitem").select("l_suppkey", (F.col("l_linenumber") % 3 + 1).alias("p"), F.struct(at.alias("at"), F.col("l_partkey").alias("part"), F.col("l_linenumber").alias("line"), day.alias("day")).alias("x"))
+
+
+def _bill(x: Column) -> Column:
+    return _html("<div class='bill-item'><h3 class='bill-name'>Bill ", x["part"], "</h3><span class='bill-year'>", F.substring(x["day"], 1, 4), "</span><div class='bill-stage'>Status: Stage ", x["line"], "</div></div>")
+
+
+def _vote(x: Column) -> Column:
+    part = x["part"]
+    return _html("<div class='voting-patterns-row'><div class='voting-cell voting-date'>", x["day"], "</div><div class='voting-cell voting-title'>", F.when(part % 6 > 0, _html("<a href='/v/", part, "'>Vote ", part, "</a>")), "</div><div class='voting-cell voting-decision'>", F.when(part % 2 == 0, "<span class='decision-badge'>Yes</span>"), "</div></div>")
+
+
+def _group(x: Column) -> Column:
+    part = x["part"]
+    return _html("<div class='contribution-group'><span class='topic-badge topic-badge-large'>Topic ", part, "</span><span class='group-date'>", x["day"], "</span><div class='conversation-subgroup'><span class='conversation-type-badge'>Motion</span><a class='conversation-title' href='/s/", part, "#top'>Title ", part, "</a><div class='contribution-item'><a class='contribution-text-link' href='/s/", part, "#chunk-1'><p class='contribution-text'>one </p></a></div><div class='contribution-item'><a class='contribution-text-link' href=''><p class='contribution-text'>none</p></a></div></div><div class='conversation-subgroup'><span class='conversation-type-badge'>Question</span><div class='contribution-item'><a class='contribution-text-link' href='/s/", part, "#chunk-2'>two</a></div></div></div>")
+
+
+def _told_in(items: DataFrame, *keys: str) -> DataFrame:
+    """keys, items: the items of each, in order. They are shuffled as they are, and become text where the page is made."""
+    return items.groupBy(*keys).agg(F.sort_array(F.collect_list("x")).alias("items"))
+
+
+def _spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """rows over as many tasks as shuffles have: they are few and small before their pages are made, and adaptive execution would
+    leave all pages to one task."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def _lines(made) -> Column:
+    """The text of all items, each as made has it."""
+    return F.array_join(F.transform("items", made), "\n")
 
 
 def profile_pages(t, items: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """Profile pages with all items, or those given; parts: how many pages both pagers count."""
     key = F.col("s_suppkey")
-    each = (_profile_items(t) if items is None else items).groupBy("l_suppkey").agg(_joined("at", F.col("bill")).alias("bills"), _joined("at", F.col("vote")).alias("votes"), _joined("at", F.col("group")).alias("groups"))
-    s = t("supplier").join(each, F.col("s_suppkey") == F.col("l_suppkey"), "left")
+    each = _told_in(_profile_items(t) if items is None else items, "l_suppkey")
+    s = _spread(t("supplier").join(each, F.col("s_suppkey") == F.col("l_suppkey"), "left"), "s_suppkey")
     bills_pager = F.when(key % 4 == 0, _pager("bills-pagination", "bills_page", "1", key % 5 + 2)) if parts is None else _pager("bills-pagination", "bills_page", "1", str(parts))
     activity_pager = F.when(key % 4 == 1, _pager("contributions-pagination", "contributions_page", "1", key % 6 + 2)) if parts is None else _pager("contributions-pagination", "contributions_page", "1", str(parts))
-    page = _html("<h1 class='page-heading'>", F.col("s_name"), "</h1><h2 class='assembly-entry'>Senator</h2><img class='member-list--image' src='/p/", key, ".png'><section class='member-biography'><div class='biography-content'>", F.when(key % 2 == 0, "Born  once"), "</div></section><h2 class='header-two'>CURRENT POSITIONS</h2><div class='position-section'><p>Member ", key, "</p><p> </p></div><p class='elected-post'>Chair</p><h2 class='header-three'>Parties and Coalitions</h2><p>none</p><p class='elected-post'>Party ", F.col("s_nationkey"), "</p><ul><li class='committee-item'>Works</li><li class='committee-item'> </li></ul><div class='activity-section'><p>Has it? ", F.when(key % 3 > 0, _html("He has made ", key, " speeches last year and ", key + 7, " speeches in all")), "</p></div><p class='bills-summary'>She has sponsored ", key % 9, " bills</p>", F.col("bills"), bills_pager, F.col("votes"), F.col("groups"), activity_pager)
+    page = _html("<h1 class='page-heading'>", F.col("s_name"), "</h1><h2 class='assembly-entry'>Senator</h2><img class='member-list--image' src='/p/", key, ".png'><section class='member-biography'><div class='biography-content'>", F.when(key % 2 == 0, "Born  once"), "</div></section><h2 class='header-two'>CURRENT POSITIONS</h2><div class='position-section'><p>Member ", key, "</p><p> </p></div><p class='elected-post'>Chair</p><h2 class='header-three'>Parties and Coalitions</h2><p>none</p><p class='elected-post'>Party ", F.col("s_nationkey"), "</p><ul><li class='committee-item'>Works</li><li class='committee-item'> </li></ul><div class='activity-section'><p>Has it? ", F.when(key % 3 > 0, _html("He has made ", key, " speeches last year and ", key + 7, " speeches in all")), "</p></div><p class='bills-summary'>She has sponsored ", key % 9, " bills</p>", _lines(_bill), bills_pager, _lines(_vote), _lines(_group), activity_pager)
     return s.select(_html("/mps/", key, "/").alias("url"), page.alias("html"))
 
 
@@ -236,18 +263,17 @@ def page_activity(t):
 
 @query("select '/mps/' || s_suppkey || '/' as page_url, kind, 1 as current, cast(case kind when 'bills' then s_suppkey % 5 + 2 else s_suppkey % 6 + 2 end as int) as last from supplier, (values ('bills'), ('activity')) v(kind) where s_suppkey % 4 = case kind when 'bills' then 0 else 1 end")
 def page_info_parts(t):
-    both = [pages.page_infos(profile_pages(t), kind).withColumn("kind", F.lit(kind)) for kind in ("bills", "activity")]
-    return both[0].unionByName(both[1]).select("page_url", "kind", "current", "last")
+    return pages.page_infos_of(profile_pages(t), "bills", "activity").select("page_url", "kind", "current", "last")
 
 
 def profile_parts(t) -> tuple[DataFrame, DataFrame]:
     """Profiles in three pages: the first ones, and the further ones of bills and activity. The third ones of every fifth
     profile say that they are the ninth."""
-    items = _profile_items(t).withColumn("p", F.col("l_linenumber") % 3 + 1)
-    each = items.filter("p > 1").groupBy("l_suppkey", "p").agg(_joined("at", F.col("bill")).alias("bills"), _joined("at", F.col("group")).alias("activity"))
+    items = _profile_items(t)
+    each = _spread(_told_in(items.filter("p > 1"), "l_suppkey", "p"), "l_suppkey", "p")
     says = F.when((F.col("l_suppkey") % 5 == 0) & (F.col("p") == 3), 9).otherwise(F.col("p"))
-    part = lambda kind, nav, parameter: F.struct(_html("/mps/", F.col("l_suppkey"), f"/?{parameter}=", F.col("p")).alias("url"), _html(F.col(kind), _pager(nav, parameter, says, "3")).alias("html"))
-    more = each.select(F.explode(F.array(part("bills", "bills-pagination", "bills_page"), part("activity", "contributions-pagination", "contributions_page"))).alias("x")).select("x.*")
+    part = lambda made, nav, parameter: F.struct(_html("/mps/", F.col("l_suppkey"), f"/?{parameter}=", F.col("p")).alias("url"), _html(_lines(made), _pager(nav, parameter, says, "3")).alias("html"))
+    more = each.select(F.explode(F.array(part(_bill, "bills-pagination", "bills_page"), part(_group, "contributions-pagination", "contributions_page"))).alias("x")).select("x.*")
     return profile_pages(t, items.filter("p = 1"), 3), more
 
 

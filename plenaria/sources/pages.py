@@ -23,6 +23,10 @@ VOTE = "date string, title string, url string, decision string"
 ACTIVITY = "date string, topic string, contribution_type string, section_title string, sitting_url string, text_preview string, url string"
 MEMBER = "name string, url string, role string, constituency string"
 PERSON = "name string, summary string, party string, party_url string, email string, telephone string, position string, constituency string, constituency_url string"
+#: Rows leave a task when pages of so many characters are parsed.
+PAGES_AT_ONCE = 4 << 20
+
+
 def _struct(fields: str) -> str:
     return "struct<" + ", ".join(f.replace(" ", ":", 1) for f in fields.split(", ")) + ">"
 
@@ -46,18 +50,27 @@ def parsed(pages: DataFrame, function: Callable, schema: str, url_col: str = "ur
         from pyspark.sql.pandas.types import to_arrow_schema
 
         kinds = to_arrow_schema(out)
+
+        def rows_of(urls, found):
+            table = pa.Table.from_pylist(found, schema=kinds)
+            return table.add_column(0, "page_url", pa.array(urls, pa.string())).combine_chunks().to_batches()
+
         for batch in batches:
-            urls, found = [], []
-            for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            urls, found, size = [], [], 0
+            for url, text in zip(*batch.columns, strict=True):  # one page of a batch is a Python text at a time
+                page = text.as_py()
                 try:
                     made = function(page)
                 except Exception as e:  # noqa: BLE001  whatever a page holds, the others are parsed
                     made = {"error": f"{type(e).__name__}: {e}"[:500]}
                 made = made if isinstance(made, list) else [made] if made else []
-                urls += [url] * len(made)
+                urls += [url.as_py()] * len(made)
                 found += made
-            table = pa.Table.from_pylist(found, schema=kinds)
-            yield from table.add_column(0, "page_url", pa.array(urls, pa.string())).combine_chunks().to_batches()
+                size += len(page)
+                if size > PAGES_AT_ONCE:
+                    yield from rows_of(urls, found)
+                    urls, found, size = [], [], 0
+            yield from rows_of(urls, found)
 
     return rows.mapInArrow(run, f"page_url string, {schema}")
 
@@ -143,24 +156,19 @@ def full_profiles(pages: DataFrame, parts: DataFrame, told: Observation | None =
     says that it is another page is refused and counted (told: refused), as if it had not been fetched."""
     first = profiles(pages)
     base = lambda c: F.regexp_replace(c, "/+$", "")
-    named = parts.withColumn("_kind", F.when(F.col("url").contains("?bills_page="), "bills").when(F.col("url").contains("?contributions_page="), "activity"))
     kinds = {"bills": f"array<{_struct(BILL)}>", "activity": f"array<{_struct(ACTIVITY)}>"}
-    read = None
-    for kind in kinds:
-        own = parse(named.filter(F.col("_kind") == kind), lambda page, kind=kind: html.profile_part(page, kind), f"current int, {kind} {kinds[kind]}")
-        own = own.select("page_url", "current", *[(F.col(k) if k == kind else F.lit(None).cast(t)).alias(k) for k, t in kinds.items()], F.lit(kind).alias("kind"))
-        read = own if read is None else read.unionByName(own)
-    read = read.select(base(F.regexp_extract("page_url", r"^([^?]*)", 1)).alias("_base"), F.regexp_extract("page_url", r"_page=(\d+)", 1).try_cast("int").alias("page"), "kind", "current", *kinds)
-    counts = first.select(base(F.col("page_url")).alias("_base"), F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_pages").alias("last")) for k in kinds])).alias("x")).select("_base", "x.*")
-    read = read.join(counts, ["_base", "kind"]).filter(F.col("page").between(2, F.col("last")))
-    fits = F.col("current").isNull() | (F.col("current") == F.col("page"))
-    in_order = lambda kind: F.flatten(F.transform(F.sort_array(F.collect_list(F.when((F.col("kind") == kind) & fits, F.struct("page", kind)))), lambda x: x[kind]))
-    more = read.groupBy("_base").agg(*[in_order(kind).alias(f"_{kind}") for kind in kinds], F.count_if(~fits).alias("_refused"))
+    kind = F.when(F.col("page_url").contains("?bills_page="), "bills").when(F.col("page_url").contains("?contributions_page="), "activity")
+    read = parse(parts.filter("url like '%?bills\\_page=%' or url like '%?contributions\\_page=%'"), html.profile_parts, ", ".join(f"{k}_current int, {k} {t}" for k, t in kinds.items()))
+    read = read.select(base(F.regexp_extract("page_url", r"^([^?]*)", 1)).alias("_base"), F.regexp_extract("page_url", r"_page=(\d+)", 1).try_cast("int").alias("page"), kind.alias("kind"), *kinds, *[f"{k}_current" for k in kinds])
+    item = lambda k: F.struct("page", (F.col(f"{k}_current").isNull() | (F.col(f"{k}_current") == F.col("page"))).alias("fits"), k)
+    more = read.groupBy("_base").agg(*[F.sort_array(F.collect_list(F.when(F.col("kind") == k, item(k)))).alias(f"_{k}") for k in kinds])
     rows = first.withColumn("_at", base(F.col("page_url")))
     rows = rows.join(more, rows["_at"] == more["_base"], "left")
+    in_range = lambda k: F.filter(F.coalesce(f"_{k}", F.array()), lambda x: x["page"].between(2, F.col(f"{k}_pages")))  # noqa: E731  pages that the profile's pager counts
     if told:
-        rows = rows.observe(told, F.sum(F.coalesce("_refused", F.lit(0))).alias("refused"))
-    return rows.select(*[(F.concat(c, F.coalesce(f"_{c}", F.array().cast(kinds[c]))).alias(c) if c in kinds else F.col(c)) for c in first.columns])
+        rows = rows.observe(told, F.sum(sum(F.size(F.filter(in_range(k), lambda x: ~x["fits"])) for k in kinds)).alias("refused"))
+    with_more = lambda k: F.concat(k, F.flatten(F.transform(F.filter(in_range(k), lambda x: x["fits"]), lambda x: x[k])))
+    return rows.select(*[with_more(c).alias(c) if c in kinds else F.col(c) for c in first.columns])
 
 
 def activities(pages: DataFrame, asked: int | None = None) -> DataFrame:
@@ -182,6 +190,11 @@ def page_infos(pages: DataFrame, kind: str = "listing") -> DataFrame:
     return parse(pages, lambda page: html.page_info(page, kind), "current int, last int")
 
 
+def page_infos_of(pages: DataFrame, *kinds: str) -> DataFrame:
+    """page_infos of several kinds, with kind, from one reading of the pages."""
+    return parse(pages, lambda page: html.page_infos(page, kinds), "kind string, current int, last int")
+
+
 def checked(pages: DataFrame, asked: int, kind: str = "listing") -> DataFrame:
     """pages (one page, asked for by number), or PageOutOfRange where its pager says it is another. A list without a
     pager is refused; parts of a profile (bills, activity) may have none."""

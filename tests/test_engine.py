@@ -125,3 +125,20 @@ def test_title_reads_whole_references_only():
     """html_title is that of its SQL: a reference without its semicolon, as where a title was cut, stays as it stands."""
     assert html.title("<title>a &amp; b &lt;c&gt; &quot;d&quot; e&amp</title>") == {"title": 'a & b <c> "d" e&amp'}
     assert html.title("<title>&amp;amp; &nbsp; &</title>") == {"title": "&amp; &nbsp; &"}
+
+
+def test_pages_are_spread_over_tasks(spark):
+    """Profiles are few rows before their pages are made; a broadcast join once left all pages to one task."""
+    from plenaria.plans import page_queries
+
+    t = lambda name: spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet")
+    told = page_queries.profile_pages(t).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert told == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_kept_elements_are_those_of_the_whole_page():
+    """Reading only some elements of a page gives what the whole tree gives, plain tags or not."""
+    bill = "<div class='bill-item'><h3 class='bill-name'>A &amp; B</h3><span class=\"bill-year\">2020</span><div class='bill-stage'>Status: Read</div></div>"
+    for page in (f"<p>x{bill}</p>", f"<div><section>{bill}<br/>{bill}</div></section>", f"<!-- c -->{bill}<script>a<b</script>{bill}", f"<DIV CLASS=x>{bill}< 3"):
+        assert html.bills(page) == html.bills(html.tree(page)) == [{"name": "A & B", "year": "2020", "status": "Read"}] * page.count("bill-item")
+        assert [x.tag for x in html.tree(page).walk()] == [x.tag for x in html.Node.walk(html.tree(page))]
