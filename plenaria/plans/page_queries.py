@@ -23,25 +23,54 @@ def _joined(order: str, part: Column) -> Column:
     return F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, part.alias("part")))), lambda x: x["part"]), "\n")
 
 
-def _day(c: str) -> Column:
+def _told_in(items: DataFrame, *keys: str) -> DataFrame:
+    """keys, items: the items of each, in order. They are shuffled as they are, and become text where the page is made."""
+    return items.groupBy(*keys).agg(F.sort_array(F.collect_list("x")).alias("items"))
+
+
+def _spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """rows over as many tasks as shuffles have: they are few and small before their pages are made, and adaptive execution would
+    leave all pages to one task."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def _lines(made, items: str | Column = "items") -> Column:
+    """The text of all items, each as made has it."""
+    return F.array_join(F.transform(items, made), "\n")
+
+
+def _day(c: str | Column) -> Column:
     """Thursday, 12th February, 2026."""
     return F.concat(F.date_format(c, "EEEE, d"), F.lit("th "), F.date_format(c, "MMMM, yyyy"))
 
 
-# Listings: a page for each order priority, both houses on it.
+# Listings: pages for each order priority, both houses on each.
+#: Keys of the orders that are on one page of a priority: a page is no larger however many orders there are.
+ON_PAGE = 5000
 LISTED = "select cast(o_orderkey % 2 as int) as senate, cast(o_orderdate as date) as date, '/s/' || o_orderkey || '/' as url, o_orderpriority as priority from orders"
 
 
+def _listed(x: Column) -> Column:
+    key = x["o_orderkey"]
+    return _html("<div class='hansard-document'><h3><a href='/s/", key, "/'>", F.when(key % 11 == 0, "Notice").otherwise(F.concat(_day(x["o_orderdate"]), F.lit(" - Afternoon Sitting"))), "</a></h3></div>")
+
+
+def _archived(x: Column) -> Column:
+    key = x["o_orderkey"]
+    house = F.when(key % 2 == 1, "senate").otherwise("national_assembly")
+    return _html("<li><a href='/hansard/x/", house, "/", F.date_format(x["o_orderdate"], "yyyy-MM-dd"), "-09-", key % 75, "-00'>Sitting ", key, " 09:00 to ", key % 30, ":05</a></li>")
+
+
 def listing_pages(t, archive: bool = False) -> DataFrame:
-    rows = t("orders").select("o_orderpriority", "o_orderkey", "o_orderdate", (F.col("o_orderkey") % 2).alias("senate"))
+    """All pages of a priority have its URL, and a pager that says the same."""
+    rows = t("orders").select("o_orderpriority", F.floor(F.col("o_orderkey") / ON_PAGE).alias("p"), F.struct("o_orderkey", "o_orderdate").alias("x"))
+    rows = _spread(_told_in(rows, "o_orderpriority", "p"), "o_orderpriority", "p")
     if archive:
-        house = F.when(F.col("senate") == 1, "senate").otherwise("national_assembly")
-        link = _html("<li><a href='/hansard/x/", house, "/", F.date_format("o_orderdate", "yyyy-MM-dd"), "-09-", F.col("o_orderkey") % 75, "-00'>Sitting ", F.col("o_orderkey"), " 09:00 to ", F.col("o_orderkey") % 30, ":05</a></li>")
-        return rows.groupBy("o_orderpriority").agg(_html("<ul class='listing'>", _joined("o_orderkey", link), "</ul><a href='/hansard/x/senate/2001-01-01'>no list</a>").alias("html")).select(F.concat(F.lit("/p/"), "o_orderpriority").alias("url"), "html")
-    link = _html("<div class='hansard-document'><h3><a href='/s/", F.col("o_orderkey"), "/'>", F.when(F.col("o_orderkey") % 11 == 0, "Notice").otherwise(F.concat(_day("o_orderdate"), F.lit(" - Afternoon Sitting"))), "</a></h3></div>")
-    each = rows.groupBy("o_orderpriority", "senate").agg(_joined("o_orderkey", link).alias("part"))
-    page = _html("<nav><li class='active active_number_box'><span> 2 </span></li><a class='page_label' href='?page=7'>7</a></nav>", _joined("senate", _html("<div class='split-docs'>", F.col("part"), "</div>")))
-    return each.groupBy("o_orderpriority").agg(page.alias("html")).select(F.concat(F.lit("/p/"), "o_orderpriority").alias("url"), "html")
+        page = _html("<ul class='listing'>", _lines(_archived), "</ul><a href='/hansard/x/senate/2001-01-01'>no list</a>")
+    else:
+        of = lambda senate: _html("<div class='split-docs'>", _lines(_listed, F.filter("items", lambda x: x["o_orderkey"] % 2 == senate)), "</div>")
+        page = _html("<nav><li class='active active_number_box'><span> 2 </span></li><a class='page_label' href='?page=7'>7</a></nav>", of(0), "\n", of(1))
+    return rows.select(F.concat(F.lit("/p/"), "o_orderpriority").alias("url"), page.alias("html"))
 
 
 @query(f"select case senate when 1 then 'Senate' else 'National Assembly' end as house, date, url, 'Afternoon Sitting' as session_type, 'current' as source from ({LISTED}) where cast(substr(url, 4, length(url) - 4) as bigint) % 11 > 0")
@@ -57,7 +86,7 @@ def page_listing_checked(t):
 
 @query("select '/p/' || o_orderpriority as page_url, 2 as current, 7 as last from orders group by o_orderpriority")
 def page_info_listing(t):
-    return pages.page_infos(listing_pages(t))
+    return pages.page_infos(listing_pages(t)).distinct()
 
 
 #: Minutes above 59 and hours above 23 are no times.
@@ -210,22 +239,6 @@ def _group(x: Column) -> Column:
     return _html("<div class='contribution-group'><span class='topic-badge topic-badge-large'>Topic ", part, "</span><span class='group-date'>", x["day"], "</span><div class='conversation-subgroup'><span class='conversation-type-badge'>Motion</span><a class='conversation-title' href='/s/", part, "#top'>Title ", part, "</a><div class='contribution-item'><a class='contribution-text-link' href='/s/", part, "#chunk-1'><p class='contribution-text'>one </p></a></div><div class='contribution-item'><a class='contribution-text-link' href=''><p class='contribution-text'>none</p></a></div></div><div class='conversation-subgroup'><span class='conversation-type-badge'>Question</span><div class='contribution-item'><a class='contribution-text-link' href='/s/", part, "#chunk-2'>two</a></div></div></div>")
 
 
-def _told_in(items: DataFrame, *keys: str) -> DataFrame:
-    """keys, items: the items of each, in order. They are shuffled as they are, and become text where the page is made."""
-    return items.groupBy(*keys).agg(F.sort_array(F.collect_list("x")).alias("items"))
-
-
-def _spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """rows over as many tasks as shuffles have: they are few and small before their pages are made, and adaptive execution would
-    leave all pages to one task."""
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-
-
-def _lines(made) -> Column:
-    """The text of all items, each as made has it."""
-    return F.array_join(F.transform("items", made), "\n")
-
-
 def profile_pages(t, items: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """Profile pages with all items, or those given; parts: how many pages both pagers count."""
     key = F.col("s_suppkey")

@@ -196,13 +196,13 @@ def page_infos_of(pages: DataFrame, *kinds: str) -> DataFrame:
 
 
 def checked(pages: DataFrame, asked: int, kind: str = "listing") -> DataFrame:
-    """pages (one page, asked for by number), or PageOutOfRange where its pager says it is another. A list without a
-    pager is refused; parts of a profile (bills, activity) may have none."""
-    infos = page_infos(pages, kind).limit(1).collect()
-    if not infos and kind == "listing":
-        raise PageOutOfRange(f"page {asked} has no pager")
-    for info in infos:
+    """pages (one page, asked for by number, in a row or several), or PageOutOfRange where a pager says it is another. A list
+    without a pager is refused; parts of a profile (bills, activity) may have none."""
+    infos = page_infos(pages, kind)
+    for info in infos.filter(F.col("current") != asked).limit(1).collect():
         check_page(asked, info.current, info.last)
+    if kind == "listing" and infos.isEmpty():
+        raise PageOutOfRange(f"page {asked} has no pager")
     return pages
 
 

@@ -142,3 +142,21 @@ def test_kept_elements_are_those_of_the_whole_page():
     for page in (f"<p>x{bill}</p>", f"<div><section>{bill}<br/>{bill}</div></section>", f"<!-- c -->{bill}<script>a<b</script>{bill}", f"<DIV CLASS=x>{bill}< 3"):
         assert html.bills(page) == html.bills(html.tree(page)) == [{"name": "A & B", "year": "2020", "status": "Read"}] * page.count("bill-item")
         assert [x.tag for x in html.tree(page).walk()] == [x.tag for x in html.Node.walk(html.tree(page))]
+
+
+def test_listing_pages_stay_small(spark):
+    """Pages of a priority are more, not larger, where there are more orders; once there was one."""
+    from plenaria.plans import page_queries
+
+    one = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    more = one.unionByName(one.withColumn("o_orderkey", F.col("o_orderkey") + 1_000_000))
+    longest = lambda orders: page_queries.listing_pages(lambda name: orders).agg(F.max(F.length("html"))).first()[0]
+    assert longest(more) < 1.1 * longest(one) < 500_000
+
+
+def test_checked_reads_every_row_of_a_page(spark):
+    pager = "<li class='active active_number_box'><span>{}</span></li>"
+    saved = spark.createDataFrame([("/p/", pager.format(2)), ("/p/", pager.format(3))], "url string, html string").coalesce(1)
+    assert pages.checked(saved.limit(1), 2) is not None
+    with pytest.raises(pages.PageOutOfRange):
+        pages.checked(saved, 2)
