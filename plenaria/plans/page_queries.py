@@ -306,14 +306,15 @@ def page_profiles_in_parts(t):
 # The page source: pages of a list in a folder, of which one is broken and one is another than asked for.
 def _list_folder(t) -> str:
     """Seven pages of listings, by the order's key; returns their folder."""
-    n = F.col("o_orderkey") % 7 + 1
-    link = _html("<div class='hansard-document'><h3><a href='/s/", F.col("o_orderkey"), "/'>", F.when(F.col("o_orderkey") % 11 == 0, "Notice").otherwise(F.concat(_day("o_orderdate"), F.lit(" - Afternoon Sitting"))), "</a></h3></div>")
-    each = t("orders").select(n.cast("int").alias("page"), "o_orderkey", (F.col("o_orderkey") % 2).alias("senate"), link.alias("link")).groupBy("page", "senate").agg(_joined("o_orderkey", F.col("link")).alias("part"))
-    rows = each.groupBy("page").agg(_joined("senate", _html("<div class='split-docs'>", F.col("part"), "</div>")).alias("html"))
+    orders = t("orders")
+    spark = orders.sparkSession
+    links = orders.select((F.col("o_orderkey") % 7 + 1).cast("int").alias("page"), (F.col("o_orderkey") % 2 * 2 + 2).cast("int").alias("place"), "o_orderkey", _listed(F.struct("o_orderkey", "o_orderdate")).alias("html"))
     says = F.when(F.col("page") == 4, 9).otherwise(F.col("page"))
-    nav = _html(F.when(F.col("page") == 6, "<![foo[x]]>"), "<nav><li class='active active_number_box'><span>", says, "</span></li><a class='page_label' href='?page=7'>7</a></nav>")
-    path = sinks.scratch(t("orders").sparkSession) + "/list"
-    page_source.write_pages(rows.select("page", F.concat(nav, "html").alias("html")), path)
+    nav = _html(F.when(F.col("page") == 6, "<![foo[x]]>"), "<nav><li class='active active_number_box'><span>", says, "</span></li><a class='page_label' href='?page=7'>7</a></nav><div class='split-docs'>")
+    around = spark.range(1, 8).select(F.col("id").cast("int").alias("page")).select("page", F.explode(F.array(*[F.struct(F.lit(k).alias("place"), F.lit(0).cast("long").alias("o_orderkey"), part.alias("html")) for k, part in ((1, nav), (3, F.lit("</div><div class='split-docs'>")), (5, F.lit("</div>")))])).alias("x"))
+    around = around.select("page", "x.*")
+    path = sinks.scratch(spark) + "/list"
+    page_source.write_pages(links.unionByName(around), path, "place", "o_orderkey")
     return path
 
 

@@ -8,8 +8,11 @@ failures is named, the task writes the reason there. Folders are reached by pyar
 
 from __future__ import annotations
 
+import codecs
 import datetime as dt
+import pickle
 import re
+import tempfile
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +27,8 @@ SCHEMAS = {
     "listing": "page int, house string, date date, url string, title string, session_type string",
     "members": f"page int, {pages.MEMBER}",
 }
+#: Bytes of a page that are read at once, and rows that a task holds in memory.
+PIECE, HELD = 1 << 20, 10_000
 # The shape of a listing's titles.
 TITLE = re.compile(r"(\w+day),?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+([A-Za-z]+),?\s+(\d{4})\s*-\s*(.+)", re.S)
 
@@ -37,27 +42,30 @@ def _system(path: str):
     return LocalFileSystem(), path
 
 
-def page(path: str, n: int) -> str:
-    """The text of page n."""
+def page(path: str, n: int) -> Iterator[str]:
+    """The text of page n, in pieces."""
     from pyarrow.fs import FileSelector
 
     fs, root = _system(path)
     files = sorted(f.path for f in fs.get_file_info(FileSelector(f"{root}/page={n}")) if f.base_name[0] not in "._")
     if not files:
         raise FileNotFoundError(f"page {n}")
-    return "".join(fs.open_input_stream(f).read().decode("utf-8", "replace") for f in files)
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    for f in files:
+        with fs.open_input_stream(f) as stream:
+            while data := stream.read(PIECE):
+                yield decoder.decode(data)
+        yield decoder.decode(b"", True)
 
 
-def listed(text: str) -> Iterator[tuple]:
-    """house, date, url, title, session_type of a listing page; titles without a date are skipped."""
-    for x in html.listing_links(text):
-        m = TITLE.search(x["title"])
-        try:
-            date = dt.datetime.strptime(f"{m[2]} {m[3].capitalize()} {m[4]}", "%d %B %Y").date() if m else None
-        except ValueError:
-            date = None
-        if date:
-            yield ("Senate" if x["position"] else "National Assembly", date, x["url"], x["title"], m[5].strip())
+def listed(x: dict) -> tuple | None:
+    """house, date, url, title, session_type of a link of a listing page; None if its title has no date."""
+    m = TITLE.search(x["title"])
+    try:
+        date = dt.datetime.strptime(f"{m[2]} {m[3].capitalize()} {m[4]}", "%d %B %Y").date() if m else None
+    except ValueError:
+        date = None
+    return ("Senate" if x["position"] else "National Assembly", date, x["url"], x["title"], m[5].strip()) if date else None
 
 
 class SavedPages(DataSource):
@@ -90,7 +98,10 @@ class SavedPagesReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[InputPartition]:
-        info = html.page_info(page(self.path, 1))
+        first = html.Saved("pager")
+        for _ in first.rows(page(self.path, 1)):
+            pass
+        info = first.info
         if not info:
             raise pages.PageOutOfRange("page 1 has no pager")
         wanted = [n for n in range(1, info["last"] + 1) if all(self.KEPT[test](n, value) for at, test, value in self.tests if self.names[at] == "page")]
@@ -100,20 +111,27 @@ class SavedPagesReader(DataSourceReader):
         n = partition.value
         if n is None:
             return
-        try:
-            text = page(self.path, n)
-            info = html.page_info(text)
-            if not info:
-                raise pages.PageOutOfRange(f"page {n} has no pager")
-            pages.check_page(n, info["current"], info["last"])
-            rows = list(listed(text) if self.kind == "listing" else ((x["name"], x["url"], x["role"], x["constituency"]) for x in html.members(text)))
-        except Exception as e:  # noqa: BLE001  one page costs no other
-            self._failed(n, f"{type(e).__name__}: {e}")
-            return
-        for row in rows:
-            row = (n, *row)
-            if all(row[at] is not None and self.KEPT[test](row[at], value) for at, test, value in self.tests):
-                yield row
+        saved = html.Saved(self.kind)
+        with tempfile.TemporaryFile() as held:  # a page gives no rows until all of it has been read
+            try:
+                rows, count = [], 0
+                for x in saved.rows(page(self.path, n)):
+                    row = listed(x) if self.kind == "listing" else (x["name"], x["url"], x["role"], x["constituency"])
+                    if row and all((n, *row)[at] is not None and self.KEPT[test]((n, *row)[at], value) for at, test, value in self.tests):
+                        rows.append((n, *row))
+                    if len(rows) == HELD:
+                        pickle.dump(rows, held)
+                        rows, count = [], count + 1
+                if not saved.info:
+                    raise pages.PageOutOfRange(f"page {n} has no pager")
+                pages.check_page(n, saved.info["current"], saved.info["last"])
+            except Exception as e:  # noqa: BLE001  one page costs no other
+                self._failed(n, f"{type(e).__name__}: {e}")
+                return
+            held.seek(0)
+            for _ in range(count):
+                yield from pickle.load(held)
+            yield from rows
 
     def _failed(self, n: int, why: str) -> None:
         if self.failures:
@@ -148,9 +166,14 @@ def failures(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.regexp_extract("file_name", r"page-(\d+)", 1).cast("int").alias("page"), "error")
 
 
-def write_pages(rows: DataFrame, path: str) -> None:
-    """Saves pages (page, html) in the layout that the source reads."""
-    rows.select("html", "page").repartition("page").write.partitionBy("page").text(path)
+def write_pages(rows: DataFrame, path: str, *order: str) -> None:
+    """Saves pages (page, html) in the layout that the source reads. order: html is of parts of pages, as lines in this order, and
+    a page is written by all tasks, without being whole anywhere."""
+    if order:
+        rows = rows.repartitionByRange(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page", *order).sortWithinPartitions("page", *order)
+    else:
+        rows = rows.repartition("page")
+    rows.select("html", "page").write.partitionBy("page").text(path)
 
 
 KINDS = {

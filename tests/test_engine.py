@@ -160,3 +160,21 @@ def test_checked_reads_every_row_of_a_page(spark):
     assert pages.checked(saved.limit(1), 2) is not None
     with pytest.raises(pages.PageOutOfRange):
         pages.checked(saved, 2)
+
+
+@pytest.mark.parametrize("size", [1, 7, 50, 10_000])
+def test_a_page_in_pieces_is_the_page(size):
+    """Rows and pager of a page that is read piece by piece are those of the whole page, however it is cut, and little of it is held."""
+    link = "<div class='hansard-document'><h3><a href='/s/{0}/'>Title &amp; {0}</a></h3></div>\n"
+    house = "<div class='split-docs'>" + "".join(link.format(k) for k in range(40)) + "</div>"
+    pager = "<nav><li class='active active_number_box'><span> 2 </span></li><a class='page_label' href='?page=7'>7</a><a class='page_label' href='?page=5'>5</a></nav>"
+    member = "<a class='members-list--item' href='/m/1'><div class='members-list--name'>A</div></a>"
+    for page in (pager + house + house, f"<p>x<!-- a > b -->{house}<script>a<b</script>{house}{pager}", f"x {house[:-6]}{house}</div>{house}< 3", member * 3 + pager, f"{house}<li class='active active_number_box'>none</li>"):
+        for kind, rows in (("listing", html.listing_links), ("members", html.members)):
+            saved = html.Saved(kind)
+            told = list(saved.rows(page[k : k + size] for k in range(0, len(page), size)))
+            assert sorted(map(str, told)) == sorted(map(str, rows(page)))
+            assert saved.info == html.page_info(page)
+    parts = html._Parts(("hansard-document",))
+    list(parts.told([house, house]))
+    assert not parts.root.children and not parts.within
