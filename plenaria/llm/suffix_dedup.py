@@ -22,9 +22,11 @@ windows hold the same one at the same place. So all windows can be compared anch
 Scale: texts travel as compressed blocks, twice; anchors as 5 bytes each; a text that a block has many times is one
 entry. Work in a bucket is linear in its windows, and the number of buckets grows with the bytes of the table, so a
 block has a row for each bucket it has an anchor for: at most as many rows as anchors. Tasks are as many as blocks or
-buckets, up to `TASKS`; beyond, a task takes them one after the other. An anchor in more than `hot` blocks or at more than
-`hot_rows` places (a line in a third of all documents, a string that each of a few blocks repeats) is not sent whole: its windows are dealt singly, by their own hash, after
-equal ones are merged in the block, so inner windows are one row a block and outer ones spread evenly.
+buckets, up to `TASKS`; beyond, a task takes them one after the other. An anchor at more than `hot_rows` places (a line in a
+third of three million documents, a string that each of a few blocks repeats) is not sent whole: its windows are dealt singly, by their own hash, after
+equal ones are merged in the block, so inner windows are one row a block and outer ones spread evenly. That is up to 35 rows a place, so it is for
+what does not fit a bucket: `hot`, the blocks that an anchor may be in, is no less than `hot_rows` unless asked for, as any line of a site is in most
+blocks of a large table.
 Hashes decide only where windows meet; windows are compared byte by byte. Copies of whole texts alone are told by a
 128-bit digest.
 
@@ -37,6 +39,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +51,8 @@ BLOCK = 6 << 20
 #: Bytes of the input to each bucket of anchors (8 bytes an anchor, one in 18 bytes), and of suffixes.
 ANCHOR_BYTES, SUFFIX_BYTES = 64 << 20, 12 << 20
 TASKS = 50_000
+#: Positions whose hashes caches hold; rows that are sorted at once.
+PIECE, SLICE = 1 << 15, 1 << 18
 #: Places of an anchor whose suffixes (86 bytes each) may meet in one bucket.
 HOT_ROWS = 1 << 20
 PAD = 255  # never a byte of UTF-8
@@ -66,15 +71,15 @@ def _eights(data):
     """The 8 bytes from every position, as an unsigned number."""
     import numpy as np
 
-    return np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1)).copy().view("<u8").ravel()
+    return np.ndarray(len(data) - 7, "<u8", data, 0, (1,))
 
 
 def _hash_at(data, pos):
     """Hashes of the ANCHOR bytes from pos."""
-    import numpy as np
-
-    b = data[pos[:, None] + np.arange(ANCHOR)].view("<u8")
-    return _mix(_mix(b[:, 0]) + b[:, 1])
+    if not len(pos):
+        return pos.astype("<u8")
+    e = _eights(data)
+    return _mix(_mix(e[pos]) + e[pos + 8])
 
 
 def anchors(data, length: int):
@@ -83,9 +88,21 @@ def anchors(data, length: int):
 
     if len(data) < length:
         return np.empty(0, np.int64)
+    w, out = length - ANCHOR + 1, []
+    ends = len(data) - ANCHOR + 1
+    for lo in range(0, ends, PIECE):  # in pieces that caches hold, each with all windows over its positions
+        a, b = max(0, lo - w + 1), min(ends, lo + PIECE + w - 1)
+        at = _minima(data[a : b + ANCHOR - 1], w) + a
+        out.append(at[(at >= lo) & (at < lo + PIECE)])
+    return np.concatenate(out)
+
+
+def _minima(data, w: int):
+    """Positions of the least hash of any w neighbours."""
+    import numpy as np
+
     e = _eights(data)
     h = _mix(_mix(e[:-8]) + e[8:])
-    w = length - ANCHOR + 1
     low, have = h, 1
     while have < w:  # minimum over have positions, by doubling
         step = min(have, w - have)
@@ -188,17 +205,22 @@ def _runs(bucket) -> Iterator[tuple[int, int, int]]:
         yield int(bucket[lo]), int(lo), int(hi)
 
 
-def _zip(array, level: int = 1) -> bytes:
+@cache
+def _zstd(level: int):
+    """A compressor (level 0: a decompressor) for all the small bodies of a worker: making one takes longer than they do."""
     import zstandard
 
-    return zstandard.ZstdCompressor(level=level).compress(array.tobytes())
+    return zstandard.ZstdCompressor(level=level) if level else zstandard.ZstdDecompressor()
+
+
+def _zip(array, level: int = 1) -> bytes:
+    return _zstd(level).compress(array.tobytes())
 
 
 def _unzip(raw: bytes, kind: str):
     import numpy as np
-    import zstandard
 
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind)
+    return np.frombuffer(_zstd(0).decompress(raw), kind)
 
 
 ROWS = "block long, bucket int, kind string, body binary"
@@ -339,12 +361,15 @@ def _suffixes(block: Block, says: dict[int, bytes], copies, length: int, buckets
         at, doc, reach, bucket = np.concatenate((at, wide)), np.concatenate((doc, its)), np.concatenate((reach, np.zeros(len(wide), reach.dtype))), np.concatenate((bucket, (hashed >> np.uint64(20)) % np.uint64(to)))
     left, right = np.minimum(at - block.starts[doc], reach), np.minimum(ends[doc] - at, length)
     padded = np.concatenate((np.full(before, PAD, np.uint8), block.data, np.full(length, PAD, np.uint8)))
+    around, cols = np.lib.stride_tricks.sliding_window_view(padded, before + length), np.arange(before + length)
     out, kept = np.empty(len(at), np.int64), []
-    for lo in range(0, len(at), 100_000):  # equal rows first go in slices, so that memory stays bounded
-        s = slice(lo, lo + 100_000)
-        m = padded[at[s][:, None] + np.arange(before + length)]
-        cols = np.arange(before + length)
-        m[(cols < before - left[s][:, None]) | (cols >= before + right[s][:, None])] = PAD
+    for lo in range(0, len(at), SLICE):  # equal rows first go in slices, so that memory stays bounded
+        s = slice(lo, lo + SLICE)
+        m = around[at[s]]
+        cut = np.flatnonzero((left[s] < before) | (right[s] < length))
+        part = m[cut]
+        part[(cols < before - left[s][cut][:, None]) | (cols >= before + right[s][cut][:, None])] = PAD
+        m[cut] = part
         m = np.hstack((m[:, before:], m[:, :before], left[s][:, None].astype(np.uint8), right[s][:, None].astype(np.uint8)))
         v = np.ascontiguousarray(m).view(f"V{m.shape[1]}").ravel()
         u, inverse = np.unique(v, return_inverse=True)
@@ -356,7 +381,7 @@ def _suffixes(block: Block, says: dict[int, bytes], copies, length: int, buckets
     if not kept:
         return None
     every = np.concatenate([k[0] for k in kept])
-    u, inverse = np.unique(every, return_inverse=True)
+    u, inverse = np.unique(every, return_inverse=True) if len(kept) > 1 else (every, np.arange(len(every)))
     low, where = np.full(len(u), NO_ID), np.zeros(len(u), np.int64)
     np.minimum.at(low, inverse, np.concatenate([k[1] for k in kept]))
     where[inverse] = np.concatenate([k[2] for k in kept])
@@ -396,7 +421,7 @@ def _shard(length: int, buckets: int, to: int):
         if made:
             u, low, where = made[:3]
             for b, lo, hi in _runs(where):
-                out.append((key[0].as_py(), b, "shard", _join([_zip(u[lo:hi], 6), _zip(low[lo:hi], 6)])))
+                out.append((key[0].as_py(), b, "shard", _join([_zip(u[lo:hi], 3), _zip(low[lo:hi], 3)])))
         return pa.Table.from_batches([_batch(out)])
 
     return run
@@ -447,27 +472,26 @@ def merge_shards(rows, low, length: int):
 
     n, before = len(rows), length - ANCHOR
     m = rows.view(np.uint8).reshape(n, -1)
-    left, right = m[:, -2], m[:, -1]
+    left, right = m[:, -2].copy(), m[:, -1].copy()
     order, prefix = interleave(m, length)
     rank = np.empty(n, np.int32)
     rank[order] = np.arange(n, dtype=np.int32)
-    same = np.zeros(n, np.int32)  # class of the bytes before, as far as they have been read
-    owned = np.zeros((n, before + 1), bool)
+    columns = np.ascontiguousarray(m[:, length : length + before].T)
+    c = np.zeros(n, np.int32)  # class of the bytes before, as far as they have been read, in the order of the suffixes
+    owned = np.zeros((before + 1, n), bool)
     for a in range(before + 1):
         if a:
-            byte = m[:, length + before - a]
-            moved = np.argsort(byte[order], kind="stable")
-            order = order[moved]
-            b, c = byte[order], same[order]
-            same[order] = np.concatenate(([0], np.cumsum((b[1:] != b[:-1]) | (c[1:] != c[:-1]), dtype=np.int32)))
+            b = columns[before - a][order]
+            moved = np.argsort(b, kind="stable")
+            order, b, c = order[moved], b[moved], c[moved]
+            c = np.concatenate((np.zeros(1, np.int32), np.cumsum((b[1:] != b[:-1]) | (c[1:] != c[:-1]), dtype=np.int32)))
         reach = np.cumsum(prefix < length - a, dtype=np.int32)[rank[order]]  # class of the length - a bytes from the anchor on
-        c = same[order]
         first = np.flatnonzero(np.concatenate(([True], (reach[1:] != reach[:-1]) | (c[1:] != c[:-1]))))
         d = np.where((left >= a) & (right >= length - a), low, NO_ID)[order]
         least = np.repeat(np.minimum.reduceat(d, first), np.diff(np.append(first, n)))
-        owned[order, a] = least < d
-    owned &= (left[:, None] >= np.arange(before + 1)) & (right[:, None] >= length - np.arange(before + 1))
-    return owned
+        owned[a, order] = least < d
+        owned[a] &= (left >= a) & (right >= length - a)
+    return np.ascontiguousarray(owned.T)
 
 
 def _merge(length: int):
@@ -496,12 +520,12 @@ def _marks(block: Block, says: dict, copies, owned: dict, length: int, buckets:
     if made:
         u, low, where, at, doc, row, left, right = made
         width = -(-(length - ANCHOR + 1) // 8)
-        bits = np.zeros((len(u), length - ANCHOR + 1), bool)
+        bits = np.zeros((length - ANCHOR + 1, len(u)), bool)
         for b, lo, hi in _runs(where):
-            bits[lo:hi] = np.unpackbits(_unzip(owned[b], "u1").reshape(-1, width), axis=1, count=length - ANCHOR + 1).astype(bool)
+            bits[:, lo:hi] = np.unpackbits(_unzip(owned[b], "u1").reshape(-1, width), axis=1, count=length - ANCHOR + 1).T
         later = block.ids[doc] > low[row]  # the row's least document is smaller than this one: every window of the row goes
         for a in range(length - ANCHOR + 1):
-            go = (left >= a) & (right >= length - a) & (later | bits[row, a])
+            go = (left >= a) & (right >= length - a) & (later | bits[a][row])
             starts[at[go] - a] = 1
     first = np.flatnonzero(starts)
     change = np.zeros(len(block.data) + 1, np.int32)
@@ -536,7 +560,7 @@ def _finish(length: int, buckets: int, to: int, with_text: bool):
     return run
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, hot: int = 512, hot_rows: int = HOT_ROWS, with_text: bool = True) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, hot: int = HOT_ROWS, hot_rows: int = HOT_ROWS, with_text: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes, with_text only; else null)."""
     common.shared_dir(docs.sparkSession)
     rows = common.pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))

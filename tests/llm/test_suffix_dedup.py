@@ -1,7 +1,9 @@
 import hashlib
+import inspect
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from plenaria.llm import suffix_dedup
 from plenaria.llm.suffix_dedup import dedup
@@ -95,3 +97,26 @@ def test_interleave_starts_from_the_shards(monkeypatch):
     monkeypatch.setattr(np, "lexsort", lambda keys: moved.append(len(keys[0])) or lexsort(keys))
     assert suffix_dedup.interleave(same, 50)[0].tolist() == list(range(len(same))) and moved == []
     assert suffix_dedup.interleave(same[:0], 50)[0].tolist() == []
+
+
+def test_anchor_in_most_blocks_of_a_large_table_stays_whole():
+    """As many blocks as 6 GB make: what is in each of them goes to one bucket while its places fit there, not window by window."""
+    p = inspect.signature(suffix_dedup.dedup).parameters
+    bodies = []
+    for _ in range(1700):
+        planes = np.array([[7], [0], [0], [0], [0]], np.uint8)
+        bodies.append(suffix_dedup._join([suffix_dedup._zip(planes), b"\x00", suffix_dedup._zip(np.array([300], "<u4"))]))
+    rows = pa.table({"block": list(range(1700)), "body": pa.array(bodies, pa.binary())})
+    says = suffix_dedup._share(p["hot"].default, p["hot_rows"].default)((pa.scalar(0),), rows)
+    assert {suffix_dedup._unzip(x, "u1").tolist()[0] for x in says["body"].to_pylist()} == {1}
+    assert len(says) == 1700
+
+
+def test_anchors_are_those_of_all_windows(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PIECE", 37, raising=False)
+    data = np.random.default_rng(3).integers(97, 100, 1000).astype(np.uint8)
+    for n in (49, 50, 51, 86, 87, 123, 1000):
+        part = data[:n]
+        h = suffix_dedup._hash_at(part, np.arange(max(0, n - 15)))
+        want = {int(p) + w for w in range(n - 49) for p in np.flatnonzero(h[w : w + 35] == h[w : w + 35].min())}
+        assert suffix_dedup.anchors(part, 50).tolist() == sorted(want)
