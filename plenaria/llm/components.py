@@ -18,18 +18,21 @@ ONE_TASK = 200_000
 
 
 def _both(edges: DataFrame) -> DataFrame:
-    return edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    ways = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    return edges.select(F.explode(ways).alias("e")).select("e.src", "e.dst")  # a union would have twice the partitions
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, few: bool) -> DataFrame:
     """large: edges point both ways, and each node ties its larger neighbours to the least of its neighbourhood.
-    small: edges point from the larger end, and each node ties itself and its neighbours to the least of them."""
+    small: edges point from the larger end, and each node ties itself and its neighbours to the least of them.
+    few: all edges are in one partition, and so is the result."""
     least = edges.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("m"))
     joined = edges.join(least, "src")
     out = joined.filter(F.col("dst") > F.col("src")) if large else joined.filter(F.col("dst") != F.col("m"))
     out = out.select(F.col("dst").alias("src"), F.col("m").alias("dst"))
     if not large:
         out = out.unionByName(least.select("src", F.col("m").alias("dst")))
+    out = out.coalesce(1) if few else out  # else Spark does not know that it is one partition
     return out.filter(F.col("src") != F.col("dst")).distinct()
 
 
@@ -37,12 +40,13 @@ def components(edges: DataFrame) -> DataFrame:
     """node, label (the least node of its component) of all nodes of edges (src, dst; loops and repeats do no
     harm). Nothing is collected but two figures a round; each round is cut by a checkpoint."""
     edges = edges.filter(F.col("src") != F.col("dst"))
-    edges = common.cut(edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct())
+    edges = common.gathered(edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct(), ONE_TASK)
     before = None
     while True:
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("src", "dst"))).first()
         if state == before or not state[0]:
-            return edges.select(F.col("src").alias("node"), F.col("dst").alias("label")).unionByName(edges.select(F.col("dst").alias("node"), F.col("dst").alias("label")).distinct())
+            ends = F.array(F.struct(F.col("src").alias("node"), F.col("dst").alias("label")), F.struct(F.col("dst").alias("node"), F.col("dst").alias("label")))
+            return edges.select(F.explode(ends).alias("e")).select("e.node", "e.label").distinct()
         before = state
-        edges = edges.coalesce(1) if state[0] <= ONE_TASK else edges
-        edges = common.cut(_star(_star(_both(edges), True), False))
+        few = state[0] <= ONE_TASK
+        edges = common.gathered(_star(_star(_both(edges), True, few), False, few), ONE_TASK)

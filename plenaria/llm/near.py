@@ -184,21 +184,21 @@ def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def confirmed(texts: DataFrame, keys: DataFrame, pairs: DataFrame, similar: Similarity) -> DataFrame:
     """src, dst: the pairs (a, b: nodes) whose whole sets are similar; keys: node, key (of a text of it), of all their nodes."""
-    wanted = common.cut(keys.groupBy("node").agg(F.min("key").alias("_key")).select("_key"))
+    wanted = common.gathered(keys.groupBy("node").agg(F.min("key").alias("_key")).select("_key"))
     chosen = texts.join(common.small(wanted), texts.key == wanted["_key"], "left_semi").dropDuplicates(["key"])
     sets = common.cut(_rows(chosen.select("text"), None))
     shared = F.size(F.array_intersect("s_a", "s_b"))
-    return common.cut(_beside(pairs, sets).filter(similar.enough(shared, F.col("n_a"), F.col("n_b"))).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    return common.gathered(_beside(pairs, sets).filter(similar.enough(shared, F.col("n_a"), F.col("n_b"))).select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
 
 def _verified(texts: DataFrame, signed: DataFrame, pairs: DataFrame, similar: Similarity) -> DataFrame:
     """The pairs (a, b: nodes) at the similarity: what the first shingles allow, verified on whole sets."""
     enough = lambda c: similar.enough(c, F.col("n_a"), F.col("n_b"))
-    both = lambda pairs: common.small(common.cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()))
-    pairs = common.cut(pairs.distinct())
+    both = lambda pairs: common.small(common.gathered(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+    pairs = common.gathered(pairs.distinct())
     near = _beside(pairs, signed.join(both(pairs), "node", "left_semi").dropDuplicates(["node"]))
     first = F.element_at("s_a", -1) <= F.element_at("s_b", -1)
-    pairs = common.cut(near.filter(enough(F.when(first, _at_most("s_a", "n_a", "s_b", "n_b")).otherwise(_at_most("s_b", "n_b", "s_a", "n_a")))).select("a", "b"))
+    pairs = common.gathered(near.filter(enough(F.when(first, _at_most("s_a", "n_a", "s_b", "n_b")).otherwise(_at_most("s_b", "n_b", "s_a", "n_a")))).select("a", "b"))
     return confirmed(texts, signed.join(both(pairs), "node", "left_semi"), pairs, similar)
 
 
@@ -266,7 +266,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
 
     sizes = (F.col("n"), F.col("core.n"))
     asked = labelled().filter((F.col("part") != F.col("core.part")) & similar.alike(*sizes) & similar.possible(F.least("c", "core.c"), *sizes))
-    links = common.cut(links.union(_verified(texts, signed, _pairs(asked, "node", "core.node"), similar)))
+    links = common.gathered(links.union(_verified(texts, signed, _pairs(asked, "node", "core.node"), similar)))
     links = links.union(_verified(texts, signed, _rest(labelled().select("shingle", "node", "n", "part"), signed.groupBy("node").agg(F.first("parities").alias("parities")), similar), similar))
     parts = signed.select("id", "key", "node").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = parts.groupBy("label").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "key"))).alias("least"))
@@ -280,7 +280,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = common.cut(classes(docs, id_col, text_col).filter("doc_id is not null").groupBy("doc_id", "key", "leads").agg(F.count("*").alias("n")))
     i, k, number = (common.fresh(docs.columns, x) for x in ("id", "key", "number"))
     named = lambda df: df.select(F.col("doc_id").alias(i), F.col("key").alias(k))
-    gone, again = common.cut(named(found.filter("not leads or n > 1"))), common.cut(named(found.filter("leads and n > 1")))
+    gone, again = common.gathered(named(found.filter("not leads or n > 1"))), common.gathered(named(found.filter("leads and n > 1")))
     same = lambda d, x: (d[f"`{id_col}`"] == x[i]) & (F.xxhash64(d[f"`{text_col}`"]) == x[k])
     out = docs.join(common.small(gone), same(docs, gone), "left_anti")
     if again.isEmpty():

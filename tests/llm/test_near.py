@@ -2,7 +2,8 @@
 
 import random
 
-from plenaria.llm import near
+from plenaria.llm import common, near
+from plenaria.llm.components import components
 
 
 def shingles(text):
@@ -84,3 +85,32 @@ def test_parities_differ_by_no_more_than_the_sets(spark):
         b = np.union1d(a[n // 5 :], r.integers(0, 1 << 63, n // 6, np.uint64))
         apart = sum((x ^ y).bit_count() for x, y in zip((v % (1 << 64) for v in near._parities(a)), (v % (1 << 64) for v in near._parities(b)), strict=True))
         assert apart <= len(np.setxor1d(a, b))
+
+
+def test_rounds_over_few_edges_need_no_exchange(spark, monkeypatch):
+    """At many shuffle partitions a few edges do not cost a task and files for each of them in every round."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sc = spark.sparkContext
+    edges = [(i, i + 1) for i in range(40)] + [(i, 100) for i in range(101, 130)]
+    try:
+        sc.setJobGroup("few-edges", "")
+        got = {r.node: r.label for r in components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+        tracker = sc.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup("few-edges") for s in tracker.getJobInfo(j).stageIds}
+        tasks = sum(i.numTasks for s in stages if (i := tracker.getStageInfo(s)))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 130)}
+    assert tasks < 240, tasks
+
+
+def test_gathered(spark):
+    out = common.gathered(spark.range(0, 100, 1, 8), 40)
+    assert out.rdd.getNumPartitions() == 3 and out.count() == 100
+    assert common.gathered(spark.range(10).filter("id < 0")).count() == 0
