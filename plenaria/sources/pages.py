@@ -31,7 +31,8 @@ def _struct(fields: str) -> str:
     return "struct<" + ", ".join(f.replace(" ", ":", 1) for f in fields.split(", ")) + ">"
 
 
-PROFILE = f"name string, photo_url string, biography string, position_type string, positions array<string>, party string, committees array<string>, speeches_last_year int, speeches_total int, bills array<{_struct(BILL)}>, bills_total int, bills_pages int, voting_patterns array<{_struct(VOTE)}>, activity array<{_struct(ACTIVITY)}>, activity_pages int"
+PROFILE_FIELDS = ["name string", "photo_url string", "biography string", "position_type string", "positions array<string>", "party string", "committees array<string>", "speeches_last_year int", "speeches_total int", f"bills array<{_struct(BILL)}>", "bills_total int", "bills_pages int", f"voting_patterns array<{_struct(VOTE)}>", f"activity array<{_struct(ACTIVITY)}>", "activity_pages int"]
+PROFILE = ", ".join(PROFILE_FIELDS)
 
 
 class PageOutOfRange(ValueError):
@@ -41,7 +42,7 @@ class PageOutOfRange(ValueError):
 def parsed(pages: DataFrame, function: Callable, schema: str, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_url, the rows (dict, list of dicts or None) that function makes of each page's html, and error: null, or why the
     page cannot be parsed, in a row of its own. Blank pages give none."""
-    rows = pages.select(F.col(url_col).alias("page_url"), F.col(html_col).alias("html")).filter("trim(html) <> ''")
+    rows = pages.select(F.col(url_col).alias("page_url"), F.col(html_col).alias("html"))  # a filter here would have pages made twice
     schema = f"{schema}, error string"
     out = pages.sparkSession.createDataFrame([], schema).schema
 
@@ -59,6 +60,8 @@ def parsed(pages: DataFrame, function: Callable, schema: str, url_col: str = "ur
             urls, found, size = [], [], 0
             for url, text in zip(*batch.columns, strict=True):  # one page of a batch is a Python text at a time
                 page = text.as_py()
+                if not page or not page.strip(" "):
+                    continue
                 try:
                     made = function(page)
                 except Exception as e:  # noqa: BLE001  whatever a page holds, the others are parsed
@@ -144,10 +147,14 @@ def members_both(assembly: DataFrame, senate: DataFrame, parliament: str = "13th
     return members(assembly, "National Assembly", parliament).unionByName(members(senate, "Senate", parliament))
 
 
-def profiles(pages: DataFrame) -> DataFrame:
-    """Profiles by page_url, with slug and absolute photo_url."""
-    rows = parse(pages, html.profile, PROFILE)
-    return rows.withColumn("slug", text.slug(F.col("page_url"))).withColumn("photo_url", text.absolute_photo(F.col("photo_url")))
+def profiles(pages: DataFrame, *fields: str) -> DataFrame:
+    """Profiles by page_url, with slug and absolute photo_url. fields: of the profile, beside its name; pages are read for these alone."""
+    kinds = {f.split()[0]: f for f in PROFILE_FIELDS if not fields or f.split()[0] in ("name", *fields)}
+    if unknown := set(fields) - kinds.keys():
+        raise ValueError(f"profiles have no {', '.join(sorted(unknown))}")
+    wanted = frozenset(kinds)
+    rows = parse(pages, lambda page: html.profile(page, wanted), ", ".join(kinds.values())).withColumn("slug", text.slug(F.col("page_url")))
+    return rows.withColumn("photo_url", text.absolute_photo(F.col("photo_url"))) if "photo_url" in kinds else rows
 
 
 def full_profiles(pages: DataFrame, parts: DataFrame, told: Observation | None = None) -> DataFrame:

@@ -178,3 +178,44 @@ def test_a_page_in_pieces_is_the_page(size):
     parts = html._Parts(("hansard-document",))
     list(parts.told([house, house]))
     assert not parts.root.children and not parts.within
+
+
+BILL = "<div class='bill-item'><h3 class='bill-name'>{0}</h3><span class=\"bill-year\">{1}</span><div class='bill-stage'>Status: {2}</div></div>\n"
+VOTE = "<div class='voting-patterns-row'><div class='voting-cell voting-date'>{0}</div><div class='voting-cell voting-title'><a href='{1}'>{2}</a></div><div class='voting-cell voting-decision'><span class='decision-badge'>{0}</span></div></div>"
+GROUP = "<div class='contribution-group'><span class='topic-badge topic-badge-large'>{0}</span><div class='conversation-subgroup'><a class='conversation-title' href='{1}'>T {2}</a><div class='contribution-item'><a class='contribution-text-link' href=\"{1}\"><p class='contribution-text'>{0}</p></a></div></div></div>"
+
+
+def test_items_read_apart_are_those_of_the_whole_page():
+    """Items of known markups give the rows of the whole tree, whatever stands around or in them, and come into no tree."""
+    import random
+
+    around = ["<p>", "</p>", "</div>", "<div>", "<ul><li>", "</ul>", "<br>", "<h2 class='header-three'>Parties</h2><p class='elected-post'>P</p>", "<div class='position-section'>", "<nav class='bills-pagination'><li class='active_number_box'><span>1</span></li><a href='?bills_page=3'>l</a>", "</nav>", "<!-- c -->", "<script>a<b</script>", "< 3", "<div class='bill-item'>", "<li class='bill-item'>no</li>", "\n"]
+    inside = ["<b>", "</b>", "</div>", "<p>z</p>", "<li>", BILL, "<h2 class='header-three'>Parties</h2>", "<title>a</title>", "<a href='1' href=\"2\">k</a>", "<i title='x > y' HREF='/z'>k</i>"]
+    told = ["a", "b &amp; c", "&lt", "x>y", "", "/s/1#top", "é\xa0 u", "\x010\x01", "\\("]
+    some = random.Random(7)
+
+    def item():
+        out = some.choice((BILL, VOTE, GROUP)).format(*some.choices(told, k=3))
+        at = some.choice([i for i, c in enumerate(out) if c == "<"])
+        return out if some.random() < 0.8 else out[:at] + some.choice(inside) + out[at:]
+
+    for _ in range(300):
+        html._markups.clear(), html._sought.clear()
+        page = "<h1 class='page-heading'>N</h1>" + "".join(item() if some.random() < 0.8 else some.choice(around) for _ in range(some.randint(1, 15)))
+        root, whole = html.tree(page), html.profile(page)
+        assert whole["bills"] == html.bills(page) == html.bills(root)
+        assert whole["voting_patterns"] == html.votes(page) == html.votes(root)
+        assert whole["activity"] == html.activity(page) == html.activity(root)
+        assert html.page_infos(page, ("bills",)) == [{"kind": "bills", **x} for x in [html.page_info(root, "bills")] if x]
+    read = html._Apart(("contribution-group",), {"contribution-group": (html.activity, True)})
+    root = read.read("".join((BILL * 3 + VOTE + GROUP).format(k, f"/s/{k}#x", "t") for k in range(50)))
+    assert not root.index[None] and [x["url"] for x in read.all("contribution-group")] == [f"/s/{k}#x" for k in range(50)]
+
+
+def test_pages_are_made_once(spark):
+    """A filter on pages once had each made twice. Blank pages still give no rows."""
+    made = spark.range(3).select(F.lit("/p").alias("url"), F.concat(F.lit("<b>MARK</b>"), F.col("id").cast("string")).alias("html"))
+    plan = pages.parsed(made, html.bills, pages.BILL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MARK") == 1
+    blank = spark.createDataFrame([("/a", None), ("/b", ""), ("/c", "  "), ("/d", "\n"), ("/e", "x")], "url string, html string")
+    assert sorted(r.page_url for r in pages.parsed(blank, lambda page: {"name": page}, "name string").collect()) == ["/d", "/e"]
