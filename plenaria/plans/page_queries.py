@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import sinks
+from ..operators import fold, sinks
 from ..sources import page_source, pages
 from . import ingest
 from .model_queries import spoken
@@ -356,7 +356,7 @@ def enrich_members_stored(t):
     store.migrate()
     listed = t("supplier").select(F.col("s_name").alias("name"), _html("/mps/", F.col("s_suppkey"), "/").alias("url"), F.lit("Senate").alias("house"), F.lit("13th-parliament").alias("parliament"), F.lit("Whip").alias("role"), F.lit(None).cast("string").alias("constituency"))
     store.upsert("members", listed.withColumns({"biography": F.lit("known before"), "speeches_total": F.lit(1)}), ["url"])
-    store.write("members", ingest.enrich_members(store.read("members"), pages.profiles(profile_pages(t))))
+    store.write("members", ingest.enrich_members(store.read("members"), pages.profiles(profile_pages(t), *fold.DETAILS)))
     store.upsert("members", listed.withColumn("role", F.lit(None).cast("string")), ["url"])
     rows = store.read("members")
     return rows.select("url", "name", "biography", "photo_url", "position_type", F.array_join("positions", ";").alias("positions"), "party", F.array_join("committees", ";").alias("committees"), "speeches_last_year", "speeches_total", "role")

@@ -219,3 +219,17 @@ def test_pages_are_made_once(spark):
     assert plan.count("MARK") == 1
     blank = spark.createDataFrame([("/a", None), ("/b", ""), ("/c", "  "), ("/d", "\n"), ("/e", "x")], "url string, html string")
     assert sorted(r.page_url for r in pages.parsed(blank, lambda page: {"name": page}, "name string").collect()) == ["/d", "/e"]
+
+
+def test_profiles_of_some_fields(spark):
+    """Profiles are read for the fields asked for: those of the whole profile, without rows of items that none of them needs."""
+    page = "<h1 class='page-heading'>N</h1><img class='member-list--image' src='/p.png'>" + (BILL + VOTE + GROUP).format("a", "/s", "b") * 3
+    whole = html.profile(page)
+    for fields in (("name", "party"), ("activity_pages",), ("bills", "bills_pages"), ("voting_patterns", "activity")):
+        assert html.profile(page, frozenset(fields)) == {k: whole[k] for k in fields}
+    assert whole["activity_pages"] == whole["bills_pages"] == 1 and len(whole["voting_patterns"]) == 3
+    df = spark.createDataFrame([("/mps/7/", page)], "url string, html string")
+    full, some = pages.profiles(df).first(), pages.profiles(df, "photo_url", "bills")
+    assert some.columns == ["page_url", "name", "photo_url", "bills", "slug"] and all(some.first()[c] == full[c] for c in some.columns)
+    with pytest.raises(ValueError):
+        pages.profiles(df, "bill")
