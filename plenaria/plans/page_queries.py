@@ -255,7 +255,7 @@ LINES = "(select '/mps/' || l_suppkey || '/' as page_url, l_suppkey, l_partkey,
 
 @query(f"select s_name as name, cast(s_suppkey as varchar) as slug, 'https://mzalendo.com/p/' || s_suppkey || '.png' as photo_url, case when s_suppkey % 2 = 0 then 'Born once' end as biography, 'Senator' as position_type, 'Member ' || s_suppkey || ';Chair' as positions, 'Party ' || s_nationkey as party, 'Works' as committees, cast(case when s_suppkey % 3 > 0 then s_suppkey end as int) as speeches_last_year, cast(case when s_suppkey % 3 > 0 then s_suppkey + 7 end as int) as speeches_total, cast(s_suppkey % 9 as int) as bills_total, cast(case when s_suppkey % 4 = 0 then s_suppkey % 5 + 2 when n > 0 then 1 else 0 end as int) as bills_pages, cast(case when s_suppkey % 4 = 1 then s_suppkey % 6 + 2 when n > 0 then 1 else 0 end as int) as activity_pages, coalesce(n, 0) as n_bills from supplier left join (select l_suppkey, count(*) as n from {LINES} group by 1) on l_suppkey = s_suppkey")
 def page_profiles(t):
-    p = pages.profiles(profile_pages(t))
+    p = pages.profiles(profile_pages(t), *fold.DETAILS, "bills", "bills_total", "bills_pages", "activity_pages")
     return p.select("name", "slug", "photo_url", "biography", "position_type", F.array_join("positions", ";").alias("positions"), "party", F.array_join("committees", ";").alias("committees"), "speeches_last_year", "speeches_total", "bills_total", "bills_pages", "activity_pages", F.size("bills").cast("long").alias("n_bills"))
 
 
